@@ -103,6 +103,152 @@ def _report(meta: str, counts_cte: str, entity: str, version: str, batch: list[s
     """
 
 
+_ORDERS_META = """
+    meta(ordinal, "check", "column", message) AS (VALUES
+      (101, 'nullability', 'o_orderkey', 'nulls in non-nullable column'),
+      (103, 'domain', 'o_orderkey', 'values below min 0'),
+      (201, 'nullability', 'o_custkey', 'nulls in non-nullable column'),
+      (203, 'domain', 'o_custkey', 'values below min 0'),
+      (301, 'nullability', 'o_orderstatus', 'nulls in non-nullable column'),
+      (305, 'domain', 'o_orderstatus', 'values outside allowed set [''F'', ''O'', ''P'']'),
+      (401, 'nullability', 'o_totalprice', 'nulls in non-nullable column'),
+      (403, 'domain', 'o_totalprice', 'values below min 0'),
+      (404, 'domain', 'o_totalprice', 'values above max 499000'),
+      (501, 'nullability', 'o_orderdate', 'nulls in non-nullable column'),
+      (502, 'type', 'o_orderdate', 'values not parseable as date'),
+      (601, 'nullability', 'o_orderpriority', 'nulls in non-nullable column'),
+      (700, 'uniqueness', 'o_orderkey', 'duplicate primary keys'))
+"""
+
+_ORDERS_COUNTS_BASE = """
+    count(*) AS rows_,
+    count_if(o_orderkey IS NULL) AS "101", count_if(o_orderkey < 0) AS "103",
+    count_if(o_custkey IS NULL) AS "201", count_if(o_custkey < 0) AS "203",
+    count_if(o_orderstatus IS NULL) AS "301", count_if(o_orderstatus NOT IN ('F', 'O', 'P')) AS "305",
+    count_if(o_totalprice IS NULL OR isnan(o_totalprice)) AS "401", count_if(o_totalprice < 0) AS "403",
+    count_if(o_totalprice > 499000) AS "404",
+    count_if(o_orderdate IS NULL) AS "501",
+    count(*) - count(DISTINCT o_orderkey) AS "700"
+"""
+_ORDERS_COUNTS = _ORDERS_COUNTS_BASE + ', count_if(o_orderpriority IS NULL) AS "601"'
+
+_ORDERS_BY_YEAR = f"SELECT strftime(o_orderdate, '%Y') AS batch, {_ORDERS_COUNTS} FROM orders GROUP BY 1"
+
+_ORDERS_VALID_YEARS = f"""
+    SELECT batch FROM ({_ORDERS_BY_YEAR})
+    WHERE "101" + "103" + "201" + "203" + "301" + "305" + "401" + "403" + "404" + "501" + "601" + "700" = 0
+"""
+
+_CUSTOMER_META = """
+    meta(ordinal, "check", "column", message) AS (VALUES
+      (101, 'nullability', 'c_custkey', 'nulls in non-nullable column'),
+      (103, 'domain', 'c_custkey', 'values below min 0'),
+      (201, 'nullability', 'c_name', 'nulls in non-nullable column'),
+      (206, 'pattern', 'c_name', 'values not matching ^Customer#[0-9]{8}[1-9]$'),
+      (301, 'nullability', 'c_nationkey', 'nulls in non-nullable column'),
+      (303, 'domain', 'c_nationkey', 'values below min 0'),
+      (304, 'domain', 'c_nationkey', 'values above max 24'),
+      (401, 'nullability', 'c_acctbal', 'nulls in non-nullable column'),
+      (403, 'domain', 'c_acctbal', 'values below min 0'),
+      (501, 'nullability', 'c_mktsegment', 'nulls in non-nullable column'),
+      (505, 'domain', 'c_mktsegment', 'values outside allowed set [''AUTOMOBILE'', ''BUILDING'', ''FURNITURE'', ''HOUSEHOLD'', ''MACHINERY'']'),
+      (600, 'uniqueness', 'c_custkey', 'duplicate primary keys'))
+"""
+
+_CUSTOMER_COUNTS = """
+    count(*) AS rows_,
+    count_if(c_custkey IS NULL) AS "101", count_if(c_custkey < 0) AS "103",
+    count_if(c_name IS NULL) AS "201",
+    count_if(NOT regexp_matches(c_name, '^(?:^Customer#[0-9]{8}[1-9]$)')) AS "206",
+    count_if(c_nationkey IS NULL) AS "301", count_if(c_nationkey < 0) AS "303", count_if(c_nationkey > 24) AS "304",
+    count_if(c_acctbal IS NULL OR isnan(c_acctbal)) AS "401", count_if(c_acctbal < 0) AS "403",
+    count_if(c_mktsegment IS NULL) AS "501",
+    count_if(c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')) AS "505",
+    count(*) - count(DISTINCT c_custkey) AS "600"
+"""
+
+_EVENTS_META = r"""
+    meta(ordinal, "check", "column", message) AS (VALUES
+      (101, 'nullability', 'event_id', 'nulls in non-nullable column'),
+      (103, 'domain', 'event_id', 'values below min 0'),
+      (201, 'nullability', 'ts', 'nulls in non-nullable column'),
+      (301, 'nullability', 'user_id', 'nulls in non-nullable column'),
+      (303, 'domain', 'user_id', 'values below min 0'),
+      (401, 'nullability', 'event_type', 'nulls in non-nullable column'),
+      (405, 'domain', 'event_type', 'values outside allowed set [''click'', ''purchase'', ''signup'', ''view'']'),
+      (502, 'type', 'value', 'values not parseable as integer'),
+      (503, 'domain', 'value', 'values below min 0'),
+      (504, 'domain', 'value', 'values above max 400'),
+      (606, 'pattern', 'props', 'values not matching ^\{"k": [0-9]\}$'),
+      (700, 'uniqueness', 'event_id', 'duplicate primary keys'))
+"""
+
+_EVENTS_COUNTS = r"""
+    count(*) AS rows_,
+    count_if(event_id IS NULL) AS "101", count_if(event_id < 0) AS "103",
+    count_if(ts IS NULL) AS "201",
+    count_if(user_id IS NULL) AS "301", count_if(user_id < 0) AS "303",
+    count_if(event_type IS NULL) AS "401",
+    count_if(event_type NOT IN ('click', 'purchase', 'signup', 'view')) AS "405",
+    count_if(NOT isnan(value) AND value % 1 <> 0) AS "502",
+    count_if(NOT isnan(value) AND value < 0) AS "503", count_if(NOT isnan(value) AND value > 400) AS "504",
+    count_if(NOT regexp_matches(props, '^(?:^\{"k": [0-9]\}$)')) AS "606",
+    count(*) - count(DISTINCT event_id) AS "700"
+"""
+
+_DOCUMENTS_META = """
+    meta(ordinal, "check", "column", message) AS (VALUES
+      (101, 'nullability', 'doc_id', 'nulls in non-nullable column'),
+      (103, 'domain', 'doc_id', 'values below min 0'),
+      (201, 'nullability', 'text', 'nulls in non-nullable column'),
+      (202, 'type', 'text', 'values not parseable as float'),
+      (301, 'nullability', 'lang', 'nulls in non-nullable column'),
+      (305, 'domain', 'lang', 'values outside allowed set [''de'', ''en'', ''es'', ''fr'']'),
+      (401, 'nullability', 'source', 'nulls in non-nullable column'),
+      (406, 'pattern', 'source', 'values not matching ^src[0-9]+$'),
+      (501, 'nullability', 'n_chars', 'nulls in non-nullable column'),
+      (503, 'domain', 'n_chars', 'values below min 1'),
+      (600, 'uniqueness', 'doc_id', 'duplicate primary keys'))
+"""
+
+_DOCUMENTS_COUNTS = """
+    count(*) AS rows_,
+    count_if(doc_id IS NULL) AS "101", count_if(doc_id < 0) AS "103",
+    count_if(text IS NULL) AS "201", count_if(text IS NOT NULL AND try_cast(text AS DOUBLE) IS NULL) AS "202",
+    count_if(lang IS NULL) AS "301", count_if(lang NOT IN ('de', 'en', 'es', 'fr')) AS "305",
+    count_if(source IS NULL) AS "401", count_if(NOT regexp_matches(source, '^(?:^src[0-9]+$)')) AS "406",
+    count_if(n_chars IS NULL) AS "501", count_if(n_chars < 1) AS "503",
+    count(*) - count(DISTINCT doc_id) AS "600"
+"""
+
+_LABELS_META = """
+    meta(ordinal, "check", "column", message) AS (VALUES
+      (101, 'nullability', 'doc_id', 'nulls in non-nullable column'),
+      (103, 'domain', 'doc_id', 'values below min 0'),
+      (201, 'nullability', 'quality', 'nulls in non-nullable column'),
+      (202, 'type', 'quality', 'values not parseable as boolean'),
+      (301, 'nullability', 'toxic', 'nulls in non-nullable column'),
+      (302, 'type', 'toxic', 'values not parseable as boolean'),
+      (400, 'uniqueness', 'doc_id', 'duplicate primary keys'))
+"""
+
+_LABELS_COUNTS = """
+    count(*) AS rows_,
+    count_if(doc_id IS NULL) AS "101", count_if(doc_id < 0) AS "103",
+    count_if(q IS NULL) AS "201",
+    count_if(q NOT IN ('True', 'False', 'true', 'false', '0', '1')) AS "202",
+    count_if(toxic IS NULL) AS "301", count_if(toxic NOT IN (0, 1)) AS "302",
+    count(*) - count(DISTINCT doc_id) AS "400"
+"""
+
+
+def _schema_row(ordinal: int, message: str) -> str:
+    msg = message.replace("'", "''")
+    return (f"SELECT 'orders' AS entity, '1.0.0' AS contract_version, CAST({ordinal} AS BIGINT) AS ordinal, "
+            f"'schema' AS \"check\", CAST(NULL AS VARCHAR) AS \"column\", '{msg}' AS message, "
+            f"CAST(0 AS BIGINT) AS failing_rows")
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["violations_lineitem"] = _report(
@@ -111,4 +257,72 @@ def oracle_sql() -> dict[str, str]:
         _LINEITEM_META,
         f"SELECT strftime(l_shipdate, '%Y') AS batch, {_LINEITEM_COUNTS} FROM lineitem GROUP BY 1",
         "lineitem", "1.0.0", ["batch"])
+    q["violations_orders_nulls"] = _report(
+        _ORDERS_META,
+        f"""SELECT {_ORDERS_COUNTS} FROM (SELECT * REPLACE (nullif(o_orderpriority, '4-NOT SPECIFIED')
+            AS o_orderpriority) FROM orders)""",
+        "orders", "1.0.0", [])
+    q["violations_orders_text_dates"] = _report(
+        _ORDERS_META,
+        f"""SELECT {_ORDERS_COUNTS},
+                   count_if(o_orderdate IS NOT NULL AND try_cast(o_orderdate AS DATE) IS NULL) AS "502"
+            FROM (SELECT * REPLACE (CASE WHEN o_orderkey % 101 = 0 THEN '2020-02-30'
+                                         ELSE strftime(o_orderdate, '%Y-%m-%d') END AS o_orderdate)
+                  FROM orders)""",
+        "orders", "1.0.0", [])
+    q["schema_missing_orders"] = (
+        _report(_ORDERS_META, f"SELECT {_ORDERS_COUNTS_BASE} FROM orders", "orders", "1.0.0", [])
+        + " UNION ALL " + _schema_row(1, "missing columns: ['o_orderpriority']"))
+    q["schema_unexpected_orders"] = (
+        _report(_ORDERS_META, f"SELECT {_ORDERS_COUNTS} FROM orders", "orders", "1.0.0", [])
+        + " UNION ALL " + _schema_row(2, "unexpected columns: ['o_clerk']"))
+    q["verdict_orders"] = f"""
+        WITH {_ORDERS_META}, c AS ({_ORDERS_BY_YEAR}),
+        u AS (UNPIVOT c ON COLUMNS(* EXCLUDE (batch, rows_)) INTO NAME ordinal VALUE failing_rows),
+        v AS (SELECT batch, count_if(failing_rows > 0) AS n FROM u GROUP BY batch)
+        SELECT c.batch, 'orders' AS entity, '1.0.0' AS contract_version,
+               CAST(c.rows_ AS BIGINT) AS row_count, CAST(v.n AS BIGINT) AS n_violations,
+               v.n = 0 AS is_valid
+        FROM c JOIN v ON c.batch = v.batch
+    """
+    q["manifest_orders"] = f"""
+        WITH {_ORDERS_META}, c AS ({_ORDERS_BY_YEAR}),
+        u AS (UNPIVOT c ON COLUMNS(* EXCLUDE (batch, rows_)) INTO NAME ordinal VALUE failing_rows),
+        f AS (SELECT u.batch, CAST(u.ordinal AS BIGINT) AS ordinal, m."check", m."column", m.message,
+                     CAST(u.failing_rows AS BIGINT) AS failing_rows
+              FROM u JOIN meta m ON CAST(u.ordinal AS BIGINT) = m.ordinal WHERE u.failing_rows > 0),
+        l AS (SELECT batch, count(*) AS n,
+                     string_agg('{{"check":"' || "check" || '","column":'
+                                || coalesce('"' || "column" || '"', 'null')
+                                || ',"message":"' || message || '","failing_rows":' || failing_rows || '}}',
+                                ',' ORDER BY ordinal) AS items
+              FROM f GROUP BY batch)
+        SELECT c.batch, 'orders' AS entity, '1.0.0' AS contract_version, CAST(c.rows_ AS BIGINT) AS row_count,
+               coalesce(l.n, 0) = 0 AS is_valid, CAST(coalesce(l.n, 0) AS BIGINT) AS n_violations,
+               '{{"entity":"orders","contract_version":"1.0.0","row_count":' || c.rows_
+               || ',"is_valid":' || CASE WHEN coalesce(l.n, 0) = 0 THEN 'true' ELSE 'false' END
+               || ',"violations":[' || coalesce(l.items, '') || ']}}' AS manifest_json
+        FROM c LEFT JOIN l ON c.batch = l.batch
+    """
+    q["accepted_orders"] = f"""
+        SELECT *, strftime(o_orderdate, '%Y') AS batch FROM orders
+        WHERE strftime(o_orderdate, '%Y') IN ({_ORDERS_VALID_YEARS})
+    """
+    q["rejected_orders"] = f"""
+        SELECT *, strftime(o_orderdate, '%Y') AS batch FROM orders
+        WHERE strftime(o_orderdate, '%Y') NOT IN ({_ORDERS_VALID_YEARS})
+    """
+    q["violations_customer"] = _report(
+        _CUSTOMER_META, f"SELECT {_CUSTOMER_COUNTS} FROM customer", "customer", "1.0.0", [])
+    q["violations_events_by_day"] = _report(
+        _EVENTS_META, f"SELECT strftime(ts, '%Y-%m-%d') AS batch, {_EVENTS_COUNTS} FROM events GROUP BY 1",
+        "events", "2.1.0", ["batch"])
+    q["violations_documents"] = _report(
+        _DOCUMENTS_META, f"SELECT {_DOCUMENTS_COUNTS} FROM documents", "documents", "1.0.0", [])
+    q["violations_labels_text"] = _report(
+        _LABELS_META,
+        f"""SELECT {_LABELS_COUNTS} FROM (
+              SELECT *, CASE WHEN doc_id % 7 = 0 THEN 'TRUE' WHEN doc_id % 11 = 0 THEN 'yes'
+                             ELSE CAST(quality AS VARCHAR) END AS q FROM labels)""",
+        "labels", "1.0.0", [])
     return {k: v for k, v in q.items() if k in queries()}

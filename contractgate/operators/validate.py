@@ -7,8 +7,10 @@ Plan shape, for input ``df`` and batch key ``b``:
 * duplicate keys: ``groupBy(b, pk).count()`` then ``sum(n - 1)`` per batch - a
   separate aggregate, so rule counters are never shuffled with every key; it
   reads only the key columns, and a hot key collapses map-side;
-* both are one row per batch; they are joined on ``b`` and unpivoted into the
-  violation table with ``explode(array(struct ...))``.
+* both are at most one row per batch; they are unioned and re-aggregated (no
+  join), then unpivoted into the violation table with
+  ``explode(array(struct ...))``. Verdicts and manifests are projections of the
+  same one-row-per-batch table.
 
 Nothing is collected here. All outputs are lazy DataFrames.
 """
@@ -48,6 +50,7 @@ class Validation:
     counts: DataFrame  # one row per batch: batch cols, row_count, one counter per rule
     violations: DataFrame  # batch cols, entity, contract_version, ordinal, check, column, message, failing_rows
     verdicts: DataFrame  # batch cols, entity, contract_version, row_count, n_violations, is_valid
+    items: list = None  # one struct Column per rule, in report order, over ``counts``
 
     def manifest(self) -> DataFrame:
         """One row per batch with the report as JSON text (the error manifest)."""
@@ -93,16 +96,23 @@ def validate(
     keys = batch if batch else [_DUMMY]
     src = df if batch else df.withColumn(_DUMMY, F.lit(1))
 
-    aggs = [F.count(F.lit(1)).alias(ROWS)]
+    counters = [(ROWS, F.count(F.lit(1)))]
     for r in rules:
         if r.fixed:
             continue
-        aggs.append(F.count_if(r.fail).alias(_counter(r)))
+        counters.append((_counter(r), F.count_if(r.fail)))
         if r.fail_whole is not None:
-            aggs.append(F.count_if(r.fail_whole).alias(_whole_counter(r)))
-    counts = src.groupBy(*keys).agg(*aggs)
-
+            counters.append((_whole_counter(r), F.count_if(r.fail_whole)))
     pk = key_columns(contract, actual)
+    names = [n for n, _ in counters] + (["__dups"] if pk is not None else [])
+
+    def padded(frame: DataFrame, own: dict) -> DataFrame:
+        # align one partial table to all counter names; missing ones are 0
+        return frame.select(*keys, *[
+            (own[n] if n in own else F.lit(0)).cast("bigint").alias(n) for n in names])
+
+    rule_counts = src.groupBy(*keys).agg(*[e.alias(n) for n, e in counters])
+    parts = [padded(rule_counts, {n: F.col(n) for n, _ in counters})]
     if pk is not None:
         dup = (
             src.select(*keys, *[F.col(f"`{k}`") for k in pk])
@@ -112,12 +122,19 @@ def validate(
             .groupBy(*keys)
             .agg(F.sum(F.col("__n") - 1).alias("__dups"))
         )
-        counts = counts.join(dup, on=keys, how="left").fillna(0, subset=["__dups"])
-
+        parts.append(padded(dup, {"__dups": F.col("__dups")}))
     if batches is not None:
         # zero-row batches keep a row (row_count 0); AGG-1
-        counter_cols = [c for c in counts.columns if c not in keys]
-        counts = batches.select(*keys).join(counts, on=keys, how="left").fillna(0, subset=counter_cols)
+        parts.append(padded(batches.select(*keys).distinct(), {}))
+    if len(parts) == 1:
+        counts = parts[0]
+    else:
+        # every part is at most one row per batch: a tiny union + re-aggregate,
+        # no join between the counter table and the key table
+        union = parts[0]
+        for p in parts[1:]:
+            union = union.unionByName(p)
+        counts = union.groupBy(*keys).agg(*[F.sum(n).cast("bigint").alias(n) for n in names])
 
     entity = F.lit(contract.entity).alias("entity")
     version = F.lit(contract.version).alias("contract_version")
@@ -168,32 +185,35 @@ def validate(
             F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("message"),
             F.lit(None).cast("bigint").alias("failing_rows"),
         )
-    return Validation(contract, batch, rules, counts, violations, verdicts)
+    return Validation(contract, batch, rules, counts, violations, verdicts, items)
 
 
 def manifest(v: Validation) -> DataFrame:
     """Error manifest per batch: ``{entity, contract_version, row_count, is_valid,
     violations: [{check, column, message, failing_rows}]}`` as JSON text, in
-    report order. The per-batch list is bounded by the number of rules."""
-    keys = v.batch
-    grouped_keys = keys if keys else [F.lit(1).alias(_DUMMY)]
-    lists = (
-        v.violations.groupBy(*grouped_keys)
-        .agg(F.array_sort(F.collect_list(F.struct(*VIOLATION_FIELDS))).alias("__v"))
+    report order. A projection of the one-row-per-batch counter table: the
+    violation list of a batch is bounded by the number of rules."""
+    fired = F.filter(F.array(*v.items), lambda x: x["fires"]) if v.items else F.array()
+    listed = F.transform(
+        fired,
+        lambda x: F.struct(x["check"].alias("check"), x["column"].alias("column"),
+                           x["message"].alias("message"), x["failing_rows"].alias("failing_rows")),
     )
-    join_keys = keys if keys else [_DUMMY]
-    verdicts = v.verdicts if keys else v.verdicts.withColumn(_DUMMY, F.lit(1))
-    joined = verdicts.join(lists, on=join_keys, how="left")
+    n = F.size(fired).cast("bigint")
     doc = F.struct(
-        F.col("entity"), F.col("contract_version"), F.col(ROWS), F.col("is_valid"),
-        F.transform(
-            F.coalesce(F.col("__v"), F.array()),
-            lambda x: F.struct(x["check"].alias("check"), x["column"].alias("column"),
-                               x["message"].alias("message"), x["failing_rows"].alias("failing_rows")),
-        ).alias("violations"),
+        F.lit(v.contract.entity).alias("entity"),
+        F.lit(v.contract.version).alias("contract_version"),
+        F.col(ROWS).cast("bigint").alias(ROWS),
+        (n == 0).alias("is_valid"),
+        listed.alias("violations"),
     )
-    return joined.select(
-        *keys, "entity", "contract_version", ROWS, "is_valid", "n_violations",
+    return v.counts.select(
+        *v.batch,
+        F.lit(v.contract.entity).alias("entity"),
+        F.lit(v.contract.version).alias("contract_version"),
+        F.col(ROWS).cast("bigint").alias(ROWS),
+        (n == 0).alias("is_valid"),
+        n.alias("n_violations"),
         F.to_json(doc, {"ignoreNullFields": "false"}).alias("manifest_json"),
     )
 
