@@ -68,11 +68,11 @@ def partition_path(base: str, parts: dict[str, str]) -> str:
     return base + "".join(f"/{k}={v}" for k, v in parts.items())
 
 
-def _writer(df: DataFrame, partition_by: list[str]):
+def _writer(df: DataFrame, partition_by: list[str], compression: str):
     return (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
+        .option("compression", compression)
         .partitionBy(*partition_by)
     )
 
@@ -86,7 +86,7 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str], rebalan
     clustered and need no shuffle."""
     if rebalance:
         df = df.hint("rebalance", *partition_by)
-    w = _writer(df, partition_by)
+    w = _writer(df, partition_by, "none" if fmt == "json" else "snappy")
     if fmt == "json":
         w.option("ignoreNullFields", "false").json(path)
     else:
