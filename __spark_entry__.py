@@ -18,7 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contractgate.plans import checks
+from contractgate.plans import checks, zone_checks
 
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 
@@ -29,7 +29,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: getattr(checks, name) for name in checks.REGISTERED}
+    out = {name: getattr(checks, name) for name in checks.REGISTERED}
+    out.update({name: getattr(zone_checks, name) for name in zone_checks.REGISTERED})
+    return out
 
 
 # --------------------------------------------------------------------------
@@ -249,6 +251,23 @@ def _schema_row(ordinal: int, message: str) -> str:
             f"CAST(0 AS BIGINT) AS failing_rows")
 
 
+# orders months (batches of the zone queries) that break any rule of the orders contract
+_ORDERS_BAD_MONTHS = """
+    SELECT strftime(o_orderdate, '%Y-%m') AS m FROM orders GROUP BY 1
+    HAVING count_if(o_orderkey IS NULL OR o_orderkey < 0 OR o_custkey IS NULL OR o_custkey < 0
+                    OR o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O', 'P')
+                    OR o_totalprice IS NULL OR isnan(o_totalprice) OR o_totalprice < 0 OR o_totalprice > 499000
+                    OR o_orderdate IS NULL OR o_orderpriority IS NULL) > 0
+        OR count(*) <> count(DISTINCT o_orderkey)
+"""
+
+_RAW_ORDERS = """
+    SELECT *, strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month, '01' AS day,
+           'orders.parquet' AS source_file
+    FROM orders
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["violations_lineitem"] = _report(
@@ -325,4 +344,72 @@ def oracle_sql() -> dict[str, str]:
               SELECT *, CASE WHEN doc_id % 7 = 0 THEN 'TRUE' WHEN doc_id % 11 = 0 THEN 'yes'
                              ELSE CAST(quality AS VARCHAR) END AS q FROM labels)""",
         "labels", "1.0.0", [])
+    q["staged_orders"] = """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
+               o_orderstatus, o_totalprice,
+               CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS o_orderdate,
+               o_orderpriority
+        FROM orders
+    """
+    q["coercions_orders"] = """
+        SELECT CAST(0 AS BIGINT) AS o_orderkey, CAST(count_if(o_orderkey % 97 = 0) AS BIGINT) AS o_custkey,
+               CAST(0 AS BIGINT) AS o_orderstatus, CAST(0 AS BIGINT) AS o_totalprice,
+               CAST(count_if(o_orderkey % 101 = 0) AS BIGINT) AS o_orderdate, CAST(0 AS BIGINT) AS o_orderpriority
+        FROM orders
+    """
+    q["raw_orders_month"] = f"""
+        SELECT * FROM ({_RAW_ORDERS})
+        WHERE year = '1998' AND month = '10' AND '1998-10' NOT IN ({_ORDERS_BAD_MONTHS})
+    """
+    q["relanded_orders"] = f"""
+        SELECT * FROM ({_RAW_ORDERS}) WHERE year || '-' || month NOT IN ({_ORDERS_BAD_MONTHS})
+    """
+    q["dead_letter_orders"] = f"""
+        SELECT * FROM ({_RAW_ORDERS}) WHERE year || '-' || month IN ({_ORDERS_BAD_MONTHS})
+    """
+    q["dead_letter_manifests_orders"] = f"""
+        WITH {_ORDERS_META},
+        c AS (SELECT strftime(o_orderdate, '%Y-%m') AS batch, {_ORDERS_COUNTS} FROM orders GROUP BY 1),
+        u AS (UNPIVOT c ON COLUMNS(* EXCLUDE (batch, rows_)) INTO NAME ordinal VALUE failing_rows),
+        f AS (SELECT u.batch, CAST(u.ordinal AS BIGINT) AS ordinal, m."check", m."column", m.message,
+                     CAST(u.failing_rows AS BIGINT) AS failing_rows
+              FROM u JOIN meta m ON CAST(u.ordinal AS BIGINT) = m.ordinal WHERE u.failing_rows > 0),
+        l AS (SELECT batch, count(*) AS n,
+                     string_agg('{{"check":"' || "check" || '","column":'
+                                || coalesce('"' || "column" || '"', 'null')
+                                || ',"message":"' || message || '","failing_rows":' || failing_rows || '}}',
+                                ',' ORDER BY ordinal) AS items
+              FROM f GROUP BY batch)
+        SELECT '1.0.0' AS contract_version, 'orders' AS entity, false AS is_valid,
+               '{{"entity":"orders","contract_version":"1.0.0","row_count":' || c.rows_
+               || ',"is_valid":false,"violations":[' || l.items || ']}}' AS manifest_json,
+               CAST(l.n AS BIGINT) AS n_violations, CAST(c.rows_ AS BIGINT) AS row_count,
+               substr(c.batch, 1, 4) AS year, substr(c.batch, 6, 2) AS month, '01' AS day,
+               'orders.parquet' AS source_file
+        FROM c JOIN l ON c.batch = l.batch
+    """
+    q["watermark_orders"] = f"""
+        SELECT 'orders' AS entity, CAST(max(date_trunc('month', o_orderdate)) AS DATE) AS watermark
+        FROM orders WHERE strftime(o_orderdate, '%Y-%m') NOT IN ({_ORDERS_BAD_MONTHS})
+    """
+    q["watermark_report_tpch"] = f"""
+        SELECT e.entity, coalesce(strftime(w.watermark, '%Y-%m-%d'), '(never loaded)') AS watermark
+        FROM (VALUES ('customer'), ('documents'), ('events'), ('labels'), ('lineitem'), ('orders')) e(entity)
+        LEFT JOIN (SELECT 'orders' AS entity, max(date_trunc('month', o_orderdate)) AS watermark FROM orders
+                   WHERE strftime(o_orderdate, '%Y-%m') NOT IN ({_ORDERS_BAD_MONTHS})) w ON e.entity = w.entity
+    """
+    q["incremental_orders"] = "SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '2001-06-01 00:00:00'"
+    q["load_log_orders"] = f"""
+        SELECT 'contractgate:orders:' || batch AS load_id, 'contractgate' AS pipeline, 'orders' AS target_table,
+               CASE WHEN ok THEN 'success' ELSE 'failed' END AS status,
+               CAST(CASE WHEN ok THEN n ELSE 0 END AS BIGINT) AS rows_loaded
+        FROM (SELECT strftime(o_orderdate, '%Y') AS batch, count(*) AS n,
+                     strftime(o_orderdate, '%Y') IN ({_ORDERS_VALID_YEARS}) AS ok
+              FROM orders GROUP BY 1)
+    """
+    q["csv_orders_by_year"] = f"""
+        SELECT strftime(o_orderdate, '%Y') AS year, CAST(count(*) AS BIGINT) AS rows,
+               strftime(o_orderdate, '%Y') IN ({_ORDERS_VALID_YEARS}) AS accepted
+        FROM orders GROUP BY 1
+    """
     return {k: v for k, v in q.items() if k in queries()}

@@ -94,7 +94,8 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str], rebalan
 
 
 def land(df: DataFrame, root: str, entity: str, load_date: dt.date | str | Column,
-         source_file: str | Column = "source_file", dead_letter: bool = False, rebalance: bool = False) -> str:
+         source_file: str | Column = "source_file", dead_letter: bool = False, rebalance: bool = False,
+         drop: list[str] | None = None) -> str:
     """Write a batch (or many) to the raw or dead-letter zone of ``entity``.
 
     ``load_date`` is a date for a whole load, or a column giving each row's day.
@@ -102,7 +103,7 @@ def land(df: DataFrame, root: str, entity: str, load_date: dt.date | str | Colum
     name, the last partition level: idempotency is at file grain.
     """
     sf = F.col(source_file) if isinstance(source_file, str) else source_file
-    out = df.withColumns({**date_part_columns(load_date), "source_file": sf})
+    out = df.withColumns({**date_part_columns(load_date), "source_file": sf}).drop(*(drop or []))
     target = entity_root(root, entity, dead_letter)
     write_partitioned(out, target, RAW_PARTS, rebalance=rebalance)
     return target
@@ -116,10 +117,10 @@ def replace_with_empty(spark: SparkSession, df_schema, path: str) -> None:
 
 
 def write_manifests(df: DataFrame, root: str, entity: str, load_date: dt.date | str | Column,
-                    source_file: str | Column = "source_file") -> str:
+                    source_file: str | Column = "source_file", drop: list[str] | None = None) -> str:
     """Error manifests of rejected batches, beside the dead-letter data."""
     sf = F.col(source_file) if isinstance(source_file, str) else source_file
-    out = df.withColumns({**date_part_columns(load_date), "source_file": sf})
+    out = df.withColumns({**date_part_columns(load_date), "source_file": sf}).drop(*(drop or []))
     target = manifest_root(root, entity)
     write_partitioned(out, target, RAW_PARTS, fmt="json")
     return target
