@@ -50,24 +50,13 @@ class Validation:
     counts: DataFrame  # one row per batch: batch cols, row_count, one counter per rule
     violations: DataFrame  # batch cols, entity, contract_version, ordinal, check, column, message, failing_rows
     verdicts: DataFrame  # batch cols, entity, contract_version, row_count, n_violations, is_valid
-    items: list = None  # one struct Column per rule, in report order, over ``counts``
+    items: list = None  # one SQL struct expression per rule, in report order, over ``counts``
 
     def manifest(self) -> DataFrame:
         """One row per batch with the report as JSON text (the error manifest)."""
         return manifest(self)
 
 
-def _rule_count(rule: Rule, counts_prefix: str = "") -> Column:
-    """Failing-row count of a rule from the wide counter row."""
-    if rule.fixed:
-        return F.lit(0).cast("bigint")
-    n = F.col(counts_prefix + _counter(rule))
-    if rule.fail_whole is not None:
-        # integer: wholeness is only counted when everything parses
-        return F.when(n > 0, n).otherwise(F.col(counts_prefix + _whole_counter(rule)))
-    return n
-
-
 def validate(
     df: DataFrame,
     contract: Contract,
@@ -94,6 +83,7 @@ def validate(
     rules = compile_rules(contract, data_schema, actual, extra_column)
 
     keys = batch if batch else [_DUMMY]
+    qkeys = [_q(k) for k in keys]
     src = df if batch else df.withColumn(_DUMMY, F.lit(1))
 
     counters = [(ROWS, F.count(F.lit(1)))]
@@ -106,26 +96,27 @@ def validate(
     pk = key_columns(contract, actual)
     names = [n for n, _ in counters] + (["__dups"] if pk is not None else [])
 
-    def padded(frame: DataFrame, own: dict) -> DataFrame:
+    def padded(frame: DataFrame, own: set) -> DataFrame:
         # align one partial table to all counter names; missing ones are 0
-        return frame.select(*keys, *[
-            (own[n] if n in own else F.lit(0)).cast("bigint").alias(n) for n in names])
+        return frame.selectExpr(*qkeys, *[
+            f"CAST({n if n in own else 0} AS BIGINT) AS {n}" for n in names])
 
     rule_counts = src.groupBy(*keys).agg(*[e.alias(n) for n, e in counters])
-    parts = [padded(rule_counts, {n: F.col(n) for n, _ in counters})]
+    parts = [padded(rule_counts, {n for n, _ in counters})]
     if pk is not None:
+        qpk = [_q(k) for k in pk]
         dup = (
-            src.select(*keys, *[F.col(f"`{k}`") for k in pk])
+            src.selectExpr(*qkeys, *qpk)
             .groupBy(*keys, *pk)
             .agg(F.count(F.lit(1)).alias("__n"))
-            .where(F.col("__n") > 1)
+            .where("__n > 1")
             .groupBy(*keys)
-            .agg(F.sum(F.col("__n") - 1).alias("__dups"))
+            .agg(F.expr("sum(__n - 1)").alias("__dups"))
         )
-        parts.append(padded(dup, {"__dups": F.col("__dups")}))
+        parts.append(padded(dup, {"__dups"}))
     if batches is not None:
         # zero-row batches keep a row (row_count 0); AGG-1
-        parts.append(padded(batches.select(*keys).distinct(), {}))
+        parts.append(padded(batches.selectExpr(*qkeys).distinct(), set()))
     if len(parts) == 1:
         counts = parts[0]
     else:
@@ -134,58 +125,58 @@ def validate(
         union = parts[0]
         for p in parts[1:]:
             union = union.unionByName(p)
-        counts = union.groupBy(*keys).agg(*[F.sum(n).cast("bigint").alias(n) for n in names])
-
-    entity = F.lit(contract.entity).alias("entity")
-    version = F.lit(contract.version).alias("contract_version")
+        counts = union.groupBy(*keys).agg(*[F.expr(f"CAST(sum({n}) AS BIGINT)").alias(n) for n in names])
 
+    # rule metadata as SQL text over the one-row-per-batch counter table
     items = []
     for r in rules:
-        n = _rule_count(r)
-        fires = F.lit(True) if r.fixed else n > 0
-        items.append(F.struct(
-            F.lit(r.ordinal).cast("bigint").alias("ordinal"),
-            F.lit(r.check).alias("check"),
-            F.lit(r.column).cast("string").alias("column"),
-            F.lit(r.message).alias("message"),
-            n.cast("bigint").alias("failing_rows"),
-            fires.alias("fires"),
-        ))
+        items.append((r.ordinal, r.check, r.column, r.message, _rule_count_sql(r), r.fixed))
     if pk is not None:
-        n = F.col("__dups").cast("bigint")
-        items.append(F.struct(
-            F.lit(uniqueness_ordinal(contract)).cast("bigint").alias("ordinal"),
-            F.lit("uniqueness").alias("check"),
-            F.lit(",".join(pk)).alias("column"),
-            F.lit(MSG_DUPLICATE).alias("message"),
-            n.alias("failing_rows"),
-            (n > 0).alias("fires"),
-        ))
-
-    n_violations = sum((F.when(item.getField("fires"), 1).otherwise(0) for item in items), F.lit(0))
-    out_keys = batch
-    verdicts = counts.select(
-        *out_keys, entity, version,
-        F.col(ROWS).cast("bigint").alias(ROWS),
-        n_violations.cast("bigint").alias("n_violations"),
-        (n_violations == 0).alias("is_valid"),
-    )
-
-    if items:
+        items.append((uniqueness_ordinal(contract), "uniqueness", ",".join(pk), MSG_DUPLICATE, "__dups", False))
+    structs = [
+        "named_struct('ordinal', CAST({o} AS BIGINT), 'check', {c}, 'column', {col}, 'message', {m}, "
+        "'failing_rows', CAST({n} AS BIGINT), 'fires', {f})".format(
+            o=o, c=_lit(c), col=_lit(col) if col is not None else "CAST(NULL AS STRING)", m=_lit(m), n=n,
+            f="true" if fixed else f"({n}) > 0")
+        for o, c, col, m, n, fixed in items
+    ]
+    fires = [("1" if fixed else f"CASE WHEN ({n}) > 0 THEN 1 ELSE 0 END") for *_, n, fixed in items]
+    n_violations = "CAST(" + (" + ".join(fires) if fires else "0") + " AS BIGINT)"
+    head = [*[_q(b) for b in batch], f"{_lit(contract.entity)} AS entity", f"{_lit(contract.version)} AS contract_version"]
+
+    verdicts = counts.selectExpr(
+        *head, f"CAST({ROWS} AS BIGINT) AS {ROWS}", f"{n_violations} AS n_violations", f"{n_violations} = 0 AS is_valid")
+
+    if structs:
         violations = (
-            counts.select(*out_keys, F.explode(F.array(*items)).alias("v"))
-            .where(F.col("v.fires"))
-            .select(*out_keys, entity, version, *[F.col("v." + f).alias(f) for f in VIOLATION_FIELDS])
+            counts.selectExpr(*[_q(b) for b in batch], "explode(array(" + ", ".join(structs) + ")) AS v")
+            .where("v.fires")
+            .selectExpr(*head, *[f"v.{f} AS {f}" for f in VIOLATION_FIELDS])
         )
     else:
-        empty = counts.where(F.lit(False))
-        violations = empty.select(
-            *out_keys, entity, version,
-            F.lit(None).cast("bigint").alias("ordinal"), F.lit(None).cast("string").alias("check"),
-            F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("message"),
-            F.lit(None).cast("bigint").alias("failing_rows"),
-        )
-    return Validation(contract, batch, rules, counts, violations, verdicts, items)
+        violations = counts.where("false").selectExpr(
+            *head, "CAST(NULL AS BIGINT) AS ordinal", "CAST(NULL AS STRING) AS check",
+            "CAST(NULL AS STRING) AS column", "CAST(NULL AS STRING) AS message", "CAST(NULL AS BIGINT) AS failing_rows")
+    return Validation(contract, batch, rules, counts, violations, verdicts, structs)
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(text: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _rule_count_sql(rule: Rule) -> str:
+    if rule.fixed:
+        return "0"
+    n = _counter(rule)
+    if rule.fail_whole is not None:
+        # integer: wholeness is only counted when everything parses
+        return f"CASE WHEN {n} > 0 THEN {n} ELSE {_whole_counter(rule)} END"
+    return n
 
 
 def manifest(v: Validation) -> DataFrame:
@@ -193,28 +184,20 @@ def manifest(v: Validation) -> DataFrame:
     violations: [{check, column, message, failing_rows}]}`` as JSON text, in
     report order. A projection of the one-row-per-batch counter table: the
     violation list of a batch is bounded by the number of rules."""
-    fired = F.filter(F.array(*v.items), lambda x: x["fires"]) if v.items else F.array()
-    listed = F.transform(
-        fired,
-        lambda x: F.struct(x["check"].alias("check"), x["column"].alias("column"),
-                           x["message"].alias("message"), x["failing_rows"].alias("failing_rows")),
-    )
-    n = F.size(fired).cast("bigint")
-    doc = F.struct(
-        F.lit(v.contract.entity).alias("entity"),
-        F.lit(v.contract.version).alias("contract_version"),
-        F.col(ROWS).cast("bigint").alias(ROWS),
-        (n == 0).alias("is_valid"),
-        listed.alias("violations"),
-    )
-    return v.counts.select(
-        *v.batch,
-        F.lit(v.contract.entity).alias("entity"),
-        F.lit(v.contract.version).alias("contract_version"),
-        F.col(ROWS).cast("bigint").alias(ROWS),
-        (n == 0).alias("is_valid"),
-        n.alias("n_violations"),
-        F.to_json(doc, {"ignoreNullFields": "false"}).alias("manifest_json"),
+    arr = "array(" + ", ".join(v.items) + ")" if v.items else \
+        "CAST(array() AS ARRAY<STRUCT<ordinal: BIGINT, check: STRING, column: STRING, message: STRING, " \
+        "failing_rows: BIGINT, fires: BOOLEAN>>)"
+    fired = f"filter({arr}, x -> x.fires)"
+    listed = (f"transform({fired}, x -> named_struct('check', x.check, 'column', x.column, "
+              "'message', x.message, 'failing_rows', x.failing_rows))")
+    n = f"CAST(size({fired}) AS BIGINT)"
+    ent, ver = _lit(v.contract.entity), _lit(v.contract.version)
+    doc = (f"named_struct('entity', {ent}, 'contract_version', {ver}, '{ROWS}', CAST({ROWS} AS BIGINT), "
+           f"'is_valid', {n} = 0, 'violations', {listed})")
+    return v.counts.selectExpr(
+        *[_q(b) for b in v.batch], f"{ent} AS entity", f"{ver} AS contract_version",
+        f"CAST({ROWS} AS BIGINT) AS {ROWS}", f"{n} = 0 AS is_valid", f"{n} AS n_violations",
+        f"to_json({doc}, map('ignoreNullFields', 'false')) AS manifest_json",
     )
 
 

@@ -31,6 +31,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
+    # tiny local inputs: let AQE keep enough write tasks for the cores
+    builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
