@@ -165,8 +165,23 @@ def ingest(
     watermarks: WatermarkStore | None = None,
 ) -> IngestOutcome:
     """Validate every source file and land it in raw or the dead-letter zone."""
-    load_date = as_date(load_date)
     files = list_source_files(spark, source_dir, entities)
+    return ingest_files(spark, files, raw_root, load_date, contracts_dir, advance_watermark, multi_line, watermarks)
+
+
+def ingest_files(
+    spark: SparkSession,
+    files: list[SourceFile],
+    raw_root: str,
+    load_date: dt.date | str,
+    contracts_dir: str | Path | None = None,
+    advance_watermark: bool = True,
+    multi_line: bool = True,
+    watermarks: WatermarkStore | None = None,
+) -> IngestOutcome:
+    """The gate for an explicit list of files (used by the batch and the
+    streaming ingest)."""
+    load_date = as_date(load_date)
     present = sorted({f.entity for f in files})
     contracts, skipped = _contracts_for(present, contracts_dir)
     files = [f for f in files if f.entity in contracts]
@@ -188,7 +203,7 @@ def ingest(
             mdf = spark.createDataFrame(rows, f"manifest_json string, {SOURCE_FILE} string")
             write_manifests(mdf, raw_root, g.entity, load_date)
 
-    for f in files:
+    for f in sorted(files, key=lambda x: (x.entity, x.name)):
         r = verdicts[(f.entity, f.name)]
         key = partitioned_key(f.entity, load_date, f.name)
         outcome.manifest.append({
