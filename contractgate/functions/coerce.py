@@ -1,9 +1,12 @@
-"""Column builders that coerce raw values the way the contract rules need.
-
-Every function takes a ``Column`` plus the Spark ``DataType`` the column has in
-the scanned data and returns a ``Column`` expression. They are plain Catalyst
-expressions (regex, try_cast, when), so they stay inside whole-stage codegen and
-never fail a job on a bad value: Spark 4 runs with ANSI on, so only ``try_*``
+"""Expressions that coerce raw values the way the contract rules need.
+
+Every builder takes a Spark SQL expression (text) for a column plus the Spark
+``DataType`` the column has in the scanned data, and returns Spark SQL
+expression text. The rule compiler wraps the final predicate once with
+``F.expr``: one parse per rule instead of one driver round-trip per operator,
+which keeps plan construction cheap for wide contracts. All of it is plain
+Catalyst (regex, ``try_cast``, ``CASE``), so it stays in whole-stage codegen and
+never fails a job on a bad value: Spark 4 runs with ANSI on, so only ``try_*``
 casts are used.
 
 The same builders feed validation (counting what does not parse) and staging
@@ -51,6 +54,25 @@ OFFSET_SUFFIX = r"[T ][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?\s*(Z|[+-][0-9]{
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATING = (T.FloatType, T.DoubleType)
+_INF = "CAST('Infinity' AS DOUBLE)"
+
+
+def lit(text: str) -> str:
+    """A Spark SQL string literal (backslash and quote escaped)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def ident(name: str) -> str:
+    """A quoted column reference."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def num_lit(value) -> str:
+    return f"CAST({lit(repr(float(value)))} AS DOUBLE)"
+
+
+def col(name: str) -> Column:
+    return F.col(ident(name))
 
 
 def is_integral(dt: T.DataType) -> bool:
@@ -69,65 +91,61 @@ def is_datetime(dt: T.DataType) -> bool:
     return isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType))
 
 
-def is_missing(c: Column, dt: T.DataType) -> Column:
+def is_missing(c: str, dt: T.DataType) -> str:
     """Null, or NaN for a floating column: what counts as "no value"."""
     if is_floating(dt):
-        return c.isNull() | F.isnan(c)
-    return c.isNull()
+        return f"({c} IS NULL OR isnan({c}))"
+    return f"({c} IS NULL)"
 
 
-def present(c: Column, dt: T.DataType) -> Column:
-    return ~is_missing(c, dt)
+def present(c: str, dt: T.DataType) -> str:
+    return f"(NOT {is_missing(c, dt)})"
 
 
-def _trimmed(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+def _trimmed(c: str) -> str:
+    return f"regexp_replace({c}, {lit(r'^\s+|\s+$')}, '')"
 
 
-def number_from_text(c: Column) -> Column:
+def number_from_text(c: str) -> str:
     """Parse text as a double; null when it does not parse.
 
     A bare ``try_cast`` is too loose (it takes ``5d``, ``nan``) and turns an
     overflow such as ``1e400`` into infinity; both count as unparseable here.
     """
-    core = _trimmed(c)
-    parsed = core.try_cast("double")
-    spelled_inf = c.rlike(INFINITY_TEXT)
-    finite_text = c.rlike(NUMBER_TEXT)
-    overflow = F.abs(parsed) == F.lit(float("inf"))
+    parsed = f"try_cast({_trimmed(c)} AS DOUBLE)"
     return (
-        F.when(spelled_inf, parsed)
-        .when(finite_text & ~overflow, parsed)
+        f"(CASE WHEN {c} RLIKE {lit(INFINITY_TEXT)} THEN {parsed} "
+        f"WHEN {c} RLIKE {lit(NUMBER_TEXT)} AND abs({parsed}) != {_INF} THEN {parsed} END)"
     )
 
 
-def to_number(c: Column, dt: T.DataType) -> Column:
+def to_number(c: str, dt: T.DataType) -> str:
     """Numeric view of a value (double), null when it is not a number.
 
     NaN becomes null so that it never compares above a maximum.
     """
     if is_numeric(dt):
-        d = c.cast("double")
-        return F.when(~F.isnan(d), d)
+        d = f"CAST({c} AS DOUBLE)"
+        return f"(CASE WHEN NOT isnan({d}) THEN {d} END)"
     if isinstance(dt, T.BooleanType):
-        return c.cast("double")
+        return f"CAST({c} AS DOUBLE)"
     if isinstance(dt, T.StringType):
         return number_from_text(c)
-    return number_from_text(c.cast("string"))
+    return number_from_text(f"CAST({c} AS STRING)")
 
 
-def not_whole(d: Column) -> Column:
+def not_whole(d: str) -> str:
     """True for a number with a fraction; infinity counts as not whole."""
-    return (d % F.lit(1.0)) != F.lit(0.0)
+    return f"(({d}) % 1.0D != 0.0D)"
 
 
-def _utc_wall_clock(ltz: Column) -> Column:
+def _utc_wall_clock(ltz: str) -> str:
     """An instant rendered as a UTC wall-clock timestamp_ntz, whatever the
     session time zone is."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ltz.cast("timestamp_ntz"))
+    return f"convert_timezone(current_timezone(), 'UTC', CAST({ltz} AS TIMESTAMP_NTZ))"
 
 
-def timestamp_from_text(c: Column) -> Column:
+def timestamp_from_text(c: str) -> str:
     """Parse text as a timestamp_ntz; null when it does not parse.
 
     ISO-8601 first (date, date-time, optional fraction). A value with a UTC
@@ -135,53 +153,57 @@ def timestamp_from_text(c: Column) -> Column:
     layouts. Clock-relative words ("now", a bare time of day) never parse.
     """
     core = _trimmed(c)
-    with_offset = F.when(core.rlike(OFFSET_SUFFIX), _utc_wall_clock(core.try_cast("timestamp")))
-    ladder = [F.try_to_timestamp(core, F.lit(fmt)).cast("timestamp_ntz") for fmt in DATETIME_FORMATS]
-    return F.coalesce(with_offset, core.try_cast("timestamp_ntz"), *ladder)
+    with_offset = f"CASE WHEN {core} RLIKE {lit(OFFSET_SUFFIX)} THEN {_utc_wall_clock(f'try_cast({core} AS TIMESTAMP)')} END"
+    ladder = [f"CAST(try_to_timestamp({core}, {lit(fmt)}) AS TIMESTAMP_NTZ)" for fmt in DATETIME_FORMATS]
+    return f"coalesce({with_offset}, try_cast({core} AS TIMESTAMP_NTZ), {', '.join(ladder)})"
 
 
-def to_timestamp(c: Column, dt: T.DataType) -> Column:
+def to_timestamp(c: str, dt: T.DataType) -> str:
     if isinstance(dt, T.TimestampNTZType):
         return c
     if isinstance(dt, T.TimestampType):
         return _utc_wall_clock(c)
     if isinstance(dt, T.DateType):
-        return c.cast("timestamp_ntz")
+        return f"CAST({c} AS TIMESTAMP_NTZ)"
     if isinstance(dt, T.StringType):
         return timestamp_from_text(c)
-    return timestamp_from_text(c.cast("string"))
+    return timestamp_from_text(f"CAST({c} AS STRING)")
 
 
-def datetime_parses(c: Column, dt: T.DataType) -> Column:
+def datetime_parses(c: str, dt: T.DataType) -> str:
     """True when a present value parses as a date/time."""
     if is_datetime(dt) or is_numeric(dt):
         # typed values are already instants; numbers are read as epoch offsets
-        return F.lit(True)
-    return to_timestamp(c, dt).isNotNull()
+        return "true"
+    return f"({to_timestamp(c, dt)} IS NOT NULL)"
 
 
-def boolean_token_ok(c: Column, dt: T.DataType) -> Column:
+def _in(c: str, values: list[str]) -> str:
+    return f"({c} IN ({', '.join(lit(v) for v in values)}))"
+
+
+def boolean_token_ok(c: str, dt: T.DataType) -> str:
     """True for a value the boolean type rule accepts."""
     if isinstance(dt, T.BooleanType):
-        return F.lit(True)
+        return "true"
     if is_numeric(dt):
-        return c.cast("double").isin(0.0, 1.0)
-    return c.cast("string").isin(*BOOLEAN_TEXT_TOKENS)
+        return f"(CAST({c} AS DOUBLE) IN (0.0D, 1.0D))"
+    return _in(f"CAST({c} AS STRING)", BOOLEAN_TEXT_TOKENS)
 
 
-def to_boolean(c: Column, dt: T.DataType) -> Column:
+def to_boolean(c: str, dt: T.DataType) -> str:
     """Staging map: true/false/1/0 after lower-casing, else null. Numeric 0/1
     stage to false/true."""
     if isinstance(dt, T.BooleanType):
         return c
     if is_numeric(dt):
-        d = c.cast("double")
-        return F.when(d == 1.0, F.lit(True)).when(d == 0.0, F.lit(False))
-    low = F.lower(c.cast("string"))
-    return F.when(low.isin(*STAGE_TRUE), F.lit(True)).when(low.isin(*STAGE_FALSE), F.lit(False))
+        d = f"CAST({c} AS DOUBLE)"
+        return f"(CASE WHEN {d} = 1.0D THEN true WHEN {d} = 0.0D THEN false END)"
+    low = f"lower(CAST({c} AS STRING))"
+    return f"(CASE WHEN {_in(low, STAGE_TRUE)} THEN true WHEN {_in(low, STAGE_FALSE)} THEN false END)"
 
 
-def to_bigint_strict(c: Column, dt: T.DataType, column_name: str) -> Column:
+def to_bigint_strict(c: str, dt: T.DataType, column_name: str) -> str:
     """Staging cast to a nullable bigint.
 
     Plain digits are parsed as bigint directly, keeping precision above 2**53.
@@ -189,25 +211,21 @@ def to_bigint_strict(c: Column, dt: T.DataType, column_name: str) -> Column:
     must never pass in silence.
     """
     if is_integral(dt):
-        return c.cast("bigint")
+        return f"CAST({c} AS BIGINT)"
     if isinstance(dt, T.StringType):
-        exact = F.when(c.rlike(PLAIN_INTEGER_TEXT), _trimmed(c).try_cast("bigint"))
+        exact = f"CASE WHEN {c} RLIKE {lit(PLAIN_INTEGER_TEXT)} THEN try_cast({_trimmed(c)} AS BIGINT) END"
     else:
-        exact = F.lit(None).cast("bigint")
+        exact = "CAST(NULL AS BIGINT)"
     d = to_number(c, dt)
-    fractional = F.raise_error(
-        F.concat(F.lit(f"cannot cast non-whole value to integer in column {column_name}: "),
-                 c.cast("string"))
-    ).cast("bigint")
-    return F.coalesce(
-        exact,
-        F.when(d.isNull(), F.lit(None).cast("bigint"))
-        .when(not_whole(d), fractional)
-        .otherwise(d.try_cast("bigint")),
+    message = lit(f"cannot cast non-whole value to integer in column {column_name}: ")
+    fractional = f"CAST(raise_error(concat({message}, CAST({c} AS STRING))) AS BIGINT)"
+    return (
+        f"coalesce({exact}, CASE WHEN {d} IS NULL THEN CAST(NULL AS BIGINT) "
+        f"WHEN {not_whole(d)} THEN {fractional} ELSE try_cast({d} AS BIGINT) END)"
     )
 
 
-def python_text(c: Column, dt: T.DataType) -> Column:
+def python_text(c: str, dt: T.DataType) -> str:
     """Text rendering used by the allowed-set and pattern rules.
 
     Strings are used as they are. Booleans render as True/False and whole
@@ -216,8 +234,9 @@ def python_text(c: Column, dt: T.DataType) -> Column:
     if isinstance(dt, T.StringType):
         return c
     if isinstance(dt, T.BooleanType):
-        return F.when(c, F.lit("True")).otherwise(F.lit("False"))
+        return f"(CASE WHEN {c} THEN 'True' ELSE 'False' END)"
     if is_floating(dt):
-        d = c.cast("double")
-        return F.when((d % 1 == 0) & (F.abs(d) < 1e16), F.format_string("%.1f", d)).otherwise(d.cast("string"))
-    return c.cast("string")
+        d = f"CAST({c} AS DOUBLE)"
+        return (f"(CASE WHEN {d} % 1.0D = 0.0D AND abs({d}) < 1e16D THEN format_string('%.1f', {d}) "
+                f"ELSE CAST({d} AS STRING) END)")
+    return f"CAST({c} AS STRING)"

@@ -16,19 +16,23 @@ from ..functions import coerce as cz
 from .contract import ColumnSpec, Contract
 
 
-def typed_column(spec: ColumnSpec, dt: T.DataType) -> Column:
-    c = F.col(f"`{spec.name}`")
+def typed_sql(spec: ColumnSpec, dt: T.DataType) -> str:
+    c = cz.ident(spec.name)
     if spec.type == "integer":
         return cz.to_bigint_strict(c, dt, spec.name)
     if spec.type == "float":
         return cz.to_number(c, dt)
     if spec.type == "date":
-        return cz.to_timestamp(c, dt).cast("date")
+        return f"CAST({cz.to_timestamp(c, dt)} AS DATE)"
     if spec.type == "timestamp":
         return cz.to_timestamp(c, dt)
     if spec.type == "boolean":
         return cz.to_boolean(c, dt)
-    return c.cast("string")
+    return f"CAST({c} AS STRING)"
+
+
+def typed_column(spec: ColumnSpec, dt: T.DataType) -> Column:
+    return F.expr(typed_sql(spec, dt))
 
 
 def apply_contract_types(df: DataFrame, contract: Contract) -> DataFrame:
@@ -48,12 +52,9 @@ def coercion_counts(df: DataFrame, contract: Contract, batch: list[str] | None =
         if spec.name not in types:
             continue
         dt = types[spec.name]
-        c = F.col(f"`{spec.name}`")
-        if spec.type in ("integer", "float"):
-            typed = cz.to_number(c, dt)
-        else:
-            typed = typed_column(spec, dt)
-        aggs.append(F.count_if(cz.present(c, dt) & typed.isNull()).alias(spec.name))
+        c = cz.ident(spec.name)
+        typed = cz.to_number(c, dt) if spec.type in ("integer", "float") else typed_sql(spec, dt)
+        aggs.append(F.expr(f"count_if({cz.present(c, dt)} AND ({typed}) IS NULL)").alias(spec.name))
     if not aggs:
         aggs = [F.count(F.lit(1)).alias("row_count")]
     return df.groupBy(*(batch or [])).agg(*aggs)

@@ -41,12 +41,20 @@ class Rule:
     check: str
     column: str | None
     message: str
-    fail: Column | None = None  # per-row predicate; None for a fixed rule
-    fail_whole: Column | None = None  # integer rule: second counter (non-whole)
+    fail_sql: str | None = None  # per-row predicate (Spark SQL); None for a fixed rule
+    whole_sql: str | None = None  # integer rule: second counter (non-whole values)
 
     @property
     def fixed(self) -> bool:
-        return self.fail is None
+        return self.fail_sql is None
+
+    @property
+    def fail(self) -> Column | None:
+        return None if self.fail_sql is None else F.expr(self.fail_sql)
+
+    @property
+    def fail_whole(self) -> Column | None:
+        return None if self.whole_sql is None else F.expr(self.whole_sql)
 
 
 def column_ordinal(index: int, slot: int) -> int:
@@ -75,12 +83,12 @@ def schema_rules(contract: Contract, actual: list[str]) -> list[Rule]:
 
 
 def column_rules(spec: ColumnSpec, index: int, dt: T.DataType) -> list[Rule]:
-    c = F.col(f"`{spec.name}`")
+    c = cz.ident(spec.name)
     has = cz.present(c, dt)
     out: list[Rule] = []
 
-    def add(slot, check, message, fail, fail_whole=None):
-        out.append(Rule(column_ordinal(index, slot), check, spec.name, message, fail, fail_whole))
+    def add(slot, check, message, fail, whole=None):
+        out.append(Rule(column_ordinal(index, slot), check, spec.name, message, fail, whole))
 
     if not spec.nullable:
         add(SLOT_NULL, "nullability", MSG_NULL, cz.is_missing(c, dt))
@@ -88,22 +96,22 @@ def column_rules(spec: ColumnSpec, index: int, dt: T.DataType) -> list[Rule]:
     type_msg = f"values not parseable as {spec.type}"
     if spec.type in ("integer", "float"):
         num = cz.to_number(c, dt)
-        bad = has & num.isNull()
+        bad = f"{has} AND {num} IS NULL"
         if spec.type == "integer":
-            add(SLOT_TYPE, "type", type_msg, bad, has & num.isNotNull() & cz.not_whole(num))
+            add(SLOT_TYPE, "type", type_msg, bad, f"{has} AND {num} IS NOT NULL AND {cz.not_whole(num)}")
         else:
             add(SLOT_TYPE, "type", type_msg, bad)
     elif spec.type in ("date", "timestamp"):
-        add(SLOT_TYPE, "type", type_msg, has & ~cz.datetime_parses(c, dt))
+        add(SLOT_TYPE, "type", type_msg, f"{has} AND NOT {cz.datetime_parses(c, dt)}")
     elif spec.type == "boolean":
-        add(SLOT_TYPE, "type", type_msg, has & ~cz.boolean_token_ok(c, dt))
+        add(SLOT_TYPE, "type", type_msg, f"{has} AND NOT {cz.boolean_token_ok(c, dt)}")
 
     if spec.has_min or spec.has_max:
         num = cz.to_number(c, dt)
         if spec.has_min:
-            add(SLOT_MIN, "domain", f"values below min {spec.min}", has & (num < F.lit(float(spec.min))))
+            add(SLOT_MIN, "domain", f"values below min {spec.min}", f"{has} AND {num} < {cz.num_lit(spec.min)}")
         if spec.has_max:
-            add(SLOT_MAX, "domain", f"values above max {spec.max}", has & (num > F.lit(float(spec.max))))
+            add(SLOT_MAX, "domain", f"values above max {spec.max}", f"{has} AND {num} > {cz.num_lit(spec.max)}")
 
     if spec.allowed is not None:
         members = sorted(set(spec.allowed), key=lambda v: (str(type(v)), v))
@@ -113,13 +121,13 @@ def column_rules(spec: ColumnSpec, index: int, dt: T.DataType) -> list[Rule]:
             shown = members
         text_members = [v for v in members if isinstance(v, str)]
         text = cz.python_text(c, dt)
-        inside = text.isin(*text_members) if text_members else F.lit(False)
-        add(SLOT_ALLOWED, "domain", f"values outside allowed set {shown}", has & ~inside)
+        inside = cz._in(text, text_members) if text_members else "false"
+        add(SLOT_ALLOWED, "domain", f"values outside allowed set {shown}", f"{has} AND NOT {inside}")
 
     if spec.pattern is not None:
         text = cz.python_text(c, dt)
         add(SLOT_PATTERN, "pattern", f"values not matching {spec.pattern}",
-            has & ~text.rlike(anchored(spec.pattern)))
+            f"{has} AND NOT ({text} RLIKE {cz.lit(anchored(spec.pattern))})")
     return out
 
 
@@ -133,7 +141,7 @@ def compile_rules(contract: Contract, schema: T.StructType, actual: list[str] |
     rules = schema_rules(contract, received)
     if extra_column is not None:
         rules.append(Rule(ORD_EXTRA_FIELDS, "schema", None, MSG_EXTRA_FIELDS,
-                          F.col(extra_column).isNotNull()))
+                          f"{cz.ident(extra_column)} IS NOT NULL"))
     present_names = set(received)
     for i, spec in enumerate(contract.columns):
         if spec.name in present_names and spec.name in types:

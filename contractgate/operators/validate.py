@@ -90,9 +90,9 @@ def validate(
     for r in rules:
         if r.fixed:
             continue
-        counters.append((_counter(r), F.count_if(r.fail)))
-        if r.fail_whole is not None:
-            counters.append((_whole_counter(r), F.count_if(r.fail_whole)))
+        counters.append((_counter(r), F.expr(f"count_if({r.fail_sql})")))
+        if r.whole_sql is not None:
+            counters.append((_whole_counter(r), F.expr(f"count_if({r.whole_sql})")))
     pk = key_columns(contract, actual)
     names = [n for n, _ in counters] + (["__dups"] if pk is not None else [])
 
@@ -173,7 +173,7 @@ def _rule_count_sql(rule: Rule) -> str:
     if rule.fixed:
         return "0"
     n = _counter(rule)
-    if rule.fail_whole is not None:
+    if rule.whole_sql is not None:
         # integer: wholeness is only counted when everything parses
         return f"CASE WHEN {n} > 0 THEN {n} ELSE {_whole_counter(rule)} END"
     return n
@@ -206,6 +206,6 @@ def failing_rows(df: DataFrame, contract: Contract, ordinal: int, actual: list[s
     rules = compile_rules(contract, df.schema, actual)
     for r in rules:
         if r.ordinal == ordinal and not r.fixed:
-            cond = r.fail if r.fail_whole is None else (r.fail | r.fail_whole)
-            return df.where(cond)
+            cond = r.fail_sql if r.whole_sql is None else f"({r.fail_sql}) OR ({r.whole_sql})"
+            return df.where(F.expr(cond))
     raise KeyError(f"no row-level rule with ordinal {ordinal}")
