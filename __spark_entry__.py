@@ -412,4 +412,25 @@ def oracle_sql() -> dict[str, str]:
                strftime(o_orderdate, '%Y') IN ({_ORDERS_VALID_YEARS}) AS accepted
         FROM orders GROUP BY 1
     """
+    q["watermark_set_then_advance"] = f"""
+        SELECT 'orders' AS entity, CAST(max(date_trunc('month', o_orderdate)) AS DATE) AS watermark
+        FROM orders WHERE strftime(o_orderdate, '%Y') = '1998'
+          AND strftime(o_orderdate, '%Y-%m') NOT IN ({_ORDERS_BAD_MONTHS})
+    """
+    q["stale_loads_orders"] = f"""
+        SELECT 'contractgate:orders:' || batch AS load_id, 'contractgate' AS pipeline, 'orders' AS target_table,
+               'running' AS status
+        FROM (SELECT DISTINCT strftime(o_orderdate, '%Y') AS batch FROM orders)
+        WHERE batch NOT IN ({_ORDERS_VALID_YEARS})
+    """
+    q["csv_load_totals"] = f"""
+        SELECT strftime(o_orderdate, '%Y') IN ({_ORDERS_VALID_YEARS}) AS accepted, CAST(count(*) AS BIGINT) AS rows
+        FROM orders GROUP BY 1
+    """
+    q["staged_from_raw_orders"] = f"""
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+               o_orderpriority, 'orders.parquet' AS source_file, '1998' AS year, '10' AS month, '01' AS day
+        FROM orders
+        WHERE strftime(o_orderdate, '%Y-%m') = '1998-10' AND '1998-10' NOT IN ({_ORDERS_BAD_MONTHS})
+    """
     return {k: v for k, v in q.items() if k in queries()}

@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from ..operators.contract import available_contracts
 from ..operators.project import apply_contract_types, coercion_counts
-from ..operators.state import LoadLog, WatermarkStore, watermark_report
+from ..operators.state import LoadLog, WatermarkStore, stale_loads, watermark_report
 from ..operators.validate import validate
 from ..session import work_dir
 from ..sources.files import _fs
-from ..sources.scans import read_partitioned, read_raw
+from ..sources.scans import read_partitioned, read_raw, read_staged
 from ..sinks.zones import manifest_root
 from .batches import advance_from_gate, gate_by_day, load_events, with_batches
-from .ingest import ingest
+from .ingest import ingest, stage, totals
 from .tables import TPCH_CONTRACTS, table, tpch_contract
 
 _LANDED: dict[str, str] = {}
@@ -126,10 +126,10 @@ def load_log_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.status().select("load_id", "pipeline", "target_table", "status", "rows_loaded")
 
 
-def csv_orders_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _csv_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as CSV files (a folder per year, files renamed into the
     source layout), ingested file by file: header per file, strict all-text
-    scan, one validation job, routing by file. Reported per year."""
+    scan, one validation job, routing by file. Returns the load manifest."""
     base = work_dir(spark, "orders-csv", fresh=True)
     tmp, src, raw = f"{base}/tmp", f"{base}/src", f"{base}/raw"
     o = table(spark, sf_dir, "orders")
@@ -155,13 +155,57 @@ def csv_orders_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
             fs.rename(jvm.org.apache.hadoop.fs.Path(f"{tmp}/{name}/{part}"),
                       jvm.org.apache.hadoop.fs.Path(f"{src}/orders/orders_{year}_{n}.csv"))
     out = ingest(spark, src, raw, "2024-03-15", contracts_dir=TPCH_CONTRACTS, advance_watermark=False)
-    manifest = out.to_df(spark).withColumn("year", F.regexp_extract("source_file", r"orders_([0-9]{4})_", 1))
-    return manifest.groupBy("year").agg(
+    return out.to_df(spark).withColumn("year", F.regexp_extract("source_file", r"orders_([0-9]{4})_", 1))
+
+
+def csv_orders_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV ingest of orders, reported per year."""
+    return _csv_manifest(spark, sf_dir).groupBy("year").agg(
         F.sum("rows").cast("bigint").alias("rows"),
         F.bool_and("accepted").alias("accepted"),
     )
 
 
+def watermark_set_then_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Advance per accepted month, rewind with ``set``, then advance with the
+    accepted months of 1998 only: the watermark is the last of those."""
+    root = work_dir(spark, "orders-watermark-rewind", fresh=True)
+    gate = gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders",
+                       write_dead_letter=False)
+    store = WatermarkStore(spark, root)
+    advance_from_gate(spark, store, "orders", gate)
+    store.set("orders", dt.date(1990, 1, 1))
+    days = spark.createDataFrame([("orders", r["__day"]) for r in gate.accepted if r["__day"].year == 1998],
+                                 "entity string, watermark date")
+    store.advance_many(days)
+    return store.current()
+
+
+def stale_loads_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads that started and never finished: one load per yearly batch is
+    started; only the valid batches finish. The others are stale."""
+    df = table(spark, sf_dir, "orders").withColumn("batch", F.date_format("o_orderdate", "yyyy"))
+    verdicts = validate(df, tpch_contract("orders"), ["batch"]).verdicts
+    events = load_events(verdicts, "contractgate", "orders", "batch")
+    log = LoadLog(spark, work_dir(spark, "orders-stale", fresh=True))
+    log.append(events.where((F.col("status") == "running") | (F.col("status") == "success")))
+    cutoff = dt.datetime.now() + dt.timedelta(days=1)
+    return stale_loads(log.status(), cutoff).select("load_id", "pipeline", "target_table", "status")
+
+
+def csv_load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted and rejected rows of the CSV ingest of orders (AGG-5)."""
+    return _csv_manifest(spark, sf_dir).groupBy("accepted").agg(F.sum("rows").cast("bigint").alias("rows"))
+
+
+def staged_from_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stage job: one load date of the raw zone typed into the staged zone."""
+    raw = _landed_orders(spark, sf_dir)
+    staged_root = work_dir(spark, "orders-staged", fresh=True)
+    stage(spark, raw, staged_root, dt.date(1998, 10, 1), ["orders"], TPCH_CONTRACTS)
+    return read_staged(spark, staged_root, "orders", dt.date(1998, 10, 1))
+
+
 REGISTERED = [
     "staged_orders",
     "coercions_orders",
@@ -174,4 +218,8 @@ REGISTERED = [
     "incremental_orders",
     "load_log_orders",
     "csv_orders_by_year",
+    "watermark_set_then_advance",
+    "stale_loads_orders",
+    "csv_load_totals",
+    "staged_from_raw_orders",
 ]
