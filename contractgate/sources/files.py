@@ -26,6 +26,9 @@ FORMATS = {"csv": "csv", "parquet": "parquet"}
 HEADER_CHUNK = 64 * 1024
 HEADER_MAX_BYTES = 1024 * 1024
 HEADER_THREADS = 16
+# Above this many CSV files, headers are read by a distributed scan instead of
+# one small driver-side read per file.
+HEADER_DRIVER_MAX_FILES = 2000
 
 
 @dataclass(frozen=True)
@@ -151,6 +154,49 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return mangle_names(row)
 
 
+def parse_header_line(line: str) -> list[str]:
+    if line.startswith("\ufeff"):
+        line = line[1:]
+    if not line.strip():
+        return []
+    return mangle_names(next(csv.reader(io.StringIO(line), delimiter=",", quotechar='"', doublequote=True)))
+
+
+def csv_headers_distributed(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """First line of every file, read by executors.
+
+    Only the first split of each file can hold its header; the first line read
+    in that split (smallest ``monotonically_increasing_id`` within the task) is
+    kept per file. Headers are grouped on the executors, so the driver receives
+    one row per distinct header with its files. A header with a quoted newline
+    is not supported on this path (the driver path handles it).
+    """
+    from pyspark.sql import functions as F
+
+    lines = (
+        spark.read.format("text").load(paths)
+        .select("value", F.col("_metadata.file_path").alias("path"),
+                F.col("_metadata.file_block_start").alias("start"))
+        .where(F.col("start") == 0)
+        .withColumn("pos", F.monotonically_increasing_id())
+        .groupBy("path").agg(F.min_by("value", "pos").alias("header"))
+        .groupBy("header").agg(F.collect_list("path").alias("paths"))
+    )
+    out: dict[str, list[str]] = {}
+    for row in lines.collect():
+        names = parse_header_line(row["header"] or "")
+        for p in row["paths"]:
+            out[_normal(p)] = names
+    # files without any line (0-byte) do not appear in a text scan
+    for p in paths:
+        out.setdefault(_normal(p), [])
+    return out
+
+
+def _normal(uri: str) -> str:
+    return unquote(urlparse(uri).path)
+
+
 def parquet_schema(spark: SparkSession, path: str) -> tuple[list[str], str]:
     """(column names, schema text) from a Parquet footer."""
     jvm = spark._jvm
@@ -177,10 +223,20 @@ def file_columns(spark: SparkSession, files: list[SourceFile]) -> dict[str, tupl
         names, text = parquet_schema(spark, f.path)
         return f.path, (names, "parquet:" + text)
 
+    csv_files = [f for f in files if f.fmt == "csv"]
+    out: dict[str, tuple[list[str], str]] = {}
+    if len(csv_files) > HEADER_DRIVER_MAX_FILES:
+        headers = csv_headers_distributed(spark, [f.path for f in csv_files])
+        for f in csv_files:
+            names = headers[_normal(f.path)]
+            out[f.path] = (names, "csv:" + "\x1f".join(names))
+        files = [f for f in files if f.fmt != "csv"]
     if len(files) <= 1:
-        return dict(one(f) for f in files)
+        out.update(one(f) for f in files)
+        return out
     with ThreadPoolExecutor(max_workers=min(HEADER_THREADS, len(files))) as pool:
-        return dict(pool.map(one, files))
+        out.update(pool.map(one, files))
+    return out
 
 
 def group_files(spark: SparkSession, files: list[SourceFile]) -> "OrderedDict[str, tuple[list[str], list[SourceFile]]]":

@@ -107,3 +107,17 @@ def test_single_line_mode(spark, tmp_path):
     out = ingest(spark, src, str(tmp_path / "raw"), D, contracts_dir=contracts_dir(tmp_path),
                  advance_watermark=False, multi_line=False)
     assert out.manifest[0]["accepted"] and out.manifest[0]["rows"] == 2
+
+
+def test_distributed_header_path_agrees(spark, tmp_path, monkeypatch):
+    import contractgate.sources.files as sf
+    source(tmp_path, "f1.csv", "a,b\n1,x\n")
+    source(tmp_path, "f2.csv", "b,a\ny,2\n3,4\n")
+    source(tmp_path, "f3.csv", "a,a\n1,2\n")
+    src = source(tmp_path, "f4.csv", "")
+    files = sf.list_source_files(spark, src)
+    driver = sf.file_columns(spark, files)
+    monkeypatch.setattr(sf, "HEADER_DRIVER_MAX_FILES", 0)
+    dist = sf.file_columns(spark, files)
+    assert dist == driver
+    assert [dist[f.path][0] for f in files] == [["a", "b"], ["b", "a"], ["a", "a.1"], []]
