@@ -433,4 +433,10 @@ def oracle_sql() -> dict[str, str]:
         FROM orders
         WHERE strftime(o_orderdate, '%Y-%m') = '1998-10' AND '1998-10' NOT IN ({_ORDERS_BAD_MONTHS})
     """
+    q["stream_landed_orders_csv"] = f"""
+        SELECT year, ok AS accepted, CAST(CASE WHEN ok THEN n ELSE 0 END AS BIGINT) AS landed_rows
+        FROM (SELECT strftime(o_orderdate, '%Y') AS year, count(*) AS n,
+                     strftime(o_orderdate, '%Y') IN ({_ORDERS_VALID_YEARS}) AS ok
+              FROM orders GROUP BY 1)
+    """
     return {k: v for k, v in q.items() if k in queries()}

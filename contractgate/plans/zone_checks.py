@@ -126,10 +126,9 @@ def load_log_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.status().select("load_id", "pipeline", "target_table", "status", "rows_loaded")
 
 
-def _csv_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders_csv_source(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Orders written as CSV files (a folder per year, files renamed into the
-    source layout), ingested file by file: header per file, strict all-text
-    scan, one validation job, routing by file. Returns the load manifest."""
+    source layout ``<src>/orders/orders_<year>_<n>.csv``). Returns (base, src)."""
     base = work_dir(spark, "orders-csv", fresh=True)
     tmp, src, raw = f"{base}/tmp", f"{base}/src", f"{base}/raw"
     o = table(spark, sf_dir, "orders")
@@ -154,6 +153,14 @@ def _csv_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         for n, part in enumerate(parts):
             fs.rename(jvm.org.apache.hadoop.fs.Path(f"{tmp}/{name}/{part}"),
                       jvm.org.apache.hadoop.fs.Path(f"{src}/orders/orders_{year}_{n}.csv"))
+    return base, src
+
+
+def _csv_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV files ingested file by file: header per file, strict all-text
+    scan, one validation job, routing by file. Returns the load manifest."""
+    base, src = _orders_csv_source(spark, sf_dir)
+    raw = f"{base}/raw"
     out = ingest(spark, src, raw, "2024-03-15", contracts_dir=TPCH_CONTRACTS, advance_watermark=False)
     return out.to_df(spark).withColumn("year", F.regexp_extract("source_file", r"orders_([0-9]{4})_", 1))
 
@@ -206,6 +213,31 @@ def staged_from_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_staged(spark, staged_root, "orders", dt.date(1998, 10, 1))
 
 
+def stream_landed_orders_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming landing over the CSV files of orders (available-now
+    trigger): per year of the source files, whether every file was accepted and
+    how many rows were landed in raw."""
+    from ..streaming.landing import stream_ingest
+
+    base, src = _orders_csv_source(spark, sf_dir)
+    raw = f"{base}/raw"
+    outcomes: list = []
+    q = stream_ingest(spark, src, "orders", raw, f"{base}/checkpoint", contracts_dir=TPCH_CONTRACTS,
+                      load_date=dt.date(2024, 3, 15), advance_watermark=False, outcomes=outcomes)
+    q.awaitTermination()
+    year = F.regexp_extract("source_file", r"orders_([0-9]{4})_", 1)
+    verdicts = spark.createDataFrame(
+        [(m["source_file"], m["accepted"]) for o in outcomes for m in o.manifest],
+        "source_file string, accepted boolean",
+    ).groupBy(year.alias("year")).agg(F.bool_and("accepted").alias("accepted"))
+    landed = read_raw(spark, raw, "orders")
+    if landed is None:
+        landed = spark.createDataFrame([], "source_file string")
+    counts = landed.groupBy(year.alias("year")).agg(F.count(F.lit(1)).alias("landed_rows"))
+    return (verdicts.join(counts, on="year", how="left")
+            .select("year", "accepted", F.coalesce("landed_rows", F.lit(0)).cast("bigint").alias("landed_rows")))
+
+
 REGISTERED = [
     "staged_orders",
     "coercions_orders",
@@ -222,4 +254,5 @@ REGISTERED = [
     "stale_loads_orders",
     "csv_load_totals",
     "staged_from_raw_orders",
+    "stream_landed_orders_csv",
 ]
