@@ -28,6 +28,10 @@ from .rules import MSG_DUPLICATE, Rule, compile_rules, key_columns, uniqueness_o
 
 _DUMMY = "__batch"
 ROWS = "row_count"
+# Counters per aggregate. Wider aggregates exceed whole-stage codegen limits and
+# take long to compile; chunks group the rules of whole columns, so with column
+# pruning each chunk's scan reads only its own columns.
+MAX_COUNTERS_PER_AGGREGATE = 64
 
 VIOLATION_FIELDS = ["ordinal", "check", "column", "message", "failing_rows"]
 
@@ -101,8 +105,10 @@ def validate(
         return frame.selectExpr(*qkeys, *[
             f"CAST({n if n in own else 0} AS BIGINT) AS {n}" for n in names])
 
-    rule_counts = src.groupBy(*keys).agg(*[e.alias(n) for n, e in counters])
-    parts = [padded(rule_counts, {n for n, _ in counters})]
+    parts = []
+    for chunk in _chunks(counters, rules):
+        rule_counts = src.groupBy(*keys).agg(*[e.alias(n) for n, e in chunk])
+        parts.append(padded(rule_counts, {n for n, _ in chunk}))
     if pk is not None:
         qpk = [_q(k) for k in pk]
         dup = (
@@ -160,6 +166,29 @@ def validate(
     return Validation(contract, batch, rules, counts, violations, verdicts, structs)
 
 
+def _chunks(counters: list, rules: list[Rule]) -> list[list]:
+    """Split counters into chunks of at most MAX_COUNTERS_PER_AGGREGATE,
+    keeping the counters of one column together."""
+    if len(counters) <= MAX_COUNTERS_PER_AGGREGATE:
+        return [counters]
+    column_of = {}
+    for r in rules:
+        if not r.fixed:
+            column_of[_counter(r)] = r.column
+            column_of[_whole_counter(r)] = r.column
+    chunks, current, last_col = [], [], object()
+    for name, expr in counters:
+        col = column_of.get(name)
+        if len(current) >= MAX_COUNTERS_PER_AGGREGATE and col != last_col:
+            chunks.append(current)
+            current = []
+        current.append((name, expr))
+        last_col = col
+    if current:
+        chunks.append(current)
+    return chunks
+
+
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

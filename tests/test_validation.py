@@ -220,3 +220,15 @@ def test_contract_lint():
 def test_missing_contract_raises():
     with pytest.raises(FileNotFoundError):
         load_contract("nope")
+
+
+def test_chunked_aggregates_give_the_same_report(spark, monkeypatch):
+    import contractgate.operators.validate as val
+    from contractgate.plans.tables import table, tpch_contract
+    df = table(spark, "/root/testdata/sf0.001", "lineitem").withColumn("b", F.date_format("l_shipdate", "yyyy"))
+    whole = {tuple(r) for r in validate(df, tpch_contract("lineitem"), ["b"]).violations.collect()}
+    monkeypatch.setattr(val, "MAX_COUNTERS_PER_AGGREGATE", 3)
+    v = validate(df, tpch_contract("lineitem"), ["b"])
+    assert {tuple(r) for r in v.violations.collect()} == whole
+    assert {r["b"]: r["row_count"] for r in v.verdicts.collect()} == \
+        {r["b"]: r["count"] for r in df.groupBy("b").count().collect()}
