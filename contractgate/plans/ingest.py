@@ -38,7 +38,9 @@ from ..sinks.zones import (
     replace_with_empty, write_manifests, write_staged,
 )
 from ..sources.files import SourceFile, group_files, list_source_files
-from ..sources.scans import EXTRA, SOURCE_FILE, read_csv_strict, read_parquet_files, read_raw
+from ..sources.scans import (
+    EXTRA, SOURCE_FILE, files_with_quoted_newlines, read_csv_auto, read_parquet_files, read_raw,
+)
 
 log = logging.getLogger("contractgate.jobs")
 
@@ -68,11 +70,13 @@ class _Group:
     names: list[str]
     files: list[SourceFile]
 
-    def scan(self, spark: SparkSession, multi_line: bool, files: list[SourceFile] | None = None) -> DataFrame:
+    needs_multi_line: set | None = None
+
+    def scan(self, spark: SparkSession, multi_line, files: list[SourceFile] | None = None) -> DataFrame:
         files = self.files if files is None else files
         paths = [f.path for f in files]
         if self.fmt == "csv":
-            return read_csv_strict(spark, paths, self.names, multi_line=multi_line)
+            return read_csv_auto(spark, paths, self.names, multi_line, self.needs_multi_line)
         if not self.names:  # 0-byte Parquet file: nothing to read
             schema = T.StructType([T.StructField(SOURCE_FILE, T.StringType())])
             return spark.createDataFrame([], schema)
@@ -161,7 +165,7 @@ def ingest(
     entities: list[str] | None = None,
     contracts_dir: str | Path | None = None,
     advance_watermark: bool = True,
-    multi_line: bool = True,
+    multi_line: bool | str = "auto",
     watermarks: WatermarkStore | None = None,
 ) -> IngestOutcome:
     """Validate every source file and land it in raw or the dead-letter zone."""
@@ -176,7 +180,7 @@ def ingest_files(
     load_date: dt.date | str,
     contracts_dir: str | Path | None = None,
     advance_watermark: bool = True,
-    multi_line: bool = True,
+    multi_line: bool | str = "auto",
     watermarks: WatermarkStore | None = None,
 ) -> IngestOutcome:
     """The gate for an explicit list of files (used by the batch and the
@@ -190,6 +194,10 @@ def ingest_files(
         return outcome
 
     groups = _groups(spark, files, contracts)
+    if multi_line == "auto":
+        needs = files_with_quoted_newlines(spark, [f.path for f in files if f.fmt == "csv"])
+        for g in groups:
+            g.needs_multi_line = needs
     verdicts = {(r["entity"], r[SOURCE_FILE]): r for r in _validate_groups(spark, groups, multi_line)}
 
     for g in groups:

@@ -2,8 +2,9 @@
 
 CSV is read as received: every column a string, only an empty field is null
 ("NA", "nan" stay text), quotes doubled inside quoted fields, newlines allowed
-inside quotes (``multi_line``; it makes each file one task, so turn it off for
-sources known to be single-line). One trailing ``_extra`` column catches rows
+inside quotes. The multi-line reader makes each file one task, so by default
+(``multi_line="auto"``) a splittable pre-scan finds the files that have a quoted
+newline and only those are read multi-line. One trailing ``_extra`` column catches rows
 with more fields than the header instead of dropping the field in silence.
 """
 
@@ -48,6 +49,47 @@ def read_csv_strict(spark: SparkSession, paths: list[str], names: list[str], mul
     return df
 
 
+def files_with_quoted_newlines(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Files that have a line with an odd number of quote characters, i.e. a
+    quoted field that runs over a line end (or a stray quote). Only these need
+    the unsplittable multi-line CSV reader. One splittable text scan."""
+    if not paths:
+        return set()
+    quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
+    rows = (
+        spark.read.format("text").load(paths)
+        .where(quotes % 2 == 1)
+        .select(F.col("_metadata.file_path").alias("path"))
+        .distinct()
+        .collect()
+    )
+    return {_normal_path(r["path"]) for r in rows}
+
+
+def _normal_path(uri: str) -> str:
+    from urllib.parse import unquote, urlparse
+    return unquote(urlparse(uri).path)
+
+
+def read_csv_auto(spark: SparkSession, paths: list[str], names: list[str], multi_line: bool | str = "auto",
+                  needs_multi_line: set[str] | None = None) -> DataFrame:
+    """Strict CSV scan. ``multi_line="auto"`` reads files without quoted
+    newlines splittably and only the others with the multi-line reader, so one
+    huge single-line file is still read by many tasks."""
+    if multi_line != "auto":
+        return read_csv_strict(spark, paths, names, multi_line=bool(multi_line))
+    if needs_multi_line is None:
+        needs_multi_line = files_with_quoted_newlines(spark, paths)
+    ml = [p for p in paths if _normal_path(p) in needs_multi_line]
+    sl = [p for p in paths if _normal_path(p) not in needs_multi_line]
+    frames = []
+    if sl:
+        frames.append(read_csv_strict(spark, sl, names, multi_line=False))
+    if ml:
+        frames.append(read_csv_strict(spark, ml, names, multi_line=True))
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+
 def read_parquet_files(spark: SparkSession, paths: list[str], with_source: bool = True) -> DataFrame:
     df = spark.read.format("parquet").load(paths)
     if with_source:

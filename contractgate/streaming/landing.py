@@ -55,7 +55,7 @@ def stream_ingest(
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
     advance_watermark: bool = True,
-    multi_line: bool = True,
+    multi_line: bool | str = "auto",
     outcomes: list | None = None,
 ) -> StreamingQuery:
     """Start a stream that gates every new file of ``<source_dir>/<entity>``.

@@ -121,3 +121,16 @@ def test_distributed_header_path_agrees(spark, tmp_path, monkeypatch):
     dist = sf.file_columns(spark, files)
     assert dist == driver
     assert [dist[f.path][0] for f in files] == [["a", "b"], ["b", "a"], ["a", "a.1"], []]
+
+
+def test_auto_mode_reads_only_quoted_newline_files_multiline(spark, tmp_path):
+    from contractgate.sources.scans import files_with_quoted_newlines
+    source(tmp_path, "plain.csv", 'a,b\n1,"x ""y"""\n2,z\n')
+    src = source(tmp_path, "multi.csv", 'a,b\n"multi\nline",3\n4,5\n')
+    paths = [f"{src}/ab/plain.csv", f"{src}/ab/multi.csv"]
+    assert files_with_quoted_newlines(spark, paths) == {f"{src}/ab/multi.csv"}
+    out = ingest(spark, src, str(tmp_path / "raw"), D, contracts_dir=contracts_dir(tmp_path), advance_watermark=False)
+    assert {m["source_file"]: m["rows"] for m in out.manifest} == {"multi.csv": 2, "plain.csv": 2}
+    rows = sorted((r["source_file"], r["a"], r["b"]) for r in read_raw(spark, str(tmp_path / "raw"), "ab", D).collect())
+    assert rows == [("multi.csv", "4", "5"), ("multi.csv", "multi\nline", "3"),
+                    ("plain.csv", "1", 'x "y"'), ("plain.csv", "2", "z")]
