@@ -14,11 +14,17 @@ column i (0-based, contract order) uses 100*(i+1)+k with k = 1 null, 2 type,
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contractgate.plans import checks, zone_checks
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
+from contractgate.plans import checks, zone_checks  # noqa: E402
 
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 
