@@ -140,3 +140,32 @@ def lint_contract(contract: Contract) -> list[str]:
     if missing_pk:
         problems.append(f"primary key columns not in the contract: {missing_pk}")
     return problems
+
+
+def contracts_table(spark, contracts_dir: str | Path | None = None):
+    """All contracts of a folder as one DataFrame, one row per contracted column:
+    ``(entity, version, primary_key, position, name, type, nullable, min, max,
+    allowed, pattern)``. Read with Spark's JSON reader, so the folder may live on
+    any Hadoop file system; useful to audit or diff contract versions."""
+    from pyspark.sql import functions as F
+
+    base = str(contracts_dir) if contracts_dir is not None else str(PACKAGE_CONTRACTS / "bank")
+    df = spark.read.option("multiLine", "true").json(f"{base.rstrip('/')}/*.json")
+    cols = F.posexplode("columns").alias("position", "c")
+    out = df.select("entity", "version", "primary_key", cols)
+
+    def field(name, default=None):
+        if name in out.schema["c"].dataType.names:
+            return F.col(f"c.{name}")
+        return F.lit(default)
+
+    return out.select(
+        "entity", "version", "primary_key", "position",
+        F.col("c.name").alias("name"),
+        F.coalesce(field("type"), F.lit("string")).alias("type"),
+        F.coalesce(field("nullable"), F.lit(True)).alias("nullable"),
+        field("min").cast("double").alias("min"),
+        field("max").cast("double").alias("max"),
+        field("allowed").cast("array<string>").alias("allowed"),
+        field("pattern").cast("string").alias("pattern"),
+    )

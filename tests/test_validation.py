@@ -232,3 +232,14 @@ def test_chunked_aggregates_give_the_same_report(spark, monkeypatch):
     assert {tuple(r) for r in v.violations.collect()} == whole
     assert {r["b"]: r["row_count"] for r in v.verdicts.collect()} == \
         {r["b"]: r["count"] for r in df.groupBy("b").count().collect()}
+
+
+def test_contracts_table(spark):
+    from contractgate.operators.contract import contracts_table
+    t = contracts_table(spark)
+    rows = {(r["entity"], r["name"]): r for r in t.collect()}
+    assert len({e for e, _ in rows}) == 5
+    r = rows[("customers", "credit_score")]
+    assert (r["type"], r["nullable"], r["min"], r["max"], r["position"]) == ("integer", False, 300.0, 850.0, 5)
+    assert rows[("accounts", "status")]["allowed"] == ["active", "closed", "frozen"]
+    assert rows[("branches", "branch_id")]["pattern"] == "^BR_[0-9]{8}$"
