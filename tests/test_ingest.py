@@ -232,3 +232,14 @@ def test_summary_and_totals(spark, good_customers, tmp_path):
     assert lines == ["ACCEPTED customers: 2 rows -> customers/year=2024/month=03/day=15/a.csv",
                      "REJECTED customers: 2 rows -> _dead_letter/customers/year=2024/month=03/day=15/b.csv"]
     assert sorted((r["accepted"], r["files"], r["rows"]) for r in totals(m).collect()) == [(False, 1, 2), (True, 1, 2)]
+
+
+def test_parquet_files_with_different_schemas_are_scanned_apart(spark, good_customers, tmp_path):
+    write_source(tmp_path, "customers", good_customers, "a.parquet", fmt="parquet")
+    other = good_customers[list(reversed(good_customers.columns))].copy()
+    other["customer_id"] = ["CUST_00000005", "CUST_00000006"]
+    other["age"] = other["age"].astype(str)  # text ages in this file
+    src = write_source(tmp_path, "customers", other, "b.parquet", fmt="parquet")
+    out = ingest(spark, src, str(tmp_path / "raw"), D, advance_watermark=False)
+    assert [(m["source_file"], m["accepted"], m["rows"]) for m in out.manifest] == [
+        ("a.parquet", True, 2), ("b.parquet", True, 2)]

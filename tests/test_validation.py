@@ -243,3 +243,21 @@ def test_contracts_table(spark):
     assert (r["type"], r["nullable"], r["min"], r["max"], r["position"]) == ("integer", False, 300.0, 850.0, 5)
     assert rows[("accounts", "status")]["allowed"] == ["active", "closed", "frozen"]
     assert rows[("branches", "branch_id")]["pattern"] == "^BR_[0-9]{8}$"
+
+
+def test_hot_key_and_hot_batch(spark):
+    """A third of the rows share one key and one batch: counts stay exact."""
+    c = Contract.from_dict({"entity": "t", "version": "1", "primary_key": ["k"],
+                            "columns": [{"name": "k", "type": "integer"}, {"name": "v", "type": "float", "max": 10}]})
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+        (F.col("id") % 20).cast("double").alias("v"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 10).cast("string")).alias("b"),
+    ).repartition(8)
+    v = validate(df, c, ["b"])
+    dup = {r["b"]: r["failing_rows"] for r in v.violations.where("check = 'uniqueness'").collect()}
+    assert dup == {"hot": 9999}
+    rows = {r["b"]: r["row_count"] for r in v.verdicts.collect()}
+    assert rows["hot"] == 10000 and sum(rows.values()) == 30000
+    above = sum(r["failing_rows"] for r in v.violations.where("check = 'domain'").collect())
+    assert above == df.where("v > 10").count()
