@@ -43,18 +43,22 @@ def apply_contract_types(df: DataFrame, contract: Contract) -> DataFrame:
     return df.withColumns(replacements) if replacements else df
 
 
-def coercion_counts(df: DataFrame, contract: Contract, batch: list[str] | None = None) -> DataFrame:
-    """Values present in the input that typing turns into null, per contracted
-    column (one aggregate; staging reports what it coerced in silence)."""
+def coercion_exprs(df: DataFrame, contract: Contract, prefix: str = "") -> list[Column]:
+    """One counter per contracted column present in ``df``: values present in
+    the input that typing turns into null (silent coercions)."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    aggs = []
+    out = []
     for spec in contract.columns:
         if spec.name not in types:
             continue
         dt = types[spec.name]
         c = cz.ident(spec.name)
         typed = cz.to_number(c, dt) if spec.type in ("integer", "float") else typed_sql(spec, dt)
-        aggs.append(F.expr(f"count_if({cz.present(c, dt)} AND ({typed}) IS NULL)").alias(spec.name))
-    if not aggs:
-        aggs = [F.count(F.lit(1)).alias("row_count")]
+        out.append(F.expr(f"count_if({cz.present(c, dt)} AND ({typed}) IS NULL)").alias(prefix + spec.name))
+    return out
+
+
+def coercion_counts(df: DataFrame, contract: Contract, batch: list[str] | None = None) -> DataFrame:
+    """Silent coercions per contracted column, in one aggregate (per batch)."""
+    aggs = coercion_exprs(df, contract) or [F.count(F.lit(1)).alias("row_count")]
     return df.groupBy(*(batch or [])).agg(*aggs)

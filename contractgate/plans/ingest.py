@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.contract import Contract, available_contracts, load_contract
-from ..operators.project import apply_contract_types
+from ..operators.project import apply_contract_types, coercion_exprs
 from ..operators.state import LoadLog, WatermarkStore, watermark_report as _wm_report
 from ..operators.validate import validate
 from ..sinks.zones import (
@@ -270,11 +270,19 @@ def stage(
         typed = apply_contract_types(raw.drop("year", "month", "day"), contract)
         write_staged(typed, staged_root, entity, load_date)
         target = partitioned_key(entity, load_date, "")
-        counts = raw.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("rows")).orderBy(SOURCE_FILE).collect()
+        # rows and silently coerced values per source file, in one aggregate
+        coerced = coercion_exprs(raw, contract, prefix="coerced:")
+        counts = (
+            raw.groupBy(SOURCE_FILE)
+            .agg(F.count(F.lit(1)).alias("rows"), *coerced)
+            .orderBy(SOURCE_FILE).collect()
+        )
         for r in counts:
             results.append({"entity": entity, "rows": int(r["rows"]),
                             "source_key": partitioned_key(entity, load_date, r[SOURCE_FILE]),
-                            "target_key": target})
+                            "target_key": target,
+                            "coerced": {k.split(":", 1)[1]: int(v) for k, v in r.asDict().items()
+                                        if k.startswith("coerced:") and v}})
     return results
 
 

@@ -243,3 +243,22 @@ def test_parquet_files_with_different_schemas_are_scanned_apart(spark, good_cust
     out = ingest(spark, src, str(tmp_path / "raw"), D, advance_watermark=False)
     assert [(m["source_file"], m["accepted"], m["rows"]) for m in out.manifest] == [
         ("a.parquet", True, 2), ("b.parquet", True, 2)]
+
+
+def test_stage_reports_silent_coercions(spark, good_customers, tmp_path):
+    from contractgate.operators.contract import Contract
+    import json as _json
+    cdir = tmp_path / "contracts"
+    cdir.mkdir()
+    (cdir / "t.json").write_text(_json.dumps({"entity": "t", "version": "1", "columns": [
+        {"name": "a", "type": "string"}, {"name": "d", "type": "string"}]}))
+    src = tmp_path / "src" / "t"
+    src.mkdir(parents=True)
+    (src / "t.csv").write_text("a,d\n1,2024-01-01\nx,not a date\n")
+    raw, staged = str(tmp_path / "raw"), str(tmp_path / "staged")
+    ingest(spark, str(tmp_path / "src"), raw, D, contracts_dir=str(cdir), advance_watermark=False)
+    # the staging contract is stricter than the landing one: a is an integer, d a date
+    (cdir / "t.json").write_text(_json.dumps({"entity": "t", "version": "2", "columns": [
+        {"name": "a", "type": "integer"}, {"name": "d", "type": "date"}]}))
+    res = stage(spark, raw, staged, D, ["t"], str(cdir))
+    assert res[0]["rows"] == 2 and res[0]["coerced"] == {"a": 1, "d": 1}
