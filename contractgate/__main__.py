@@ -4,6 +4,7 @@
     python -m contractgate stage  --raw RAW --staged STAGED --date 2024-03-15 [--entities a b]
     python -m contractgate run    --source SRC --raw RAW --staged STAGED --date 2024-03-15
     python -m contractgate watermarks --raw RAW
+    python -m contractgate lint [--contracts DIR]
 
 ``--contracts DIR`` selects another contract folder (default: the packaged bank
 contracts). Exit code 1 when a file was rejected (ingest) or the run failed.
@@ -20,6 +21,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from .operators.contract import available_contracts, lint_contract, load_contract
 from .plans.ingest import ingest, run_load, stage, watermark_report
 
 log = logging.getLogger("contractgate")
@@ -74,6 +76,18 @@ def cmd_watermarks(args) -> int:
     return 0
 
 
+def cmd_lint(args) -> int:
+    """Check the contracts themselves (no Spark needed)."""
+    bad = 0
+    for entity in available_contracts(args.contracts):
+        problems = lint_contract(load_contract(entity, args.contracts))
+        for problem in problems:
+            print(f"{entity}: {problem}")
+        bad += bool(problems)
+    print(f"lint: {bad} contract(s) with problems")
+    return 1 if bad else 0
+
+
 def _multi_line(value: str):
     return {"auto": "auto", "true": True, "false": False}[value.lower()]
 
@@ -115,6 +129,9 @@ def main(argv: list[str] | None = None) -> int:
     w.add_argument("--entities", nargs="*", default=None)
     w.set_defaults(func=cmd_watermarks)
 
+    lt = sub.add_parser("lint", help="check the contracts themselves")
+    lt.set_defaults(func=cmd_lint)
+
     args = p.parse_args(argv)
     logging.basicConfig(level=args.log_level)
     return args.func(args)

@@ -22,3 +22,13 @@ def test_cli_ingest_stage_watermarks(spark, good_customers, tmp_path, capsys):
     assert main(["ingest", "--source", str(tmp_path / "src"), "--raw", raw, "--date", "2024-03-16"]) == 1
     assert main(["run", "--source", str(tmp_path / "src"), "--raw", raw, "--staged", staged,
                  "--date", "2024-03-16"]) == 1
+
+
+def test_cli_lint(tmp_path, capsys):
+    import json
+    assert main(["lint"]) == 0
+    (tmp_path / "x.json").write_text(json.dumps({"entity": "x", "version": "1", "primary_key": ["nope"],
+                                                 "columns": [{"name": "a", "min": 3, "max": 1}]}))
+    assert main(["--contracts", str(tmp_path), "lint"]) == 1
+    out = capsys.readouterr().out
+    assert "x: a: min 3 is above max 1" in out and "primary key columns not in the contract: ['nope']" in out
