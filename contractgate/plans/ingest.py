@@ -59,9 +59,21 @@ STAGE_MANIFEST_SCHEMA = T.StructType([
     T.StructField("rows", T.LongType()),
     T.StructField("source_key", T.StringType()),
     T.StructField("target_key", T.StringType()),
+    T.StructField("coerced", T.MapType(T.StringType(), T.LongType())),
 ])
 
 
+def stage_manifest(spark: SparkSession, results: list[dict]) -> DataFrame:
+    """The stage results as a DataFrame (one row per source file)."""
+    return spark.createDataFrame([tuple(r[f.name] for f in STAGE_MANIFEST_SCHEMA.fields) for r in results],
+                                 STAGE_MANIFEST_SCHEMA)
+
+
+def staged_total(manifest: DataFrame) -> DataFrame:
+    """Rows written to staged per entity and in total (AGG-6)."""
+    return manifest.rollup("entity").agg(F.sum("rows").cast("bigint").alias("rows"))
+
+
 @dataclass
 class _Group:
     entity: str

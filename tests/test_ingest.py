@@ -262,3 +262,23 @@ def test_stage_reports_silent_coercions(spark, good_customers, tmp_path):
         {"name": "a", "type": "integer"}, {"name": "d", "type": "date"}]}))
     res = stage(spark, raw, staged, D, ["t"], str(cdir))
     assert res[0]["rows"] == 2 and res[0]["coerced"] == {"a": 1, "d": 1}
+
+
+def test_stage_manifest_totals(spark, good_customers, tmp_path):
+    from contractgate.plans.ingest import stage_manifest, staged_total
+    src = write_source(tmp_path, "customers", good_customers, "a.csv")
+    write_source(tmp_path, "customers", good_customers.assign(customer_id=["CUST_00000009", "CUST_00000010"]), "b.csv")
+    raw, staged = str(tmp_path / "raw"), str(tmp_path / "staged")
+    ingest(spark, src, raw, D, advance_watermark=False)
+    m = stage_manifest(spark, stage(spark, raw, staged, D, ["customers"]))
+    assert sorted((r["entity"], r["rows"]) for r in staged_total(m).collect()) == [(None, 4), ("customers", 4)]
+
+
+def test_incremental_filter_per_entity(spark, tmp_path):
+    from contractgate.operators.state import incremental
+    store = WatermarkStore(spark, str(tmp_path / "raw"))
+    store.set("a", dt.date(2024, 1, 10))
+    df = spark.createDataFrame([("a", dt.date(2024, 1, 9)), ("a", dt.date(2024, 1, 11)), ("b", dt.date(2020, 1, 1))],
+                               "entity string, d date")
+    got = sorted((r["entity"], r["d"]) for r in incremental(df, store.current(), "d", "entity").collect())
+    assert got == [("a", dt.date(2024, 1, 11)), ("b", dt.date(2020, 1, 1))]
