@@ -18,7 +18,7 @@ from ..sources.files import _fs
 from ..sources.scans import read_partitioned, read_raw, read_staged
 from ..sinks.zones import manifest_root
 from .batches import advance_from_gate, gate_by_day, load_events, with_batches
-from .ingest import ingest, stage, totals
+from .ingest import ingest, stage
 from .tables import TPCH_CONTRACTS, table, tpch_contract
 
 _LANDED: dict[str, str] = {}

@@ -1,5 +1,4 @@
 """The command line runs the jobs and reports through exit codes."""
-import datetime as dt
 
 from contractgate.__main__ import main
 

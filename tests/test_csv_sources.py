@@ -3,7 +3,6 @@ would otherwise be lost or shifted."""
 import datetime as dt
 import json
 
-from contractgate.operators.contract import Contract
 from contractgate.plans.ingest import ingest
 from contractgate.sources.files import csv_header, list_source_files, mangle_names
 from contractgate.sources.scans import read_csv_strict, read_raw

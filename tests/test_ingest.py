@@ -3,7 +3,6 @@ import datetime as dt
 import json
 import os
 
-import pandas as pd
 import pytest
 
 from contractgate.plans.ingest import ingest, run_load, stage, summary, totals, watermark_report
