@@ -167,26 +167,31 @@ def csv_headers_distributed(spark: SparkSession, paths: list[str]) -> dict[str,
 
     Only the first split of each file can hold its header; the first line read
     in that split (smallest ``monotonically_increasing_id`` within the task) is
-    kept per file. Headers are grouped on the executors, so the driver receives
-    one row per distinct header with its files. A header with a quoted newline
-    is not supported on this path (the driver path handles it).
+    kept per file. The driver receives the distinct headers once and a
+    (path, header id) pair per file, the same order of size as the listing it
+    already holds. A header with a quoted newline is not supported on this path
+    (the driver path handles it).
     """
     from pyspark.sql import functions as F
 
-    lines = (
+    firsts = (
         spark.read.format("text").load(paths)
         .select("value", F.col("_metadata.file_path").alias("path"),
                 F.col("_metadata.file_block_start").alias("start"))
         .where(F.col("start") == 0)
         .withColumn("pos", F.monotonically_increasing_id())
         .groupBy("path").agg(F.min_by("value", "pos").alias("header"))
-        .groupBy("header").agg(F.collect_list("path").alias("paths"))
+        .withColumn("hid", F.xxhash64("header"))
+        .cache()  # one small row per file, read by the two collects below
     )
+    # few distinct headers, then one (path, header id) pair per file: no list of
+    # files is ever gathered into one group
+    texts = {r["hid"]: r["header"] for r in firsts.select("hid", "header").distinct().collect()}
+    parsed = {hid: parse_header_line(text or "") for hid, text in texts.items()}
     out: dict[str, list[str]] = {}
-    for row in lines.collect():
-        names = parse_header_line(row["header"] or "")
-        for p in row["paths"]:
-            out[_normal(p)] = names
+    for row in firsts.select("path", "hid").collect():
+        out[_normal(row["path"])] = parsed[row["hid"]]
+    firsts.unpersist()
     # files without any line (0-byte) do not appear in a text scan
     for p in paths:
         out.setdefault(_normal(p), [])
