@@ -230,6 +230,22 @@ def manifest(v: Validation) -> DataFrame:
     )
 
 
+def empty_batch_manifest(contract: Contract, rules: list[Rule]) -> dict:
+    """The manifest of a batch with no rows: only the fixed (schema) rules can
+    fire. Same fields and JSON layout as ``manifest``."""
+    import json
+
+    fired = [r for r in rules if r.fixed]
+    doc = {
+        "entity": contract.entity, "contract_version": contract.version, ROWS: 0, "is_valid": not fired,
+        "violations": [{"check": r.check, "column": r.column, "message": r.message, "failing_rows": 0} for r in fired],
+    }
+    return {
+        "entity": contract.entity, "contract_version": contract.version, ROWS: 0, "is_valid": not fired,
+        "n_violations": len(fired), "manifest_json": json.dumps(doc, separators=(",", ":"), ensure_ascii=False),
+    }
+
+
 def failing_rows(df: DataFrame, contract: Contract, ordinal: int, actual: list[str] | None = None) -> DataFrame:
     """Rows of ``df`` that break the column rule with ``ordinal``."""
     rules = compile_rules(contract, df.schema, actual)

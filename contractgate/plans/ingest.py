@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from ..operators.contract import Contract, available_contracts, load_contract
 from ..operators.project import apply_contract_types, coercion_exprs
 from ..operators.state import LoadLog, WatermarkStore, watermark_report as _wm_report
-from ..operators.validate import validate
+from ..operators.validate import empty_batch_manifest, validate
 from ..sinks.zones import (
     DEAD_LETTER, as_date, date_parts, entity_root, land, partition_path, partitioned_key,
     replace_with_empty, write_manifests, write_staged,
@@ -83,6 +83,7 @@ class _Group:
     files: list[SourceFile]
 
     needs_multi_line: set | None = None
+    rules: list | None = None
 
     def scan(self, spark: SparkSession, multi_line, files: list[SourceFile] | None = None) -> DataFrame:
         files = self.files if files is None else files
@@ -151,22 +152,33 @@ def _groups(spark: SparkSession, files: list[SourceFile], contracts: dict[str, C
     return out
 
 
-def _validate_groups(spark: SparkSession, groups: list[_Group], multi_line: bool) -> list[dict]:
-    """One job: the manifests of every file of every group."""
+def _validate_groups(spark: SparkSession, groups: list[_Group], multi_line) -> list[dict]:
+    """One job: the manifests of every file of every group.
+
+    A file with no data rows (header only, or 0 bytes) has no row in the
+    aggregate; its verdict follows from the schema rules alone and is completed
+    on the driver, so no list of files is embedded in the plan.
+    """
     frames = []
     for g in groups:
         df = g.scan(spark, multi_line)
-        batches = spark.createDataFrame([(f.name,) for f in g.files], f"{SOURCE_FILE} string")
-        v = validate(df, g.contract, [SOURCE_FILE], actual=g.names,
-                     extra_column=EXTRA if g.fmt == "csv" else None, batches=batches)
+        v = validate(df, g.contract, [SOURCE_FILE], actual=g.names, extra_column=EXTRA if g.fmt == "csv" else None)
         frames.append(v.manifest().select(
             F.lit(g.entity).alias("entity"), SOURCE_FILE, "row_count", "is_valid", "n_violations", "manifest_json"))
-    if not frames:
-        return []
-    union = frames[0]
-    for f in frames[1:]:
-        union = union.unionByName(f)
-    return [r.asDict() for r in union.collect()]
+        g.rules = v.rules
+    rows = []
+    if frames:
+        union = frames[0]
+        for f in frames[1:]:
+            union = union.unionByName(f)
+        rows = [r.asDict() for r in union.collect()]
+    seen = {(r["entity"], r[SOURCE_FILE]) for r in rows}
+    for g in groups:
+        empty = empty_batch_manifest(g.contract, g.rules)
+        for f in g.files:
+            if (g.entity, f.name) not in seen:
+                rows.append({**empty, SOURCE_FILE: f.name, "entity": g.entity})
+    return rows
 
 
 def ingest(

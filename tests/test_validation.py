@@ -261,3 +261,15 @@ def test_hot_key_and_hot_batch(spark):
     assert rows["hot"] == 10000 and sum(rows.values()) == 30000
     above = sum(r["failing_rows"] for r in v.violations.where("check = 'domain'").collect())
     assert above == df.where("v > 10").count()
+
+
+def test_empty_batch_manifest_matches_spark_layout(spark):
+    from contractgate.operators.validate import empty_batch_manifest
+    c = load_contract("customers")
+    df = spark.createDataFrame([], "customer_id string, age string, extra string, b string")
+    batches = spark.createDataFrame([("x",)], "b string")
+    v = validate(df, c, ["b"], batches=batches)
+    row = v.manifest().collect()[0]
+    local = empty_batch_manifest(c, v.rules)
+    assert local["manifest_json"] == row["manifest_json"]
+    assert (local["is_valid"], local["n_violations"], local["row_count"]) == (row["is_valid"], row["n_violations"], 0)
