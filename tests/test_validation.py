@@ -273,3 +273,14 @@ def test_empty_batch_manifest_matches_spark_layout(spark):
     local = empty_batch_manifest(c, v.rules)
     assert local["manifest_json"] == row["manifest_json"]
     assert (local["is_valid"], local["n_violations"], local["row_count"]) == (row["is_valid"], row["n_violations"], 0)
+
+
+def test_counts_do_not_depend_on_file_split(spark, tmp_path):
+    from contractgate.plans.tables import table, tpch_contract
+    df = table(spark, "/root/testdata/sf0.001", "lineitem")
+    df.repartition(5, "l_suppkey").write.parquet(str(tmp_path / "split"))
+    split = spark.read.parquet(str(tmp_path / "split"))
+    assert len(split.inputFiles()) == 5
+    a = {(r["ordinal"], r["failing_rows"]) for r in validate(df, tpch_contract("lineitem")).violations.collect()}
+    b = {(r["ordinal"], r["failing_rows"]) for r in validate(split, tpch_contract("lineitem")).violations.collect()}
+    assert a == b
