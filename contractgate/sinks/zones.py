@@ -112,7 +112,12 @@ def land(df: DataFrame, root: str, entity: str, load_date: dt.date | str | Colum
 def replace_with_empty(spark: SparkSession, df_schema, path: str) -> None:
     """Static overwrite of one partition directory with no rows: a batch with
     zero rows still replaces what an earlier load left at its key (dynamic
-    overwrite only touches partitions that occur in the data)."""
+    overwrite only touches partitions that occur in the data). A file with no
+    columns at all (0 bytes) is marked by one empty placeholder column."""
+    from pyspark.sql import types as T
+
+    if not df_schema.fields:
+        df_schema = T.StructType([T.StructField("_empty", T.StringType(), True)])
     spark.createDataFrame([], df_schema).write.mode("overwrite").parquet(path)
 
 

@@ -281,3 +281,11 @@ def test_incremental_filter_per_entity(spark, tmp_path):
                                "entity string, d date")
     got = sorted((r["entity"], r["d"]) for r in incremental(df, store.current(), "d", "entity").collect())
     assert got == [("a", dt.date(2024, 1, 11)), ("b", dt.date(2020, 1, 1))]
+
+
+def test_empty_parquet_file_is_quarantined(spark, good_customers, tmp_path):
+    src = write_source(tmp_path, "customers", good_customers, "a.parquet", fmt="parquet")
+    (tmp_path / "src" / "customers" / "z.parquet").write_bytes(b"")
+    out = ingest(spark, src, str(tmp_path / "raw"), D, advance_watermark=False)
+    got = {m["source_file"]: (m["accepted"], m["rows"]) for m in out.manifest}
+    assert got == {"a.parquet": (True, 2), "z.parquet": (False, 0)}
