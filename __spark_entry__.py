@@ -274,6 +274,101 @@ _RAW_ORDERS = """
 """
 
 
+_PART_META = """
+    meta(ordinal, "check", "column", message) AS (VALUES
+      (101, 'nullability', 'p_partkey', 'nulls in non-nullable column'),
+      (103, 'domain', 'p_partkey', 'values below min 0'),
+      (201, 'nullability', 'p_name', 'nulls in non-nullable column'),
+      (301, 'nullability', 'p_brand', 'nulls in non-nullable column'),
+      (306, 'pattern', 'p_brand', 'values not matching ^Brand#[0-9]{2}$'),
+      (401, 'nullability', 'p_type', 'nulls in non-nullable column'),
+      (501, 'nullability', 'p_size', 'nulls in non-nullable column'),
+      (503, 'domain', 'p_size', 'values below min 1'),
+      (504, 'domain', 'p_size', 'values above max 40'),
+      (601, 'nullability', 'p_retailprice', 'nulls in non-nullable column'),
+      (603, 'domain', 'p_retailprice', 'values below min 0'),
+      (604, 'domain', 'p_retailprice', 'values above max 990'),
+      (700, 'uniqueness', 'p_partkey', 'duplicate primary keys'))
+"""
+
+_PART_COUNTS = """
+    count(*) AS rows_,
+    count_if(p_partkey IS NULL) AS "101", count_if(p_partkey < 0) AS "103",
+    count_if(p_name IS NULL) AS "201",
+    count_if(p_brand IS NULL) AS "301", count_if(NOT regexp_matches(p_brand, '^(?:^Brand#[0-9]{2}$)')) AS "306",
+    count_if(p_type IS NULL) AS "401",
+    count_if(p_size IS NULL) AS "501", count_if(p_size < 1) AS "503", count_if(p_size > 40) AS "504",
+    count_if(p_retailprice IS NULL OR isnan(p_retailprice)) AS "601", count_if(p_retailprice < 0) AS "603",
+    count_if(p_retailprice > 990) AS "604",
+    count(*) - count(DISTINCT p_partkey) AS "700"
+"""
+
+_SUPPLIER_META = """
+    meta(ordinal, "check", "column", message) AS (VALUES
+      (101, 'nullability', 's_suppkey', 'nulls in non-nullable column'),
+      (103, 'domain', 's_suppkey', 'values below min 0'),
+      (201, 'nullability', 's_name', 'nulls in non-nullable column'),
+      (206, 'pattern', 's_name', 'values not matching ^Supplier#[0-9]{9}$'),
+      (301, 'nullability', 's_nationkey', 'nulls in non-nullable column'),
+      (303, 'domain', 's_nationkey', 'values below min 0'),
+      (304, 'domain', 's_nationkey', 'values above max 24'),
+      (401, 'nullability', 's_acctbal', 'nulls in non-nullable column'),
+      (403, 'domain', 's_acctbal', 'values below min 0'),
+      (500, 'uniqueness', 's_suppkey', 'duplicate primary keys'))
+"""
+
+_SUPPLIER_COUNTS = """
+    count(*) AS rows_,
+    count_if(s_suppkey IS NULL) AS "101", count_if(s_suppkey < 0) AS "103",
+    count_if(s_name IS NULL) AS "201", count_if(NOT regexp_matches(s_name, '^(?:^Supplier#[0-9]{9}$)')) AS "206",
+    count_if(s_nationkey IS NULL) AS "301", count_if(s_nationkey < 0) AS "303", count_if(s_nationkey > 24) AS "304",
+    count_if(s_acctbal IS NULL OR isnan(s_acctbal)) AS "401", count_if(s_acctbal < 0) AS "403",
+    count(*) - count(DISTINCT s_suppkey) AS "500"
+"""
+
+_CONVERSATIONS_META = """
+    meta(ordinal, "check", "column", message) AS (VALUES
+      (101, 'nullability', 'conv_id', 'nulls in non-nullable column'),
+      (103, 'domain', 'conv_id', 'values below min 0'),
+      (201, 'nullability', 'turn', 'nulls in non-nullable column'),
+      (203, 'domain', 'turn', 'values below min 0'),
+      (204, 'domain', 'turn', 'values above max 5'),
+      (301, 'nullability', 'role', 'nulls in non-nullable column'),
+      (305, 'domain', 'role', 'values outside allowed set [''assistant'', ''user'']'),
+      (401, 'nullability', 'text', 'nulls in non-nullable column'),
+      (500, 'uniqueness', 'conv_id,turn', 'duplicate primary keys'))
+"""
+
+_CONVERSATIONS_COUNTS = """
+    count(*) AS rows_,
+    count_if(conv_id IS NULL) AS "101", count_if(conv_id < 0) AS "103",
+    count_if(turn IS NULL) AS "201", count_if(turn < 0) AS "203", count_if(turn > 5) AS "204",
+    count_if(role IS NULL) AS "301", count_if(role NOT IN ('user', 'assistant')) AS "305",
+    count_if(text IS NULL) AS "401",
+    count(*) - count(DISTINCT (conv_id, turn)) AS "500"
+"""
+
+_PAGES_META = r"""
+    meta(ordinal, "check", "column", message) AS (VALUES
+      (101, 'nullability', 'page_id', 'nulls in non-nullable column'),
+      (103, 'domain', 'page_id', 'values below min 0'),
+      (201, 'nullability', 'url', 'nulls in non-nullable column'),
+      (206, 'pattern', 'url', 'values not matching ^https://'),
+      (301, 'nullability', 'html', 'nulls in non-nullable column'),
+      (306, 'pattern', 'html', 'values not matching ^<!DOCTYPE html><html[^>]*>.*</html>\s*$'),
+      (400, 'uniqueness', 'page_id', 'duplicate primary keys'))
+"""
+
+_PAGES_COUNTS = r"""
+    count(*) AS rows_,
+    count_if(page_id IS NULL) AS "101", count_if(page_id < 0) AS "103",
+    count_if(url IS NULL) AS "201", count_if(NOT regexp_matches(url, '^(?:^https://)')) AS "206",
+    count_if(html IS NULL) AS "301",
+    count_if(NOT regexp_matches(html, '^(?:^<!DOCTYPE html><html[^>]*>.*</html>\s*$)')) AS "306",
+    count(*) - count(DISTINCT page_id) AS "400"
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["violations_lineitem"] = _report(
@@ -400,7 +495,8 @@ def oracle_sql() -> dict[str, str]:
     """
     q["watermark_report_tpch"] = f"""
         SELECT e.entity, coalesce(strftime(w.watermark, '%Y-%m-%d'), '(never loaded)') AS watermark
-        FROM (VALUES ('customer'), ('documents'), ('events'), ('labels'), ('lineitem'), ('orders')) e(entity)
+        FROM (VALUES ('conversations'), ('customer'), ('documents'), ('events'), ('labels'), ('lineitem'),
+                     ('orders'), ('pages'), ('part'), ('supplier')) e(entity)
         LEFT JOIN (SELECT 'orders' AS entity, max(date_trunc('month', o_orderdate)) AS watermark FROM orders
                    WHERE strftime(o_orderdate, '%Y-%m') NOT IN ({_ORDERS_BAD_MONTHS})) w ON e.entity = w.entity
     """
@@ -445,4 +541,10 @@ def oracle_sql() -> dict[str, str]:
                      strftime(o_orderdate, '%Y') IN ({_ORDERS_VALID_YEARS}) AS ok
               FROM orders GROUP BY 1)
     """
+    q["violations_part"] = _report(_PART_META, f"SELECT {_PART_COUNTS} FROM part", "part", "1.0.0", [])
+    q["violations_supplier"] = _report(
+        _SUPPLIER_META, f"SELECT {_SUPPLIER_COUNTS} FROM supplier", "supplier", "1.0.0", [])
+    q["violations_conversations"] = _report(
+        _CONVERSATIONS_META, f"SELECT {_CONVERSATIONS_COUNTS} FROM conversations", "conversations", "1.0.0", [])
+    q["violations_pages"] = _report(_PAGES_META, f"SELECT {_PAGES_COUNTS} FROM pages", "pages", "1.0.0", [])
     return {k: v for k, v in q.items() if k in queries()}

@@ -110,6 +110,26 @@ def violations_labels_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate(df.withColumn("quality", text), tpch_contract("labels")).violations
 
 
+def violations_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern, minimum and maximum rules on parts."""
+    return validate(table(spark, sf_dir, "part"), tpch_contract("part")).violations
+
+
+def violations_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negative balances on suppliers."""
+    return validate(table(spark, sf_dir, "supplier"), tpch_contract("supplier")).violations
+
+
+def violations_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Allowed speakers and turn range; two-column key (conv_id, turn)."""
+    return validate(table(spark, sf_dir, "conversations"), tpch_contract("conversations")).violations
+
+
+def violations_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URL scheme and a pattern over every whole HTML document."""
+    return validate(table(spark, sf_dir, "pages"), tpch_contract("pages")).violations
+
+
 REGISTERED = [
     "violations_lineitem",
     "violations_lineitem_by_year",
@@ -125,4 +145,8 @@ REGISTERED = [
     "violations_events_by_day",
     "violations_documents",
     "violations_labels_text",
+    "violations_part",
+    "violations_supplier",
+    "violations_conversations",
+    "violations_pages",
 ]
