@@ -267,6 +267,11 @@ _ORDERS_BAD_MONTHS = """
         OR count(*) <> count(DISTINCT o_orderkey)
 """
 
+_ORDERS_LATEST_GOOD_MONTH = f"""
+    SELECT max(strftime(o_orderdate, '%Y-%m')) FROM orders
+    WHERE strftime(o_orderdate, '%Y-%m') NOT IN ({_ORDERS_BAD_MONTHS})
+"""
+
 _RAW_ORDERS = """
     SELECT *, strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month, '01' AS day,
            'orders.parquet' AS source_file
@@ -460,7 +465,7 @@ def oracle_sql() -> dict[str, str]:
     """
     q["raw_orders_month"] = f"""
         SELECT * FROM ({_RAW_ORDERS})
-        WHERE year = '1998' AND month = '10' AND '1998-10' NOT IN ({_ORDERS_BAD_MONTHS})
+        WHERE year || '-' || month = ({_ORDERS_LATEST_GOOD_MONTH})
     """
     q["relanded_orders"] = f"""
         SELECT * FROM ({_RAW_ORDERS}) WHERE year || '-' || month NOT IN ({_ORDERS_BAD_MONTHS})
@@ -515,7 +520,8 @@ def oracle_sql() -> dict[str, str]:
         FROM orders GROUP BY 1
     """
     q["watermark_set_then_advance"] = f"""
-        SELECT 'orders' AS entity, CAST(max(date_trunc('month', o_orderdate)) AS DATE) AS watermark
+        SELECT 'orders' AS entity,
+               coalesce(CAST(max(date_trunc('month', o_orderdate)) AS DATE), DATE '1990-01-01') AS watermark
         FROM orders WHERE strftime(o_orderdate, '%Y') = '1998'
           AND strftime(o_orderdate, '%Y-%m') NOT IN ({_ORDERS_BAD_MONTHS})
     """
@@ -531,9 +537,10 @@ def oracle_sql() -> dict[str, str]:
     """
     q["staged_from_raw_orders"] = f"""
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
-               o_orderpriority, 'orders.parquet' AS source_file, '1998' AS year, '10' AS month, '01' AS day
+               o_orderpriority, 'orders.parquet' AS source_file, strftime(o_orderdate, '%Y') AS year,
+               strftime(o_orderdate, '%m') AS month, '01' AS day
         FROM orders
-        WHERE strftime(o_orderdate, '%Y-%m') = '1998-10' AND '1998-10' NOT IN ({_ORDERS_BAD_MONTHS})
+        WHERE strftime(o_orderdate, '%Y-%m') = ({_ORDERS_LATEST_GOOD_MONTH})
     """
     q["stream_landed_orders_csv"] = f"""
         SELECT year, ok AS accepted, CAST(CASE WHEN ok THEN n ELSE 0 END AS BIGINT) AS landed_rows

@@ -21,7 +21,7 @@ from .batches import advance_from_gate, gate_by_day, load_events, with_batches
 from .ingest import ingest, stage
 from .tables import TPCH_CONTRACTS, table, tpch_contract
 
-_LANDED: dict[str, str] = {}
+_LANDED: dict[str, tuple] = {}
 
 
 def _orders_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,15 +59,31 @@ def _landed_orders(spark: SparkSession, sf_dir: str) -> str:
     process and input folder."""
     if sf_dir not in _LANDED:
         root = work_dir(spark, "orders-by-month", fresh=True)
-        gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders")
-        _LANDED[sf_dir] = root
-    return _LANDED[sf_dir]
+        gate = gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders")
+        _LANDED[sf_dir] = (root, gate)
+    return _LANDED[sf_dir][0]
+
+
+def _latest_accepted_month(spark: SparkSession, sf_dir: str) -> dt.date:
+    _landed_orders(spark, sf_dir)
+    return max(r["__day"] for r in _LANDED[sf_dir][1].accepted)
+
+
+_RAW_PARTS_SCHEMA = "year string, month string, day string, source_file string"
+
+
+def _empty_like(spark: SparkSession, df: DataFrame, extra: str) -> DataFrame:
+    """No rows, with the columns a zone scan would have returned."""
+    return spark.createDataFrame([], f"{', '.join(f'`{n}` {t}' for n, t in df.dtypes)}, {extra}")
 
 
 def raw_orders_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One month of the raw zone, read by partition (only that folder is listed)."""
+    """The latest accepted month of the raw zone, read by partition (only that
+    folder is listed)."""
     root = _landed_orders(spark, sf_dir)
-    return read_partitioned(spark, f"{root}/orders", {"year": "1998", "month": "10"})
+    month = _latest_accepted_month(spark, sf_dir)
+    df = read_partitioned(spark, f"{root}/orders", {"year": f"{month.year:04d}", "month": f"{month.month:02d}"})
+    return df if df is not None else _empty_like(spark, table(spark, sf_dir, "orders"), _RAW_PARTS_SCHEMA)
 
 
 def relanded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,11 +222,17 @@ def csv_load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_from_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stage job: one load date of the raw zone typed into the staged zone."""
+    """The stage job: one load date (the latest accepted month) of the raw zone
+    typed into the staged zone."""
     raw = _landed_orders(spark, sf_dir)
+    month = _latest_accepted_month(spark, sf_dir)
     staged_root = work_dir(spark, "orders-staged", fresh=True)
-    stage(spark, raw, staged_root, dt.date(1998, 10, 1), ["orders"], TPCH_CONTRACTS)
-    return read_staged(spark, staged_root, "orders", dt.date(1998, 10, 1))
+    stage(spark, raw, staged_root, month, ["orders"], TPCH_CONTRACTS)
+    df = read_staged(spark, staged_root, "orders", month)
+    if df is None:  # the month was rejected: nothing in raw, nothing staged
+        typed = apply_contract_types(table(spark, sf_dir, "orders"), tpch_contract("orders"))
+        df = _empty_like(spark, typed, "source_file string, year string, month string, day string")
+    return df
 
 
 def stream_landed_orders_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
