@@ -87,6 +87,12 @@ def list_source_files(spark: SparkSession, source_dir: str, entities: list[str]
         if entities and entity not in entities:
             continue
         out.append(SourceFile(entity, uri, name, fmt))
+    with_files = {f.entity for f in out}
+    for status in fs.listStatus(p):
+        name = str(status.getPath().getName())
+        if status.isDirectory() and not name.startswith(("_", ".")) and name not in with_files \
+                and (not entities or name in entities):
+            log.warning("ingest: no data files for entity %s", name)
     return sorted(out, key=lambda f: (f.entity, f.name))
 
 

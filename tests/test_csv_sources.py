@@ -133,3 +133,14 @@ def test_auto_mode_reads_only_quoted_newline_files_multiline(spark, tmp_path):
     rows = sorted((r["source_file"], r["a"], r["b"]) for r in read_raw(spark, str(tmp_path / "raw"), "ab", D).collect())
     assert rows == [("multi.csv", "4", "5"), ("multi.csv", "multi\nline", "3"),
                     ("plain.csv", "1", 'x "y"'), ("plain.csv", "2", "z")]
+
+
+def test_entity_without_files_is_warned(spark, tmp_path, caplog):
+    import logging
+    from contractgate.sources.files import list_source_files
+    src = source(tmp_path, "f.csv", "a,b\n")
+    (tmp_path / "src" / "empty").mkdir()
+    with caplog.at_level(logging.WARNING, logger="contractgate.sources"):
+        files = list_source_files(spark, src)
+    assert [f.entity for f in files] == ["ab"]
+    assert "no data files for entity empty" in caplog.text
