@@ -276,11 +276,15 @@ def stage(
     load_date: dt.date | str,
     entities: list[str] | None = None,
     contracts_dir: str | Path | None = None,
+    report_coercions: bool = True,
 ) -> list[dict]:
     """Type one day of raw data per entity and write it to the staged zone.
 
     The staged partition of a day is the union of all raw files of that day.
-    Returns one stage-manifest row per source file.
+    Returns one stage-manifest row per source file. ``report_coercions`` adds
+    the count of values typing turned into null, per column; it re-reads the
+    contracted columns of the day, while the row counts alone need only Parquet
+    metadata.
     """
     load_date = as_date(load_date)
     names = entities or available_contracts(contracts_dir)
@@ -295,7 +299,7 @@ def stage(
         write_staged(typed, staged_root, entity, load_date)
         target = partitioned_key(entity, load_date, "")
         # rows and silently coerced values per source file, in one aggregate
-        coerced = coercion_exprs(raw, contract, prefix="coerced:")
+        coerced = coercion_exprs(raw, contract, prefix="coerced:") if report_coercions else []
         counts = (
             raw.groupBy(SOURCE_FILE)
             .agg(F.count(F.lit(1)).alias("rows"), *coerced)
