@@ -98,38 +98,41 @@ def read_parquet_files(spark: SparkSession, paths: list[str], with_source: bool
 
 
 def read_partitioned(spark: SparkSession, base: str, parts: dict[str, str] | None = None,
-                     fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame | None:
+                     fmt: str = "parquet", partition_columns: list[str] | None = None) -> DataFrame | None:
     """Scan a Hive-partitioned table with string partition values.
 
     With ``parts`` only that partition directory is listed (``basePath`` keeps
-    the partition columns). Returns None when the path does not exist.
+    the partition columns). Partition columns are declared as strings in an
+    explicit schema, so ``month=03`` stays the text "03" (no session setting is
+    changed). Returns None when the path does not exist.
     """
     path = partition_path(base, parts) if parts else base
     if not path_exists(spark, path):
         return None
-    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")  # keep month=03 as the text "03"
-    try:
-        reader = spark.read.format(fmt).option("basePath", base)
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.load(path)
-    finally:
-        spark.conf.set(key, before)
+    probe = spark.read.format(fmt).option("basePath", base).load(path)
+    names = set(partition_columns or RAW_PARTS) | set(_partition_names(base, path))
+    data = [f for f in probe.schema.fields if f.name not in names]
+    found = [n for n in probe.columns if n in names]
+    schema = T.StructType(data + [T.StructField(n, T.StringType(), True) for n in found])
+    return spark.read.format(fmt).option("basePath", base).schema(schema).load(path)
+
+
+def _partition_names(base: str, path: str) -> list[str]:
+    rel = path[len(base):].strip("/")
+    return [seg.split("=", 1)[0] for seg in rel.split("/") if "=" in seg] if rel else []
 
 
 def read_raw(spark: SparkSession, root: str, entity: str, load_date: dt.date | str | None = None,
              dead_letter: bool = False) -> DataFrame | None:
     """The raw (or dead-letter) zone of an entity, or one day of it."""
     parts = date_parts(load_date) if load_date is not None else None
-    return read_partitioned(spark, entity_root(root, entity, dead_letter), parts)
+    return read_partitioned(spark, entity_root(root, entity, dead_letter), parts, partition_columns=RAW_PARTS)
 
 
 def read_staged(spark: SparkSession, staged_root: str, entity: str,
                 load_date: dt.date | str | None = None) -> DataFrame | None:
     parts = date_parts(load_date) if load_date is not None else None
-    return read_partitioned(spark, f"{staged_root}/{entity}", parts)
+    return read_partitioned(spark, f"{staged_root}/{entity}", parts, partition_columns=DATE_PARTS)
 
 
 __all__ = [
