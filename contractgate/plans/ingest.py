@@ -44,6 +44,9 @@ from ..sources.scans import (
 
 log = logging.getLogger("contractgate.jobs")
 
+# header / schema groups validated per Spark job
+GROUPS_PER_JOB = 64
+
 LOAD_MANIFEST_SCHEMA = T.StructType([
     T.StructField("entity", T.StringType()),
     T.StructField("source_file", T.StringType()),
@@ -167,11 +170,14 @@ def _validate_groups(spark: SparkSession, groups: list[_Group], multi_line) -> l
             F.lit(g.entity).alias("entity"), SOURCE_FILE, "row_count", "is_valid", "n_violations", "manifest_json"))
         g.rules = v.rules
     rows = []
-    if frames:
-        union = frames[0]
-        for f in frames[1:]:
+    # many header groups (schema drift) are validated in a few jobs of bounded
+    # plan size rather than one union of every group
+    for start in range(0, len(frames), GROUPS_PER_JOB):
+        chunk = frames[start:start + GROUPS_PER_JOB]
+        union = chunk[0]
+        for f in chunk[1:]:
             union = union.unionByName(f)
-        rows = [r.asDict() for r in union.collect()]
+        rows.extend(r.asDict() for r in union.collect())
     seen = {(r["entity"], r[SOURCE_FILE]) for r in rows}
     for g in groups:
         empty = empty_batch_manifest(g.contract, g.rules)

@@ -144,3 +144,13 @@ def test_entity_without_files_is_warned(spark, tmp_path, caplog):
         files = list_source_files(spark, src)
     assert [f.entity for f in files] == ["ab"]
     assert "no data files for entity empty" in caplog.text
+
+
+def test_many_header_groups_in_chunked_jobs(spark, tmp_path, monkeypatch):
+    import contractgate.plans.ingest as ing
+    monkeypatch.setattr(ing, "GROUPS_PER_JOB", 1)
+    source(tmp_path, "f1.csv", "a,b\n1,x\n")
+    source(tmp_path, "f2.csv", "b,a\ny,2\n")
+    src = source(tmp_path, "f3.csv", "a,b,c\n1,2,3\n")
+    out = ingest(spark, src, str(tmp_path / "raw"), D, contracts_dir=contracts_dir(tmp_path), advance_watermark=False)
+    assert [(m["source_file"], m["accepted"]) for m in out.manifest] == [("f1.csv", True), ("f2.csv", True), ("f3.csv", False)]
