@@ -230,11 +230,25 @@ def ingest_files(
             g.needs_multi_line = needs
     verdicts = {(r["entity"], r[SOURCE_FILE]): r for r in _validate_groups(spark, groups, multi_line)}
 
+    # accepted CSV files hold exactly the contract's columns as text, whatever
+    # their header order: one landing write per entity for all their groups
+    merged_csv: dict[str, list] = {}
     for g in groups:
         ok = [f for f in g.files if verdicts[(g.entity, f.name)]["is_valid"]]
-        bad = [f for f in g.files if not verdicts[(g.entity, f.name)]["is_valid"]]
-        if ok:
+        if ok and g.fmt == "csv":
+            merged_csv.setdefault(g.entity, []).append((g, ok))
+        elif ok:
             _land_files(spark, g, ok, raw_root, load_date, multi_line, verdicts, dead_letter=False)
+    for entity, parts in merged_csv.items():
+        frames = [g.scan(spark, multi_line, ok).drop(EXTRA) for g, ok in parts]
+        df = frames[0]
+        for f in frames[1:]:
+            df = df.unionByName(f)
+        landed = [f for _, ok in parts for f in ok]
+        _land_frame(spark, df, entity, landed, raw_root, load_date, verdicts, dead_letter=False)
+
+    for g in groups:
+        bad = [f for f in g.files if not verdicts[(g.entity, f.name)]["is_valid"]]
         if bad:
             _land_files(spark, g, bad, raw_root, load_date, multi_line, verdicts, dead_letter=True)
             rows = [(verdicts[(g.entity, f.name)]["manifest_json"], f.name) for f in bad]
@@ -259,17 +273,22 @@ def ingest_files(
     return outcome
 
 
-def _land_files(spark, g: _Group, files: list[SourceFile], root: str, load_date: dt.date, multi_line: bool,
+def _land_files(spark, g: _Group, files: list[SourceFile], root: str, load_date: dt.date, multi_line,
                 verdicts: dict, dead_letter: bool) -> None:
     df = g.scan(spark, multi_line, files)
     if g.fmt == "csv" and not dead_letter:
         df = df.drop(EXTRA)  # accepted files have no extra fields
-    nonempty = [f for f in files if verdicts[(g.entity, f.name)]["row_count"] > 0]
+    _land_frame(spark, df, g.entity, files, root, load_date, verdicts, dead_letter)
+
+
+def _land_frame(spark, df: DataFrame, entity: str, files: list[SourceFile], root: str, load_date: dt.date,
+                verdicts: dict, dead_letter: bool) -> None:
+    nonempty = [f for f in files if verdicts[(entity, f.name)]["row_count"] > 0]
     if nonempty:
-        land(df, root, g.entity, load_date, SOURCE_FILE, dead_letter=dead_letter)
-    base = entity_root(root, g.entity, dead_letter)
+        land(df, root, entity, load_date, SOURCE_FILE, dead_letter=dead_letter)
+    base = entity_root(root, entity, dead_letter)
     for f in files:
-        if verdicts[(g.entity, f.name)]["row_count"] == 0:
+        if verdicts[(entity, f.name)]["row_count"] == 0:
             # zero rows: replace whatever an earlier load left at this key
             parts = {**date_parts(load_date), "source_file": f.name}
             replace_with_empty(spark, df.drop(SOURCE_FILE).schema, partition_path(base, parts))
