@@ -4,6 +4,7 @@
     python -m contractgate stage  --raw RAW --staged STAGED --date 2024-03-15 [--entities a b]
     python -m contractgate run    --source SRC --raw RAW --staged STAGED --date 2024-03-15
     python -m contractgate watermarks --raw RAW
+    python -m contractgate compact --raw RAW
     python -m contractgate lint [--contracts DIR]
 
 ``--contracts DIR`` selects another contract folder (default: the packaged bank
@@ -76,6 +77,17 @@ def cmd_watermarks(args) -> int:
     return 0
 
 
+def cmd_compact(args) -> int:
+    """Rewrite the watermark and load-log tables into one file each."""
+    from .operators.state import LoadLog, WatermarkStore
+
+    spark = _session(args)
+    WatermarkStore(spark, args.raw).compact()
+    LoadLog(spark, args.raw).compact()
+    print("compacted watermarks and load log")
+    return 0
+
+
 def cmd_lint(args) -> int:
     """Check the contracts themselves (no Spark needed)."""
     bad = 0
@@ -129,6 +141,10 @@ def main(argv: list[str] | None = None) -> int:
     w.add_argument("--entities", nargs="*", default=None)
     w.set_defaults(func=cmd_watermarks)
 
+    c = sub.add_parser("compact", help="rewrite the state tables into one file each (no load running)")
+    c.add_argument("--raw", required=True)
+    c.set_defaults(func=cmd_compact)
+
     lt = sub.add_parser("lint", help="check the contracts themselves")
     lt.set_defaults(func=cmd_lint)
 

@@ -289,3 +289,26 @@ def test_empty_parquet_file_is_quarantined(spark, good_customers, tmp_path):
     out = ingest(spark, src, str(tmp_path / "raw"), D, advance_watermark=False)
     got = {m["source_file"]: (m["accepted"], m["rows"]) for m in out.manifest}
     assert got == {"a.parquet": (True, 2), "z.parquet": (False, 0)}
+
+
+def test_state_tables_compact_to_the_same_answers(spark, tmp_path):
+    from contractgate.operators.state import LoadLog
+    root = str(tmp_path / "raw")
+    store = WatermarkStore(spark, root)
+    store.set("a", dt.date(2024, 1, 5))
+    for d in (3, 9, 7):
+        store.advance("a", dt.date(2024, 1, d))
+    store.advance("b", dt.date(2023, 5, 1))
+    before = sorted(tuple(r) for r in store.current().collect())
+    store.compact()
+    assert sorted(tuple(r) for r in store.current().collect()) == before
+    assert store.events().count() == 2 and len(store.events().inputFiles()) == 1
+    assert store.advance("a", dt.date(2024, 1, 8)) == dt.date(2024, 1, 9)  # still forward only
+
+    log = LoadLog(spark, root)
+    lid = log.start("p", "t")
+    log.finish(lid, 5)
+    log.start("p", "t2")
+    status = sorted((r["status"], r["rows_loaded"]) for r in log.status().collect())
+    log.compact()
+    assert sorted((r["status"], r["rows_loaded"]) for r in log.status().collect()) == status
