@@ -27,6 +27,20 @@ def maybe_broadcast(df: DataFrame, known_rows: int | None, max_rows: int = MAX_B
     return df
 
 
+def semi_join(df: DataFrame, keys: DataFrame, batch: list[str], how: str = "left_semi") -> DataFrame:
+    """``left_semi`` / ``left_anti`` on the batch columns with null-safe
+    equality: a batch whose key is null (e.g. rows without a date) is routed
+    like any other, never dropped. Both sides get uniquely named key columns,
+    so a verdict table derived from ``df`` itself resolves without ambiguity."""
+    left = df.withColumns({f"__l{i}": F.col(f"`{b}`") for i, b in enumerate(batch)})
+    right = keys.select(*[F.col(f"`{b}`").alias(f"__k{i}") for i, b in enumerate(batch)])
+    cond = None
+    for i in range(len(batch)):
+        c = F.col(f"__l{i}").eqNullSafe(F.col(f"__k{i}"))
+        cond = c if cond is None else cond & c
+    return left.join(right, on=cond, how=how).drop(*[f"__l{i}" for i in range(len(batch))])
+
+
 def route(df: DataFrame, verdicts: DataFrame, batch: list[str], known_batches: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Split ``df`` into (accepted, rejected) rows by the verdict of its batch.
 
@@ -34,6 +48,4 @@ def route(df: DataFrame, verdicts: DataFrame, batch: list[str], known_batches: i
     """
     valid = verdicts.where(F.col("is_valid")).select(*batch)
     valid = maybe_broadcast(valid, known_batches)
-    accepted = df.join(valid, on=batch, how="left_semi")
-    rejected = df.join(valid, on=batch, how="left_anti")
-    return accepted, rejected
+    return semi_join(df, valid, batch, "left_semi"), semi_join(df, valid, batch, "left_anti")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.contract import Contract
-from ..operators.route import maybe_broadcast
+from ..operators.route import maybe_broadcast, semi_join
 from ..operators.state import LOAD_LOG_SCHEMA, WatermarkStore
 from ..operators.validate import validate
 from ..sinks.zones import land, write_manifests
@@ -58,11 +58,11 @@ def gate_by_day(spark: SparkSession, df: DataFrame, contract: Contract, raw_root
 
     if gate.accepted:
         ok = maybe_broadcast(keyed(gate.accepted), len(gate.accepted))
-        accepted = df.join(ok, on=keys, how="left_semi")
+        accepted = semi_join(df, ok, keys)
         land(accepted, raw_root, entity, F.col(DAY), SOURCE_FILE, rebalance=True, drop=[DAY])
     if gate.rejected and write_dead_letter:
         bad = maybe_broadcast(keyed(gate.rejected), len(gate.rejected))
-        rejected = df.join(bad, on=keys, how="left_semi")
+        rejected = semi_join(df, bad, keys)
         land(rejected, raw_root, entity, F.col(DAY), SOURCE_FILE, dead_letter=True, rebalance=True, drop=[DAY])
         man = spark.createDataFrame(
             [(r[DAY], r[SOURCE_FILE], r["entity"], r["contract_version"], r["row_count"], r["is_valid"],

@@ -312,3 +312,24 @@ def test_state_tables_compact_to_the_same_answers(spark, tmp_path):
     status = sorted((r["status"], r["rows_loaded"]) for r in log.status().collect())
     log.compact()
     assert sorted((r["status"], r["rows_loaded"]) for r in log.status().collect()) == status
+
+
+def test_rows_with_a_null_batch_key_are_routed_not_dropped(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from contractgate.operators.contract import Contract
+    from contractgate.operators.route import route
+    from contractgate.operators.validate import validate
+    from contractgate.plans.batches import gate_by_day, with_batches
+    c = Contract.from_dict({"entity": "t", "version": "1", "columns": [{"name": "v", "type": "integer", "max": 5},
+                                                                      {"name": "d"}]})
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, None), (9, "2024-01-02"), (3, None)], "v int, d string")
+    batched = df.withColumn("b", F.col("d"))
+    v = validate(batched, c, ["b"])
+    acc, rej = route(batched, v.verdicts, ["b"])
+    assert acc.count() + rej.count() == 4 and acc.count() == 3
+    raw = str(tmp_path / "raw")
+    gate = gate_by_day(spark, with_batches(df, F.to_date("d"), F.lit("t.csv")), c, raw, "t")
+    from contractgate.sources.scans import read_raw
+    assert read_raw(spark, raw, "t").count() == 3
+    assert read_raw(spark, raw, "t", dead_letter=True).count() == 1
+    assert len(gate.verdicts) == 3
