@@ -80,7 +80,8 @@ def validate(
     no rows (a header-only file); their counts are zero.
     """
     batch = list(batch or [])
-    internal = set(batch) | ({extra_column} if extra_column else set())
+    # batch columns are pipeline identifiers, unless the contract names them
+    internal = {b for b in batch if b not in contract.names} | ({extra_column} if extra_column else set())
     if actual is None:
         actual = [c for c in df.columns if c not in internal]
     data_schema = T.StructType([f for f in df.schema.fields if f.name not in internal or f.name == extra_column])
@@ -88,6 +89,7 @@ def validate(
 
     keys = batch if batch else [_DUMMY]
     qkeys = [_q(k) for k in keys]
+    kcols = [F.col(k) for k in qkeys]  # quoted: names may contain dots
     src = df if batch else df.withColumn(_DUMMY, F.lit(1))
 
     counters = [(ROWS, F.count(F.lit(1)))]
@@ -107,16 +109,16 @@ def validate(
 
     parts = []
     for chunk in _chunks(counters, rules):
-        rule_counts = src.groupBy(*keys).agg(*[e.alias(n) for n, e in chunk])
+        rule_counts = src.groupBy(*kcols).agg(*[e.alias(n) for n, e in chunk])
         parts.append(padded(rule_counts, {n for n, _ in chunk}))
     if pk is not None:
         qpk = [_q(k) for k in pk]
         dup = (
             src.selectExpr(*qkeys, *qpk)
-            .groupBy(*keys, *pk)
+            .groupBy(*kcols, *[F.col(k) for k in qpk])
             .agg(F.count(F.lit(1)).alias("__n"))
             .where("__n > 1")
-            .groupBy(*keys)
+            .groupBy(*kcols)
             .agg(F.expr("sum(__n - 1)").alias("__dups"))
         )
         parts.append(padded(dup, {"__dups"}))
@@ -131,7 +133,7 @@ def validate(
         union = parts[0]
         for p in parts[1:]:
             union = union.unionByName(p)
-        counts = union.groupBy(*keys).agg(*[F.expr(f"CAST(sum({n}) AS BIGINT)").alias(n) for n in names])
+        counts = union.groupBy(*kcols).agg(*[F.expr(f"CAST(sum({n}) AS BIGINT)").alias(n) for n in names])
 
     # rule metadata as SQL text over the one-row-per-batch counter table
     items = []

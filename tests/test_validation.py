@@ -284,3 +284,16 @@ def test_counts_do_not_depend_on_file_split(spark, tmp_path):
     a = {(r["ordinal"], r["failing_rows"]) for r in validate(df, tpch_contract("lineitem")).violations.collect()}
     b = {(r["ordinal"], r["failing_rows"]) for r in validate(split, tpch_contract("lineitem")).violations.collect()}
     assert a == b
+
+
+def test_odd_column_names_and_batch_in_contract(spark):
+    c = Contract.from_dict({"entity": "t", "version": "1", "primary_key": ["a.b"],
+                            "columns": [{"name": "a.b", "type": "integer", "max": 5}, {"name": "d", "nullable": False}]})
+    df = spark.createDataFrame([(1, "x"), (1, "x"), (9, None)], "`a.b` int, d string").withColumn("x.y", F.lit("k"))
+    rows = validate(df, c, ["x.y"]).violations.orderBy("ordinal").collect()
+    assert [(r["check"], r["column"], r["failing_rows"]) for r in rows] == [
+        ("domain", "a.b", 1), ("nullability", "d", 1), ("uniqueness", "a.b", 1)]
+    # a contract column used as the batch key is still checked, not reported missing
+    rows = validate(df.drop("x.y"), c, ["d"]).violations.collect()
+    assert not any(r["check"] == "schema" for r in rows)
+    assert sum(r["failing_rows"] for r in rows if r["check"] == "nullability") == 1
