@@ -66,3 +66,15 @@ def test_raw_day_scan_lists_only_that_day(spark, good_customers, tmp_path):
     assert df.count() == 2
     assert all("/year=2024/month=03/day=16/" in f for f in df.inputFiles())
     assert {r["day"] for r in df.select("day").distinct().collect()} == {"16"}
+
+
+def test_file_batch_landing_has_no_shuffle(spark, tmp_path, capsys):
+    from pyspark.sql import functions as F
+    from contractgate.sinks.zones import date_part_columns
+    from contractgate.sources.scans import read_csv_strict
+    p = tmp_path / "f.csv"
+    p.write_text("a,b\n1,2\n3,4\n")
+    df = read_csv_strict(spark, [str(p)], ["a", "b"], multi_line=False).drop("_extra")
+    out = df.withColumns({**date_part_columns("2024-03-15"), "source_file": F.col("source_file")})
+    text = plan(out, capsys)
+    assert "Exchange" not in text
