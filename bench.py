@@ -122,10 +122,10 @@ def main():
     # the ingest job end to end over the same CSV files laid out as <src>/orders/<file>.csv
     from contractgate.plans.ingest import ingest, stage
     from contractgate.plans.tables import TPCH_CONTRACTS
-    from contractgate.sources.files import _fs
+    from contractgate.sources.files import hadoop_fs
     src = f"{csv_root}/src"
     jvm = spark._jvm
-    _, fs = _fs(spark, src)
+    _, fs = hadoop_fs(spark, src)
     fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{src}/orders"))
     for i, path in enumerate(csv_paths):
         fs.rename(jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{src}/orders/orders_{i:03d}.csv"))
@@ -141,7 +141,7 @@ def main():
     for col in relaxed["columns"]:
         col.pop("max", None)
     relaxed_dir = work_dir(spark, "bench-contracts", fresh=True)
-    _, cfs = _fs(spark, relaxed_dir)
+    _, cfs = hadoop_fs(spark, relaxed_dir)
     out = cfs.create(jvm.org.apache.hadoop.fs.Path(f"{relaxed_dir}/orders.json"))
     out.write(bytearray(json.dumps(relaxed).encode()))
     out.close()

@@ -14,7 +14,7 @@ from ..operators.project import apply_contract_types, coercion_counts
 from ..operators.state import LoadLog, WatermarkStore, stale_loads, watermark_report
 from ..operators.validate import validate
 from ..session import work_dir
-from ..sources.files import _fs
+from ..sources.files import hadoop_fs
 from ..sources.scans import read_partitioned, read_raw, read_staged
 from ..sinks.zones import manifest_root
 from .batches import advance_from_gate, gate_by_day, load_events, with_batches
@@ -156,7 +156,7 @@ def _orders_csv_source(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     )
     text.write.partitionBy("year").option("header", "true").csv(tmp)
     # move each part file into <src>/orders/orders_<year>_<n>.csv
-    tmp_path, fs = _fs(spark, tmp)
+    tmp_path, fs = hadoop_fs(spark, tmp)
     jvm = spark._jvm
     fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{src}/orders"))
     for year_dir in fs.listStatus(tmp_path):
@@ -191,7 +191,8 @@ def csv_orders_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def watermark_set_then_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Advance per accepted month, rewind with ``set``, then advance with the
-    accepted months of 1998 only: the watermark is the last of those."""
+    accepted months of 1998 only: the watermark is the latest of those, or the
+    rewound value when 1998 has none."""
     root = work_dir(spark, "orders-watermark-rewind", fresh=True)
     gate = gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders",
                        write_dead_letter=False)

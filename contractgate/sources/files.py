@@ -40,14 +40,14 @@ class SourceFile:
     size: int = -1
 
 
-def _fs(spark: SparkSession, path: str):
+def hadoop_fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, path)
+    p, fs = hadoop_fs(spark, path)
     return bool(fs.exists(p))
 
 
@@ -63,7 +63,7 @@ def list_source_files(spark: SparkSession, source_dir: str, entities: list[str]
     ``binaryFile`` relation (no file is read); a 0-byte file is listed too.
     """
     base = source_dir.rstrip("/")
-    p, fs = _fs(spark, base)
+    p, fs = hadoop_fs(spark, base)
     if not fs.exists(p):
         raise FileNotFoundError(f"source directory not found: {source_dir}")
     uris = (
@@ -97,13 +97,13 @@ def list_source_files(spark: SparkSession, source_dir: str, entities: list[str]
 
 
 def _qualify(spark: SparkSession, path: str) -> str:
-    p, fs = _fs(spark, path)
+    p, fs = hadoop_fs(spark, path)
     return str(fs.makeQualified(p).toUri().toString())
 
 
 def _read_prefix(spark: SparkSession, path: str) -> bytes:
     """Bytes from the start of a file up to the end of its first CSV record."""
-    p, fs = _fs(spark, path)
+    p, fs = hadoop_fs(spark, path)
     stream = fs.open(p)
     try:
         buf = bytearray()
@@ -211,7 +211,7 @@ def _normal(uri: str) -> str:
 def parquet_schema(spark: SparkSession, path: str) -> tuple[list[str], str]:
     """(column names, schema text) from a Parquet footer."""
     jvm = spark._jvm
-    p, _ = _fs(spark, path)
+    p, _ = hadoop_fs(spark, path)
     jfile = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(p, spark._jsc.hadoopConfiguration())
     reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jfile)
     try:
@@ -228,7 +228,7 @@ def file_columns(spark: SparkSession, files: list[SourceFile]) -> dict[str, tupl
         if f.fmt == "csv":
             names = csv_header(spark, f.path)
             return f.path, (names, "csv:" + "\x1f".join(names))
-        p, fs = _fs(spark, f.path)
+        p, fs = hadoop_fs(spark, f.path)
         if fs.getFileStatus(p).getLen() == 0:
             return f.path, ([], "parquet:<empty>")
         names, text = parquet_schema(spark, f.path)
