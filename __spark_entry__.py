@@ -26,6 +26,16 @@ if _HERE not in sys.path:
 
 from contractgate.plans import checks, zone_checks  # noqa: E402
 
+try:  # the training-data operators are an optional part of the package
+    from contractgate.llm import registry as _llm
+except ImportError:
+    _llm = None
+
+try:
+    import corpus_pipeline as _pipeline
+except ImportError:
+    _pipeline = None
+
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -37,6 +47,10 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: getattr(checks, name) for name in checks.REGISTERED}
     out.update({name: getattr(zone_checks, name) for name in zone_checks.REGISTERED})
+    if _llm is not None:
+        out.update(_llm.QUERIES)
+    if _pipeline is not None:
+        out["pipeline"] = _pipeline.run
     return out
 
 
@@ -554,4 +568,8 @@ def oracle_sql() -> dict[str, str]:
     q["violations_conversations"] = _report(
         _CONVERSATIONS_META, f"SELECT {_CONVERSATIONS_COUNTS} FROM conversations", "conversations", "1.0.0", [])
     q["violations_pages"] = _report(_PAGES_META, f"SELECT {_PAGES_COUNTS} FROM pages", "pages", "1.0.0", [])
+    if _llm is not None:
+        q.update(_llm.ORACLE_SQL)
+    if _pipeline is not None and _pipeline.ORACLE_SQL is not None:
+        q["pipeline"] = _pipeline.ORACLE_SQL
     return {k: v for k, v in q.items() if k in queries()}
