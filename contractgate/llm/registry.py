@@ -3,10 +3,48 @@
 from __future__ import annotations
 
 import public_tokenizers as tokenizers_of
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, token_count
-from .common import table
+from . import exact_dedup, mixing, packing, secret_scan, subword_classifier, token_count, toxicity
+from .common import crc_fold, table
+
+
+# Fixed settings of the mixture: which source belongs to which domain, and the weights (others: 1).
+DOMAIN = "CASE WHEN source = 'src0' THEN 'web' WHEN length(source) = 4 THEN 'books' ELSE 'forums' END"
+MIX = {"weights": {"domain": {"web": 5, "books": 3, "forums": 2}, "lang": {"en": 6, "de": 2}},
+       "percent": 60, "max_epochs": 4, "seed": 20}
+
+
+def op2_progressive_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), digest_all=True)
+
+
+def op8_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), F.expr(DOMAIN), **MIX)
+    return mixed.select("doc_id", *[F.col(f"mix_{n}").alias(n) for n in mixing.LEVELS],
+                        mixing.word_count().alias("tokens"), F.col("mix_copies").alias("copies"))
+
+
+def op9_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
+
+
+def _judged(scored: DataFrame, held_out: Column) -> DataFrame:
+    return scored.select(F.col("doc_id"), held_out.alias("held_out"), F.col("score"),
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def op4_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), crc_fold("doc_id", 3) == 1
+    model = subword_classifier.fit(docs, table(spark, sf_dir, "labels"), "quality", keep=~held_out)
+    return _judged(subword_classifier.score(docs.select("doc_id", "text"), model), held_out)
+
+
+def op5_pattern_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), crc_fold("doc_id", 5) == 0
+    grammar = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", keep=~held_out)
+    return _judged(toxicity.score(docs.select("doc_id", "text"), grammar), held_out)
 
 
 def op7_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +58,9 @@ def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizers_of.path("piece_bpe_32k.model"), limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op7_best_two_fit, op10_piece_counts)}
+QUERIES = {f.__name__: f for f in (op2_progressive_dedup, op4_subword_quality, op5_pattern_toxicity, op7_best_two_fit, op8_hierarchical_mix, op9_entropy_secrets, op10_piece_counts)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_progressive_dedup": exact_dedup.ORACLE,
+    "op8_hierarchical_mix": mixing.oracle(DOMAIN, **MIX),
+}
