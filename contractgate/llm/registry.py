@@ -6,7 +6,7 @@ import public_tokenizers as tokenizers_of
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, secret_scan, subword_classifier, token_count, toxicity
+from . import exact_dedup, mixing, nearest, packing, secret_scan, subword_classifier, token_count, toxicity
 from .common import crc_fold, table
 
 
@@ -20,6 +20,10 @@ def op2_progressive_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op3_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op8_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), F.expr(DOMAIN), **MIX)
     return mixed.select("doc_id", *[F.col(f"mix_{n}").alias(n) for n in mixing.LEVELS],
@@ -58,7 +62,7 @@ def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizers_of.path("piece_bpe_32k.model"), limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op2_progressive_dedup, op4_subword_quality, op5_pattern_toxicity, op7_best_two_fit, op8_hierarchical_mix, op9_entropy_secrets, op10_piece_counts)}
+QUERIES = {f.__name__: f for f in (op2_progressive_dedup, op3_cross_polytope, op4_subword_quality, op5_pattern_toxicity, op7_best_two_fit, op8_hierarchical_mix, op9_entropy_secrets, op10_piece_counts)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_progressive_dedup": exact_dedup.ORACLE,

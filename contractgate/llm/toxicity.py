@@ -12,8 +12,9 @@ they stand in.
 
 What is learned, from a bounded sample of labelled rows (``sample_per_class``
 documents of each class, by the smallest hash of their id; whole texts): the
-insult lexicon (whole words and word beginnings that occur in toxic documents
-far more often than in others, with their log odds as weights) and the weight
+insult lexicon (whole words and word beginnings that make up a far larger share
+of the words of toxic documents than of others, with their log odds as
+weights) and the weight
 of each kind of match. Cue words of the other symbols are fixed.
 
 Defined cases: a null or empty text matches nothing and gets the score of the
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import materialise, text_of
 
 _WORD = re.compile(r"[^\W\d_]+")
 _CLAUSE_END = re.compile(r"[.!?;\n]")
@@ -158,45 +159,56 @@ def _inputs(found: dict[str, float], words: int) -> list[float]:
 _INPUTS = (*KINDS, "share")
 
 
-def _stems(text: str, lengths: tuple[int, ...]) -> set[str]:
-    words = set(_WORD.findall(text.lower()))
-    return words | {w[:n] + "*" for w in words for n in lengths if len(w) > n}
+def _stems(text: str, lengths: tuple[int, ...], most: int = 4) -> Counter:
+    """Words and word beginnings of a text with their numbers, each at most ``most``."""
+    words, out = Counter(_WORD.findall(text.lower())), Counter()
+    for w, n in words.items():
+        out[w] += n
+        for size in lengths:
+            if len(w) > size:
+                out[w[:size] + "*"] += n
+    return Counter({w: min(n, most) for w, n in out.items()})
 
 
-def learn_insults(sample: DataFrame, least: int = 8, ratio: float = 12.0, most: int = 20_000,
-                  lengths: tuple[int, ...] = (4, 5, 6)) -> dict[str, float]:
+def learn_insults(sample: DataFrame, least: int = 8, ratio: float = 8.0, most: int = 20_000,
+                  lengths: tuple[int, ...] = (4, 5, 6, 7, 8)) -> dict[str, float]:
     """Words and beginnings found in at least ``least`` toxic sample documents and
-    ``ratio`` times as often as in others; the ``most`` heaviest, with log odds."""
+    ``ratio`` times as often (per word of text) as in others; the ``most``
+    heaviest, with log odds."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic, clean = Counter(), Counter()
+        docs, seen = Counter(), (Counter(), Counter())
         for batch in batches:
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                (toxic if y else clean).update(_stems(text.as_py(), lengths))
-        rows = [(w, toxic[w], clean[w]) for w in toxic.keys() | clean.keys()]
+                found = _stems(text.as_py(), lengths)
+                seen[y].update(found)
+                seen[y][""] += len(text.as_py())
+                if y:
+                    docs.update(found.keys())
+        rows = [(w, docs[w], seen[1][w], seen[0][w]) for w in seen[0].keys() | seen[1].keys()]
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["word", "toxic", "clean"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["word", "docs", "toxic", "clean"])
 
-    counted = sample.select("y", "text").mapInArrow(count, "word string, toxic bigint, clean bigint")
-    n = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(n) < 2:
+    counted = (sample.select("y", "text").mapInArrow(count, "word string, docs bigint, toxic bigint, clean bigint")
+               .groupBy("word").agg(*[F.sum(c).alias(c) for c in ("docs", "toxic", "clean")]))
+    counted = materialise(counted.where((F.col("docs") >= least) | (F.col("word") == "")), "insults")
+    size = counted.where("word = ''").collect()  # characters of each class: one row
+    if not size or not size[0].toxic or not size[0].clean:
         return {}
-    odds = (F.col("toxic") + 0.5) / (n[1] + 1) / ((F.col("clean") + 0.5) / (n[0] + 1))
-    found = (counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-             .where((F.col("toxic") >= least) & (odds >= ratio))
+    odds = ((F.col("toxic") + 0.5) / size[0].toxic) / ((F.col("clean") + 0.5) / size[0].clean)
+    found = (counted.where((F.col("word") != "") & (odds >= ratio))
              .select("word", F.log(odds).alias("weight")).orderBy(F.desc("weight"), "word").limit(most).collect())
     return {r.word: r.weight for r in found}
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 3000, rate: float = 0.3, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Full-batch gradient descent, classes weighted alike."""
+    """Full-batch gradient descent on standardised inputs."""
     w, b = np.zeros(x.shape[1]), 0.0
     scale = np.maximum(x.std(axis=0), 1e-6)
     z = x / scale
-    share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ w + b, -60, 60)))
-        g = share * (p - y)
+        g = (p - y) / len(y)
         w -= rate * (z.T @ g + decay * w)
         b -= rate * g.sum()
     return w / scale, b
