@@ -6,8 +6,8 @@ import public_tokenizers as tokenizers_of
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, nearest, packing, secret_scan, subword_classifier, token_count, toxicity
-from .common import crc_fold, table
+from . import exact_dedup, line_dedup, mixing, near_dup, nearest, packing, secret_scan, subword_classifier, token_count, toxicity
+from .common import crc_fold, ship, table
 
 
 # Fixed settings of the mixture: which source belongs to which domain, and the weights (others: 1).
@@ -16,6 +16,10 @@ MIX = {"weights": {"domain": {"web": 5, "books": 3, "forums": 2}, "lang": {"en":
        "percent": 60, "max_epochs": 4, "seed": 20}
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+
+
 def op2_progressive_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), digest_all=True)
 
@@ -51,18 +55,28 @@ def op5_pattern_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.score(docs.select("doc_id", "text"), grammar), held_out)
 
 
-def op7_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.best_fit_pack(
-        table(spark, sf_dir, "documents"), tokenizers_of.path("byte_bpe_50k.json"), capacity=1024, end_id=2,
+def op6_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "lines_in", "lines_dropped", F.sha2("text", 256).alias("text_sha256"), "text")
+
+
+def packed(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    ship(spark)
+    out = packing.best_fit_pack(
+        docs, tokenizers_of.path("byte_bpe_50k.json"), capacity=1024, end_id=2,
         ranks=tokenizers_of.path("byte_bpe_50k.tiktoken"), pattern=tokenizers_of.PATTERN, keep_ids=False)
-    return packed.drop("ids")
+    return out.drop("ids")
+
+
+def op7_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(spark, table(spark, sf_dir, "documents"))
 
 
 def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizers_of.path("piece_bpe_32k.model"), limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op2_progressive_dedup, op3_cross_polytope, op4_subword_quality, op5_pattern_toxicity, op7_best_two_fit, op8_hierarchical_mix, op9_entropy_secrets, op10_piece_counts)}
+QUERIES = {f.__name__: f for f in (op1_order_minhash, op2_progressive_dedup, op3_cross_polytope, op4_subword_quality, op5_pattern_toxicity, op6_simhash_lines, op7_best_two_fit, op8_hierarchical_mix, op9_entropy_secrets, op10_piece_counts)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_progressive_dedup": exact_dedup.ORACLE,
