@@ -47,6 +47,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a row number ``__row`` (increasing, not gapless), written
+    out, so that every later read sees the same numbers."""
+    return materialise(docs.withColumn("__row", F.monotonically_increasing_id()), name)
+
+
+# A side of a join with at most this many (narrow) rows is broadcast.
+BROADCAST_ROWS = 200_000
+
+
+def if_small(df: DataFrame) -> DataFrame:
+    """``df`` (a written table) marked for broadcasting if its row count allows
+    it; otherwise as it is, for an ordinary shuffled join."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def crc_fold(id_column: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus`` (null id: fold of the empty text)."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % modulus

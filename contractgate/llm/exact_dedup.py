@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_of
+from .common import materialise, numbered, text_of
 
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -42,8 +42,11 @@ def normalised(text: Column) -> Column:
 def exact_dedup(docs: DataFrame, prefix_chars: int = 64, digest_all: bool = False) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 (null for rows whose text
     had no need of it, unless ``digest_all``), one row per input row."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text")).select(
-        "doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
+    if digest_all:  # texts are read once
+        rows = rows.withColumn("row", F.monotonically_increasing_id())
+    else:
+        rows = numbered(rows, "documents").withColumnRenamed("__row", "row")
     norm = normalised(F.col("text"))
     digest = F.unhex(F.sha2(F.col("norm"), 256))
     found = rows.select("doc_id", "row", F.length("text").alias("chars"), norm.alias("norm")).select(

@@ -45,14 +45,14 @@ def _weight(level: str, weights: dict[str, dict[str, int]]) -> Column:
 
 def share(nodes: DataFrame, parent: list[str], level: str, weights: dict[str, dict[str, int]]) -> DataFrame:
     """``nodes`` (parent columns, ``level``, capacity, budget of the parent) with the budget of each child."""
-    wide, exact = "decimal(20,0)", "decimal(38,0)"
+    wide, narrow = "decimal(20,0)", "decimal(18,0)"  # their product is exact
     nodes = nodes.withColumn("w", _weight(level, weights))
     order = Window.partitionBy(*parent, F.lit(0)).orderBy(
-        F.col("w") == 0, F.col("capacity") / F.col("w").cast("double"), level)
+        F.col("w") == 0, F.try_divide("capacity", F.col("w").cast("double")), level)
     before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
     nodes = nodes.withColumn("taken", F.coalesce(F.sum("capacity").over(before), F.lit(0))).withColumn("ws", F.sum("w").over(after))
-    full = (F.col("w") > 0) & (F.col("capacity").cast(wide) * F.col("ws").cast(exact.replace("38", "18"))
-                               <= (F.col("budget") - F.col("taken")).cast(wide) * F.col("w").cast(exact.replace("38", "18")))
+    full = (F.col("w") > 0) & (F.col("capacity").cast(wide) * F.col("ws").cast(narrow)
+                               <= (F.col("budget") - F.col("taken")).cast(wide) * F.col("w").cast(narrow))
     nodes = nodes.withColumn("full", full)
     group = Window.partitionBy(*parent, F.lit(0))
     nodes = nodes.withColumn("rest", F.col("budget") - F.sum(F.when(F.col("full"), F.col("capacity")).otherwise(0)).over(group))

@@ -17,7 +17,7 @@ MIX = {"weights": {"domain": {"web": 5, "books": 3, "forums": 2}, "lang": {"en":
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op2_progressive_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,7 +48,8 @@ class PieceCounter(dict):
         return len(self.model.encode(text))
 
     def __missing__(self, word: str) -> int:
-        n = self.count(word)
+        # a space that ends the text stands alone, and an empty text would have no space set before it
+        n = self.count(word) if word else self.count("a ") - self.count("a")
         if len(self) < _REMEMBERED:
             self[word] = n
         return n
