@@ -562,6 +562,45 @@ def oracle_sql() -> dict[str, str]:
                      strftime(o_orderdate, '%Y') IN ({_ORDERS_VALID_YEARS}) AS ok
               FROM orders GROUP BY 1)
     """
+    q["raw_calendar_columns"] = """
+        SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS year, strftime(o_orderdate, '%a') AS day,
+               'file-' || o_custkey AS source_file, o_orderdate, strftime(o_orderdate, '%Y') AS load_year,
+               strftime(o_orderdate, '%m') AS month, '01' AS load_day, 'orders.parquet' AS load_source_file
+        FROM orders
+    """
+    q["staged_mixed_formats"] = """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+               o_orderpriority, CASE o_orderkey % 3 WHEN 0 THEN 'a.csv' WHEN 1 THEN 'b.parquet' ELSE 'c.parquet' END AS source_file,
+               '2024' AS year, '03' AS month, '15' AS day
+        FROM orders
+    """
+    q["dead_letter_mixed_columns"] = """
+        SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+               CASE WHEN o_orderkey % 2 = 0 THEN 'c' || o_custkey END AS clerk,
+               CASE WHEN o_orderkey % 2 = 1 THEN 'd' || o_custkey END AS depot,
+               CASE WHEN o_orderkey % 2 = 0 THEN 'a.csv' ELSE 'b.csv' END AS source_file
+        FROM orders
+    """
+    q["restage_zero_rows"] = """
+        SELECT 'first' AS step, CAST(count(*) AS BIGINT) AS reported_rows, 1 AS files, CAST(count(*) AS BIGINT) AS staged_rows FROM orders
+        UNION ALL SELECT 'again', 0, 1, 0
+    """
+    q["csv_awkward_files"] = """
+        SELECT f.source_file, f.k < 6 AS accepted, CAST(count(o_orderkey) AS BIGINT) AS rows
+        FROM (VALUES (0, 'my file.csv'), (1, 'f[1].csv'), (2, '100%.csv'), (3, '_hidden.csv'), (4, '.dot.csv'),
+                     (5, 'blank line.csv'), (6, 'case.csv'), (7, 'quoted.csv')) f(k, source_file)
+        LEFT JOIN orders ON o_orderkey % 8 = f.k GROUP BY ALL
+    """
+    q["incremental_events"] = """
+        SELECT event_id, CASE WHEN event_id % 100 <> 0 THEN ts END AS ts FROM events
+        WHERE event_id % 100 = 0 OR CAST(ts AS DATE) > (
+          SELECT CAST(make_timestamp(CAST(floor(avg(epoch_us(ts))) AS BIGINT)) AS DATE) FROM events WHERE event_id % 100 <> 0)
+    """
+    q["numeric_dates_orders"] = """
+        SELECT 'as_text' AS what, CAST(count_if(o_orderkey % 5 <> 4) AS BIGINT) AS rows FROM orders
+        UNION ALL SELECT 'numbers right', CAST(count(*) AS BIGINT) FROM orders
+        UNION ALL SELECT 'texts staged', CAST(count_if(o_orderkey % 5 = 4) AS BIGINT) FROM orders
+    """
     q["violations_part"] = _report(_PART_META, f"SELECT {_PART_COUNTS} FROM part", "part", "1.0.0", [])
     q["violations_supplier"] = _report(
         _SUPPLIER_META, f"SELECT {_SUPPLIER_COUNTS} FROM supplier", "supplier", "1.0.0", [])

@@ -48,8 +48,11 @@ DATETIME_FORMATS = [
     "d MMM yyyy",
     "d MMMM yyyy",
 ]
-# A trailing UTC offset or "Z" after a time of day.
-OFFSET_SUFFIX = r"[T ][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?\s*(Z|[+-][0-9]{2}(:?[0-9]{2})?)\s*$"
+# ISO-8601: a date of four-digit year, alone or with a time of day. Anything
+# shorter, longer or without a date (a bare time of day) is not cast.
+ISO_DATE = r"^[0-9]{4}(-[0-9]{1,2}(-[0-9]{1,2}([T ].*)?)?)?$"
+# A date and a time of day with a trailing UTC offset or "Z".
+OFFSET_SUFFIX = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[T ][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?\s*(Z|[+-][0-9]{2}(:?[0-9]{2})?)\s*$"
 # -----------------------------------------------------------------------------
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -155,7 +158,17 @@ def timestamp_from_text(c: str) -> str:
     core = _trimmed(c)
     with_offset = f"CASE WHEN {core} RLIKE {lit(OFFSET_SUFFIX)} THEN {_utc_wall_clock(f'try_cast({core} AS TIMESTAMP)')} END"
     ladder = [f"CAST(try_to_timestamp({core}, {lit(fmt)}) AS TIMESTAMP_NTZ)" for fmt in DATETIME_FORMATS]
-    return f"coalesce({with_offset}, try_cast({core} AS TIMESTAMP_NTZ), {', '.join(ladder)})"
+    iso = f"CASE WHEN {core} RLIKE {lit(ISO_DATE)} THEN try_cast({core} AS TIMESTAMP_NTZ) END"
+    return f"coalesce({with_offset}, {iso}, {', '.join(ladder)})"
+
+
+def timestamp_from_number(c: str) -> str:
+    """A number read as nanoseconds since the epoch (microseconds are kept);
+    null outside the 64-bit range, and for NaN."""
+    nanos = f"try_cast({c} AS DECIMAL(38, 9))"
+    micros = f"CAST(floor({nanos} / 1000) AS BIGINT)"
+    in_range = f"{nanos} BETWEEN -9223372036854775808 AND 9223372036854775807"
+    return f"(CASE WHEN {in_range} THEN {_utc_wall_clock(f'timestamp_micros({micros})')} END)"
 
 
 def to_timestamp(c: str, dt: T.DataType) -> str:
@@ -165,6 +178,8 @@ def to_timestamp(c: str, dt: T.DataType) -> str:
         return _utc_wall_clock(c)
     if isinstance(dt, T.DateType):
         return f"CAST({c} AS TIMESTAMP_NTZ)"
+    if is_numeric(dt):
+        return timestamp_from_number(c)
     if isinstance(dt, T.StringType):
         return timestamp_from_text(c)
     return timestamp_from_text(f"CAST({c} AS STRING)")
@@ -172,8 +187,7 @@ def to_timestamp(c: str, dt: T.DataType) -> str:
 
 def datetime_parses(c: str, dt: T.DataType) -> str:
     """True when a present value parses as a date/time."""
-    if is_datetime(dt) or is_numeric(dt):
-        # typed values are already instants; numbers are read as epoch offsets
+    if is_datetime(dt):  # already an instant
         return "true"
     return f"({to_timestamp(c, dt)} IS NOT NULL)"
 

@@ -27,6 +27,13 @@ ORD_MISSING, ORD_UNEXPECTED, ORD_EXTRA_FIELDS = 1, 2, 3
 MSG_NULL = "nulls in non-nullable column"
 MSG_DUPLICATE = "duplicate primary keys"
 MSG_EXTRA_FIELDS = "rows with more fields than the header"
+MSG_MISSING = "missing columns: {}"
+MSG_UNEXPECTED = "unexpected columns: {}"
+MSG_TYPE = "values not parseable as {}"
+MSG_MIN = "values below min {}"
+MSG_MAX = "values above max {}"
+MSG_ALLOWED = "values outside allowed set {}"
+MSG_PATTERN = "values not matching {}"
 # Python's re.match anchors at the start only; UNIX_LINES makes "$" and "."
 # treat only "\n" as a line end, and UNICODE_CHARACTER_CLASS gives \d, \w, \s
 # their Unicode meaning, as in Python.
@@ -75,10 +82,10 @@ def schema_rules(contract: Contract, actual: list[str]) -> list[Rule]:
     expected = set(contract.names)
     missing = sorted(expected - set(actual))
     if missing:
-        rules.append(Rule(ORD_MISSING, "schema", None, f"missing columns: {missing}"))
+        rules.append(Rule(ORD_MISSING, "schema", None, MSG_MISSING.format(missing)))
     unexpected = sorted(set(actual) - expected)
     if unexpected:
-        rules.append(Rule(ORD_UNEXPECTED, "schema", None, f"unexpected columns: {unexpected}"))
+        rules.append(Rule(ORD_UNEXPECTED, "schema", None, MSG_UNEXPECTED.format(unexpected)))
     return rules
 
 
@@ -93,7 +100,7 @@ def column_rules(spec: ColumnSpec, index: int, dt: T.DataType) -> list[Rule]:
     if not spec.nullable:
         add(SLOT_NULL, "nullability", MSG_NULL, cz.is_missing(c, dt))
 
-    type_msg = f"values not parseable as {spec.type}"
+    type_msg = MSG_TYPE.format(spec.type)
     if spec.type in ("integer", "float"):
         num = cz.to_number(c, dt)
         bad = f"{has} AND {num} IS NULL"
@@ -109,9 +116,9 @@ def column_rules(spec: ColumnSpec, index: int, dt: T.DataType) -> list[Rule]:
     if spec.has_min or spec.has_max:
         num = cz.to_number(c, dt)
         if spec.has_min:
-            add(SLOT_MIN, "domain", f"values below min {spec.min}", f"{has} AND {num} < {cz.num_lit(spec.min)}")
+            add(SLOT_MIN, "domain", MSG_MIN.format(spec.min), f"{has} AND {num} < {cz.num_lit(spec.min)}")
         if spec.has_max:
-            add(SLOT_MAX, "domain", f"values above max {spec.max}", f"{has} AND {num} > {cz.num_lit(spec.max)}")
+            add(SLOT_MAX, "domain", MSG_MAX.format(spec.max), f"{has} AND {num} > {cz.num_lit(spec.max)}")
 
     if spec.allowed is not None:
         members = sorted(set(spec.allowed), key=lambda v: (str(type(v)), v))
@@ -122,11 +129,11 @@ def column_rules(spec: ColumnSpec, index: int, dt: T.DataType) -> list[Rule]:
         text_members = [v for v in members if isinstance(v, str)]
         text = cz.python_text(c, dt)
         inside = cz._in(text, text_members) if text_members else "false"
-        add(SLOT_ALLOWED, "domain", f"values outside allowed set {shown}", f"{has} AND NOT {inside}")
+        add(SLOT_ALLOWED, "domain", MSG_ALLOWED.format(shown), f"{has} AND NOT {inside}")
 
     if spec.pattern is not None:
         text = cz.python_text(c, dt)
-        add(SLOT_PATTERN, "pattern", f"values not matching {spec.pattern}",
+        add(SLOT_PATTERN, "pattern", MSG_PATTERN.format(spec.pattern),
             f"{has} AND NOT ({text} RLIKE {cz.lit(anchored(spec.pattern))})")
     return out
 

@@ -20,15 +20,12 @@ from ..operators.contract import Contract
 from ..operators.route import maybe_broadcast, semi_join
 from ..operators.state import LOAD_LOG_SCHEMA, WatermarkStore
 from ..operators.validate import validate
-from ..sinks.zones import land, write_manifests
-
-DAY = "__day"
-SOURCE_FILE = "source_file"
+from ..sinks.zones import DAY, SOURCE_FILE, land, write_manifests
 
 
 @dataclass
 class BatchGate:
-    verdicts: list[dict]  # one per (day, source_file)
+    verdicts: list[dict]  # one per (day, source file)
 
     @property
     def accepted(self) -> list[dict]:
@@ -44,10 +41,9 @@ def with_batches(df: DataFrame, day: Column, source_file: Column | None = None)
     return df.withColumns({DAY: day.cast("date"), SOURCE_FILE: sf})
 
 
-def gate_by_day(spark: SparkSession, df: DataFrame, contract: Contract, raw_root: str, entity: str,
-                write_dead_letter: bool = True) -> BatchGate:
-    """Validate, route and land ``df`` (already carrying ``__day`` and
-    ``source_file``); returns the verdict of every batch."""
+def gate_by_day(spark: SparkSession, df: DataFrame, contract: Contract, raw_root: str, entity: str) -> BatchGate:
+    """Validate, route and land ``df`` (as from ``with_batches``), accepted and
+    rejected rows alike; returns the verdict of every batch."""
     keys = [DAY, SOURCE_FILE]
     v = validate(df, contract, keys)
     rows = [r.asDict() for r in v.manifest().collect()]
@@ -59,17 +55,17 @@ def gate_by_day(spark: SparkSession, df: DataFrame, contract: Contract, raw_root
     if gate.accepted:
         ok = maybe_broadcast(keyed(gate.accepted), len(gate.accepted))
         accepted = semi_join(df, ok, keys)
-        land(accepted, raw_root, entity, F.col(DAY), SOURCE_FILE, rebalance=True, drop=[DAY])
-    if gate.rejected and write_dead_letter:
+        land(accepted, raw_root, entity, F.col(DAY), rebalance=True)
+    if gate.rejected:
         bad = maybe_broadcast(keyed(gate.rejected), len(gate.rejected))
         rejected = semi_join(df, bad, keys)
-        land(rejected, raw_root, entity, F.col(DAY), SOURCE_FILE, dead_letter=True, rebalance=True, drop=[DAY])
+        land(rejected, raw_root, entity, F.col(DAY), dead_letter=True, rebalance=True)
         man = spark.createDataFrame(
             [(r[DAY], r[SOURCE_FILE], r["entity"], r["contract_version"], r["row_count"], r["is_valid"],
               r["n_violations"], r["manifest_json"]) for r in gate.rejected],
             f"{DAY} date, {SOURCE_FILE} string, entity string, contract_version string, row_count bigint, "
             "is_valid boolean, n_violations bigint, manifest_json string")
-        write_manifests(man, raw_root, entity, F.col(DAY), SOURCE_FILE, drop=[DAY])
+        write_manifests(man, raw_root, entity, F.col(DAY))
     return gate
 
 

@@ -34,12 +34,14 @@ from ..operators.project import apply_contract_types, coercion_exprs
 from ..operators.state import LoadLog, WatermarkStore, watermark_report as _wm_report
 from ..operators.validate import empty_batch_manifest, validate
 from ..sinks.zones import (
-    DEAD_LETTER, as_date, date_parts, entity_root, land, partition_path, partitioned_key,
-    replace_with_empty, write_manifests, write_staged,
+    DEAD_LETTER, EXTRA, SOURCE_FILE, as_date, date_parts, entity_root, land, partition_path, partitioned_key,
+    replace_with_empty, store_names, write_manifests, write_staged,
+)
+from ..sources.files import (
+    SourceFile, check_formats, group_files, hadoop_fs, list_source_files, made_visible, path_exists,
 )
-from ..sources.files import SourceFile, group_files, list_source_files
 from ..sources.scans import (
-    EXTRA, SOURCE_FILE, files_with_quoted_newlines, read_csv_auto, read_parquet_files, read_raw,
+    files_with_quoted_newlines, raw_frames, read_csv_auto, read_parquet_files, union_as_text,
 )
 
 log = logging.getLogger("contractgate.jobs")
@@ -138,7 +140,7 @@ def _contracts_for(entities: list[str], contracts_dir) -> tuple[dict[str, Contra
         try:
             found[e] = load_contract(e, contracts_dir)
         except FileNotFoundError:
-            log.warning("no contract for %s, skipping", e)
+            log.warning("%s has no contract: its files stay where they are", e)
             skipped.append(e)
     return found, skipped
 
@@ -216,6 +218,7 @@ def ingest_files(
     """The gate for an explicit list of files (used by the batch and the
     streaming ingest)."""
     load_date = as_date(load_date)
+    check_formats(files)
     present = sorted({f.entity for f in files})
     contracts, skipped = _contracts_for(present, contracts_dir)
     files = [f for f in files if f.entity in contracts]
@@ -223,6 +226,7 @@ def ingest_files(
     if not files:
         return outcome
 
+    files = made_visible(spark, files)
     groups = _groups(spark, files, contracts)
     if multi_line == "auto":
         needs = files_with_quoted_newlines(spark, [f.path for f in files if f.fmt == "csv"])
@@ -291,7 +295,7 @@ def _land_frame(spark, df: DataFrame, entity: str, files: list[SourceFile], root
         if verdicts[(entity, f.name)]["row_count"] == 0:
             # zero rows: replace whatever an earlier load left at this key
             parts = {**date_parts(load_date), "source_file": f.name}
-            replace_with_empty(spark, df.drop(SOURCE_FILE).schema, partition_path(base, parts))
+            replace_with_empty(spark, store_names(df.drop(SOURCE_FILE)).schema, partition_path(base, parts))
 
 
 def stage(
@@ -316,29 +320,55 @@ def stage(
     contracts, _ = _contracts_for(names, contracts_dir)
     results = []
     for entity, contract in contracts.items():
-        raw = read_raw(spark, raw_root, entity, load_date)
-        if raw is None:
-            log.warning("stage: nothing in raw for %s at %s", entity, load_date)
+        frames = raw_frames(spark, raw_root, entity, load_date)
+        if not frames:
+            log.warning("%s: the raw zone has no files of %s to stage", entity, load_date)
             continue
-        typed = apply_contract_types(raw.drop("year", "month", "day"), contract)
-        write_staged(typed, staged_root, entity, load_date)
+        # files of different types (CSV and Parquet, or Parquet of two widths) are typed
+        # each in their own way; typed, they have the contract's types
+        file_column = [_file_column(f) for f in frames]
+        typed = union_as_text([
+            apply_contract_types(f.drop(*(_part(f, p) for p in ("year", "month", "day"))), contract) for f in frames])
         target = partitioned_key(entity, load_date, "")
         # rows and silently coerced values per source file, in one aggregate
-        coerced = coercion_exprs(raw, contract, prefix="coerced:") if report_coercions else []
-        counts = (
-            raw.groupBy(SOURCE_FILE)
-            .agg(F.count(F.lit(1)).alias("rows"), *coerced)
-            .orderBy(SOURCE_FILE).collect()
-        )
-        for r in counts:
+        counted: dict[str, dict] = {name: {"rows": 0} for name in landed_files(spark, raw_root, entity, load_date)}
+        for f, column in zip(frames, file_column):
+            coerced = coercion_exprs(f, contract, prefix="coerced:") if report_coercions else []
+            for r in f.groupBy(column).agg(F.count(F.lit(1)).alias("rows"), *coerced).collect():
+                counted[r[column]] = r.asDict()
+        if any(r["rows"] for r in counted.values()):
+            write_staged(typed, staged_root, entity, load_date)
+        else:  # no rows are a day's content too: they replace what was staged before
+            replace_with_empty(spark, store_names(typed).schema, partition_path(f"{staged_root}/{entity}", date_parts(load_date)))
+        for name, r in sorted(counted.items()):
             results.append({"entity": entity, "rows": int(r["rows"]),
-                            "source_key": partitioned_key(entity, load_date, r[SOURCE_FILE]),
+                            "source_key": partitioned_key(entity, load_date, name),
                             "target_key": target,
-                            "coerced": {k.split(":", 1)[1]: int(v) for k, v in r.asDict().items()
+                            "coerced": {k.split(":", 1)[1]: int(v) for k, v in r.items()
                                         if k.startswith("coerced:") and v}})
     return results
 
 
+def _part(frame: DataFrame, name: str) -> str:
+    """The partition column ``name`` of a raw scan, whose name the data may have taken."""
+    return f"load_{name}" if f"load_{name}" in frame.columns else name
+
+
+def _file_column(frame: DataFrame) -> str:
+    return _part(frame, "source_file")
+
+
+def landed_files(spark: SparkSession, raw_root: str, entity: str, load_date: dt.date | str) -> list[str]:
+    """Names of the files of one day in the raw zone, also those without rows."""
+    path = partition_path(entity_root(raw_root, entity), date_parts(load_date))
+    if not path_exists(spark, path):
+        return []
+    p, fs = hadoop_fs(spark, path)
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    names = [str(s.getPath().getName()) for s in fs.listStatus(p) if s.isDirectory()]
+    return sorted(unescape(n.split("=", 1)[1]) for n in names if n.startswith("source_file="))
+
+
 def run_load(
     spark: SparkSession,
     source_dir: str,
@@ -358,13 +388,14 @@ def run_load(
     """
     audit = load_log or LoadLog(spark, raw_root)
     staged: list[dict] = []
-    with audit.audited(pipeline, "raw+staged") as record:
+    with audit.audited(pipeline, "raw+staged") as load:
         outcome = ingest(spark, source_dir, raw_root, load_date, entities, contracts_dir, advance_watermark)
         if not outcome.rejected:
             staged = stage(spark, raw_root, staged_root, load_date, entities, contracts_dir)
-        record(sum(m["rows"] for m in outcome.accepted))
+        load.rows = sum(m["rows"] for m in outcome.accepted)
         if outcome.rejected:
-            raise RuntimeError("one or more files were rejected")
+            names = ", ".join(f"{m['entity']}/{m['source_file']}" for m in outcome.rejected)
+            raise RuntimeError(f"not staged, as these files are quarantined: {names}")
     return outcome, staged
 
 

@@ -9,21 +9,18 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.contract import available_contracts
+from ..operators.contract import PACKAGE_CONTRACTS, Contract, available_contracts
 from ..operators.project import apply_contract_types, coercion_counts
 from ..operators.state import LoadLog, WatermarkStore, stale_loads, watermark_report
 from ..operators.validate import validate
 from ..session import work_dir
 from ..sources.files import hadoop_fs
 from ..sources.scans import read_partitioned, read_raw, read_staged
-from ..sinks.zones import manifest_root
-from .batches import advance_from_gate, gate_by_day, load_events, with_batches
+from ..sinks.zones import DAY, manifest_root
+from .batches import BatchGate, advance_from_gate, gate_by_day, load_events, with_batches
 from .ingest import ingest, stage
 from .tables import TPCH_CONTRACTS, table, tpch_contract
 
-_LANDED: dict[str, tuple] = {}
-
-
 def _orders_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a CSV source would deliver them (all text), with a bad customer
     key every 97th order and an impossible date every 101st."""
@@ -54,19 +51,14 @@ def _orders_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_batches(table(spark, sf_dir, "orders"), F.trunc("o_orderdate", "month"))
 
 
-def _landed_orders(spark: SparkSession, sf_dir: str) -> str:
-    """Gate orders with one batch per order month into a raw zone, once per
-    process and input folder."""
-    if sf_dir not in _LANDED:
-        root = work_dir(spark, "orders-by-month", fresh=True)
-        gate = gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders")
-        _LANDED[sf_dir] = (root, gate)
-    return _LANDED[sf_dir][0]
+def _landed_orders(spark: SparkSession, sf_dir: str) -> tuple[str, BatchGate]:
+    """Gate orders with one batch per order month into a raw zone of its own."""
+    root = work_dir(spark, "orders-by-month", fresh=True)
+    return root, gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders")
 
 
-def _latest_accepted_month(spark: SparkSession, sf_dir: str) -> dt.date:
-    _landed_orders(spark, sf_dir)
-    return max(r["__day"] for r in _LANDED[sf_dir][1].accepted)
+def _latest_accepted_month(gate: BatchGate) -> dt.date:
+    return max(r[DAY] for r in gate.accepted)
 
 
 _RAW_PARTS_SCHEMA = "year string, month string, day string, source_file string"
@@ -80,8 +72,8 @@ def _empty_like(spark: SparkSession, df: DataFrame, extra: str) -> DataFrame:
 def raw_orders_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest accepted month of the raw zone, read by partition (only that
     folder is listed)."""
-    root = _landed_orders(spark, sf_dir)
-    month = _latest_accepted_month(spark, sf_dir)
+    root, gate = _landed_orders(spark, sf_dir)
+    month = _latest_accepted_month(gate)
     df = read_partitioned(spark, f"{root}/orders", {"year": f"{month.year:04d}", "month": f"{month.month:02d}"})
     return df if df is not None else _empty_like(spark, table(spark, sf_dir, "orders"), _RAW_PARTS_SCHEMA)
 
@@ -90,26 +82,24 @@ def relanded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the same monthly batches three times: every row is there once."""
     root = work_dir(spark, "orders-reland", fresh=True)
     for _ in range(3):
-        gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders",
-                    write_dead_letter=False)
+        gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders")
     return read_raw(spark, root, "orders")
 
 
 def dead_letter_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the rejected months, as received, in the dead-letter zone."""
-    return read_raw(spark, _landed_orders(spark, sf_dir), "orders", dead_letter=True)
+    return read_raw(spark, _landed_orders(spark, sf_dir)[0], "orders", dead_letter=True)
 
 
 def dead_letter_manifests_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error manifests beside the dead-letter data: one per rejected month."""
-    return read_partitioned(spark, manifest_root(_landed_orders(spark, sf_dir), "orders"), fmt="json")
+    return read_partitioned(spark, manifest_root(_landed_orders(spark, sf_dir)[0], "orders"), fmt="json")
 
 
 def watermark_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forward-only watermark after advancing once per accepted monthly load."""
     root = work_dir(spark, "orders-watermark", fresh=True)
-    gate = gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders",
-                       write_dead_letter=False)
+    gate = gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders")
     store = WatermarkStore(spark, root)
     advance_from_gate(spark, store, "orders", gate)
     return store.current()
@@ -118,8 +108,7 @@ def watermark_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def watermark_report_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every contracted entity with its watermark, or '(never loaded)'."""
     root = work_dir(spark, "orders-watermark-report", fresh=True)
-    gate = gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders",
-                       write_dead_letter=False)
+    gate = gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders")
     store = WatermarkStore(spark, root)
     advance_from_gate(spark, store, "orders", gate)
     known = spark.createDataFrame([(e,) for e in available_contracts(TPCH_CONTRACTS)], "entity string")
@@ -194,12 +183,11 @@ def watermark_set_then_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted months of 1998 only: the watermark is the latest of those, or the
     rewound value when 1998 has none."""
     root = work_dir(spark, "orders-watermark-rewind", fresh=True)
-    gate = gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders",
-                       write_dead_letter=False)
+    gate = gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders")
     store = WatermarkStore(spark, root)
     advance_from_gate(spark, store, "orders", gate)
     store.set("orders", dt.date(1990, 1, 1))
-    days = spark.createDataFrame([("orders", r["__day"]) for r in gate.accepted if r["__day"].year == 1998],
+    days = spark.createDataFrame([("orders", r[DAY]) for r in gate.accepted if r[DAY].year == 1998],
                                  "entity string, watermark date")
     store.advance_many(days)
     return store.current()
@@ -225,8 +213,8 @@ def csv_load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged_from_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stage job: one load date (the latest accepted month) of the raw zone
     typed into the staged zone."""
-    raw = _landed_orders(spark, sf_dir)
-    month = _latest_accepted_month(spark, sf_dir)
+    raw, gate = _landed_orders(spark, sf_dir)
+    month = _latest_accepted_month(gate)
     staged_root = work_dir(spark, "orders-staged", fresh=True)
     stage(spark, raw, staged_root, month, ["orders"], TPCH_CONTRACTS)
     df = read_staged(spark, staged_root, "orders", month)
@@ -261,7 +249,141 @@ def stream_landed_orders_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("year", "accepted", F.coalesce("landed_rows", F.lit(0)).cast("bigint").alias("landed_rows")))
 
 
+def raw_calendar_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with data columns named like the zone's partition columns (year,
+    day, source_file): landed by month and read back, values as received."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.year("o_orderdate").alias("year"), F.date_format("o_orderdate", "E").alias("day"),
+        F.concat(F.lit("file-"), F.col("o_custkey").cast("string")).alias("source_file"), "o_orderdate")
+    contract = Contract.from_dict({"entity": "calendar_orders", "version": "1.0.0", "primary_key": ["o_orderkey"], "columns": [
+        {"name": "o_orderkey", "type": "integer", "nullable": False}, {"name": "year", "type": "integer"},
+        {"name": "day"}, {"name": "source_file"}, {"name": "o_orderdate", "type": "timestamp"}]})
+    root = work_dir(spark, "orders-calendar", fresh=True)
+    gate_by_day(spark, with_batches(o, F.trunc("o_orderdate", "month"), F.lit("orders.parquet")), contract, root, "calendar_orders")
+    return read_raw(spark, root, "calendar_orders")
+
+
+LOOSE_CONTRACTS = PACKAGE_CONTRACTS / "loose"  # orders without domain rules
+_MIXED_DAY = dt.date(2024, 3, 15)
+
+
+def _copied(spark: SparkSession, df: DataFrame, fmt: str, folder: str, name: str) -> None:
+    """Write ``df`` as one source file ``<folder>/<name>``."""
+    tmp = f"{folder}-tmp-{name}"
+    writer = df.coalesce(1).write.option("header", "true")
+    writer.format(fmt).save(tmp)
+    p, fs = hadoop_fs(spark, tmp)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(path(folder))
+    part = next(s.getPath() for s in fs.listStatus(p) if str(s.getPath().getName()).startswith("part-"))
+    if not fs.rename(part, path(folder, name)):
+        raise OSError(f"cannot name {name}")
+    fs.delete(p, True)
+
+
+def _plain_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return o.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+
+
+def staged_mixed_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day that arrived as a CSV file, a Parquet file, and a Parquet file with
+    narrower integers: each is typed in its own way, the staged day has them all."""
+    base = work_dir(spark, "orders-mixed", fresh=True)
+    o, src = _plain_orders(spark, sf_dir), f"{base}/src/orders"
+    _copied(spark, o.where("o_orderkey % 3 = 0").select(*[F.col(c).cast("string") for c in o.columns]), "csv", src, "a.csv")
+    _copied(spark, o.where("o_orderkey % 3 = 1"), "parquet", src, "b.parquet")
+    _copied(spark, o.where("o_orderkey % 3 = 2").withColumn("o_custkey", F.col("o_custkey").cast("int")), "parquet", src, "c.parquet")
+    ingest(spark, f"{base}/src", f"{base}/raw", _MIXED_DAY, contracts_dir=LOOSE_CONTRACTS, advance_watermark=False)
+    stage(spark, f"{base}/raw", f"{base}/staged", _MIXED_DAY, ["orders"], LOOSE_CONTRACTS)
+    return read_staged(spark, f"{base}/staged", "orders", _MIXED_DAY)
+
+
+def dead_letter_mixed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rejected files with an unexpected column each: the dead-letter zone
+    reads back every received value of both."""
+    base = work_dir(spark, "orders-dead-mixed", fresh=True)
+    o, src = _plain_orders(spark, sf_dir), f"{base}/src/orders"
+    o = o.select(*[F.col(c).cast("string") for c in o.columns])
+    _copied(spark, o.where("o_orderkey % 2 = 0").withColumn("clerk", F.concat(F.lit("c"), "o_custkey")), "csv", src, "a.csv")
+    _copied(spark, o.where("o_orderkey % 2 = 1").withColumn("depot", F.concat(F.lit("d"), "o_custkey")), "csv", src, "b.csv")
+    ingest(spark, f"{base}/src", f"{base}/raw", _MIXED_DAY, contracts_dir=LOOSE_CONTRACTS, advance_watermark=False)
+    df = read_raw(spark, f"{base}/raw", "orders", _MIXED_DAY, dead_letter=True)
+    return df.select("o_orderkey", "clerk", "depot", "source_file")
+
+
+def restage_zero_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A staged day whose file is landed again without rows: the second staging
+    replaces the rows. Returns rows staged before and after, per source file."""
+    base = work_dir(spark, "orders-restage", fresh=True)
+    o, src = _plain_orders(spark, sf_dir), f"{base}/src/orders"
+    text = o.select(*[F.col(c).cast("string") for c in o.columns])
+    out = []
+    for step, rows in (("first", text), ("again", text.where("false"))):
+        p, fs = hadoop_fs(spark, f"{src}/a.csv")
+        fs.delete(p, False)
+        _copied(spark, rows, "csv", src, "a.csv")
+        ingest(spark, f"{base}/src", f"{base}/raw", _MIXED_DAY, contracts_dir=LOOSE_CONTRACTS, advance_watermark=False)
+        reported = stage(spark, f"{base}/raw", f"{base}/staged", _MIXED_DAY, ["orders"], LOOSE_CONTRACTS)
+        staged = read_staged(spark, f"{base}/staged", "orders", _MIXED_DAY)
+        out.append((step, sum(r["rows"] for r in reported), len(reported), staged.count()))
+    return spark.createDataFrame(out, "step string, reported_rows bigint, files int, staged_rows bigint")
+
+
+# File name -> lines before the rows; rows have the contract's columns in order.
+_NAMES = "o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority"
+_AWKWARD = {
+    "my file.csv": [_NAMES], "f[1].csv": [_NAMES], "100%.csv": [_NAMES], "_hidden.csv": [_NAMES], ".dot.csv": [_NAMES],
+    "blank line.csv": ["", _NAMES],
+    "case.csv": [_NAMES.replace("o_custkey", "O_ORDERKEY")],  # two names that differ only in case
+    "quoted.csv": ['"o_order', 'key",' + _NAMES.split(",", 1)[1]],  # a line end inside a name
+}
+
+
+def csv_awkward_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders over files whose names or headers are awkward: one verdict each."""
+    base = work_dir(spark, "orders-awkward", fresh=True)
+    o = _plain_orders(spark, sf_dir)
+    for k, (name, header) in enumerate(_AWKWARD.items()):
+        rows = o.where(F.col("o_orderkey") % len(_AWKWARD) == k).select(F.concat_ws(",", *o.columns).alias("value"))
+        lines = spark.createDataFrame([(line,) for line in header], "value string").coalesce(1).unionByName(rows)
+        _copied(spark, lines, "text", f"{base}/src/orders", name)
+    out = ingest(spark, f"{base}/src", f"{base}/raw", _MIXED_DAY, contracts_dir=LOOSE_CONTRACTS, advance_watermark=False)
+    return out.to_df(spark).select("source_file", "accepted", "rows")
+
+
+def incremental_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events dated after a watermark's day, by times of day; every hundredth has
+    no date and is kept."""
+    e = table(spark, sf_dir, "events").withColumn("ts", F.when(F.col("event_id") % 100 != 0, F.col("ts")))
+    middle = e.agg(F.to_date(F.expr("timestamp_micros(cast(avg(unix_micros(cast(ts as timestamp))) as bigint))")).alias("d")).first().d
+    store = WatermarkStore(spark, work_dir(spark, "events-incremental", fresh=True))
+    store.set("events", middle)
+    return store.incremental(e, "events", "ts").select("event_id", "ts")
+
+
+def numeric_dates_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates as numbers (nanoseconds since the epoch) and as text with
+    digits that are no date: what the date rule counts and what staging keeps."""
+    day = F.unix_date(F.to_date("o_orderdate")).cast("bigint")
+    text = F.element_at(F.array(*map(F.lit, ("12345", "202001", "T12:30:00Z", "99999-01-01", "2020-01-15"))), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", (day * 86_400_000_000_000).alias("as_number"), text.alias("as_text"), "o_orderdate")
+    contract = Contract.from_dict({"entity": "numeric_dates", "version": "1.0.0", "columns": [
+        {"name": "o_orderkey", "type": "integer"}, {"name": "as_number", "type": "date"}, {"name": "as_text", "type": "date"}]})
+    failing = validate(o.drop("o_orderdate"), contract).violations.select(F.col("column").alias("what"), F.col("failing_rows").alias("rows"))
+    typed = apply_contract_types(o, contract)
+    staged = typed.groupBy().agg(F.count_if(F.col("as_number") == F.to_date("o_orderdate")).alias("numbers right"), F.count("as_text").alias("texts staged"))
+    return failing.unionByName(staged.unpivot([], ["numbers right", "texts staged"], "what", "rows"))
+
+
 REGISTERED = [
+    "raw_calendar_columns",
+    "staged_mixed_formats",
+    "dead_letter_mixed_columns",
+    "restage_zero_rows",
+    "csv_awkward_files",
+    "incremental_events",
+    "numeric_dates_orders",
     "staged_orders",
     "coercions_orders",
     "raw_orders_month",

@@ -41,8 +41,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where it is unset (local tests) is a fresh folder under the system temp
-    directory set as the checkpoint directory.
+    Only a local session (tests) may leave it unset: it gets a fresh folder under
+    the system temp directory. On a cluster that is an error, as executors would
+    each write to a disk of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
@@ -50,6 +51,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         if jdir.isDefined():
             root = jdir.get()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="contractgate-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

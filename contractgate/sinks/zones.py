@@ -7,6 +7,11 @@ Layout (Hive style, partition values are zero-padded strings):
     <raw>/_dead_letter/_manifests/<entity>/year=.../source_file=<name>/part-*.json
     <staged>/<entity>/year=YYYY/month=MM/day=DD/part-*.parquet
 
+Data columns may have any name: one that clashes with a partition column, or
+with a column of the gate itself, is stored as ``__data_<name>`` and gets its
+name back when the zone is read (the partition value is then called
+``load_<name>``).
+
 Writes use dynamic partition overwrite, so re-landing a batch replaces exactly
 the partitions it touches (file grain for raw, day grain for staged) and leaves
 every other partition alone: re-running a load never duplicates.
@@ -23,6 +28,26 @@ DEAD_LETTER = "_dead_letter"
 MANIFESTS = "_manifests"
 DATE_PARTS = ["year", "month", "day"]
 RAW_PARTS = DATE_PARTS + ["source_file"]
+# Columns of the gate while data is in flight; contracts may not use such names.
+SOURCE_FILE = "__source_file"  # a row's batch file
+EXTRA = "__extra"  # fields of a CSV row beyond its header
+DAY = "__day"  # a row's load date
+STORED_EXTRA = "_extra"  # EXTRA as stored with quarantined rows
+STORED = "__data_"
+RESERVED = frozenset([*RAW_PARTS, STORED_EXTRA])
+
+
+def store_names(df: DataFrame, reserved: frozenset[str] = RESERVED) -> DataFrame:
+    """Data columns under names that can stand beside the partition columns."""
+    return df.withColumnsRenamed({c: STORED + c for c in df.columns if c.lower() in reserved or c.startswith(STORED)})
+
+
+def restore_names(df: DataFrame) -> DataFrame:
+    """The inverse, for a zone as read back."""
+    data = {c: c[len(STORED):] for c in df.columns if c.startswith(STORED)}
+    taken = {c.lower() for c in data.values()}
+    clash = {c: f"load_{c}" for c in df.columns if c.lower() in taken}
+    return df.withColumnsRenamed(clash).withColumnsRenamed(data)
 
 
 def as_date(value: dt.date | str) -> dt.date:
@@ -93,17 +118,26 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str], rebalan
         w.parquet(path)
 
 
+def _with_parts(df: DataFrame, load_date: dt.date | str | Column, source_file: str | Column | None) -> DataFrame:
+    """``df`` as stored, with its partition columns."""
+    parts = dict(date_part_columns(load_date))
+    if source_file is not None:
+        parts["source_file"] = F.col(source_file) if isinstance(source_file, str) else source_file
+    found = df.withColumns({f"__part_{k}": v for k, v in parts.items()}).drop(SOURCE_FILE, DAY)
+    reserved = RESERVED if source_file is not None else frozenset(DATE_PARTS)
+    stored = store_names(found, reserved).withColumnsRenamed({f"__part_{k}": k for k in parts})
+    return stored.withColumnRenamed(EXTRA, STORED_EXTRA)
+
+
 def land(df: DataFrame, root: str, entity: str, load_date: dt.date | str | Column,
-         source_file: str | Column = "source_file", dead_letter: bool = False, rebalance: bool = False,
-         drop: list[str] | None = None) -> str:
+         source_file: str | Column = SOURCE_FILE, dead_letter: bool = False, rebalance: bool = False) -> str:
     """Write a batch (or many) to the raw or dead-letter zone of ``entity``.
 
     ``load_date`` is a date for a whole load, or a column giving each row's day.
     ``source_file`` names the column (or gives the expression) of the batch file
     name, the last partition level: idempotency is at file grain.
     """
-    sf = F.col(source_file) if isinstance(source_file, str) else source_file
-    out = df.withColumns({**date_part_columns(load_date), "source_file": sf}).drop(*(drop or []))
+    out = _with_parts(df, load_date, source_file)
     target = entity_root(root, entity, dead_letter)
     write_partitioned(out, target, RAW_PARTS, rebalance=rebalance)
     return target
@@ -122,18 +156,15 @@ def replace_with_empty(spark: SparkSession, df_schema, path: str) -> None:
 
 
 def write_manifests(df: DataFrame, root: str, entity: str, load_date: dt.date | str | Column,
-                    source_file: str | Column = "source_file", drop: list[str] | None = None) -> str:
+                    source_file: str | Column = SOURCE_FILE) -> str:
     """Error manifests of rejected batches, beside the dead-letter data."""
-    sf = F.col(source_file) if isinstance(source_file, str) else source_file
-    out = df.withColumns({**date_part_columns(load_date), "source_file": sf}).drop(*(drop or []))
     target = manifest_root(root, entity)
-    write_partitioned(out, target, RAW_PARTS, fmt="json")
+    write_partitioned(_with_parts(df, load_date, source_file), target, RAW_PARTS, fmt="json")
     return target
 
 
 def write_staged(df: DataFrame, staged_root: str, entity: str, load_date: dt.date | str | Column,
                  rebalance: bool = False) -> str:
-    out = df.withColumns(date_part_columns(load_date))
     target = f"{staged_root}/{entity}"
-    write_partitioned(out, target, DATE_PARTS, rebalance=rebalance)
+    write_partitioned(_with_parts(df, load_date, None), target, DATE_PARTS, rebalance=rebalance)
     return target

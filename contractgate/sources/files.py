@@ -1,11 +1,10 @@
 """Source discovery and per-file column names.
 
-Files are listed with Spark's own file index (parallel listing on large trees,
-any Hadoop file system). A CSV header is the first record of a file and a
-Parquet schema is in its footer: both are read per file on the driver through
-the Hadoop file system, a few bytes each, so that files with different headers
-are never scanned with one shared header (Spark would apply the first file's
-header to all and swap values in silence).
+Files are listed through the Hadoop file system, entity folder by entity folder.
+A CSV header is the first record of a file and a Parquet schema is in its
+footer: both are read per file, a few bytes each, so that files with different
+headers are never scanned with one shared header (Spark would apply the first
+file's header to all and swap values in silence).
 """
 
 from __future__ import annotations
@@ -13,28 +12,31 @@ from __future__ import annotations
 import csv
 import io
 import logging
+import re
+import uuid
 from collections import OrderedDict
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-from urllib.parse import unquote, urlparse
+from dataclasses import dataclass, replace
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
+from ..session import work_dir
+
 log = logging.getLogger("contractgate.sources")
 
 FORMATS = {"csv": "csv", "parquet": "parquet"}
 HEADER_CHUNK = 64 * 1024
-HEADER_MAX_BYTES = 1024 * 1024
 HEADER_THREADS = 16
-# Above this many CSV files, headers are read by a distributed scan instead of
-# one small driver-side read per file.
-HEADER_DRIVER_MAX_FILES = 2000
+# Spark's file sources pass over names that begin with "_" or "."; such source
+# files are read from a copy whose name begins with this and eight hex digits.
+VISIBLE = "contractgate-visible-"
 
 
 @dataclass(frozen=True)
 class SourceFile:
     entity: str
-    path: str  # full URI
+    path: str  # full path, not URL-encoded
     name: str  # file name: the batch key
     fmt: str  # csv | parquet
     size: int = -1
@@ -56,72 +58,79 @@ def format_of(name: str) -> str | None:
     return FORMATS.get(suffix)
 
 
+def local_path(path: str, encoded: bool = False) -> str:
+    """A path without scheme and host. ``encoded``: as Spark reports it, URL-encoded."""
+    plain = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "", path)
+    return unquote(plain) if encoded else plain
+
+
+def scan_path(path: str) -> str:
+    """A path for a reader's ``load``, which takes glob characters literally only when escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def list_source_files(spark: SparkSession, source_dir: str, entities: list[str] | None = None) -> list[SourceFile]:
     """``<source_dir>/<entity>/<file>.csv|.parquet``, sorted by entity then file.
 
-    ``entities`` None or empty means all. Uses the file index of a
-    ``binaryFile`` relation (no file is read); a 0-byte file is listed too.
+    ``entities`` None or empty means all. Every name counts, also ones that need
+    quoting or begin with "_" or "."; a 0-byte file is listed too.
     """
     base = source_dir.rstrip("/")
     p, fs = hadoop_fs(spark, base)
     if not fs.exists(p):
         raise FileNotFoundError(f"source directory not found: {source_dir}")
-    uris = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.{csv,parquet,CSV,PARQUET}")
-        .load(base)
-        .inputFiles()
-    )
-    base_parts = [x for x in urlparse(_qualify(spark, base)).path.split("/") if x]
     out = []
-    for uri in uris:
-        parts = [unquote(x) for x in urlparse(uri).path.split("/") if x]
-        rel = parts[len(base_parts):]
-        if len(rel) != 2:  # only <entity>/<file>, as the layout says
-            continue
-        entity, name = rel
-        fmt = format_of(name)
-        if fmt is None:
-            continue
-        if entities and entity not in entities:
+    for folder in fs.listStatus(p):
+        entity = str(folder.getPath().getName())
+        if not folder.isDirectory() or (entities and entity not in entities):
             continue
-        out.append(SourceFile(entity, uri, name, fmt))
-    with_files = {f.entity for f in out}
-    for status in fs.listStatus(p):
-        name = str(status.getPath().getName())
-        if status.isDirectory() and not name.startswith(("_", ".")) and name not in with_files \
-                and (not entities or name in entities):
-            log.warning("ingest: no data files for entity %s", name)
+        found = [SourceFile(entity, str(s.getPath().toString()), str(s.getPath().getName()), format_of(str(s.getPath().getName())), s.getLen())
+                 for s in fs.listStatus(folder.getPath()) if s.isFile()]
+        found = [f for f in found if f.fmt is not None and not f.name.endswith(".crc")]
+        out.extend(found)
+        if not found and not entity.startswith(("_", ".")):
+            log.warning("ingest: no data files for entity %s", entity)
     return sorted(out, key=lambda f: (f.entity, f.name))
 
 
-def _qualify(spark: SparkSession, path: str) -> str:
-    p, fs = hadoop_fs(spark, path)
-    return str(fs.makeQualified(p).toUri().toString())
+def made_visible(spark: SparkSession, files: list[SourceFile]) -> list[SourceFile]:
+    """``files`` with paths that Spark's readers accept: those with hidden names
+    are copied to the work folder (and stay where they are)."""
+    out = []
+    for f in files:
+        if f.name.startswith(("_", ".")):
+            src, src_fs = hadoop_fs(spark, f.path)
+            copy, fs = hadoop_fs(spark, f"{work_dir(spark, 'visible', fresh=True)}/{VISIBLE}{uuid.uuid4().hex[:8]}-{f.name}")
+            if not spark._jvm.org.apache.hadoop.fs.FileUtil.copy(src_fs, src, fs, copy, False, spark._jsc.hadoopConfiguration()):
+                raise OSError(f"cannot copy {f.path}")
+            f = replace(f, path=str(fs.makeQualified(copy).toString()))
+        out.append(f)
+    return out
+
+
+def check_formats(files: list[SourceFile]) -> None:
+    bad = sorted({f.name for f in files if f.fmt not in FORMATS.values()})
+    if bad:
+        raise ValueError(f"neither CSV nor Parquet: {bad}")
 
 
-def _read_prefix(spark: SparkSession, path: str) -> bytes:
-    """Bytes from the start of a file up to the end of its first CSV record."""
+def _first_record(spark: SparkSession, path: str) -> bytes:
+    """The first CSV record of a file that is not blank, however long."""
     p, fs = hadoop_fs(spark, path)
     stream = fs.open(p)
     try:
-        buf = bytearray()
-        in_quotes = False
-        scanned = 0
-        while len(buf) < HEADER_MAX_BYTES:
-            chunk = bytes(stream.readNBytes(HEADER_CHUNK))
-            if not chunk:
-                break
-            buf.extend(chunk)
-            for i in range(scanned, len(buf)):
-                ch = buf[i]
-                if ch == 0x22:  # quote; a doubled quote toggles twice
-                    in_quotes = not in_quotes
-                elif ch in (0x0A, 0x0D) and not in_quotes:
-                    return bytes(buf[:i])
-            scanned = len(buf)
-        return bytes(buf)
+        record, quoted = bytearray(), False
+        while chunk := bytes(stream.readNBytes(HEADER_CHUNK)):
+            for line in re.split(b"(\r\n|\r|\n)", chunk):
+                ends = line in (b"\r\n", b"\r", b"\n")
+                if ends and not quoted:
+                    if record.removeprefix(b"\xef\xbb\xbf").strip():
+                        return bytes(record)
+                    record.clear()  # a blank line before the header
+                    continue
+                record += line
+                quoted ^= line.count(b'"') % 2 == 1  # a doubled quote changes it twice
+        return bytes(record)
     finally:
         stream.close()
 
@@ -148,64 +157,29 @@ def mangle_names(names: list[str]) -> list[str]:
     return out
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV file; [] for an empty file."""
-    raw = _read_prefix(spark, path)
-    if not raw.strip():
-        return []
-    text = raw.decode("utf-8", errors="replace")
-    if text.startswith("\ufeff"):
-        text = text[1:]
-    row = next(csv.reader(io.StringIO(text), delimiter=",", quotechar='"', doublequote=True))
-    return mangle_names(row)
-
-
-def parse_header_line(line: str) -> list[str]:
-    if line.startswith("\ufeff"):
-        line = line[1:]
-    if not line.strip():
-        return []
-    return mangle_names(next(csv.reader(io.StringIO(line), delimiter=",", quotechar='"', doublequote=True)))
-
-
-def csv_headers_distributed(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """First line of every file, read by executors.
-
-    Only the first split of each file can hold its header; the first line read
-    in that split (smallest ``monotonically_increasing_id`` within the task) is
-    kept per file. The driver receives the distinct headers once and a
-    (path, header id) pair per file, the same order of size as the listing it
-    already holds. A header with a quoted newline is not supported on this path
-    (the driver path handles it).
-    """
-    from pyspark.sql import functions as F
-
-    firsts = (
-        spark.read.format("text").load(paths)
-        .select("value", F.col("_metadata.file_path").alias("path"),
-                F.col("_metadata.file_block_start").alias("start"))
-        .where(F.col("start") == 0)
-        .withColumn("pos", F.monotonically_increasing_id())
-        .groupBy("path").agg(F.min_by("value", "pos").alias("header"))
-        .withColumn("hid", F.xxhash64("header"))
-        .cache()  # one small row per file, read by the two collects below
-    )
-    # few distinct headers, then one (path, header id) pair per file: no list of
-    # files is ever gathered into one group
-    texts = {r["hid"]: r["header"] for r in firsts.select("hid", "header").distinct().collect()}
-    parsed = {hid: parse_header_line(text or "") for hid, text in texts.items()}
-    out: dict[str, list[str]] = {}
-    for row in firsts.select("path", "hid").collect():
-        out[_normal(row["path"])] = parsed[row["hid"]]
-    firsts.unpersist()
-    # files without any line (0-byte) do not appear in a text scan
-    for p in paths:
-        out.setdefault(_normal(p), [])
+def physical_names(names: list[str]) -> list[str]:
+    """Column names for a scan: as received, but a name that repeats an earlier
+    one in another case gets a number (Spark could not tell them apart)."""
+    out, seen = [], {n.lower() for n in names}
+    used: set[str] = set()
+    for n in names:
+        k, name = 1, n
+        while name.lower() in used:
+            name = f"{n}.{k}"
+            k += 1
+            if name.lower() in seen and name.lower() not in used:
+                continue
+        used.add(name.lower())
+        out.append(name)
     return out
 
 
-def _normal(uri: str) -> str:
-    return unquote(urlparse(uri).path)
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a CSV file; [] for one without any line."""
+    text = _first_record(spark, path).decode("utf-8", errors="replace").removeprefix("\ufeff")
+    if not text.strip():
+        return []
+    return mangle_names(next(csv.reader(io.StringIO(text, newline=""), delimiter=",", quotechar='"', doublequote=True)))
 
 
 def parquet_schema(spark: SparkSession, path: str) -> tuple[list[str], str]:
@@ -223,7 +197,8 @@ def parquet_schema(spark: SparkSession, path: str) -> tuple[list[str], str]:
 
 
 def file_columns(spark: SparkSession, files: list[SourceFile]) -> dict[str, tuple[list[str], str]]:
-    """path -> (received column names, grouping key) for every file."""
+    """path -> (received column names, grouping key) for every file, read the same
+    way for any number of files: a header or a footer each, a few threads at once."""
     def one(f: SourceFile):
         if f.fmt == "csv":
             names = csv_header(spark, f.path)
@@ -234,20 +209,10 @@ def file_columns(spark: SparkSession, files: list[SourceFile]) -> dict[str, tupl
         names, text = parquet_schema(spark, f.path)
         return f.path, (names, "parquet:" + text)
 
-    csv_files = [f for f in files if f.fmt == "csv"]
-    out: dict[str, tuple[list[str], str]] = {}
-    if len(csv_files) > HEADER_DRIVER_MAX_FILES:
-        headers = csv_headers_distributed(spark, [f.path for f in csv_files])
-        for f in csv_files:
-            names = headers[_normal(f.path)]
-            out[f.path] = (names, "csv:" + "\x1f".join(names))
-        files = [f for f in files if f.fmt != "csv"]
     if len(files) <= 1:
-        out.update(one(f) for f in files)
-        return out
+        return dict(map(one, files))
     with ThreadPoolExecutor(max_workers=min(HEADER_THREADS, len(files))) as pool:
-        out.update(pool.map(one, files))
-    return out
+        return dict(pool.map(one, files))
 
 
 def group_files(spark: SparkSession, files: list[SourceFile]) -> "OrderedDict[str, tuple[list[str], list[SourceFile]]]":

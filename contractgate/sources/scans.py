@@ -16,11 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sinks.zones import DATE_PARTS, RAW_PARTS, date_parts, entity_root, partition_path
-from .files import path_exists
-
-EXTRA = "_extra"
-SOURCE_FILE = "source_file"
+from ..sinks.zones import (
+    DATE_PARTS, EXTRA, RAW_PARTS, SOURCE_FILE, date_parts, entity_root, partition_path, restore_names,
+)
+from .files import VISIBLE, hadoop_fs, local_path, path_exists, physical_names, scan_path
 
 
 def csv_options(multi_line: bool = True) -> dict[str, str]:
@@ -37,16 +36,26 @@ def csv_options(multi_line: bool = True) -> dict[str, str]:
     }
 
 
+def _with_source(df: DataFrame) -> DataFrame:
+    # Spark reports the name URL-encoded, with "+" as it is
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return df.withColumn(SOURCE_FILE, F.regexp_replace(name, f"^{VISIBLE}[0-9a-f]{{8}}-", ""))
+
+
 def read_csv_strict(spark: SparkSession, paths: list[str], names: list[str], multi_line: bool = True,
                     with_source: bool = True) -> DataFrame:
-    """All-string scan of CSV files that share the header ``names``."""
-    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names]
+    """All-string scan of CSV files that share the header ``names``.
+
+    Columns are read by position and named afterwards, so a header may hold any
+    names, also ones that differ only in case (see ``physical_names``).
+    """
+    schema = T.StructType([T.StructField(f"__c{i}", T.StringType(), True) for i in range(len(names))]
                           + [T.StructField(EXTRA, T.StringType(), True)])
     reader = spark.read.format("csv").schema(schema).options(**csv_options(multi_line))
-    df = reader.load(paths)
+    df = reader.load([scan_path(p) for p in paths])
     if with_source:
-        df = df.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
-    return df
+        df = _with_source(df)
+    return df.toDF(*physical_names(names), *df.columns[len(names):])
 
 
 def files_with_quoted_newlines(spark: SparkSession, paths: list[str]) -> set[str]:
@@ -57,18 +66,13 @@ def files_with_quoted_newlines(spark: SparkSession, paths: list[str]) -> set[str
         return set()
     quotes = F.length("value") - F.length(F.regexp_replace("value", '"', ""))
     rows = (
-        spark.read.format("text").load(paths)
+        spark.read.format("text").load([scan_path(p) for p in paths])
         .where(quotes % 2 == 1)
         .select(F.col("_metadata.file_path").alias("path"))
         .distinct()
         .collect()
     )
-    return {_normal_path(r["path"]) for r in rows}
-
-
-def _normal_path(uri: str) -> str:
-    from urllib.parse import unquote, urlparse
-    return unquote(urlparse(uri).path)
+    return {local_path(r["path"], encoded=True) for r in rows}
 
 
 def read_csv_auto(spark: SparkSession, paths: list[str], names: list[str], multi_line: bool | str = "auto",
@@ -80,8 +84,8 @@ def read_csv_auto(spark: SparkSession, paths: list[str], names: list[str], multi
         return read_csv_strict(spark, paths, names, multi_line=bool(multi_line))
     if needs_multi_line is None:
         needs_multi_line = files_with_quoted_newlines(spark, paths)
-    ml = [p for p in paths if _normal_path(p) in needs_multi_line]
-    sl = [p for p in paths if _normal_path(p) not in needs_multi_line]
+    ml = [p for p in paths if local_path(p) in needs_multi_line]
+    sl = [p for p in paths if local_path(p) not in needs_multi_line]
     frames = []
     if sl:
         frames.append(read_csv_strict(spark, sl, names, multi_line=False))
@@ -91,30 +95,74 @@ def read_csv_auto(spark: SparkSession, paths: list[str], names: list[str], multi
 
 
 def read_parquet_files(spark: SparkSession, paths: list[str], with_source: bool = True) -> DataFrame:
-    df = spark.read.format("parquet").load(paths)
-    if with_source:
-        df = df.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
-    return df
+    df = spark.read.format("parquet").load([scan_path(p) for p in paths])
+    return _with_source(df) if with_source else df
 
 
-def read_partitioned(spark: SparkSession, base: str, parts: dict[str, str] | None = None,
-                     fmt: str = "parquet", partition_columns: list[str] | None = None) -> DataFrame | None:
-    """Scan a Hive-partitioned table with string partition values.
+def partition_frames(spark: SparkSession, base: str, parts: dict[str, str] | None = None, fmt: str = "parquet",
+                     partition_columns: list[str] | None = None) -> list[DataFrame]:
+    """Scans of a Hive-partitioned table, one per set of files whose columns
+    have the same types; none when the path does not exist.
 
-    With ``parts`` only that partition directory is listed (``basePath`` keeps
-    the partition columns). Partition columns are declared as strings in an
-    explicit schema, so ``month=03`` stays the text "03" (no session setting is
-    changed). Returns None when the path does not exist.
+    Footers are merged by Spark (in executors), so a column that only some files
+    have is read from those. Only where files give one column different types
+    are the partition folders grouped by their own schemas. With ``parts`` only
+    that folder is listed. Partition columns are declared as strings, so
+    ``month=03`` stays the text "03".
     """
     path = partition_path(base, parts) if parts else base
     if not path_exists(spark, path):
-        return None
-    probe = spark.read.format(fmt).option("basePath", base).load(path)
-    names = set(partition_columns or RAW_PARTS) | set(_partition_names(base, path))
-    data = [f for f in probe.schema.fields if f.name not in names]
-    found = [n for n in probe.columns if n in names]
-    schema = T.StructType(data + [T.StructField(n, T.StringType(), True) for n in found])
-    return spark.read.format(fmt).option("basePath", base).schema(schema).load(path)
+        return []
+    wanted = set(partition_columns or RAW_PARTS) | set(_partition_names(base, path))
+
+    def scan(paths: list[str], merge: bool) -> DataFrame:
+        reader = lambda: spark.read.format(fmt).option("basePath", base)
+        probe = reader().option("mergeSchema", str(merge).lower()).load(paths)
+        data = [f for f in probe.schema.fields if f.name not in wanted]
+        found = [n for n in probe.columns if n in wanted]
+        schema = T.StructType(data + [T.StructField(n, T.StringType(), True) for n in found])
+        return restore_names(reader().schema(schema).load(paths))
+
+    try:
+        return [scan([path], merge=fmt == "parquet")]
+    except Exception as err:  # noqa: BLE001 - only a conflict of types is handled
+        if "MERGE_SCHEMA" not in str(err) and "CANNOT_MERGE" not in str(err) and "COLUMN_ALREADY_EXISTS" not in str(err):
+            raise
+    by_schema: dict[str, list[str]] = {}
+    for folder in _leaf_folders(spark, path):
+        by_schema.setdefault(spark.read.format(fmt).load(scan_path(folder)).schema.json(), []).append(scan_path(folder))
+    return [scan(folders, merge=False) for folders in by_schema.values()]
+
+
+def _leaf_folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders below ``path`` that hold data files."""
+    p, fs = hadoop_fs(spark, path)
+    files, out = fs.listFiles(p, True), set()
+    while files.hasNext():
+        f = files.next().getPath()
+        if not str(f.getName()).startswith(("_", ".")):
+            out.add(str(f.getParent().toString()))
+    return sorted(out)
+
+
+def read_partitioned(spark: SparkSession, base: str, parts: dict[str, str] | None = None,
+                     fmt: str = "parquet", partition_columns: list[str] | None = None) -> DataFrame | None:
+    """``partition_frames`` as one DataFrame; a column of differing types is text."""
+    frames = partition_frames(spark, base, parts, fmt, partition_columns)
+    return union_as_text(frames) if frames else None
+
+
+def union_as_text(frames: list[DataFrame]) -> DataFrame:
+    kinds: dict[str, set[str]] = {}
+    for f in frames:
+        for name, kind in f.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    mixed = {n for n, k in kinds.items() if len(k) > 1}
+    out = None
+    for f in frames:
+        f = f.withColumns({n: F.col(f"`{n}`").cast("string") for n in f.columns if n in mixed})
+        out = f if out is None else out.unionByName(f, allowMissingColumns=True)
+    return out
 
 
 def _partition_names(base: str, path: str) -> list[str]:
@@ -125,8 +173,14 @@ def _partition_names(base: str, path: str) -> list[str]:
 def read_raw(spark: SparkSession, root: str, entity: str, load_date: dt.date | str | None = None,
              dead_letter: bool = False) -> DataFrame | None:
     """The raw (or dead-letter) zone of an entity, or one day of it."""
+    frames = raw_frames(spark, root, entity, load_date, dead_letter)
+    return union_as_text(frames) if frames else None
+
+
+def raw_frames(spark: SparkSession, root: str, entity: str, load_date: dt.date | str | None = None,
+               dead_letter: bool = False) -> list[DataFrame]:
     parts = date_parts(load_date) if load_date is not None else None
-    return read_partitioned(spark, entity_root(root, entity, dead_letter), parts, partition_columns=RAW_PARTS)
+    return partition_frames(spark, entity_root(root, entity, dead_letter), parts, partition_columns=RAW_PARTS)
 
 
 def read_staged(spark: SparkSession, staged_root: str, entity: str,

@@ -20,6 +20,7 @@ from pathlib import Path
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -40,7 +41,8 @@ BINARY_FILE_SCHEMA = T.StructType([
 def _source_file(uri: str, entity: str) -> SourceFile | None:
     name = unquote(urlparse(uri).path.rstrip("/").rsplit("/", 1)[-1])
     fmt = format_of(name)
-    return SourceFile(entity, uri, name, fmt) if fmt else None
+    # the stream reports URL-encoded paths
+    return SourceFile(entity, unquote(uri), name, fmt) if fmt else None
 
 
 def stream_ingest(
@@ -53,14 +55,15 @@ def stream_ingest(
     load_date: dt.date | str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = 10_000,
     advance_watermark: bool = True,
     multi_line: bool | str = "auto",
     outcomes: list | None = None,
 ) -> StreamingQuery:
     """Start a stream that gates every new file of ``<source_dir>/<entity>``.
 
-    ``load_date`` None means the UTC date at which each micro-batch runs.
+    ``load_date`` None means the day (session time zone) each file was last
+    modified, so a micro-batch that is replayed later lands on the same day.
     ``available_now`` processes what is there and stops; otherwise a
     ``processing_time`` trigger keeps watching. ``outcomes`` (a list) collects
     the ``IngestOutcome`` of every micro-batch, for callers that want them.
@@ -69,22 +72,24 @@ def stream_ingest(
         spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
         .option("pathGlobFilter", "*.{csv,parquet,CSV,PARQUET}")
     )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    arrivals = reader.load(f"{source_dir.rstrip('/')}/{entity}").select("path", "length")
+    reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    arrivals = reader.load(f"{source_dir.rstrip('/')}/{entity}").select("path", "modificationTime")
 
     def gate(batch: DataFrame, epoch_id: int) -> None:
-        paths = sorted(r["path"] for r in batch.collect())  # one row per new file
-        files = [f for f in (_source_file(p, entity) for p in paths) if f is not None]
-        if not files:
-            return
-        day = load_date or dt.datetime.now(dt.timezone.utc).date()
-        out: IngestOutcome = ingest_files(spark, files, raw_root, day, contracts_dir,
-                                          advance_watermark=advance_watermark, multi_line=multi_line)
-        log.info("stream %s epoch %d: %d accepted, %d rejected", entity, epoch_id,
-                 len(out.accepted), len(out.rejected))
-        if outcomes is not None:
-            outcomes.append(out)
+        # one row per new file; maxFilesPerTrigger bounds them
+        day = F.date_format("modificationTime", "yyyy-MM-dd").alias("day")
+        by_day: dict[str, list[SourceFile]] = {}
+        for r in batch.select("path", day).orderBy("path").collect():
+            found = _source_file(r["path"], entity)
+            if found is not None:
+                by_day.setdefault(str(load_date or r["day"]), []).append(found)
+        for landed_on, files in sorted(by_day.items()):
+            out: IngestOutcome = ingest_files(spark, files, raw_root, landed_on, contracts_dir,
+                                              advance_watermark=advance_watermark, multi_line=multi_line)
+            log.info("stream %s epoch %d: %d accepted, %d rejected", entity, epoch_id,
+                     len(out.accepted), len(out.rejected))
+            if outcomes is not None:
+                outcomes.append(out)
 
     writer = arrivals.writeStream.foreachBatch(gate).option("checkpointLocation", checkpoint)
     if available_now:

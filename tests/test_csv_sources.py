@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 from contractgate.plans.ingest import ingest
+from contractgate.sinks.zones import EXTRA
 from contractgate.sources.files import csv_header, list_source_files, mangle_names
 from contractgate.sources.scans import read_csv_strict, read_raw
 
@@ -28,7 +29,7 @@ def source(tmp_path, name, content, entity="ab"):
 def test_values_read_as_received(spark, tmp_path):
     src = source(tmp_path, "f.csv", 'a,b\n"",x\n,y\nNA,nan\n\n1\n"x ""q"" y",2\n"multi\nline",3\n')
     df = read_csv_strict(spark, [src + "/ab/f.csv"], ["a", "b"])
-    rows = [(r["a"], r["b"], r["_extra"]) for r in df.collect()]
+    rows = [(r["a"], r["b"], r[EXTRA]) for r in df.collect()]
     assert rows == [(None, "x", None), (None, "y", None), ("NA", "nan", None), ("1", None, None),
                     ('x "q" y', "2", None), ("multi\nline", "3", None)]
 
@@ -108,18 +109,18 @@ def test_single_line_mode(spark, tmp_path):
     assert out.manifest[0]["accepted"] and out.manifest[0]["rows"] == 2
 
 
-def test_distributed_header_path_agrees(spark, tmp_path, monkeypatch):
+def test_headers_of_any_number_and_length(spark, tmp_path):
     import contractgate.sources.files as sf
     source(tmp_path, "f1.csv", "a,b\n1,x\n")
-    source(tmp_path, "f2.csv", "b,a\ny,2\n3,4\n")
+    source(tmp_path, "f2.csv", "\n\nb,a\ny,2\n3,4\n")
     source(tmp_path, "f3.csv", "a,a\n1,2\n")
-    src = source(tmp_path, "f4.csv", "")
+    source(tmp_path, "f4.csv", "")
+    source(tmp_path, "f5.csv", '"a\nb",c\n1,2\n')
+    long = [f"column_{i:07d}" for i in range(120_000)]  # longer than any read buffer
+    src = source(tmp_path, "f6.csv", ",".join(long) + "\n")
     files = sf.list_source_files(spark, src)
-    driver = sf.file_columns(spark, files)
-    monkeypatch.setattr(sf, "HEADER_DRIVER_MAX_FILES", 0)
-    dist = sf.file_columns(spark, files)
-    assert dist == driver
-    assert [dist[f.path][0] for f in files] == [["a", "b"], ["b", "a"], ["a", "a.1"], []]
+    got = sf.file_columns(spark, files)
+    assert [got[f.path][0] for f in files] == [["a", "b"], ["b", "a"], ["a", "a.1"], [], ["a\nb", "c"], long]
 
 
 def test_auto_mode_reads_only_quoted_newline_files_multiline(spark, tmp_path):

@@ -50,7 +50,7 @@ def test_route_has_no_nested_loop_join(spark, capsys):
 def test_incremental_filter_reaches_the_scan(spark, capsys):
     df = newer_than(table(spark, SF, "orders"), dt.date(2001, 6, 1), "o_orderdate")
     text = plan(df, capsys)
-    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThan(o_orderdate," in text
+    assert "PushedFilters: [Or(IsNull(o_orderdate),GreaterThanOrEqual(o_orderdate," in text
 
 
 def test_raw_day_scan_lists_only_that_day(spark, good_customers, tmp_path):
@@ -70,11 +70,11 @@ def test_raw_day_scan_lists_only_that_day(spark, good_customers, tmp_path):
 
 def test_file_batch_landing_has_no_shuffle(spark, tmp_path, capsys):
     from pyspark.sql import functions as F
-    from contractgate.sinks.zones import date_part_columns
+    from contractgate.sinks.zones import EXTRA, SOURCE_FILE, date_part_columns
     from contractgate.sources.scans import read_csv_strict
     p = tmp_path / "f.csv"
     p.write_text("a,b\n1,2\n3,4\n")
-    df = read_csv_strict(spark, [str(p)], ["a", "b"], multi_line=False).drop("_extra")
-    out = df.withColumns({**date_part_columns("2024-03-15"), "source_file": F.col("source_file")})
+    df = read_csv_strict(spark, [str(p)], ["a", "b"], multi_line=False).drop(EXTRA)
+    out = df.withColumns({**date_part_columns("2024-03-15"), "source_file": F.col(SOURCE_FILE)})
     text = plan(out, capsys)
     assert "Exchange" not in text
