@@ -2,10 +2,10 @@
 
 Two forms:
 
-* ``route``: lazy, for any batch key. ``left_semi`` / ``left_anti`` join of the
-  data with the verdict table (one row per batch). The verdict side is
-  broadcast only when its row count is known and below a bound; otherwise AQE
-  picks the strategy from the runtime size of the verdict stage.
+* ``route``: for any batch key. The verdicts (one small row per batch) are
+  written out once and measured; below a bound in bytes they are broadcast, so
+  the data is never shuffled by batch; beyond it an ordinary join takes over,
+  whose hot keys adaptive execution splits.
 * file batches: when the verdicts are already known on the driver (the ingest
   job), the accepted and rejected files are simply scanned separately (see
   ``plans.ingest``): no join at all.
@@ -16,36 +16,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this many batches the verdict table is not broadcast by hint.
-MAX_BROADCAST_BATCHES = 1_000_000
+from ..session import work_dir
 
+# A table of batches is broadcast up to this size.
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+_ROW_OVERHEAD = 64  # of a row in a hash table
 
-def maybe_broadcast(df: DataFrame, known_rows: int | None, max_rows: int = MAX_BROADCAST_BATCHES) -> DataFrame:
-    """Broadcast ``df`` only when its row count is known and bounded."""
-    if known_rows is not None and known_rows <= max_rows:
-        return F.broadcast(df)
-    return df
 
+def key_bytes(keys: DataFrame) -> int:
+    """Size of a table of batch keys in memory: its text and a fixed overhead per row."""
+    text = F.octet_length(F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in keys.columns]))
+    return keys.agg(F.coalesce(F.sum(text + _ROW_OVERHEAD), F.lit(0)).alias("n")).first().n
 
-def semi_join(df: DataFrame, keys: DataFrame, batch: list[str], how: str = "left_semi") -> DataFrame:
-    """``left_semi`` / ``left_anti`` on the batch columns with null-safe
-    equality: a batch whose key is null (e.g. rows without a date) is routed
-    like any other, never dropped. Both sides get uniquely named key columns,
-    so a verdict table derived from ``df`` itself resolves without ambiguity."""
+
+def maybe_broadcast(keys: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``keys`` marked for broadcasting if its measured size allows it."""
+    return F.broadcast(keys) if key_bytes(keys) <= max_bytes else keys
+
+
+def batch_join(df: DataFrame, keys: DataFrame, batch: list[str], how: str = "left_semi") -> DataFrame:
+    """Join on the batch columns with null-safe equality: a batch whose key is
+    null (e.g. rows without a date) is routed like any other, never dropped.
+    Both sides get uniquely named key columns, so a verdict table derived from
+    ``df`` itself resolves without ambiguity. Other columns of ``keys`` are kept
+    by an inner join."""
     left = df.withColumns({f"__l{i}": F.col(f"`{b}`") for i, b in enumerate(batch)})
-    right = keys.select(*[F.col(f"`{b}`").alias(f"__k{i}") for i, b in enumerate(batch)])
+    right = keys.withColumnsRenamed({b: f"__k{i}" for i, b in enumerate(batch)})
     cond = None
     for i in range(len(batch)):
         c = F.col(f"__l{i}").eqNullSafe(F.col(f"__k{i}"))
         cond = c if cond is None else cond & c
-    return left.join(right, on=cond, how=how).drop(*[f"__l{i}" for i in range(len(batch))])
+    return left.join(right, on=cond, how=how).drop(*[f"__{s}{i}" for s in "lk" for i in range(len(batch))])
+
+
+def settled(verdicts: DataFrame, name: str = "verdicts") -> DataFrame:
+    """The verdicts as a written table: validation runs once for both routes."""
+    spark = verdicts.sparkSession
+    path = work_dir(spark, name, fresh=True)
+    verdicts.write.parquet(path)
+    return spark.read.schema(verdicts.schema).parquet(path)
 
 
-def route(df: DataFrame, verdicts: DataFrame, batch: list[str], known_batches: int | None = None) -> tuple[DataFrame, DataFrame]:
+def route(df: DataFrame, verdicts: DataFrame, batch: list[str]) -> tuple[DataFrame, DataFrame]:
     """Split ``df`` into (accepted, rejected) rows by the verdict of its batch.
 
     The two sides add up to the input: a batch is either valid or not.
     """
-    valid = verdicts.where(F.col("is_valid")).select(*batch)
-    valid = maybe_broadcast(valid, known_batches)
-    return semi_join(df, valid, batch, "left_semi"), semi_join(df, valid, batch, "left_anti")
+    verdicts = settled(verdicts.select(*batch, "is_valid"))
+    valid = maybe_broadcast(verdicts.where("is_valid").select(*batch))
+    return batch_join(df, valid, batch, "left_semi"), batch_join(df, valid, batch, "left_anti")

@@ -3,10 +3,9 @@ day of a table), instead of one batch per source file.
 
 Plan: one validation aggregate (batch = day + source file); the per-batch
 verdicts (one small row per batch) are collected; accepted and rejected rows are
-then routed with a semi / anti join against a verdict table whose size is known
-(so it may be broadcast), and landed with a rebalancing shuffle so each day
-partition is written by few tasks even when the rows of a day are spread over
-every input task. A hot day is split by AQE rather than written by one task.
+then joined with the verdict table (broadcast when its measured size allows it)
+and dealt to as many write tasks as there are files to write: small days share a
+task, a hot day is split by its row count.
 """
 
 from __future__ import annotations
@@ -17,12 +16,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.contract import Contract
-from ..operators.route import maybe_broadcast, semi_join
+from ..operators.route import batch_join, maybe_broadcast
 from ..operators.state import LOAD_LOG_SCHEMA, WatermarkStore
 from ..operators.validate import validate
 from ..sinks.zones import DAY, SOURCE_FILE, land, write_manifests
 
 
+# A batch is written as one file per so many rows, and a task writes so many files.
+ROWS_PER_FILE = 2_000_000
+FILES_PER_TASK = 32
+FILES = "__files"
+
+
+def dealt(df: DataFrame, keys: list[str], files: int) -> DataFrame:
+    """``df`` (with the number of files of each row's batch) dealt to write tasks:
+    as many as the number of files asks for; a batch of several files is dealt
+    over as many tasks, so a hot day is not one task's work."""
+    part = F.pmod(F.monotonically_increasing_id(), F.col(FILES))
+    return df.withColumn(FILES, part).repartition(max(1, -(-files // FILES_PER_TASK)), *keys, FILES).drop(FILES)
+
+
 @dataclass
 class BatchGate:
     verdicts: list[dict]  # one per (day, source file)
@@ -50,16 +63,15 @@ def gate_by_day(spark: SparkSession, df: DataFrame, contract: Contract, raw_root
     gate = BatchGate(rows)
 
     def keyed(items):
-        return spark.createDataFrame([(r[DAY], r[SOURCE_FILE]) for r in items], f"{DAY} date, {SOURCE_FILE} string")
-
-    if gate.accepted:
-        ok = maybe_broadcast(keyed(gate.accepted), len(gate.accepted))
-        accepted = semi_join(df, ok, keys)
-        land(accepted, raw_root, entity, F.col(DAY), rebalance=True)
+        rows = [(r[DAY], r[SOURCE_FILE], -(-r["row_count"] // ROWS_PER_FILE)) for r in items]
+        return spark.createDataFrame(rows, f"{DAY} date, {SOURCE_FILE} string, {FILES} bigint")
+
+    for items, dead in ((gate.accepted, False), (gate.rejected, True)):
+        if items:
+            rows = batch_join(df, maybe_broadcast(keyed(items)), keys, "inner")
+            files = sum(-(-r["row_count"] // ROWS_PER_FILE) for r in items)
+            land(dealt(rows, keys, files), raw_root, entity, F.col(DAY), dead_letter=dead)
     if gate.rejected:
-        bad = maybe_broadcast(keyed(gate.rejected), len(gate.rejected))
-        rejected = semi_join(df, bad, keys)
-        land(rejected, raw_root, entity, F.col(DAY), dead_letter=True, rebalance=True)
         man = spark.createDataFrame(
             [(r[DAY], r[SOURCE_FILE], r["entity"], r["contract_version"], r["row_count"], r["is_valid"],
               r["n_violations"], r["manifest_json"]) for r in gate.rejected],

@@ -12,14 +12,18 @@ with a column of the gate itself, is stored as ``__data_<name>`` and gets its
 name back when the zone is read (the partition value is then called
 ``load_<name>``).
 
-Writes use dynamic partition overwrite, so re-landing a batch replaces exactly
-the partitions it touches (file grain for raw, day grain for staged) and leaves
-every other partition alone: re-running a load never duplicates.
+A write goes to a folder of its own first; when the job has ended, each
+partition folder it made replaces the one of the same name in the zone, some at a
+time. Re-landing a batch so replaces exactly the partitions it touches (file
+grain for raw, day grain for staged) and leaves every other partition alone:
+re-running a load never duplicates, also after a crash in between.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,29 +97,48 @@ def partition_path(base: str, parts: dict[str, str]) -> str:
     return base + "".join(f"/{k}={v}" for k, v in parts.items())
 
 
-def _writer(df: DataFrame, partition_by: list[str], compression: str):
-    return (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", compression)
-        .partitionBy(*partition_by)
-    )
+# Partition folders published at a time.
+PUBLISH_THREADS = 16
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str], rebalance: bool = False,
                       fmt: str = "parquet") -> None:
-    """Dynamic-overwrite write. ``rebalance``: shuffle rows so that each output
-    partition is written by few tasks (AQE splits a hot partition and merges
-    small ones); use it when rows of one partition are spread over every input
-    task (batches derived from a column). Batches that are files are already
-    clustered and need no shuffle."""
+    """Replace the partitions of ``path`` that occur in ``df``. ``rebalance``:
+    shuffle rows so that each output partition is written by few tasks; use it
+    when rows of one partition are spread over every input task. Batches that
+    are files are already clustered and need no shuffle."""
     if rebalance:
         df = df.hint("rebalance", *partition_by)
-    w = _writer(df, partition_by, "none" if fmt == "json" else "snappy")
+    new = f"{path}/_new-{uuid.uuid4().hex[:12]}"  # hidden from readers of the zone
+    # tasks move their files to the folder themselves: nobody reads it before the job has ended
+    writer = df.write.partitionBy(*partition_by).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
     if fmt == "json":
-        w.option("ignoreNullFields", "false").json(path)
+        writer.option("compression", "none").option("ignoreNullFields", "false").json(new)
     else:
-        w.parquet(path)
+        writer.option("compression", "snappy").parquet(new)
+    publish(df.sparkSession, new, path, len(partition_by))
+
+
+def publish(spark: SparkSession, new: str, path: str, depth: int) -> None:
+    """Put each partition folder below ``new`` in the place of its like below ``path``."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    top = hadoop(new)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(hadoop(top, "/".join(["*=*"] * depth)))
+    base = str(top.toUri().getPath())
+    folders = [str(s.getPath().toUri().getPath())[len(base) + 1:] for s in found]
+    for parent in sorted({f.rpartition("/")[0] for f in folders}):
+        fs.mkdirs(hadoop(path, parent) if parent else hadoop(path))
+
+    def swap(folder: str) -> None:
+        target = hadoop(path, folder)
+        fs.delete(target, True)
+        if not fs.rename(hadoop(top, folder), target):
+            raise OSError(f"cannot publish {folder} in {path}")
+
+    with ThreadPoolExecutor(PUBLISH_THREADS) as pool:
+        list(pool.map(swap, folders))
+    fs.delete(top, True)
 
 
 def _with_parts(df: DataFrame, load_date: dt.date | str | Column, source_file: str | Column | None) -> DataFrame:

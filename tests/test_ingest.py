@@ -333,3 +333,63 @@ def test_rows_with_a_null_batch_key_are_routed_not_dropped(spark, tmp_path):
     assert read_raw(spark, raw, "t").count() == 3
     assert read_raw(spark, raw, "t", dead_letter=True).count() == 1
     assert len(gate.verdicts) == 3
+
+
+def test_reserved_names_of_all_kinds_survive(spark, tmp_path):
+    from contractgate.operators.contract import Contract
+    from contractgate.plans.batches import gate_by_day, with_batches
+    from contractgate.sources.scans import read_raw
+    from pyspark.sql import functions as F
+    names = ["id", "year", "month", "day", "source_file", "_extra", "__data_x"]
+    c = Contract.from_dict({"entity": "t", "version": "1", "columns": [{"name": n} for n in names]})
+    df = spark.createDataFrame([("1", "1999", "m", "Mon", "hello", "e", "d")], ", ".join(f"`{n}` string" for n in names))
+    raw = str(tmp_path / "raw")
+    gate_by_day(spark, with_batches(df, F.lit("2024-03-15"), F.lit("y.csv")), c, raw, "t")
+    row = read_raw(spark, raw, "t").first().asDict()
+    assert [row[n] for n in names] == ["1", "1999", "m", "Mon", "hello", "e", "d"]
+    assert [row[f"load_{n}"] for n in ("year", "month", "day", "source_file")] == ["2024", "03", "15", "y.csv"]
+
+
+def test_relanding_replaces_only_its_own_files(spark, tmp_path):
+    from contractgate.sinks.zones import land
+    from contractgate.sources.scans import read_raw
+    from pyspark.sql import functions as F
+    raw = str(tmp_path / "raw")
+    a = spark.createDataFrame([(1, "a.csv"), (2, "b.csv")], "v int, f string")
+    land(a, raw, "t", "2024-03-15", "f")
+    land(a.where("f = 'b.csv'").withColumn("v", F.lit(9)), raw, "t", "2024-03-15", "f")
+    land(a.where("false"), raw, "t", "2024-03-15", "f")
+    assert sorted((r.v, r.source_file) for r in read_raw(spark, raw, "t").collect()) == [(1, "a.csv"), (9, "b.csv")]
+    assert not [p for p in (tmp_path / "raw" / "t").iterdir() if p.name.startswith("_new")]
+
+
+def test_compaction_survives_a_crash_before_the_old_files_go(spark, tmp_path, monkeypatch):
+    from contractgate.operators import state
+    store = WatermarkStore(spark, str(tmp_path / "raw"))
+    for d in (3, 9, 7):
+        store.advance("a", dt.date(2024, 1, d))
+    events = store.events()
+    current = state.current_watermarks(events).join(events.groupBy("entity").agg({"seq": "max"}).withColumnRenamed("max(seq)", "seq"), "entity")
+    current.selectExpr("entity", "seq", "'set' op", "watermark").coalesce(1).write.mode("append").parquet(store.path)
+    assert store.get("a") == dt.date(2024, 1, 9)  # old and compacted events together
+
+
+def test_dates_need_a_four_digit_year_and_a_date(spark):
+    from contractgate.functions.coerce import to_timestamp
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([(x,) for x in ("12345", "202001", "T12:30:00Z", "99999-01-01", "2020-01-15", "2020-01-15T10:00:00+02:00")], "s string")
+    got = [r[0] for r in df.select(F.expr(to_timestamp("s", T.StringType()))).collect()]
+    assert got == [None, None, None, None, dt.datetime(2020, 1, 15), dt.datetime(2020, 1, 15, 8)]
+    n = spark.createDataFrame([(1579046400000000000, 1.5e18), (20200115, float("nan")), (-1, float("inf"))], "n bigint, d double")
+    rows = n.select(F.expr(to_timestamp("n", T.LongType())), F.expr(to_timestamp("d", T.DoubleType()))).collect()
+    assert [r[0] for r in rows] == [dt.datetime(2020, 1, 15), dt.datetime(1970, 1, 1, 0, 0, 0, 20200), dt.datetime(1969, 12, 31, 23, 59, 59, 999999)]
+    assert [r[1] for r in rows] == [dt.datetime(2017, 7, 14, 2, 40), None, None]
+
+
+def test_an_unknown_format_is_an_error(spark, tmp_path):
+    import pytest
+    from contractgate.plans.ingest import ingest_files
+    from contractgate.sources.files import SourceFile
+    with pytest.raises(ValueError, match="neither CSV nor Parquet"):
+        ingest_files(spark, [SourceFile("customers", str(tmp_path / "a.xml"), "a.xml", None)], str(tmp_path / "raw"), D)

@@ -37,14 +37,25 @@ def test_batched_report_shuffles_only_batch_keys(spark, capsys):
     assert any("o_orderkey" in line for line in exchanges)
 
 
-def test_route_has_no_nested_loop_join(spark, capsys):
+def test_route_never_shuffles_the_data(spark, capsys):
     df = table(spark, SF, "orders").withColumn("batch", F.date_format("o_orderdate", "yyyy"))
     v = validate(df, tpch_contract("orders"), ["batch"])
-    accepted, rejected = route(df, v.verdicts, ["batch"])
-    text = plan(accepted, capsys)
-    assert "LeftSemi" in text and "NestedLoop" not in text
-    text = plan(route(df, v.verdicts, ["batch"], known_batches=7)[1], capsys)
-    assert "BroadcastHashJoin" in text and "LeftAnti" in text
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")  # statistics as of a very large table
+    try:
+        for side, kind in zip(route(df, v.verdicts, ["batch"]), ("LeftSemi", "LeftAnti")):
+            text = plan(side, capsys)
+            assert "BroadcastHashJoin" in text and kind in text
+            assert "Exchange hashpartitioning" not in text and "hashpartitioning" not in text and "NestedLoop" not in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_large_verdict_table_is_not_broadcast(spark, capsys, monkeypatch):
+    import contractgate.operators.route as r
+    monkeypatch.setattr(r, "MAX_BROADCAST_BYTES", 0)
+    keys = table(spark, SF, "orders").select("o_orderkey")
+    assert r.maybe_broadcast(keys, 0) is keys and r.maybe_broadcast(keys) is not keys
 
 
 def test_incremental_filter_reaches_the_scan(spark, capsys):
