@@ -562,6 +562,27 @@ def oracle_sql() -> dict[str, str]:
                      strftime(o_orderdate, '%Y') IN ({_ORDERS_VALID_YEARS}) AS ok
               FROM orders GROUP BY 1)
     """
+    q["ingest_parquet_summary"] = """
+        SELECT 'orders' AS entity, o_orderstatus || '.parquet' AS source_file,
+               'ACCEPTED orders: ' || format('{:,}', count(*)) || ' rows -> orders/year=2024/month=03/day=15/'
+               || o_orderstatus || '.parquet' AS summary, 'no_contract' AS skipped
+        FROM orders GROUP BY o_orderstatus
+    """
+    q["staged_totals_orders"] = """
+        SELECT e.entity, CAST(count(*) AS BIGINT) AS rows FROM orders, (VALUES ('orders'), (NULL)) e(entity) GROUP BY e.entity
+    """
+    q["staged_boolean_labels"] = """
+        SELECT doc_id, CASE (doc_id + quality) % 6 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true
+                                                   WHEN 3 THEN false WHEN 5 THEN true END AS quality FROM labels
+    """
+    q["run_load_log_orders"] = """
+        SELECT 'day-2024-03-15' AS pipeline, 'raw+staged' AS target_table, 'success' AS status, CAST(count(*) AS BIGINT) AS rows_loaded FROM orders
+        UNION ALL SELECT 'day-2024-03-16', 'raw+staged', 'failed', CAST(count_if(o_orderkey % 2 = 0) AS BIGINT) FROM orders
+    """
+    q["stale_loads_by_cutoff"] = """
+        SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS load_id, 'monthly' AS pipeline, 'orders' AS target_table, 'running' AS status
+        FROM orders WHERE month(o_orderdate) % 2 = 1 AND o_orderdate < TIMESTAMP '1998-07-01 00:00:00'
+    """
     q["raw_calendar_columns"] = """
         SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS year, strftime(o_orderdate, '%a') AS day,
                'file-' || o_custkey AS source_file, o_orderdate, strftime(o_orderdate, '%Y') AS load_year,

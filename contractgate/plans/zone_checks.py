@@ -18,7 +18,7 @@ from ..sources.files import hadoop_fs
 from ..sources.scans import read_partitioned, read_raw, read_staged
 from ..sinks.zones import DAY, manifest_root
 from .batches import BatchGate, advance_from_gate, gate_by_day, load_events, with_batches
-from .ingest import ingest, stage
+from .ingest import ingest, run_load, stage, stage_manifest, staged_total, summary, totals
 from .tables import TPCH_CONTRACTS, table, tpch_contract
 
 def _orders_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,7 +207,7 @@ def stale_loads_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_load_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted and rejected rows of the CSV ingest of orders (AGG-5)."""
-    return _csv_manifest(spark, sf_dir).groupBy("accepted").agg(F.sum("rows").cast("bigint").alias("rows"))
+    return totals(_csv_manifest(spark, sf_dir)).select("accepted", "rows")
 
 
 def staged_from_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,7 +376,80 @@ def numeric_dates_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failing.unionByName(staged.unpivot([], ["numbers right", "texts staged"], "what", "rows"))
 
 
+def _parquet_day(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """Orders as one Parquet file per status, and an entity without a contract."""
+    o, src = _plain_orders(spark, sf_dir), f"{base}/src"
+    for status in ("F", "O", "P"):
+        _copied(spark, o.where(F.col("o_orderstatus") == status), "parquet", f"{src}/orders", f"{status}.parquet")
+    _copied(spark, table(spark, sf_dir, "region"), "parquet", f"{src}/no_contract", "region.parquet")
+    _copied(spark, table(spark, sf_dir, "nation"), "parquet", f"{src}/not_asked_for", "nation.parquet")
+    return src
+
+
+def ingest_parquet_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parquet sources of a day, for some entities only: one summary line per
+    file; an entity without a contract is passed over."""
+    base = work_dir(spark, "orders-parquet", fresh=True)
+    out = ingest(spark, _parquet_day(spark, sf_dir, base), f"{base}/raw", _MIXED_DAY, ["orders", "no_contract"], LOOSE_CONTRACTS, False)
+    return summary(out.to_df(spark)).withColumn("skipped", F.lit(",".join(out.skipped_entities)))
+
+
+def staged_totals_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stage manifest of that day, added up per entity and in all."""
+    base = work_dir(spark, "orders-staged-totals", fresh=True)
+    ingest(spark, _parquet_day(spark, sf_dir, base), f"{base}/raw", _MIXED_DAY, ["orders"], LOOSE_CONTRACTS, False)
+    return staged_total(stage_manifest(spark, stage(spark, f"{base}/raw", f"{base}/staged", _MIXED_DAY, ["orders"], LOOSE_CONTRACTS)))
+
+
+def staged_boolean_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels as boolean text in several spellings, typed."""
+    spelling = F.array(*map(F.lit, ("true", "FALSE", "1", "0", "yes", "True")))
+    text = F.element_at(spelling, ((F.col("doc_id") + F.col("quality")) % 6 + 1).cast("int"))
+    contract = Contract.from_dict({"entity": "labels", "version": "1.0.0", "columns": [
+        {"name": "doc_id", "type": "integer"}, {"name": "quality", "type": "boolean"}]})
+    return apply_contract_types(table(spark, sf_dir, "labels").select("doc_id", text.alias("quality")), contract)
+
+
+def run_load_log_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two audited runs over orders as CSV: all files good, then one with an
+    unexpected column. The load log says how they ended."""
+    base = work_dir(spark, "orders-runs", fresh=True)
+    o = _plain_orders(spark, sf_dir)
+    o = o.select(*[F.col(c).cast("string") for c in o.columns])
+    log = LoadLog(spark, f"{base}/raw")
+    for day in (dt.date(2024, 3, 15), dt.date(2024, 3, 16)):
+        _copied(spark, o.where("o_orderkey % 2 = 0"), "csv", f"{base}/src-{day}/orders", "even.csv")
+        odd = o.where("o_orderkey % 2 = 1")
+        _copied(spark, odd if day.day == 15 else odd.withColumn("clerk", F.lit("x")), "csv", f"{base}/src-{day}/orders", "odd.csv")
+        try:
+            run_load(spark, f"{base}/src-{day}", f"{base}/raw", f"{base}/staged", day, ["orders"], LOOSE_CONTRACTS, pipeline=f"day-{day}")
+        except RuntimeError:  # how a run with quarantined files ends
+            pass
+    return log.status().select("pipeline", "target_table", "status", "rows_loaded")
+
+
+def stale_loads_by_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One load per order month, started on its first day; loads of even months
+    ended. Stale: those still running that started before the middle of 1998."""
+    month = F.trunc("o_orderdate", "month")
+    months = table(spark, sf_dir, "orders").groupBy(month.alias("m")).agg(F.count(F.lit(1)).alias("n"))
+    load_id = F.date_format("m", "yyyy-MM")
+    start = months.select(load_id.alias("load_id"), F.lit("monthly").alias("pipeline"), F.lit("orders").alias("target_table"),
+                          F.lit("running").alias("status"), F.lit(None).cast("bigint").alias("rows_loaded"), F.col("m").cast("timestamp_ntz").alias("event_at"))
+    end = months.where(F.month("m") % 2 == 0).select(
+        load_id.alias("load_id"), F.lit(None).cast("string").alias("pipeline"), F.lit(None).cast("string").alias("target_table"),
+        F.lit("success").alias("status"), F.col("n").alias("rows_loaded"), F.date_add("m", 1).cast("timestamp_ntz").alias("event_at"))
+    log = LoadLog(spark, work_dir(spark, "orders-stale-cutoff", fresh=True))
+    log.append(start.unionByName(end))
+    return stale_loads(log.status(), dt.datetime(1998, 7, 1)).select("load_id", "pipeline", "target_table", "status")
+
+
 REGISTERED = [
+    "ingest_parquet_summary",
+    "staged_totals_orders",
+    "staged_boolean_labels",
+    "run_load_log_orders",
+    "stale_loads_by_cutoff",
     "raw_calendar_columns",
     "staged_mixed_formats",
     "dead_letter_mixed_columns",
