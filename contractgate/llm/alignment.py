@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
 
-_WIDEST_BAND = 64
 
 
 def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -22,23 +20,32 @@ def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[: len(a) - end], b[: len(b) - end]
 
 
-def _banded(a: np.ndarray, b: np.ndarray, band: int) -> int | None:
+def _banded(a: np.ndarray, b: np.ndarray, x: list, y: list, band: int) -> int | None:
     """The distance if it is at most ``band``: the furthest point of each
-    diagonal of the band that 0, 1, 2, ... edits reach."""
-    m, n = len(a), len(b)
+    diagonal of the band that 0, 1, 2, ... edits reach. ``x``, ``y``: the same
+    sequences as lists, for single looks."""
+    m, n = len(x), len(y)
     goal = n - m
     if abs(goal) > band:
         return None
-    stops: dict[int, list[int]] = {}
 
     def run(i: int, k: int) -> int:
         """Furthest row on diagonal k reached from row i by equal elements."""
-        stop = stops.get(k)
-        if stop is None:
-            lo, hi = max(0, -k), min(m, n - k)
-            stop = stops[k] = [*(np.flatnonzero(a[lo:hi] != b[lo + k: hi + k]) + lo).tolist(), hi]
-        at = bisect_left(stop, i)
-        return stop[at] if at < len(stop) else i
+        end = min(m, n - k)
+        stop = min(end, i + 4)
+        while i < stop:
+            if x[i] != y[i + k]:
+                return i
+            i += 1
+        size = 32
+        while i < end:
+            stop = min(end, i + size)
+            differ = a[i:stop] != b[i + k: stop + k]
+            at = int(differ.argmax())
+            if differ[at]:
+                return i + at
+            i, size = stop, 4 * size
+        return i
 
     reach = {0: run(0, 0)}
     for edits in range(band + 1):
@@ -47,9 +54,11 @@ def _banded(a: np.ndarray, b: np.ndarray, band: int) -> int | None:
         if edits == band:
             return None
         wider = {}
-        for k in range(max(-m, -edits - 1, -band), min(n, edits + 1, band) + 1):
-            i = max(reach.get(k - 1, -1), reach.get(k, -2) + 1, reach.get(k + 1, -2) + 1)
-            i = min(i, m, n - k)
+        for k in range(max(-m, -edits - 1), min(n, edits + 1) + 1):
+            # a diagonal further from the goal's than edits are left for cannot come back
+            if abs(k - goal) > band - edits - 1:
+                continue
+            i = min(max(reach.get(k - 1, -1), reach.get(k, -2) + 1, reach.get(k + 1, -2) + 1), m, n - k)
             if i >= max(0, -k):
                 wider[k] = run(i, k)
         reach = wider
@@ -83,8 +92,8 @@ def _bitwise(a: list, b: list) -> int:
 def distance_within(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
     """Edit distance (insert, delete, replace) if it is at most ``limit``, else None.
 
-    The band doubles while the distance does not fit it, so alike sequences
-    cost about length * distance.
+    The band doubles while the distance does not fit it and a wider band is
+    cheaper than whole columns, so alike sequences cost little more than a look.
     """
     a, b = _trimmed(a, b)
     longer = max(len(a), len(b))
@@ -92,25 +101,55 @@ def distance_within(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
         return None
     if not len(a) or not len(b):
         return longer
+    x, y = a.tolist(), b.tolist()
     band = min(8, limit)
-    found = _banded(a, b, band)
+    found = _banded(a, b, x, y, band)
     if found is not None or band == limit:
         return found
-    x, y = a.tolist(), b.tolist()
     if longer - sum((Counter(x) & Counter(y)).values()) > limit:  # what has no partner costs an edit each
         return None
-    while band < min(limit, _WIDEST_BAND):
+    columns = longer * (1 + longer / 5000)  # microseconds, about
+    while band < limit and (2 * band) ** 2 < columns:
         band = min(2 * band, limit)
-        found = _banded(a, b, band)
+        found = _banded(a, b, x, y, band)
         if found is not None:
             return found
-    if band >= limit:
+    if band == limit:
         return None
     found = _bitwise(x, y) if len(x) <= len(y) else _bitwise(y, x)
     return found if found <= limit else None
 
 
+def _anchored(a: np.ndarray, b: np.ndarray) -> int:
+    """Cost of one alignment, an upper bound of the distance: elements that occur
+    once in each sequence, in the same order, are set against each other, and
+    between two of these what stands at the same place after the first."""
+    (va, ia, na), (vb, ib, nb) = (np.unique(v, return_index=True, return_counts=True) for v in (a, b))
+    _, ka, kb = np.intersect1d(va[na == 1], vb[nb == 1], assume_unique=True, return_indices=True)
+    at_a, at_b = ia[na == 1][ka], ib[nb == 1][kb]
+    order = np.argsort(at_a)
+    at_a, at_b = at_a[order], at_b[order]
+    if len(at_b):  # only those that stand after all before them and before all after them
+        inside = (at_b == np.maximum.accumulate(at_b)) & (at_b == np.minimum.accumulate(at_b[::-1])[::-1])
+        at_a, at_b = at_a[inside], at_b[inside]
+    starts_a, starts_b = np.concatenate(([0], at_a)), np.concatenate(([0], at_b))
+    ends_a, ends_b = np.append(at_a, len(a)), np.append(at_b, len(b))
+    size_a, size_b = ends_a - starts_a, ends_b - starts_b
+    segment = np.repeat(np.arange(len(size_a)), size_a)
+    j = np.arange(len(a)) - starts_a[segment] + starts_b[segment]
+    there = j < ends_b[segment]
+    differ = a[there] != b[j[there]]
+    return int(differ.sum()) + int((~there).sum()) + int(np.maximum(size_b - size_a, 0).sum())
+
+
 def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
-    """Whether 1 - distance / length of the longer is at least ``similarity``."""
+    """Whether 1 - distance / length of the longer is at least ``similarity``.
+
+    An alignment along common unique elements settles most alike pairs; the
+    banded alignment decides where that one costs too much.
+    """
     limit = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
-    return distance_within(a, b, limit) is not None
+    if abs(len(a) - len(b)) > limit:
+        return False
+    a, b = _trimmed(a, b)
+    return max(len(a), len(b)) <= limit or _anchored(a, b) <= limit or distance_within(a, b, limit) is not None
