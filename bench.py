@@ -31,6 +31,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from contractgate.operators.contract import PACKAGE_CONTRACTS  # noqa: E402
 from contractgate.operators.project import apply_contract_types  # noqa: E402
 from contractgate.operators.validate import validate  # noqa: E402
 from contractgate.plans.batches import gate_by_day, with_batches  # noqa: E402
@@ -134,23 +135,12 @@ def main():
     q["ingest_orders_csv_files"] = timed(
         lambda: ingest(spark, src, ingest_raw, "2024-03-15", contracts_dir=TPCH_CONTRACTS, advance_watermark=False),
         runs)
-    # staging needs accepted files: land them once more under a copy of the
-    # orders contract without the price limit (untimed), then time the stage job
-    import json
-    relaxed = json.loads((TPCH_CONTRACTS / "orders.json").read_text())
-    for col in relaxed["columns"]:
-        col.pop("max", None)
-    relaxed_dir = work_dir(spark, "bench-contracts", fresh=True)
-    _, cfs = hadoop_fs(spark, relaxed_dir)
-    out = cfs.create(jvm.org.apache.hadoop.fs.Path(f"{relaxed_dir}/orders.json"))
-    out.write(bytearray(json.dumps(relaxed).encode()))
-    out.close()
-    local_contracts = relaxed_dir.replace("file:", "")
+    # staging needs accepted files: land them once more under the contract without a price limit (untimed)
+    loose = PACKAGE_CONTRACTS / "loose"
     ok_raw = work_dir(spark, "bench-ingest-raw-ok", fresh=True)
-    landed = ingest(spark, src, ok_raw, "2024-03-15", contracts_dir=local_contracts, advance_watermark=False)
+    landed = ingest(spark, src, ok_raw, "2024-03-15", contracts_dir=loose, advance_watermark=False)
     rows["staged_orders_day"] = sum(m["rows"] for m in landed.accepted)
-    q["stage_orders_day"] = timed(
-        lambda: stage(spark, ok_raw, ingest_staged, "2024-03-15", ["orders"], local_contracts), runs)
+    q["stage_orders_day"] = timed(lambda: stage(spark, ok_raw, ingest_staged, "2024-03-15", ["orders"], loose), runs)
 
     total = sum(q.values())
     out = {
