@@ -59,8 +59,8 @@ BROADCAST_ROWS = 200_000
 
 def if_small(df: DataFrame) -> DataFrame:
     """``df`` (a written table) marked for broadcasting if its row count allows
-    it; otherwise as it is, for an ordinary shuffled join."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    it; otherwise for a shuffled join."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df.hint("merge")
 
 
 def crc_fold(id_column: str, modulus: int) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import if_small, materialise
 
 # Buckets up to this size compare every member with every other.
 SMALL = 12
@@ -35,7 +35,8 @@ def bucket_pairs(members: DataFrame, keep: Column | None = None) -> DataFrame:
     both = lambda d: d.where(keep).select("a", "b")
     # with two members the xor of their marks is all that a distance of marks needs
     twos = both(sizes.where("n = 2 AND lo < hi").select(F.col("lo").alias("a"), F.col("hi").alias("b"), F.lit(0).cast("bigint").alias("mark_a"), F.col("x").alias("mark_b")))
-    more = materialise(members.join(sizes.where("n > 2").select("bucket", "n", F.col("lo").alias("first")), "bucket"), "members")
+    shared = sizes.where("n > 2").select("bucket", "n", F.col("lo").alias("first"))
+    more = materialise(members.join(if_small(shared), "bucket"), "members")
     few = more.where(F.col("n") <= SMALL).select("bucket", "id", "mark")
     left, right = (few.select("bucket", F.col("id").alias(s), F.col("mark").alias(f"mark_{s}")) for s in "ab")
     pairs = both(left.join(right, "bucket").where("a < b"))
