@@ -10,9 +10,10 @@ Ingest, per entity:
 3. validate all groups of all entities in one Spark job (a union of one-pass
    aggregates, batch = source file) and collect the manifests: one small row
    per file;
-4. accepted files are scanned again and landed in raw, rejected files in the
-   dead-letter zone, each with a dynamic partition overwrite at file grain;
-   error manifests are written beside the dead-letter data;
+   (CSV files are first parsed into Parquet in the work folder, once);
+4. accepted files are landed in raw, rejected files in the dead-letter zone, each
+   replacing the partition of its file; error manifests are written beside the
+   dead-letter data;
 5. the watermark of each entity with an accepted file is advanced.
 
 No data row reaches the driver; only the per-file verdicts do.
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -31,8 +33,10 @@ from pyspark.sql import types as T
 
 from ..operators.contract import Contract, available_contracts, load_contract
 from ..operators.project import apply_contract_types, coercion_exprs
+from ..operators.route import maybe_broadcast
 from ..operators.state import LoadLog, WatermarkStore, watermark_report as _wm_report
 from ..operators.validate import empty_batch_manifest, validate
+from ..session import work_dir
 from ..sinks.zones import (
     DEAD_LETTER, EXTRA, SOURCE_FILE, as_date, date_parts, entity_root, land, partition_path, partitioned_key,
     replace_with_empty, store_names, write_manifests, write_staged,
@@ -46,8 +50,9 @@ from ..sources.scans import (
 
 log = logging.getLogger("contractgate.jobs")
 
-# header / schema groups validated per Spark job
+# header / schema groups validated per Spark job, and parsed at a time
 GROUPS_PER_JOB = 64
+HOLD_THREADS = 8
 
 LOAD_MANIFEST_SCHEMA = T.StructType([
     T.StructField("entity", T.StringType()),
@@ -89,12 +94,23 @@ class _Group:
 
     needs_multi_line: set | None = None
     rules: list | None = None
+    held: DataFrame | None = None
 
-    def scan(self, spark: SparkSession, multi_line, files: list[SourceFile] | None = None) -> DataFrame:
-        files = self.files if files is None else files
-        paths = [f.path for f in files]
+    def hold(self, spark: SparkSession, multi_line) -> None:
+        """Parse the CSV files once, into Parquet in the work folder: validation
+        then reads only the columns a rule needs, landing reads no CSV again."""
+        df = read_csv_auto(spark, [f.path for f in self.files], self.names, multi_line, self.needs_multi_line)
+        path = work_dir(spark, "held", fresh=True)
+        df.write.parquet(path)
+        self.held = spark.read.schema(df.schema).parquet(path)
+
+    def scan(self, spark: SparkSession, files: list[SourceFile] | None = None) -> DataFrame:
         if self.fmt == "csv":
-            return read_csv_auto(spark, paths, self.names, multi_line, self.needs_multi_line)
+            if files is None or len(files) == len(self.files):
+                return self.held
+            names = spark.createDataFrame([(f.name,) for f in files], f"{SOURCE_FILE} string")
+            return self.held.join(maybe_broadcast(names), SOURCE_FILE, "left_semi")
+        paths = [f.path for f in (self.files if files is None else files)]
         if not self.names:  # 0-byte Parquet file: nothing to read
             schema = T.StructType([T.StructField(SOURCE_FILE, T.StringType())])
             return spark.createDataFrame([], schema)
@@ -157,7 +173,7 @@ def _groups(spark: SparkSession, files: list[SourceFile], contracts: dict[str, C
     return out
 
 
-def _validate_groups(spark: SparkSession, groups: list[_Group], multi_line) -> list[dict]:
+def _validate_groups(spark: SparkSession, groups: list[_Group]) -> list[dict]:
     """One job: the manifests of every file of every group.
 
     A file with no data rows (header only, or 0 bytes) has no row in the
@@ -166,7 +182,7 @@ def _validate_groups(spark: SparkSession, groups: list[_Group], multi_line) -> l
     """
     frames = []
     for g in groups:
-        df = g.scan(spark, multi_line)
+        df = g.scan(spark)
         v = validate(df, g.contract, [SOURCE_FILE], actual=g.names, extra_column=EXTRA if g.fmt == "csv" else None)
         frames.append(v.manifest().select(
             F.lit(g.entity).alias("entity"), SOURCE_FILE, "row_count", "is_valid", "n_violations", "manifest_json"))
@@ -232,7 +248,9 @@ def ingest_files(
         needs = files_with_quoted_newlines(spark, [f.path for f in files if f.fmt == "csv"])
         for g in groups:
             g.needs_multi_line = needs
-    verdicts = {(r["entity"], r[SOURCE_FILE]): r for r in _validate_groups(spark, groups, multi_line)}
+    with ThreadPoolExecutor(HOLD_THREADS) as pool:
+        list(pool.map(lambda g: g.hold(spark, multi_line), [g for g in groups if g.fmt == "csv"]))
+    verdicts = {(r["entity"], r[SOURCE_FILE]): r for r in _validate_groups(spark, groups)}
 
     # accepted CSV files hold exactly the contract's columns as text, whatever
     # their header order: one landing write per entity for all their groups
@@ -242,9 +260,9 @@ def ingest_files(
         if ok and g.fmt == "csv":
             merged_csv.setdefault(g.entity, []).append((g, ok))
         elif ok:
-            _land_files(spark, g, ok, raw_root, load_date, multi_line, verdicts, dead_letter=False)
+            _land_files(spark, g, ok, raw_root, load_date, verdicts, dead_letter=False)
     for entity, parts in merged_csv.items():
-        frames = [g.scan(spark, multi_line, ok).drop(EXTRA) for g, ok in parts]
+        frames = [g.scan(spark, ok).drop(EXTRA) for g, ok in parts]
         df = frames[0]
         for f in frames[1:]:
             df = df.unionByName(f)
@@ -254,7 +272,7 @@ def ingest_files(
     for g in groups:
         bad = [f for f in g.files if not verdicts[(g.entity, f.name)]["is_valid"]]
         if bad:
-            _land_files(spark, g, bad, raw_root, load_date, multi_line, verdicts, dead_letter=True)
+            _land_files(spark, g, bad, raw_root, load_date, verdicts, dead_letter=True)
             rows = [(verdicts[(g.entity, f.name)]["manifest_json"], f.name) for f in bad]
             mdf = spark.createDataFrame(rows, f"manifest_json string, {SOURCE_FILE} string")
             write_manifests(mdf, raw_root, g.entity, load_date)
@@ -277,9 +295,9 @@ def ingest_files(
     return outcome
 
 
-def _land_files(spark, g: _Group, files: list[SourceFile], root: str, load_date: dt.date, multi_line,
+def _land_files(spark, g: _Group, files: list[SourceFile], root: str, load_date: dt.date,
                 verdicts: dict, dead_letter: bool) -> None:
-    df = g.scan(spark, multi_line, files)
+    df = g.scan(spark, files)
     if g.fmt == "csv" and not dead_letter:
         df = df.drop(EXTRA)  # accepted files have no extra fields
     _land_frame(spark, df, g.entity, files, root, load_date, verdicts, dead_letter)
@@ -291,11 +309,10 @@ def _land_frame(spark, df: DataFrame, entity: str, files: list[SourceFile], root
     if nonempty:
         land(df, root, entity, load_date, SOURCE_FILE, dead_letter=dead_letter)
     base = entity_root(root, entity, dead_letter)
-    for f in files:
-        if verdicts[(entity, f.name)]["row_count"] == 0:
-            # zero rows: replace whatever an earlier load left at this key
-            parts = {**date_parts(load_date), "source_file": f.name}
-            replace_with_empty(spark, store_names(df.drop(SOURCE_FILE)).schema, partition_path(base, parts))
+    # zero rows: replace whatever an earlier load left at these keys
+    empty = [f.name for f in files if verdicts[(entity, f.name)]["row_count"] == 0]
+    keys = [partition_path(base, {**date_parts(load_date), "source_file": name}) for name in empty]
+    replace_with_empty(spark, store_names(df.drop(SOURCE_FILE)).schema, keys)
 
 
 def stage(
@@ -339,7 +356,7 @@ def stage(
         if any(r["rows"] for r in counted.values()):
             write_staged(typed, staged_root, entity, load_date)
         else:  # no rows are a day's content too: they replace what was staged before
-            replace_with_empty(spark, store_names(typed).schema, partition_path(f"{staged_root}/{entity}", date_parts(load_date)))
+            replace_with_empty(spark, store_names(typed).schema, [partition_path(f"{staged_root}/{entity}", date_parts(load_date))])
         for name, r in sorted(counted.items()):
             results.append({"entity": entity, "rows": int(r["rows"]),
                             "source_key": partitioned_key(entity, load_date, name),

@@ -22,12 +22,15 @@ re-running a load never duplicates, also after a crash in between.
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import work_dir
+
 DEAD_LETTER = "_dead_letter"
 MANIFESTS = "_manifests"
 DATE_PARTS = ["year", "month", "day"]
@@ -93,8 +96,13 @@ def manifest_root(root: str, entity: str) -> str:
     return f"{root}/{DEAD_LETTER}/{MANIFESTS}/{entity}"
 
 
+def escaped(value: str) -> str:
+    """A partition value as Spark writes it in a folder name."""
+    return re.sub(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", value)
+
+
 def partition_path(base: str, parts: dict[str, str]) -> str:
-    return base + "".join(f"/{k}={v}" for k, v in parts.items())
+    return base + "".join(f"/{k}={escaped(v)}" for k, v in parts.items())
 
 
 # Partition folders published at a time.
@@ -166,16 +174,33 @@ def land(df: DataFrame, root: str, entity: str, load_date: dt.date | str | Colum
     return target
 
 
-def replace_with_empty(spark: SparkSession, df_schema, path: str) -> None:
-    """Static overwrite of one partition directory with no rows: a batch with
-    zero rows still replaces what an earlier load left at its key (dynamic
-    overwrite only touches partitions that occur in the data). A file with no
-    columns at all (0 bytes) is marked by one empty placeholder column."""
+def replace_with_empty(spark: SparkSession, df_schema, paths: list[str]) -> None:
+    """Replace partition folders with ones that hold no rows: a batch with zero
+    rows still replaces what an earlier load left at its key. One job writes the
+    empty file, which is then copied to each folder. A file with no columns at
+    all (0 bytes) is marked by one empty placeholder column."""
     from pyspark.sql import types as T
 
+    if not paths:
+        return
     if not df_schema.fields:
         df_schema = T.StructType([T.StructField("_empty", T.StringType(), True)])
-    spark.createDataFrame([], df_schema).write.mode("overwrite").parquet(path)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs.Path
+    model = hadoop(f"{work_dir(spark, 'empty', fresh=True)}")
+    spark.createDataFrame([], df_schema).write.parquet(str(model.toString()))
+    source = model.getFileSystem(conf)
+
+    def replace(path: str) -> None:
+        target = hadoop(path)
+        fs = target.getFileSystem(conf)
+        fs.delete(target, True)
+        fs.mkdirs(target.getParent())
+        if not jvm.org.apache.hadoop.fs.FileUtil.copy(source, model, fs, target, False, conf):
+            raise OSError(f"cannot write {path}")
+
+    with ThreadPoolExecutor(PUBLISH_THREADS) as pool:
+        list(pool.map(replace, paths))
 
 
 def write_manifests(df: DataFrame, root: str, entity: str, load_date: dt.date | str | Column,

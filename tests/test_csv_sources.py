@@ -155,3 +155,12 @@ def test_many_header_groups_in_chunked_jobs(spark, tmp_path, monkeypatch):
     src = source(tmp_path, "f3.csv", "a,b,c\n1,2,3\n")
     out = ingest(spark, src, str(tmp_path / "raw"), D, contracts_dir=contracts_dir(tmp_path), advance_watermark=False)
     assert [(m["source_file"], m["accepted"]) for m in out.manifest] == [("f1.csv", True), ("f2.csv", True), ("f3.csv", False)]
+
+
+def test_zero_row_file_with_an_awkward_name_replaces_its_own_rows(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    for content in ("a,b\n1,2\n", "a,b\n"):
+        src = source(tmp_path, "100% [x] y.csv", content)
+        out = ingest(spark, src, raw, D, contracts_dir=contracts_dir(tmp_path), advance_watermark=False)
+        assert out.manifest[0]["accepted"]
+    assert read_raw(spark, raw, "ab", D).count() == 0
