@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
+from ..sources.files import hadoop_fs
 
 
 _PACKAGE = Path(__file__).resolve().parent.parent
@@ -44,7 +45,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     the lineage so that a lost executor costs a re-read, not a re-run."""
     path = work_dir(df.sparkSession, f"llm/{name}", fresh=True)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables of ``materialise`` that nothing reads any more."""
+    for df in written:
+        path, fs = hadoop_fs(df.sparkSession, df.scratch)
+        fs.delete(path, True)
 
 
 def numbered(docs: DataFrame, name: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import if_small, materialise
+from .common import discard, if_small, materialise
 
 # Buckets up to this size compare every member with every other.
 SMALL = 12
@@ -48,7 +48,9 @@ def bucket_pairs(members: DataFrame, keep: Column | None = None) -> DataFrame:
     inner = inner.select(F.col("centre").alias("a"), F.col("id").alias("b"), "mark")
     own = many.select(F.col("id").alias("a"), F.col("mark").alias("mark_a")).distinct()
     inner = both(inner.join(own, "a").select("a", "b", "mark_a", F.col("mark").alias("mark_b")))
-    return twos.unionByName(pairs).unionByName(stars).unionByName(inner).distinct()
+    out = materialise(twos.unionByName(pairs).unionByName(stars).unionByName(inner).distinct(), "pairs")
+    discard(sizes, more)
+    return out
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -66,8 +68,10 @@ def components(links: DataFrame) -> DataFrame:
         step = labels.join(near, "id").select("id", "label", F.least("label", "near").alias("new"))
         jump = labels.select(F.col("id").alias("new"), F.col("label").alias("far"))
         step = step.join(jump, "new", "left").select("id", "label", F.least("new", F.coalesce("far", "new")).alias("new"))
-        step = materialise(step, "labels")
-        changed = step.where("new < label").limit(1).count()
+        before, step = labels, materialise(step, "labels")
+        discard(before)
+        if not step.where("new < label").limit(1).count():
+            discard(edges)
+            return step.select("id", F.col("new").alias("label"))
         labels = step.select("id", F.col("new").alias("label"))
-        if not changed:
-            return labels
+        labels.scratch = step.scratch

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, text_of
+from .common import if_small, materialise, text_of
 
 LEVELS = ("domain", "lang", "source")
 _RANGE_CHARS = 3  # 16 ** 3 ranges of an order's keys
@@ -89,7 +89,7 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], per
     narrow = materialise(named.select("doc_id", *[F.col(k).alias(n) for k, n in zip(leaf, LEVELS)],
                                       (word_count() if tokens is None else tokens).alias("tokens")), "mixing")
     cuts = leaf_cuts(narrow, weights, percent, max_epochs, seed)
-    cuts = cuts.select(*[F.col(n).alias(f"mix_{n}") for n in LEVELS], "passes", "last_key")
+    cuts = if_small(materialise(cuts.select(*[F.col(n).alias(f"mix_{n}") for n in LEVELS], "passes", "last_key"), "cuts"))
     key = order_key(seed, F.col("passes"))
     copies = F.coalesce(F.col("passes") + F.when(key <= F.col("last_key"), 1).otherwise(0), F.lit(0)).cast("int")
     return named.join(cuts, list(leaf), "left").withColumn("mix_copies", copies).drop("passes", "last_key")
