@@ -7,7 +7,7 @@ small (a constant).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, if_small, materialise
@@ -16,11 +16,10 @@ from .common import discard, if_small, materialise
 SMALL = 12
 
 
-def bucket_pairs(members: DataFrame, keep: Column | None = None) -> DataFrame:
+def bucket_pairs(members: DataFrame) -> DataFrame:
     """Distinct pairs a < b of ids that share a bucket and should be compared.
 
-    ``members``: bucket, id, next (a second bucket of the same id), mark (a long;
-    ``keep``, if given, is a condition on the columns mark_a and mark_b).
+    ``members``: bucket, id, next (a second bucket of the same id).
 
     * A bucket of two is a pair; up to ``SMALL`` members give all their pairs.
     * In a larger bucket each member is compared with the bucket's first id and
@@ -28,26 +27,17 @@ def bucket_pairs(members: DataFrame, keep: Column | None = None) -> DataFrame:
       that several groups of copies in one bucket each have a centre. Links are
       later followed transitively, so a large group needs no more.
     """
-    sizes = members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"), F.bit_xor("mark").alias("x")).where("n > 1")
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("n > 1")
     sizes = materialise(sizes, "buckets")
-    keep = F.lit(True) if keep is None else keep
-    both = lambda d: d.where(keep).select("a", "b")
-    # with two members the xor of their marks is all that a distance of marks needs
-    twos = both(sizes.where("n = 2 AND lo < hi").select(F.col("lo").alias("a"), F.col("hi").alias("b"), F.lit(0).cast("bigint").alias("mark_a"), F.col("x").alias("mark_b")))
+    twos = sizes.where("n = 2 AND lo < hi").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
     shared = sizes.where("n > 2").select("bucket", "n", F.col("lo").alias("first"))
     more = materialise(members.join(if_small(shared), "bucket"), "members")
-    few = more.where(F.col("n") <= SMALL).select("bucket", "id", "mark")
-    left, right = (few.select("bucket", F.col("id").alias(s), F.col("mark").alias(f"mark_{s}")) for s in "ab")
-    pairs = both(left.join(right, "bucket").where("a < b"))
+    few = more.where(F.col("n") <= SMALL).select("bucket", "id")
+    pairs = few.withColumnRenamed("id", "a").join(few.withColumnRenamed("id", "b"), "bucket").where("a < b").select("a", "b")
     many = more.where(F.col("n") > SMALL)
-    marks = many.where("id = first").groupBy("bucket").agg(F.first("mark").alias("mark_a"))
-    stars = both(many.join(marks, "bucket").where("id > first").select(F.col("first").alias("a"), F.col("id").alias("b"), "mark_a", F.col("mark").alias("mark_b")))
+    stars = many.where("id > first").select(F.col("first").alias("a"), F.col("id").alias("b"))
     centres = many.groupBy("bucket", "next").agg(F.min("id").alias("centre"))
-    inner = many.join(centres, ["bucket", "next"]).where("id > centre")
-    inner = inner.select(F.col("centre").alias("a"), F.col("id").alias("b"), "mark")
-    own = many.select(F.col("id").alias("a"), F.col("mark").alias("mark_a")).distinct()
-    inner = both(inner.join(own, "a").select("a", "b", "mark_a", F.col("mark").alias("mark_b")))
+    inner = many.join(centres, ["bucket", "next"]).where("id > centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
     out = materialise(twos.unionByName(pairs).unionByName(stars).unionByName(inner).distinct(), "pairs")
     discard(sizes, more)
     return out
