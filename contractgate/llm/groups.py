@@ -21,25 +21,25 @@ def bucket_pairs(members: DataFrame) -> DataFrame:
 
     ``members``: bucket, id, next (a second bucket of the same id).
 
-    * A bucket of two is a pair; up to ``SMALL`` members give all their pairs.
+    * Up to ``SMALL`` members of a bucket give all their pairs.
     * In a larger bucket each member is compared with the bucket's first id and
       with the first id of those members that share its ``next`` bucket too, so
       that several groups of copies in one bucket each have a centre. Links are
       later followed transitively, so a large group needs no more.
     """
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("n > 1")
-    sizes = materialise(sizes, "buckets")
-    twos = sizes.where("n = 2 AND lo < hi").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-    shared = sizes.where("n > 2").select("bucket", "n", F.col("lo").alias("first"))
-    more = materialise(members.join(if_small(shared), "bucket"), "members")
+    # nearly every bucket has one member: first the numbers alone, then the ids of the few that are shared
+    counts = materialise(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    shared = materialise(members.join(if_small(counts), "bucket"), "shared")
+    firsts = shared.groupBy("bucket").agg(F.min("id").alias("first"))
+    more = materialise(shared.join(firsts.hint("merge"), "bucket"), "members")
     few = more.where(F.col("n") <= SMALL).select("bucket", "id")
     pairs = few.withColumnRenamed("id", "a").join(few.withColumnRenamed("id", "b"), "bucket").where("a < b").select("a", "b")
     many = more.where(F.col("n") > SMALL)
     stars = many.where("id > first").select(F.col("first").alias("a"), F.col("id").alias("b"))
     centres = many.groupBy("bucket", "next").agg(F.min("id").alias("centre"))
     inner = many.join(centres, ["bucket", "next"]).where("id > centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
-    out = materialise(twos.unionByName(pairs).unionByName(stars).unionByName(inner).distinct(), "pairs")
-    discard(sizes, more)
+    out = materialise(pairs.unionByName(stars).unionByName(inner).distinct(), "pairs")
+    discard(counts, shared, more)
     return out
 
 
