@@ -29,6 +29,11 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
 
+def in_words(codes: np.ndarray) -> np.ndarray:
+    """Whether each character is a letter or a digit."""
+    return _IN_WORD[np.minimum(codes, 0xFFFF)] | (codes > 0xFFFF)
+
+
 def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hashes, start positions) of the words of a text: its runs of
     letters and digits, in lower case. Words longer than a slice are cut."""
@@ -36,7 +41,7 @@ def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
     hashes, starts_at, at = [], [], 0
     while at < len(codes):
         part = codes[at: at + _SLICE]
-        inside = _IN_WORD[np.minimum(part, 0xFFFF)] | (part > 0xFFFF)
+        inside = in_words(part)
         if at + len(part) < len(codes) and inside[-1]:  # end the slice before its last word
             gaps = np.flatnonzero(~inside)
             if len(gaps):

@@ -224,3 +224,14 @@ def test_pipeline_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("false")
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0, name
+
+
+def test_lines_with_changed_words_go_whatever_their_simhash(spark):
+    rng = np.random.default_rng(8)
+    base = [" ".join("".join(rng.choice(list("abcdefghinorst"), rng.integers(3, 9))) for _ in range(n)) for n in (10, 12, 20, 40, 60)]
+    changed = [" ".join("other" if k == 4 else w for k, w in enumerate(line.split())) for line in base]
+    rows = [(i, line) for i, line in enumerate([*base, "The red.", *changed, "Tha red."])]
+    code = lambda line: words.code_points(" ".join(line.lower().split()))
+    assert all(alignment.alike(code(a), code(b), 0.8) for (_, a), (_, b) in zip(rows[:6], rows[6:]))
+    got = {r.doc_id: r.lines_dropped for r in line_dedup.dedup_lines(_docs(spark, rows).coalesce(1)).collect()}
+    assert got == {i: int(i > 5) for i in range(12)}
