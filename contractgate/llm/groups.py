@@ -1,12 +1,14 @@
-"""Candidate pairs from shared buckets, and connected groups of links.
+"""Links between ids that share buckets, and connected groups of links.
 
 Both work with ordinary joins and aggregations: no bucket and no group is
-gathered in one task, and no bucket's pairs are all written out unless it is
-small (a constant).
+gathered in one task, and of a large bucket only the pairs are written out
+that can still join two classes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,16 +18,19 @@ from .common import discard, if_small, materialise
 SMALL = 12
 
 
-def bucket_pairs(members: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of ids that share a bucket and should be compared.
+def linked(members: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``components`` of all verified links between ids that share a bucket.
 
-    ``members``: bucket, id, next (a second bucket of the same id).
+    ``members``: bucket, id, next (a second bucket of the same id); ``verified``
+    takes distinct pairs a < b and gives those that are links, written out.
 
     * Up to ``SMALL`` members of a bucket give all their pairs.
-    * In a larger bucket each member is compared with the bucket's first id and
-      with the first id of those members that share its ``next`` bucket too, so
-      that several groups of copies in one bucket each have a centre. Links are
-      later followed transitively, so a large group needs no more.
+    * In a larger bucket each member is first compared with the bucket's first id
+      and with the first id of those members that share its ``next`` bucket too.
+      What these links join needs no more pairs, so a bucket of copies is done.
+    * Of the large buckets that hold several classes after that, every pair of
+      members of different classes is compared: classes of a bucket meet first,
+      then the members of both. So the result is that of all pairs.
     """
     # nearly every bucket has one member: first the numbers alone, then the ids of the few that are shared
     counts = materialise(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
@@ -38,9 +43,28 @@ def bucket_pairs(members: DataFrame) -> DataFrame:
     stars = many.where("id > first").select(F.col("first").alias("a"), F.col("id").alias("b"))
     centres = many.groupBy("bucket", "next").agg(F.min("id").alias("centre"))
     inner = many.join(centres, ["bucket", "next"]).where("id > centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
-    out = materialise(pairs.unionByName(stars).unionByName(inner).distinct(), "pairs")
-    discard(counts, shared, more)
-    return out
+    first_pairs = materialise(pairs.unionByName(stars).unionByName(inner).distinct(), "pairs")
+    discard(counts, shared)
+    links = verified(first_pairs)
+    labels = materialise(components(links), "classes")
+    placed = many.select("bucket", "id").join(labels.hint("merge"), "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("class"))
+    placed = materialise(placed, "placed")
+    parts = materialise(placed.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n")), "parts")
+    # the same two classes often meet in many buckets; their members differ from bucket to bucket
+    here, there = (parts.select("bucket", F.col("class").alias(c)) for c in ("class_a", "class_b"))
+    meet = here.hint("merge").join(there, "bucket").where("class_a < class_b")
+    side_a, side_b = (placed.select("bucket", F.col("class").alias(f"class_{s}"), F.col("id").alias(s)).hint("merge") for s in "ab")
+    cross = meet.join(side_a, ["bucket", "class_a"]).join(side_b, ["bucket", "class_b"])
+    cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = materialise(cross.join(first_pairs.hint("merge"), ["a", "b"], "left_anti"), "more-pairs")
+    discard(more, first_pairs, placed, parts)
+    if rest.limit(1).count():
+        found = verified(rest)
+        discard(labels)
+        labels = materialise(components(links.unionByName(found)), "classes")
+        discard(found)
+    discard(links, rest)
+    return labels
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 import corpus_pipeline
-from contractgate.llm import alignment, line_dedup, mixing, near_dup, nearest, registry, subword_classifier, toxicity, words
+from contractgate.llm import alignment, common, groups, line_dedup, mixing, near_dup, nearest, registry, subword_classifier, toxicity, words
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, row bigint, id string"
@@ -235,3 +235,10 @@ def test_lines_with_changed_words_go_whatever_their_simhash(spark):
     assert all(alignment.alike(code(a), code(b), 0.8) for (_, a), (_, b) in zip(rows[:6], rows[6:]))
     got = {r.doc_id: r.lines_dropped for r in line_dedup.dedup_lines(_docs(spark, rows).coalesce(1)).collect()}
     assert got == {i: int(i > 5) for i in range(12)}
+
+
+def test_a_large_bucket_gives_the_links_of_all_its_pairs(spark):
+    members = spark.createDataFrame([(b, i, 100 + i) for b in (1, 2) for i in range(40) if b == 1 or i % 2], "bucket bigint, id bigint, next bigint")
+    chained = lambda pairs: common.materialise(pairs.where("b - a = 3"), "chained")  # noqa: E731 - no centre sees a chain
+    got = {r.id: r.label for r in groups.linked(members, chained).collect()}
+    assert got == {i: i % 3 for i in range(40)}
