@@ -242,3 +242,17 @@ def test_a_large_bucket_gives_the_links_of_all_its_pairs(spark):
     chained = lambda pairs: common.materialise(pairs.where("b - a = 3"), "chained")  # noqa: E731 - no centre sees a chain
     got = {r.id: r.label for r in groups.linked(members, chained).collect()}
     assert got == {i: i % 3 for i in range(40)}
+
+
+def test_pairs_near_the_threshold_share_a_sketch():
+    import inspect
+    settings = {k: v.default for k, v in inspect.signature(near_dup.near_duplicates).parameters.items()}
+    rng, factors, hits = np.random.default_rng(9), near_dup.factors_of(settings["sketches"], settings["seed"]), 0
+    for _ in range(100):
+        a, changed = rng.integers(1, 1 << 63, 300).astype(np.uint64), rng.choice(300, 54, replace=False)
+        b = a.copy()
+        b[changed] += np.uint64(1)
+        assert alignment.alike(a, b, settings["similarity"])
+        x, y = (near_dup.sketch(near_dup.kmers(w, settings["size"]), factors, settings["keep"]) for w in (a, b))
+        hits += (x == y).any()
+    assert hits >= 95
