@@ -1,10 +1,11 @@
 """Toxicity: a weighted finite-state pattern grammar over clauses.
 
 A text is cut into clauses; each word becomes a symbol (insult, threat, target,
-negation, reporting verb, other). Four small transducers read the symbols:
+negation, reporting verb, other). Five small transducers read the symbols:
 negation and reporting remember whether such a word came shortly before,
 target whether somebody is addressed, and the match transducer emits what was
-found. They are composed into one machine whose states are tuples of their
+found. A fifth remembers a threat verb that no target preceded, until its target
+follows in the same clause. They are composed into one machine whose states are tuples of their
 states; an emitted match carries the weight of its word and one of the kinds
 plain, negated, reported, addressed or threat. A document's score is a
 logistic function of the matched weights per kind, so words count by the clause
@@ -15,7 +16,8 @@ documents of each class, by the smallest hash of their id; whole texts): the
 insult lexicon (whole words and word beginnings that make up a far larger share
 of the words of toxic documents than of others, with their log odds as
 weights) and the weight
-of each kind of match. Cue words of the other symbols are fixed.
+of each kind of match; threats have a fixed weight if no sampled document holds one.
+Cue words of the other symbols are fixed.
 
 Defined cases: a null or empty text matches nothing and gets the score of the
 bias; null labels are ignored, a doc_id labelled more than once counts with its
@@ -53,15 +55,16 @@ THREATS = frozenset("kill hurt destroy beat shoot stab burn murder töten umbrin
                     "tuer frapper détruire blesser matar golpear destruir herir".split())
 
 KINDS = ("plain", "negated", "reported", "addressed", "threat")
-_REACH = 3  # words over which a negation or an address holds
+_REACH = 3  # words over which a negation, an address or an open threat holds
+THREAT_WEIGHT = 8.0  # of the kind threat, where the sample holds none
 
 
 @dataclass(frozen=True)
 class Transducer:
     """Deterministic: ``move(state, symbol)`` gives the next state."""
 
-    start: int
-    move: Callable[[int, str], int]
+    start: int | tuple
+    move: Callable[[int | tuple, str], int | tuple]
 
 
 def _holding(symbol: str, reach: int) -> Transducer:
@@ -74,6 +77,23 @@ def _lasting(symbol: str) -> Transducer:
     return Transducer(0, lambda state, seen: 1 if seen == symbol else state)
 
 
+def _opened() -> Transducer:
+    """State: words for which the last threat verb still waits for its target, and
+    the states that decide whether such a verb opens (neither negated nor reported,
+    and no target before it: that one is a match by itself)."""
+    parts = _holding("negation", _REACH), _lasting("report"), _holding("target", _REACH)
+
+    def move(state: tuple, seen: str) -> tuple:
+        waits, *before = state
+        if seen == "threat":
+            waits = 0 if any(before) else _REACH
+        else:
+            waits = 0 if seen == "target" else max(waits - 1, 0)
+        return waits, *(p.move(x, seen) for p, x in zip(parts, before))
+
+    return Transducer((0, *(p.start for p in parts)), move)
+
+
 SYMBOLS = ("other", "insult", "threat", "target", "negation", "report")
 
 
@@ -90,15 +110,17 @@ def compose(*parts: Transducer) -> tuple[tuple, dict[tuple, dict[str, tuple]]]:
     return start, table
 
 
-_START, _MOVES = compose(_holding("negation", _REACH), _lasting("report"), _holding("target", _REACH))
+_START, _MOVES = compose(_holding("negation", _REACH), _lasting("report"), _holding("target", _REACH), _opened())
 
 
 def _kind(state: tuple, symbol: str) -> str | None:
-    negated, reported, addressed = state
+    negated, reported, addressed, (waits, *_) = state
     if symbol == "insult":
         return "negated" if negated else "reported" if reported else "addressed" if addressed else "plain"
     if symbol == "threat" and addressed and not negated and not reported:
         return "threat"
+    if symbol == "target" and waits:
+        return "threat"
     return None
 
 
@@ -234,7 +256,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, keep: Column, sample_per
     got = rows.where(half == 0).select("y", "text").mapInArrow(measure, "y int, x array<double>").toPandas()
     if got.y.nunique() < 2:
         return Grammar(grammar.insults, dict.fromkeys(_INPUTS, 0.0), -60.0)
-    w, b = _logistic(np.array(got.x.tolist()), got.y.to_numpy(dtype=float))
+    x = np.array(got.x.tolist())
+    w, b = _logistic(x, got.y.to_numpy(dtype=float))
+    if not x[:, KINDS.index("threat")].any():
+        w[KINDS.index("threat")] = THREAT_WEIGHT
     return Grammar(grammar.insults, dict(zip(_INPUTS, w)), b)
 
 

@@ -256,3 +256,17 @@ def test_pairs_near_the_threshold_share_a_sketch():
         x, y = (near_dup.sketch(near_dup.kmers(w, settings["size"]), factors, settings["keep"]) for w in (a, b))
         hits += (x == y).any()
     assert hits >= 95
+
+
+def test_grammar_reads_threats_before_their_target(spark):
+    from pyspark.sql import functions as F
+    g = toxicity.Grammar({"idiot": 2.0})
+    found = lambda t: {k: v for k, v in g.matches(t)[0].items() if v}
+    assert found("i will kill you") == found("we hurt all of them") == found("you will kill you") == {"threat": 1.0}
+    for text in ("i will not kill you", "the paper said i will kill you", "kill. you", "kill the very old dog you"):
+        assert found(text) == {}, text
+    plain = "good plain words about the weather "
+    docs = _docs(spark, [(i, plain * 5 + ("idiot moron " * 4 if i % 2 else "")) for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, toxic int")
+    grammar = toxicity.fit(docs, labels, "toxic", F.lit(True))
+    assert grammar.score(plain + "i will kill you") > 0.5 > grammar.score(plain + "i will see you")
