@@ -270,3 +270,10 @@ def test_grammar_reads_threats_before_their_target(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, toxic int")
     grammar = toxicity.fit(docs, labels, "toxic", F.lit(True))
     assert grammar.score(plain + "i will kill you") > 0.5 > grammar.score(plain + "i will see you")
+
+
+def test_copies_of_symbol_only_texts_are_one_class(spark):
+    rows = [(1, "===="), (2, "***"), (3, " ====\n"), (4, "===="), (5, "== =="), (6, ""), (7, None), (8, " ")]
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(_docs(spark, rows).repartition(3)).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 1, 5: 5, 6: 6, 7: 7, 8: 8}
+    assert near_dup.deduplicated(_docs(spark, rows)).count() == 6
