@@ -40,11 +40,11 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: cuts
     the lineage so that a lost executor costs a re-read, not a re-run."""
     path = work_dir(df.sparkSession, f"llm/{name}", fresh=True)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out

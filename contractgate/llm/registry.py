@@ -6,7 +6,11 @@ import public_tokenizers as tokenizers_of
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, mixing, near_dup, nearest, packing, secret_scan, subword_classifier, token_count, toxicity
+from ..session import work_dir
+from . import (
+    collocations, exact_dedup, lexical_search, line_dedup, mixing, near_dup, nearest, packing, secret_scan, subword_classifier,
+    token_count, token_files, toxicity,
+)
 from .common import crc_fold, ship, table
 
 
@@ -76,9 +80,28 @@ def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizers_of.path("piece_bpe_32k.model"), limit=4096)
 
 
-QUERIES = {f.__name__: f for f in (op1_order_minhash, op2_progressive_dedup, op3_cross_polytope, op4_subword_quality, op5_pattern_toxicity, op6_simhash_lines, op7_best_two_fit, op8_hierarchical_mix, op9_entropy_secrets, op10_piece_counts)}
+def op11_itemset_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark, "llm/token-files", fresh=True)
+    token_files.write_token_files(table(spark, sf_dir, "documents"), folder, tokenizers_of.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_token_files(spark, folder).drop("ids")
+
+
+def op13_interval_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_order_minhash, op2_progressive_dedup, op3_cross_polytope, op4_subword_quality, op5_pattern_toxicity, op6_simhash_lines,
+    op7_best_two_fit, op8_hierarchical_mix, op9_entropy_secrets, op10_piece_counts, op11_itemset_phrases, op12_token_files,
+    op13_interval_search)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_progressive_dedup": exact_dedup.ORACLE,
     "op8_hierarchical_mix": mixing.oracle(DOMAIN, **MIX),
+    "op11_itemset_phrases": collocations.ORACLE,
+    "op13_interval_search": lexical_search.ORACLE,
 }
