@@ -8,13 +8,14 @@ kilobytes, never data.
 from __future__ import annotations
 
 import json
-import re
 from dataclasses import dataclass, field
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from ..functions.patterns import java_pattern
+
 PACKAGE_CONTRACTS = Path(__file__).resolve().parent.parent / "contracts"
 
 # --- fixed values ------------------------------------------------------------
@@ -172,9 +173,9 @@ def lint_contract(contract: Contract) -> list[str]:
             problems.append(f"{c.name}: min {c.min} is above max {c.max}")
         if c.pattern is not None:
             try:
-                re.compile(c.pattern)
-            except re.error as err:
-                problems.append(f"{c.name}: bad pattern {c.pattern!r}: {err}")
+                java_pattern(c.pattern)
+            except ValueError as err:
+                problems.append(f"{c.name}: {err}")
     missing_pk = [k for k in contract.primary_key if k not in names]
     if missing_pk:
         problems.append(f"primary key columns not in the contract: {missing_pk}")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import coerce as cz
+from ..functions.patterns import java_pattern
 from .contract import Contract, ColumnSpec
 
 # --- fixed values ------------------------------------------------------------
@@ -34,11 +35,6 @@ MSG_MIN = "values below min {}"
 MSG_MAX = "values above max {}"
 MSG_ALLOWED = "values outside allowed set {}"
 MSG_PATTERN = "values not matching {}"
-# Python's re.match anchors at the start only; UNIX_LINES makes "$" and "."
-# treat only "\n" as a line end, and UNICODE_CHARACTER_CLASS gives \d, \w, \s
-# their Unicode meaning, as in Python.
-PATTERN_PREFIX = "(?dU)^(?:"
-PATTERN_SUFFIX = ")"
 # -----------------------------------------------------------------------------
 
 
@@ -72,10 +68,6 @@ def uniqueness_ordinal(contract: Contract) -> int:
     return 100 * (len(contract.columns) + 1)
 
 
-def anchored(pattern: str) -> str:
-    return PATTERN_PREFIX + pattern + PATTERN_SUFFIX
-
-
 def schema_rules(contract: Contract, actual: list[str]) -> list[Rule]:
     """Fixed schema rules for one set of received column names."""
     rules = []
@@ -134,7 +126,7 @@ def column_rules(spec: ColumnSpec, index: int, dt: T.DataType) -> list[Rule]:
     if spec.pattern is not None:
         text = cz.python_text(c, dt)
         add(SLOT_PATTERN, "pattern", MSG_PATTERN.format(spec.pattern),
-            f"{has} AND NOT ({text} RLIKE {cz.lit(anchored(spec.pattern))})")
+            f"{has} AND NOT ({text} RLIKE {cz.lit(java_pattern(spec.pattern))})")
     return out
 
 
