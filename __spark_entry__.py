@@ -536,8 +536,7 @@ def oracle_sql() -> dict[str, str]:
     q["watermark_set_then_advance"] = f"""
         SELECT 'orders' AS entity,
                coalesce(CAST(max(date_trunc('month', o_orderdate)) AS DATE), DATE '1990-01-01') AS watermark
-        FROM orders WHERE strftime(o_orderdate, '%Y') = '1998'
-          AND strftime(o_orderdate, '%Y-%m') NOT IN ({_ORDERS_BAD_MONTHS})
+        FROM orders WHERE strftime(o_orderdate, '%Y-%m') NOT IN ({_ORDERS_BAD_MONTHS})
     """
     q["stale_loads_orders"] = f"""
         SELECT 'contractgate:orders:' || batch AS load_id, 'contractgate' AS pipeline, 'orders' AS target_table,
@@ -562,6 +561,26 @@ def oracle_sql() -> dict[str, str]:
                      strftime(o_orderdate, '%Y') IN ({_ORDERS_VALID_YEARS}) AS ok
               FROM orders GROUP BY 1)
     """
+    q["replayed_files_orders"] = """
+        SELECT zone, CASE o_orderkey % 2 WHEN 0 THEN 'even' ELSE 'odd' END AS kind, CAST(count(*) AS BIGINT) AS rows,
+               CAST(count(DISTINCT o_orderkey) AS BIGINT) AS orders
+        FROM orders, (VALUES ('raw'), ('quarantine')) z(zone) WHERE zone = 'raw' OR o_orderkey % 2 = 1 GROUP BY ALL
+    """
+    q["empty_day_orders"] = """
+        SELECT DATE '2024-03-15' AS day, true AS found, CAST(count(*) AS BIGINT) AS reported_rows, CAST(count(*) AS BIGINT) AS staged_rows,
+               CAST(count(DISTINCT o_orderkey) AS BIGINT) AS orders FROM orders
+        UNION ALL SELECT DATE '2024-03-16', false, 0, 0, 0
+    """
+    q["manifest_order_orders"] = """
+        WITH k AS (SELECT kind, count(*) AS rows FROM (
+            SELECT CASE o_orderkey % 4 WHEN 0 THEN 'b' WHEN 1 THEN 'B' WHEN 2 THEN 'a10' ELSE 'a9' END AS kind FROM orders) GROUP BY kind)
+        SELECT CAST(row_number() OVER (ORDER BY kind || '_') - 1 AS INT) AS position, kind, CAST(rows AS BIGINT) AS rows FROM k
+    """
+    q["csv_extra_fields_orders"] = """
+        SELECT strftime(o_orderdate, '%Y-%m') AS month, count_if(o_orderkey % 50 = 0) = 0 AS accepted, CAST(count(*) AS BIGINT) AS rows,
+               CAST(count_if(o_orderkey % 50 = 0) AS BIGINT) AS extra_rows
+        FROM orders GROUP BY 1
+    """
     q["ingest_parquet_summary"] = """
         SELECT 'orders' AS entity, o_orderstatus || '.parquet' AS source_file,
                'ACCEPTED orders: ' || format('{:,}', count(*)) || ' rows -> orders/year=2024/month=03/day=15/'

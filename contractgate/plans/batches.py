@@ -1,11 +1,13 @@
 """Gate a DataFrame whose batches are derived from a column (e.g. one batch per
 day of a table), instead of one batch per source file.
 
-Plan: one validation aggregate (batch = day + source file); the per-batch
-verdicts (one small row per batch) are collected; accepted and rejected rows are
-then joined with the verdict table (broadcast when its measured size allows it)
-and dealt to as many write tasks as there are files to write: small days share a
-task, a hot day is split by its row count.
+Plan: one validation aggregate (batch = day + source file), whose verdicts and
+manifests are written out as a table partitioned by the verdict. Routing, the
+manifests, the publish records and the watermarks read that table; the driver
+reads two counts and two sums. Accepted and rejected rows are joined with it
+(broadcast when its measured size allows it) and dealt to as many write tasks
+as there are files to write: small days share a task, a hot day is split by
+its row count.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from ..operators.contract import Contract
 from ..operators.route import batch_join, maybe_broadcast
 from ..operators.state import LOAD_LOG_SCHEMA, WatermarkStore
 from ..operators.validate import validate
-from ..sinks.zones import DAY, SOURCE_FILE, land, write_manifests
+from ..session import work_dir
+from ..sinks.zones import DAY, SOURCE_FILE, date_part_columns, land, write_manifests
 
 
 # A batch is written as one file per so many rows, and a task writes so many files.
@@ -32,21 +35,33 @@ def dealt(df: DataFrame, keys: list[str], files: int) -> DataFrame:
     """``df`` (with the number of files of each row's batch) dealt to write tasks:
     as many as the number of files asks for; a batch of several files is dealt
     over as many tasks, so a hot day is not one task's work."""
-    part = F.pmod(F.monotonically_increasing_id(), F.col(FILES))
+    # by a hash of the row, which a task that is run again gives again
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if not _is_map(df, c)]), F.col(FILES))
     return df.withColumn(FILES, part).repartition(max(1, -(-files // FILES_PER_TASK)), *keys, FILES).drop(FILES)
 
 
+def _is_map(df: DataFrame, column: str) -> bool:
+    return "map<" in df.schema[column].dataType.simpleString()  # maps have no hash
+
+
 @dataclass
 class BatchGate:
-    verdicts: list[dict]  # one per (day, source file)
+    table: DataFrame  # written: one row per (day, source file) with its verdict and manifest
+    n_accepted: int
+    n_rejected: int
+
+    @property
+    def accepted(self) -> DataFrame:
+        return self.table.where("is_valid")
 
     @property
-    def accepted(self) -> list[dict]:
-        return [v for v in self.verdicts if v["is_valid"]]
+    def rejected(self) -> DataFrame:
+        return self.table.where("NOT is_valid")
 
     @property
-    def rejected(self) -> list[dict]:
-        return [v for v in self.verdicts if not v["is_valid"]]
+    def verdicts(self) -> list[dict]:
+        """All verdicts on the driver: for looking at a gate of few batches; no job calls this."""
+        return [r.asDict() for r in self.table.collect()]
 
 
 def with_batches(df: DataFrame, day: Column, source_file: Column | None = None) -> DataFrame:
@@ -58,33 +73,27 @@ def gate_by_day(spark: SparkSession, df: DataFrame, contract: Contract, raw_root
     """Validate, route and land ``df`` (as from ``with_batches``), accepted and
     rejected rows alike; returns the verdict of every batch."""
     keys = [DAY, SOURCE_FILE]
-    v = validate(df, contract, keys)
-    rows = [r.asDict() for r in v.manifest().collect()]
-    gate = BatchGate(rows)
-
-    def keyed(items):
-        rows = [(r[DAY], r[SOURCE_FILE], -(-r["row_count"] // ROWS_PER_FILE)) for r in items]
-        return spark.createDataFrame(rows, f"{DAY} date, {SOURCE_FILE} string, {FILES} bigint")
-
-    for items, dead in ((gate.accepted, False), (gate.rejected, True)):
-        if items:
-            rows = batch_join(df, maybe_broadcast(keyed(items)), keys, "inner")
-            files = sum(-(-r["row_count"] // ROWS_PER_FILE) for r in items)
-            land(dealt(rows, keys, files), raw_root, entity, F.col(DAY), dead_letter=dead)
-    if gate.rejected:
-        man = spark.createDataFrame(
-            [(r[DAY], r[SOURCE_FILE], r["entity"], r["contract_version"], r["row_count"], r["is_valid"],
-              r["n_violations"], r["manifest_json"]) for r in gate.rejected],
-            f"{DAY} date, {SOURCE_FILE} string, entity string, contract_version string, row_count bigint, "
-            "is_valid boolean, n_violations bigint, manifest_json string")
-        write_manifests(man, raw_root, entity, F.col(DAY))
+    manifest = validate(df, contract, keys).manifest()
+    path = work_dir(spark, "verdicts", fresh=True)
+    manifest.write.partitionBy("is_valid").parquet(path)
+    table = spark.read.schema(manifest.schema).parquet(path).select(*manifest.columns)
+    files = F.ceil(F.col("row_count") / ROWS_PER_FILE).cast("bigint")
+    found = {r.is_valid: r for r in table.groupBy("is_valid").agg(F.count(F.lit(1)).alias("n"), F.sum(files).alias("files")).collect()}
+    gate = BatchGate(table, *(found[v].n if v in found else 0 for v in (True, False)))
+    for valid, batches in ((True, gate.accepted), (False, gate.rejected)):
+        if valid not in found:
+            continue
+        rows = batch_join(df, maybe_broadcast(batches.select(*keys, files.alias(FILES))), keys, "inner")
+        parts = batches.select(*[c.alias(n) for n, c in {**date_part_columns(F.col(DAY)), "source_file": F.col(SOURCE_FILE)}.items()])
+        land(dealt(rows, keys, found[valid].files), raw_root, entity, F.col(DAY), dead_letter=not valid, partitions=parts)
+        if not valid:
+            write_manifests(batches, raw_root, entity, F.col(DAY), partitions=parts)
     return gate
 
 
 def advance_from_gate(spark: SparkSession, store: WatermarkStore, entity: str, gate: BatchGate) -> None:
     """One advance event per accepted day, appended in one write."""
-    days = spark.createDataFrame([(entity, r[DAY]) for r in gate.accepted], "entity string, watermark date")
-    store.advance_many(days)
+    store.advance_many(gate.accepted.where(F.col(DAY).isNotNull()).select(F.lit(entity).alias("entity"), F.col(DAY).alias("watermark")))
 
 
 def load_events(verdicts: DataFrame, pipeline: str, target_table: str, batch: str) -> DataFrame:

@@ -38,11 +38,11 @@ from ..operators.state import LoadLog, WatermarkStore, watermark_report as _wm_r
 from ..operators.validate import empty_batch_manifest, validate
 from ..session import work_dir
 from ..sinks.zones import (
-    DEAD_LETTER, EXTRA, SOURCE_FILE, as_date, date_parts, entity_root, land, partition_path, partitioned_key,
-    replace_with_empty, store_names, write_manifests, write_staged,
+    DEAD_LETTER, EXTRA, RAW_PARTS, SOURCE_FILE, as_date, current_loads, date_parts, entity_root, has_records, land,
+    partition_rows, partitioned_key, replace_with_empty, store_names, write_manifests, write_staged,
 )
 from ..sources.files import (
-    SourceFile, check_formats, group_files, hadoop_fs, list_source_files, made_visible, path_exists,
+    SourceFile, check_formats, group_files, list_source_files, made_visible,
 )
 from ..sources.scans import (
     files_with_quoted_newlines, raw_frames, read_csv_auto, read_parquet_files, union_as_text,
@@ -275,7 +275,8 @@ def ingest_files(
             _land_files(spark, g, bad, raw_root, load_date, verdicts, dead_letter=True)
             rows = [(verdicts[(g.entity, f.name)]["manifest_json"], f.name) for f in bad]
             mdf = spark.createDataFrame(rows, f"manifest_json string, {SOURCE_FILE} string")
-            write_manifests(mdf, raw_root, g.entity, load_date)
+            names = [tuple({**date_parts(load_date), "source_file": f.name}.values()) for f in bad]
+            write_manifests(mdf, raw_root, g.entity, load_date, partitions=partition_rows(spark, RAW_PARTS, names))
 
     for f in sorted(files, key=lambda x: (x.entity, x.name)):
         r = verdicts[(f.entity, f.name)]
@@ -306,13 +307,13 @@ def _land_files(spark, g: _Group, files: list[SourceFile], root: str, load_date:
 def _land_frame(spark, df: DataFrame, entity: str, files: list[SourceFile], root: str, load_date: dt.date,
                 verdicts: dict, dead_letter: bool) -> None:
     nonempty = [f for f in files if verdicts[(entity, f.name)]["row_count"] > 0]
+    keys = {f.name: {**date_parts(load_date), "source_file": f.name} for f in files}
     if nonempty:
-        land(df, root, entity, load_date, SOURCE_FILE, dead_letter=dead_letter)
-    base = entity_root(root, entity, dead_letter)
+        written = partition_rows(spark, RAW_PARTS, [tuple(keys[f.name].values()) for f in nonempty])
+        land(df, root, entity, load_date, SOURCE_FILE, dead_letter=dead_letter, partitions=written)
     # zero rows: replace whatever an earlier load left at these keys
-    empty = [f.name for f in files if verdicts[(entity, f.name)]["row_count"] == 0]
-    keys = [partition_path(base, {**date_parts(load_date), "source_file": name}) for name in empty]
-    replace_with_empty(spark, store_names(df.drop(SOURCE_FILE)).schema, keys)
+    empty = [keys[f.name] for f in files if verdicts[(entity, f.name)]["row_count"] == 0]
+    replace_with_empty(spark, store_names(df.drop(SOURCE_FILE)).schema, entity_root(root, entity, dead_letter), empty)
 
 
 def stage(
@@ -356,7 +357,7 @@ def stage(
         if any(r["rows"] for r in counted.values()):
             write_staged(typed, staged_root, entity, load_date)
         else:  # no rows are a day's content too: they replace what was staged before
-            replace_with_empty(spark, store_names(typed).schema, [partition_path(f"{staged_root}/{entity}", date_parts(load_date))])
+            replace_with_empty(spark, store_names(typed).schema, f"{staged_root}/{entity}", [date_parts(load_date)])
         for name, r in sorted(counted.items()):
             results.append({"entity": entity, "rows": int(r["rows"]),
                             "source_key": partitioned_key(entity, load_date, name),
@@ -377,13 +378,9 @@ def _file_column(frame: DataFrame) -> str:
 
 def landed_files(spark: SparkSession, raw_root: str, entity: str, load_date: dt.date | str) -> list[str]:
     """Names of the files of one day in the raw zone, also those without rows."""
-    path = partition_path(entity_root(raw_root, entity), date_parts(load_date))
-    if not path_exists(spark, path):
-        return []
-    p, fs = hadoop_fs(spark, path)
-    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-    names = [str(s.getPath().getName()) for s in fs.listStatus(p) if s.isDirectory()]
-    return sorted(unescape(n.split("=", 1)[1]) for n in names if n.startswith("source_file="))
+    base = entity_root(raw_root, entity)
+    current = current_loads(spark, base, date_parts(load_date)) if has_records(spark, base) else None
+    return sorted(r.source_file for r in current.select("source_file").toLocalIterator()) if current is not None else []
 
 
 def run_load(

@@ -58,7 +58,7 @@ def _landed_orders(spark: SparkSession, sf_dir: str) -> tuple[str, BatchGate]:
 
 
 def _latest_accepted_month(gate: BatchGate) -> dt.date:
-    return max(r[DAY] for r in gate.accepted)
+    return gate.accepted.agg(F.max(DAY)).first()[0]
 
 
 _RAW_PARTS_SCHEMA = "year string, month string, day string, source_file string"
@@ -179,17 +179,14 @@ def csv_orders_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def watermark_set_then_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Advance per accepted month, rewind with ``set``, then advance with the
-    accepted months of 1998 only: the watermark is the latest of those, or the
-    rewound value when 1998 has none."""
+    """Advance per accepted month, rewind with ``set``, then advance with every
+    accepted month again: the watermark is the latest of them."""
     root = work_dir(spark, "orders-watermark-rewind", fresh=True)
     gate = gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders")
     store = WatermarkStore(spark, root)
     advance_from_gate(spark, store, "orders", gate)
     store.set("orders", dt.date(1990, 1, 1))
-    days = spark.createDataFrame([("orders", r[DAY]) for r in gate.accepted if r[DAY].year == 1998],
-                                 "entity string, watermark date")
-    store.advance_many(days)
+    advance_from_gate(spark, store, "orders", gate)
     return store.current()
 
 
@@ -444,7 +441,102 @@ def stale_loads_by_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stale_loads(log.status(), dt.datetime(1998, 7, 1)).select("load_id", "pipeline", "target_table", "status")
 
 
+def _files_of(spark: SparkSession, df: DataFrame, folder: str, name: str) -> None:
+    """Write ``df`` (all text) as CSV files ``<folder>/<name>_<n>.csv``, as many as Spark has tasks."""
+    df.write.option("header", "true").csv(f"{folder}-{name}")
+    p, fs = hadoop_fs(spark, f"{folder}-{name}")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(path(folder))
+    parts = sorted(str(s.getPath().getName()) for s in fs.listStatus(p) if str(s.getPath().getName()).endswith(".csv"))
+    for n, part in enumerate(parts):
+        target = path(folder, f"{name}_{n}.csv")
+        fs.delete(target, False)
+        if not fs.rename(path(p, part), target):
+            raise OSError(f"cannot name {target.toString()}")
+    fs.delete(p, True)
+
+
+def replayed_files_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that were quarantined for a column too many arrive again, mended: they land in
+    raw at their keys, and what was quarantined stays. Rows per zone and kind of file."""
+    base = work_dir(spark, "orders-replay", fresh=True)
+    o, src = _plain_orders(spark, sf_dir), f"{base}/src/orders"
+    o = o.select(*[F.col(c).cast("string") for c in o.columns])
+    odd = o.where("o_orderkey % 2 = 1")
+    _files_of(spark, o.where("o_orderkey % 2 = 0"), src, "even")
+    for sent in (odd.withColumn("clerk", F.lit("x")), odd):
+        _files_of(spark, sent, src, "odd")
+        ingest(spark, f"{base}/src", f"{base}/raw", _MIXED_DAY, contracts_dir=LOOSE_CONTRACTS, advance_watermark=False)
+    kind = F.regexp_extract("source_file", "^([a-z]+)_", 1).alias("kind")
+    zones = [read_raw(spark, f"{base}/raw", "orders", _MIXED_DAY, dead_letter=dead).groupBy(F.lit(zone).alias("zone"), kind).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("o_orderkey").alias("orders")) for zone, dead in (("raw", False), ("quarantine", True))]
+    return zones[0].unionByName(zones[1])
+
+
+def empty_day_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days are staged, of which only the first has files: rows and files reported and staged for each."""
+    base = work_dir(spark, "orders-empty-day", fresh=True)
+    o = _plain_orders(spark, sf_dir)
+    _files_of(spark, o.select(*[F.col(c).cast("string") for c in o.columns]), f"{base}/src/orders", "all")
+    ingest(spark, f"{base}/src", f"{base}/raw", _MIXED_DAY, contracts_dir=LOOSE_CONTRACTS, advance_watermark=False)
+    out = None
+    for day in (_MIXED_DAY, _MIXED_DAY + dt.timedelta(days=1)):
+        reported = stage(spark, f"{base}/raw", f"{base}/staged", day, ["orders"], LOOSE_CONTRACTS)
+        staged = read_staged(spark, f"{base}/staged", "orders", day)
+        staged = staged.select("o_orderkey") if staged is not None else spark.createDataFrame([], "o_orderkey bigint")
+        row = staged.agg(F.count(F.lit(1)).alias("staged_rows"), F.count_distinct("o_orderkey").alias("orders")).select(
+            F.lit(day).alias("day"), F.lit(bool(reported)).alias("found"), F.lit(sum(r["rows"] for r in reported)).cast("bigint").alias("reported_rows"), "staged_rows", "orders")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def manifest_order_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load manifest lists files in name order: the place of each kind of file in it, with its rows."""
+    base = work_dir(spark, "orders-manifest-order", fresh=True)
+    o = _plain_orders(spark, sf_dir)
+    text = o.select(*[F.col(c).cast("string") for c in o.columns])
+    for name in ("b", "B", "a10", "a9"):
+        _files_of(spark, text.where(F.col("o_orderkey").cast("bigint") % 4 == ("b", "B", "a10", "a9").index(name)), f"{base}/src/orders", name)
+    out = ingest(spark, f"{base}/src", f"{base}/raw", _MIXED_DAY, contracts_dir=LOOSE_CONTRACTS, advance_watermark=False)
+    kinds = []
+    for m in out.manifest:  # one entry a file, as reported
+        kind = m["source_file"].rpartition("_")[0]
+        if not kinds or kinds[-1][1] != kind:
+            kinds.append([len(kinds), kind, 0])
+        kinds[-1][2] += m["rows"]
+    return spark.createDataFrame([tuple(k) for k in kinds], "position int, kind string, rows bigint")
+
+
+def csv_extra_fields_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files by order month in which every 50th order has a field more than the header: per month, whether
+    its file was accepted, and the rows with a field too many that the manifest counts."""
+    base = work_dir(spark, "orders-extra-fields", fresh=True)
+    o = _plain_orders(spark, sf_dir)
+    line = F.concat_ws(",", *[F.col(c).cast("string") for c in o.columns], F.when(F.col("o_orderkey") % 50 == 0, F.lit("more")))
+    month = F.substring("o_orderdate", 1, 7).alias("month")
+    rows = o.select(month, F.lit(1).alias("nth"), line.alias("value"))
+    heads = o.select(month).distinct().select("month", F.lit(0).alias("nth"), F.lit(",".join(o.columns)).alias("value"))
+    ordered = heads.unionByName(rows).repartition("month").sortWithinPartitions("month", "nth").select("month", "value")
+    ordered.write.partitionBy("month").text(f"{base}/parts")
+    p, fs = hadoop_fs(spark, f"{base}/parts")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(path(f"{base}/src/orders"))
+    for folder in fs.listStatus(p):
+        name = str(folder.getPath().getName())
+        if name.startswith("month="):
+            part = next(s.getPath() for s in fs.listStatus(folder.getPath()) if str(s.getPath().getName()).startswith("part-"))
+            fs.rename(part, path(f"{base}/src/orders", name.removeprefix("month=") + ".csv"))
+    out = ingest(spark, f"{base}/src", f"{base}/raw", _MIXED_DAY, contracts_dir=LOOSE_CONTRACTS, advance_watermark=False)
+    report = F.from_json("manifest_json", "violations array<struct<check string, message string, failing_rows bigint>>")["violations"]
+    extra = F.aggregate(F.filter(report, lambda v: v["check"] == "schema"), F.lit(0).cast("bigint"), lambda a, v: a + v["failing_rows"])
+    return out.to_df(spark).select(F.replace("source_file", F.lit(".csv"), F.lit("")).alias("month"), "accepted", "rows", extra.alias("extra_rows"))
+
+
 REGISTERED = [
+    "replayed_files_orders",
+    "empty_day_orders",
+    "manifest_order_orders",
+    "csv_extra_fields_orders",
     "ingest_parquet_summary",
     "staged_totals_orders",
     "staged_boolean_labels",

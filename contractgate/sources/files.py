@@ -12,6 +12,7 @@ from __future__ import annotations
 import csv
 import io
 import logging
+import os
 import re
 import uuid
 from collections import OrderedDict
@@ -19,6 +20,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 from ..session import work_dir
@@ -28,6 +30,8 @@ log = logging.getLogger("contractgate.sources")
 FORMATS = {"csv": "csv", "parquet": "parquet"}
 HEADER_CHUNK = 64 * 1024
 HEADER_THREADS = 16
+# Files of claimed numbers that stay in their folder.
+CLAIMS_KEPT = 100
 # Spark's file sources pass over names that begin with "_" or "."; such source
 # files are read from a copy whose name begins with this and eight hex digits.
 VISIBLE = "contractgate-visible-"
@@ -53,6 +57,34 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def claim_number(spark: SparkSession, folder: str, floor: int = 0) -> int:
+    """The next number of ``folder`` (above ``floor``), which no other writer gets: a file of
+    that name is created, and only one creation of a name succeeds. Numbers so follow the
+    order of the calls, whatever the writers' clocks say."""
+    p, fs = hadoop_fs(spark, folder)
+    fs.mkdirs(p)
+    local = str(fs.getUri().getScheme()) == "file"
+    taken = sorted(int(n) for n in (str(s.getPath().getName()) for s in fs.listStatus(p)) if n.isdigit())
+    n = max([floor, *taken[-1:]]) + 1
+    while True:
+        name = spark._jvm.org.apache.hadoop.fs.Path(p, f"{n:015d}")
+        try:
+            if local:  # the Java API of a local file system looks first and creates then
+                os.close(os.open(str(name.toUri().getPath()), os.O_CREAT | os.O_EXCL))
+            else:
+                fs.create(name, False).close()
+            break
+        except FileExistsError:
+            n += 1
+        except Py4JJavaError as err:
+            if "AlreadyExists" not in str(err.java_exception.getClass().getName()):
+                raise
+            n += 1
+    for old in taken[:-CLAIMS_KEPT]:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(p, f"{old:015d}"), False)
+    return n
+
+
 def format_of(name: str) -> str | None:
     suffix = name.rsplit(".", 1)[-1].lower() if "." in name else ""
     return FORMATS.get(suffix)

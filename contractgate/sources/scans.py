@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.route import batch_join, maybe_broadcast
 from ..sinks.zones import (
-    DATE_PARTS, EXTRA, RAW_PARTS, SOURCE_FILE, date_parts, entity_root, partition_path, restore_names,
+    DATE_PARTS, EXTRA, LOAD, RAW_PARTS, SOURCE_FILE, current_loads, date_parts, entity_root, has_records, partition_path,
+    restore_names,
 )
 from .files import VISIBLE, hadoop_fs, local_path, path_exists, physical_names, scan_path
 
@@ -113,7 +115,13 @@ def partition_frames(spark: SparkSession, base: str, parts: dict[str, str] | Non
     path = partition_path(base, parts) if parts else base
     if not path_exists(spark, path):
         return []
-    wanted = set(partition_columns or RAW_PARTS) | set(_partition_names(base, path))
+    wanted = set(partition_columns or RAW_PARTS) | set(_partition_names(base, path)) | {LOAD}
+    current = None
+    if has_records(spark, base):  # of each partition, the files of its current load
+        current = current_loads(spark, base, parts)
+        if current is None:
+            return []
+        current = maybe_broadcast(current)
 
     def scan(paths: list[str], merge: bool) -> DataFrame:
         reader = lambda: spark.read.format(fmt).option("basePath", base)
@@ -121,11 +129,16 @@ def partition_frames(spark: SparkSession, base: str, parts: dict[str, str] | Non
         data = [f for f in probe.schema.fields if f.name not in wanted]
         found = [n for n in probe.columns if n in wanted]
         schema = T.StructType(data + [T.StructField(n, T.StringType(), True) for n in found])
-        return restore_names(reader().schema(schema).load(paths))
+        df = reader().schema(schema).load(paths)
+        if current is not None:
+            df = batch_join(df, current, [n for n in found if n in current.columns])
+        return restore_names(df.drop(LOAD))
 
     try:
         return [scan([path], merge=fmt == "parquet")]
-    except Exception as err:  # noqa: BLE001 - only a conflict of types is handled
+    except Exception as err:  # noqa: BLE001 - only a folder without files and a conflict of types are handled
+        if "UNABLE_TO_INFER_SCHEMA" in str(err):
+            return []
         if "MERGE_SCHEMA" not in str(err) and "CANNOT_MERGE" not in str(err) and "COLUMN_ALREADY_EXISTS" not in str(err):
             raise
     by_schema: dict[str, list[str]] = {}
