@@ -18,7 +18,8 @@ Defined cases: null text is empty and has 0 tokens; a null domain, language or
 source is a leaf of its own (empty name); unnamed weights are 1, a weight of 0
 takes nothing; documents of one id (repeated rows) have one place in an order
 and are taken together or not at all; a leaf without tokens gives nothing; an
-empty table gives no rows; other columns are kept.
+empty table gives no rows; other columns are kept (those named mix_domain, mix_lang,
+mix_source and mix_copies are replaced by the results).
 """
 
 from __future__ import annotations
@@ -89,10 +90,12 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], per
     narrow = materialise(named.select("doc_id", *[F.col(k).alias(n) for k, n in zip(leaf, LEVELS)],
                                       (word_count() if tokens is None else tokens).alias("tokens")), "mixing")
     cuts = leaf_cuts(narrow, weights, percent, max_epochs, seed)
-    cuts = if_small(materialise(cuts.select(*[F.col(n).alias(f"mix_{n}") for n in LEVELS], "passes", "last_key"), "cuts"))
-    key = order_key(seed, F.col("passes"))
-    copies = F.coalesce(F.col("passes") + F.when(key <= F.col("last_key"), 1).otherwise(0), F.lit(0)).cast("int")
-    return named.join(cuts, list(leaf), "left").withColumn("mix_copies", copies).drop("passes", "last_key")
+    # under names that no other column has
+    cuts = if_small(materialise(cuts.select(*[F.col(n).alias(f"mix_{n}") for n in LEVELS], F.col("passes").alias("__passes"),
+                                            F.col("last_key").alias("__last_key")), "cuts"))
+    key = order_key(seed, F.col("__passes"))
+    copies = F.coalesce(F.col("__passes") + F.when(key <= F.col("__last_key"), 1).otherwise(0), F.lit(0)).cast("int")
+    return named.join(cuts, list(leaf), "left").withColumn("mix_copies", copies).drop("__passes", "__last_key")
 
 
 def leaf_cuts(narrow: DataFrame, weights: dict[str, dict[str, int]], percent: int, max_epochs: int, seed: int) -> DataFrame:

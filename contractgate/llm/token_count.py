@@ -1,7 +1,7 @@
 """Token counts: pieces are counted once per distinct pre-token, multiplied by
 the document's pre-token frequencies and summed; ids are never made.
 
-A pre-token is a run of spaces with the non-space characters after it. No
+A pre-token is a run of spaces (or of the model's sign for one) with the other characters after it. No
 piece of the vocabulary holds a space after another character (checked when
 the model is loaded), so pieces never cross pre-tokens and counts add up.
 
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 
+# How the model writes a space; in a text it stands for one.
+SPACE_SIGN = "\u2581"
 _PRE_TOKEN = re.compile(r" [ ]*[^ ]*")
 # Distinct pre-tokens whose counts one Python worker remembers; rarer ones are counted again.
 _REMEMBERED = 1_000_000
@@ -59,6 +61,7 @@ class PieceCounter(dict):
             return 0
         if not self.additive:
             return self.count(text)
+        text = text.replace(SPACE_SIGN, " ")  # the model cannot tell them apart
         if "  " in text or text[0] == " " or text[-1] == " ":  # the model sets one space before the text
             words = [w[1:] for w in _PRE_TOKEN.findall(" " + text)]
         else:
