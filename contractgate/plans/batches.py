@@ -87,7 +87,7 @@ def gate_by_day(spark: SparkSession, df: DataFrame, contract: Contract, raw_root
         parts = batches.select(*[c.alias(n) for n, c in {**date_part_columns(F.col(DAY)), "source_file": F.col(SOURCE_FILE)}.items()])
         land(dealt(rows, keys, found[valid].files), raw_root, entity, F.col(DAY), dead_letter=not valid, partitions=parts)
         if not valid:
-            write_manifests(batches, raw_root, entity, F.col(DAY), partitions=parts)
+            write_manifests(batches.repartition(-(-gate.n_rejected // FILES_PER_TASK)), raw_root, entity, F.col(DAY), partitions=parts)
     return gate
 
 
