@@ -116,12 +116,18 @@ def partition_frames(spark: SparkSession, base: str, parts: dict[str, str] | Non
     if not path_exists(spark, path):
         return []
     wanted = set(partition_columns or RAW_PARTS) | set(_partition_names(base, path)) | {LOAD}
-    current = None
+    current, folders = None, [path]
     if has_records(spark, base):  # of each partition, the files of its current load
         current = current_loads(spark, base, parts)
         if current is None:
             return []
-        current = maybe_broadcast(current)
+        if parts:  # the folders of one day (or month) are named, all others are not even listed
+            folders = [scan_path(partition_path(base, r.asDict())) for r in current.toLocalIterator()]
+            current = None
+            if not folders:
+                return []
+        else:
+            current = maybe_broadcast(current)
 
     def scan(paths: list[str], merge: bool) -> DataFrame:
         reader = lambda: spark.read.format(fmt).option("basePath", base)
@@ -135,15 +141,15 @@ def partition_frames(spark: SparkSession, base: str, parts: dict[str, str] | Non
         return restore_names(df.drop(LOAD))
 
     try:
-        return [scan([path], merge=fmt == "parquet")]
+        return [scan(folders, merge=fmt == "parquet")]
     except Exception as err:  # noqa: BLE001 - only a folder without files and a conflict of types are handled
         if "UNABLE_TO_INFER_SCHEMA" in str(err):
             return []
         if "MERGE_SCHEMA" not in str(err) and "CANNOT_MERGE" not in str(err) and "COLUMN_ALREADY_EXISTS" not in str(err):
             raise
     by_schema: dict[str, list[str]] = {}
-    for folder in _leaf_folders(spark, path):
-        by_schema.setdefault(spark.read.format(fmt).load(scan_path(folder)).schema.json(), []).append(scan_path(folder))
+    for folder in folders if folders != [path] else map(scan_path, _leaf_folders(spark, path)):
+        by_schema.setdefault(spark.read.format(fmt).load(folder).schema.json(), []).append(folder)
     return [scan(folders, merge=False) for folders in by_schema.values()]
 
 
