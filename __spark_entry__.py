@@ -26,14 +26,20 @@ if _HERE not in sys.path:
 
 from contractgate.plans import checks, zone_checks  # noqa: E402
 
-try:  # the training-data operators are an optional part of the package
+# the training-data operators are an optional part of the package; where they are there, a failing import is an error
+_LLM_IS_THERE = os.path.exists(os.path.join(_HERE, "contractgate", "llm", "registry.py"))
+try:
     from contractgate.llm import registry as _llm
 except ImportError:
+    if _LLM_IS_THERE:
+        raise
     _llm = None
 
 try:
     import corpus_pipeline as _pipeline
 except ImportError:
+    if _LLM_IS_THERE and os.path.exists(os.path.join(_HERE, "corpus_pipeline.py")):
+        raise
     _pipeline = None
 
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
