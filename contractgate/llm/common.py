@@ -13,6 +13,7 @@ from ..session import work_dir
 from ..sources.files import hadoop_fs
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _PACKAGE = Path(__file__).resolve().parent.parent
 
 
@@ -43,9 +44,16 @@ def text_of(column: str = "text") -> Column:
 def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: cuts
     the lineage so that a lost executor costs a re-read, not a re-run."""
-    path = work_dir(df.sparkSession, f"llm/{name}", fresh=True)
-    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = work_dir(spark, f"llm/{name}", fresh=True)
+    # the shuffle files of this write alone go when it is done, and the session's setting is put back
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out
 

@@ -7,8 +7,10 @@ that can still join two classes.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,11 +20,44 @@ from .common import discard, if_small, materialise
 SMALL = 12
 
 
-def linked(members: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by bucket those whose bucket holds another row too."""
+    last, alone = None, None  # bucket of the last row, and that row while it is the only one of its bucket
+    for batch in batches:
+        bucket = batch.column("bucket").to_numpy()
+        if not len(bucket):
+            continue
+        same = bucket[1:] == bucket[:-1]
+        keep = np.zeros(len(bucket), dtype=bool)
+        keep[1:] |= same
+        keep[:-1] |= same
+        if last is not None and bucket[0] == last:
+            keep[0] = True
+            if alone is not None:
+                yield alone
+        last, alone = bucket[-1], None if keep[-1] else batch.slice(len(bucket) - 1)
+        if keep.any():
+            yield batch.filter(pa.array(keep))
+
+
+def shared_buckets(members: DataFrame) -> DataFrame:
+    """The rows of ``members`` whose bucket holds more than one, written out.
+
+    One shuffle of narrow rows, sorted by Spark and read as a stream, so a bucket
+    of any size takes no more memory than a batch of rows.
+    """
+    ordered = members.repartition("bucket").sortWithinPartitions("bucket")
+    return materialise(ordered.mapInArrow(_repeated, members.schema), "shared")
+
+
+def linked(members: DataFrame | list[DataFrame], verified: Callable[[DataFrame], DataFrame],
+           looks: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``components`` of all verified links between ids that share a bucket.
 
-    ``members``: bucket, id, next (a second bucket of the same id); ``verified``
-    takes distinct pairs a < b and gives those that are links, written out.
+    ``members``: bucket, id, next (a second bucket of the same id), or a list of
+    such tables with different buckets, which are shuffled one after another;
+    ``looks`` adds next to the members of large buckets where they come without;
+    ``verified`` takes distinct pairs a < b and gives those that are links, written out.
 
     * Up to ``SMALL`` members of a bucket give all their pairs.
     * In a larger bucket each member is first compared with the bucket's first id
@@ -32,19 +67,25 @@ def linked(members: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> Da
       members of different classes is compared: classes of a bucket meet first,
       then the members of both. So the result is that of all pairs.
     """
-    # nearly every bucket has one member: first the numbers alone, then the ids of the few that are shared
-    counts = materialise(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
-    shared = materialise(members.join(if_small(counts), "bucket"), "shared")
-    firsts = shared.groupBy("bucket").agg(F.min("id").alias("first"))
-    more = materialise(shared.join(firsts.hint("merge"), "bucket"), "members")
+    # nearly every bucket has one member and goes in the first pass
+    slices = [shared_buckets(m) for m in (members if isinstance(members, list) else [members])]
+    shared = slices[0]
+    for other in slices[1:]:
+        shared = shared.unionByName(other)
+    counts = materialise(shared.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")), "buckets")
+    more = materialise(shared.join(if_small(counts), "bucket"), "members")
+    discard(counts, *slices)
     few = more.where(F.col("n") <= SMALL).select("bucket", "id")
     pairs = few.withColumnRenamed("id", "a").join(few.withColumnRenamed("id", "b"), "bucket").where("a < b").select("a", "b")
     many = more.where(F.col("n") > SMALL)
+    scratch = [more]
+    if looks:
+        many = materialise(looks(many), "many")
+        scratch.append(many)
     stars = many.where("id > first").select(F.col("first").alias("a"), F.col("id").alias("b"))
     centres = many.groupBy("bucket", "next").agg(F.min("id").alias("centre"))
     inner = many.join(centres, ["bucket", "next"]).where("id > centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
     first_pairs = materialise(pairs.unionByName(stars).unionByName(inner).distinct(), "pairs")
-    discard(counts, shared)
     links = verified(first_pairs)
     labels = materialise(components(links), "classes")
     placed = many.select("bucket", "id").join(labels.hint("merge"), "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("class"))
@@ -57,7 +98,7 @@ def linked(members: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> Da
     cross = meet.join(side_a, ["bucket", "class_a"]).join(side_b, ["bucket", "class_b"])
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = materialise(cross.join(first_pairs.hint("merge"), ["a", "b"], "left_anti"), "more-pairs")
-    discard(more, first_pairs, placed, parts)
+    discard(*scratch, first_pairs, placed, parts)
     if rest.limit(1).count():
         found = verified(rest)
         discard(labels)
