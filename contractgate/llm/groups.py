@@ -20,43 +20,52 @@ from .common import discard, if_small, materialise
 SMALL = 12
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by bucket those whose bucket holds another row too."""
-    last, alone = None, None  # bucket of the last row, and that row while it is the only one of its bucket
-    for batch in batches:
-        bucket = batch.column("bucket").to_numpy()
-        if not len(bucket):
-            continue
-        same = bucket[1:] == bucket[:-1]
-        keep = np.zeros(len(bucket), dtype=bool)
-        keep[1:] |= same
-        keep[:-1] |= same
-        if last is not None and bucket[0] == last:
-            keep[0] = True
-            if alone is not None:
-                yield alone
-        last, alone = bucket[-1], None if keep[-1] else batch.slice(len(bucket) - 1)
-        if keep.any():
-            yield batch.filter(pa.array(keep))
-
-
-def shared_buckets(members: DataFrame) -> DataFrame:
-    """The rows of ``members`` whose bucket holds more than one, written out.
-
-    One shuffle of narrow rows, sorted by Spark and read as a stream, so a bucket
-    of any size takes no more memory than a batch of rows.
+def _repeated(similarity: float):
+    """Of rows sorted by bucket and size, those beside one of the same bucket and a size near enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, alone = None, None  # bucket and size of the last row, and that row while it has no neighbour
+        for batch in batches:
+            bucket, size = batch.column("bucket").to_numpy(), batch.column("size").to_numpy()
+            if not len(bucket):
+                continue
+            same = (bucket[1:] == bucket[:-1]) & (size[1:] - size[:-1] <= (1 - similarity) * size[1:] + 1e-9)
+            keep = np.zeros(len(bucket), dtype=bool)
+            keep[1:] |= same
+            keep[:-1] |= same
+            if last is not None and bucket[0] == last[0] and size[0] - last[1] <= (1 - similarity) * size[0] + 1e-9:
+                keep[0] = True
+                if alone is not None:
+                    yield alone
+            last, alone = (bucket[-1], size[-1]), None if keep[-1] else batch.slice(len(bucket) - 1)
+            if keep.any():
+                yield batch.filter(pa.array(keep))
+
+    return run
+
+
+def shared_buckets(members: DataFrame, similarity: float = 0.0) -> DataFrame:
+    """The rows of ``members`` that may be linked with another of their bucket, written out.
+
+    Two rows cannot be if their sizes (all alike if there is no such column)
+    differ by more than ``1 - similarity`` of the larger; sorted by size, a row
+    without a neighbour near enough has no partner at all. One shuffle of narrow
+    rows, sorted by Spark and read as a stream, so a bucket of any size takes no
+    more memory than a batch of rows.
     """
-    ordered = members.repartition("bucket").sortWithinPartitions("bucket")
-    return materialise(ordered.mapInArrow(_repeated, members.schema), "shared")
+    if "size" not in members.columns:
+        members = members.withColumn("size", F.lit(0))
+    ordered = members.repartition("bucket").sortWithinPartitions("bucket", "size")
+    return materialise(ordered.mapInArrow(_repeated(similarity), members.schema), "shared")
 
 
 def linked(members: DataFrame | list[DataFrame], verified: Callable[[DataFrame], DataFrame],
-           looks: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+           looks: Callable[[DataFrame], DataFrame] | None = None, similarity: float = 0.0) -> DataFrame:
     """``components`` of all verified links between ids that share a bucket.
 
     ``members``: bucket, id, next (a second bucket of the same id), or a list of
     such tables with different buckets, which are shuffled one after another;
     ``looks`` adds next to the members of large buckets where they come without;
+    a column size rules out pairs whose sizes differ by more than ``1 - similarity`` of the larger;
     ``verified`` takes distinct pairs a < b and gives those that are links, written out.
 
     * Up to ``SMALL`` members of a bucket give all their pairs.
@@ -68,34 +77,41 @@ def linked(members: DataFrame | list[DataFrame], verified: Callable[[DataFrame],
       then the members of both. So the result is that of all pairs.
     """
     # nearly every bucket has one member and goes in the first pass
-    slices = [shared_buckets(m) for m in (members if isinstance(members, list) else [members])]
+    slices = [shared_buckets(m, similarity) for m in (members if isinstance(members, list) else [members])]
     shared = slices[0]
     for other in slices[1:]:
         shared = shared.unionByName(other)
-    counts = materialise(shared.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")), "buckets")
+    counts = materialise(shared.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "size")).alias("first")), "buckets")
     more = materialise(shared.join(if_small(counts), "bucket"), "members")
     discard(counts, *slices)
-    few = more.where(F.col("n") <= SMALL).select("bucket", "id")
-    pairs = few.withColumnRenamed("id", "a").join(few.withColumnRenamed("id", "b"), "bucket").where("a < b").select("a", "b")
+    near = F.abs(F.col("size_a") - F.col("size_b")) <= F.lit(1 - similarity) * F.greatest("size_a", "size_b") + 1e-9
+
+    def side(df: DataFrame, letter: str, *keys: str) -> DataFrame:
+        return df.select(*keys, F.col("id").alias(letter), F.col("size").alias(f"size_{letter}"))
+
+    few = more.where(F.col("n") <= SMALL)
+    pairs = side(few, "a", "bucket").join(side(few, "b", "bucket"), "bucket").where("a < b").where(near).select("a", "b")
     many = more.where(F.col("n") > SMALL)
     scratch = [more]
     if looks:
         many = materialise(looks(many), "many")
         scratch.append(many)
-    stars = many.where("id > first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    centres = many.groupBy("bucket", "next").agg(F.min("id").alias("centre"))
-    inner = many.join(centres, ["bucket", "next"]).where("id > centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
+    from_first = many.select(F.col("first.id").alias("a"), F.col("first.size").alias("size_a"), F.col("id").alias("b"), F.col("size").alias("size_b"))
+    centres = many.groupBy("bucket", "next").agg(F.min(F.struct("id", "size")).alias("centre"))
+    from_centre = many.join(centres, ["bucket", "next"]).select(
+        F.col("centre.id").alias("a"), F.col("centre.size").alias("size_a"), F.col("id").alias("b"), F.col("size").alias("size_b"))
+    stars, inner = (df.where("a < b").where(near).select("a", "b") for df in (from_first, from_centre))
     first_pairs = materialise(pairs.unionByName(stars).unionByName(inner).distinct(), "pairs")
     links = verified(first_pairs)
     labels = materialise(components(links), "classes")
-    placed = many.select("bucket", "id").join(labels.hint("merge"), "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("class"))
+    placed = many.select("bucket", "id", "size").join(labels.hint("merge"), "id", "left").select("bucket", "id", "size", F.coalesce("label", "id").alias("class"))
     placed = materialise(placed, "placed")
     parts = materialise(placed.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n")), "parts")
     # the same two classes often meet in many buckets; their members differ from bucket to bucket
     here, there = (parts.select("bucket", F.col("class").alias(c)) for c in ("class_a", "class_b"))
     meet = here.hint("merge").join(there, "bucket").where("class_a < class_b")
-    side_a, side_b = (placed.select("bucket", F.col("class").alias(f"class_{s}"), F.col("id").alias(s)).hint("merge") for s in "ab")
-    cross = meet.join(side_a, ["bucket", "class_a"]).join(side_b, ["bucket", "class_b"])
+    side_a, side_b = (side(placed.withColumnRenamed("class", f"class_{s}"), s, "bucket", f"class_{s}").hint("merge") for s in "ab")
+    cross = meet.join(side_a, ["bucket", "class_a"]).join(side_b, ["bucket", "class_b"]).where(near)
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = materialise(cross.join(first_pairs.hint("merge"), ["a", "b"], "left_anti"), "more-pairs")
     discard(*scratch, first_pairs, placed, parts)
