@@ -490,6 +490,11 @@ def oracle_sql() -> dict[str, str]:
     q["relanded_orders"] = f"""
         SELECT * FROM ({_RAW_ORDERS}) WHERE year || '-' || month NOT IN ({_ORDERS_BAD_MONTHS})
     """
+    q["reconciled_orders"] = """
+        SELECT strftime(CAST(o_orderdate AS DATE), '%Y') AS year, strftime(CAST(o_orderdate AS DATE), '%m') AS month,
+               CAST(count(*) AS BIGINT) AS received_rows, CAST(count(*) AS BIGINT) AS landed_rows, true AS matches
+        FROM orders GROUP BY ALL
+    """
     q["dead_letter_orders"] = f"""
         SELECT * FROM ({_RAW_ORDERS}) WHERE year || '-' || month IN ({_ORDERS_BAD_MONTHS})
     """

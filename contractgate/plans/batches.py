@@ -69,9 +69,10 @@ def with_batches(df: DataFrame, day: Column, source_file: Column | None = None)
     return df.withColumns({DAY: day.cast("date"), SOURCE_FILE: sf})
 
 
-def gate_by_day(spark: SparkSession, df: DataFrame, contract: Contract, raw_root: str, entity: str) -> BatchGate:
+def gate_by_day(spark: SparkSession, df: DataFrame, contract: Contract, raw_root: str, entity: str, reconciled: bool = False) -> BatchGate:
     """Validate, route and land ``df`` (as from ``with_batches``), accepted and
-    rejected rows alike; returns the verdict of every batch."""
+    rejected rows alike; returns the verdict of every batch. ``reconciled``: landed
+    rows are compared with the received ones before they are published."""
     keys = [DAY, SOURCE_FILE]
     manifest = validate(df, contract, keys).manifest()
     path = work_dir(spark, "verdicts", fresh=True)
@@ -85,7 +86,7 @@ def gate_by_day(spark: SparkSession, df: DataFrame, contract: Contract, raw_root
             continue
         rows = batch_join(df, maybe_broadcast(batches.select(*keys, files.alias(FILES))), keys, "inner")
         parts = batches.select(*[c.alias(n) for n, c in {**date_part_columns(F.col(DAY)), "source_file": F.col(SOURCE_FILE)}.items()])
-        land(dealt(rows, keys, found[valid].files), raw_root, entity, F.col(DAY), dead_letter=not valid, partitions=parts)
+        land(dealt(rows, keys, found[valid].files), raw_root, entity, F.col(DAY), dead_letter=not valid, partitions=parts, reconciled=reconciled)
         if not valid:
             write_manifests(batches.repartition(-(-gate.n_rejected // FILES_PER_TASK)), raw_root, entity, F.col(DAY), partitions=parts)
     return gate

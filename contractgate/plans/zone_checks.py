@@ -5,18 +5,20 @@ tables. Zones live under the session's checkpoint folder (see ``session``)."""
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.contract import PACKAGE_CONTRACTS, Contract, available_contracts
 from ..operators.project import apply_contract_types, coercion_counts
+from ..operators.reconcile import reconciliation
 from ..operators.state import LoadLog, WatermarkStore, stale_loads, watermark_report
 from ..operators.validate import validate
 from ..session import work_dir
 from ..sources.files import hadoop_fs
 from ..sources.scans import read_partitioned, read_raw, read_staged
-from ..sinks.zones import DAY, manifest_root
+from ..sinks.zones import DAY, SOURCE_FILE, manifest_root
 from .batches import BatchGate, advance_from_gate, gate_by_day, load_events, with_batches
 from .ingest import ingest, run_load, stage, stage_manifest, staged_total, summary, totals
 from .tables import TPCH_CONTRACTS, table, tpch_contract
@@ -86,6 +88,18 @@ def relanded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, root, "orders")
 
 
+def reconciled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly batches landed with reconciliation, then both zones against what was received."""
+    root = work_dir(spark, "orders-reconciled", fresh=True)
+    received = _orders_by_month(spark, sf_dir)
+    gate_by_day(spark, received, tpch_contract("orders"), root, "orders", reconciled=True)
+    zones = [z for z in (read_raw(spark, root, "orders", dead_letter=d) for d in (False, True)) if z is not None]
+    keys = ["year", "month", "source_file"]
+    received = received.withColumns({"year": F.date_format(DAY, "yyyy"), "month": F.date_format(DAY, "MM"), "source_file": F.col(SOURCE_FILE)})
+    landed = reduce(DataFrame.unionByName, zones)
+    return reconciliation(received.drop(DAY, SOURCE_FILE), landed, keys).drop("source_file")
+
+
 def dead_letter_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the rejected months, as received, in the dead-letter zone."""
     return read_raw(spark, _landed_orders(spark, sf_dir)[0], "orders", dead_letter=True)
@@ -553,6 +567,7 @@ REGISTERED = [
     "coercions_orders",
     "raw_orders_month",
     "relanded_orders",
+    "reconciled_orders",
     "dead_letter_orders",
     "dead_letter_manifests_orders",
     "watermark_orders",

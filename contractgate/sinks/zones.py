@@ -36,10 +36,12 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..operators.reconcile import check_reconciled
 from ..operators.route import batch_join, maybe_broadcast
 from ..session import work_dir
-from ..sources.files import claim_number, hadoop_fs, path_exists
+from ..sources.files import claim_number, hadoop_fs, path_exists, scan_path
 
 DEAD_LETTER = "_dead_letter"
 MANIFESTS = "_manifests"
@@ -206,12 +208,14 @@ def vacuum(spark: SparkSession, path: str) -> int:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str], rebalance: bool = False,
-                      fmt: str = "parquet", partitions: DataFrame | None = None) -> None:
+                      fmt: str = "parquet", partitions: DataFrame | None = None, reconciled: bool = False) -> None:
     """Replace the partitions of ``path`` that occur in ``df``. ``rebalance``:
     shuffle rows so that each output partition is written by few tasks; use it
     when rows of one partition are spread over every input task. Batches that
     are files are already clustered and need no shuffle. ``partitions``: the
-    partition values in ``df``, where the caller knows them (else they are listed)."""
+    partition values in ``df``, where the caller knows them (else they are listed).
+    ``reconciled``: the written rows are read again and compared with ``df``
+    before the load is published (Parquet only); if they differ it is not."""
     spark = df.sparkSession
     if rebalance:
         df = df.hint("rebalance", *partition_by)
@@ -227,11 +231,23 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str], rebalan
     else:
         writer.option("compression", "snappy").parquet(path)
     _tidy(spark, path, load)
+    if reconciled:
+        check_reconciled(df, _load_rows(spark, path, load, df, partition_by), partition_by)
     if partitions is None:
         partitions = _written(spark, path, load, partition_by)
     publish(spark, path, load, partitions.select(*[F.col(c).cast("string").alias(c) for c in partition_by]))
 
 
+def _load_rows(spark: SparkSession, path: str, load: str, df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """The rows of a load that is not published yet."""
+    found = "/".join([scan_path(path), *["*=*"] * len(partition_by), f"{LOAD}={load}"])
+    if not _written(spark, path, load, partition_by).limit(1).count():
+        return df.limit(0)
+    values = ", ".join(f"`{c}` string" for c in [*partition_by, LOAD])
+    schema = T.StructType([*(f for f in df.schema.fields if f.name not in partition_by), *T._parse_datatype_string(values).fields])
+    return spark.read.schema(schema).option("basePath", path).parquet(found)
+
+
 def _tidy(spark: SparkSession, path: str, load: str) -> None:
     """Remove a finished load's own folders of work in progress (empty by now), not those of other loads."""
     p, fs = hadoop_fs(spark, path)
@@ -275,16 +291,16 @@ def _with_parts(df: DataFrame, load_date: dt.date | str | Column, source_file: s
 
 def land(df: DataFrame, root: str, entity: str, load_date: dt.date | str | Column,
          source_file: str | Column = SOURCE_FILE, dead_letter: bool = False, rebalance: bool = False,
-         partitions: DataFrame | None = None) -> str:
+         partitions: DataFrame | None = None, reconciled: bool = False) -> str:
     """Write a batch (or many) to the raw or dead-letter zone of ``entity``.
 
     ``load_date`` is a date for a whole load, or a column giving each row's day.
     ``source_file`` names the column (or gives the expression) of the batch file
-    name, the last partition level: idempotency is at file grain. ``partitions``: see ``write_partitioned``.
+    name, the last partition level: idempotency is at file grain. ``partitions``, ``reconciled``: see ``write_partitioned``.
     """
     out = _with_parts(df, load_date, source_file)
     target = entity_root(root, entity, dead_letter)
-    write_partitioned(out, target, RAW_PARTS, rebalance=rebalance, partitions=partitions)
+    write_partitioned(out, target, RAW_PARTS, rebalance=rebalance, partitions=partitions, reconciled=reconciled)
     return target
 
 
