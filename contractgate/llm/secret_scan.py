@@ -4,13 +4,15 @@ Fixed patterns (kinds ``assign``, ``access``, ``hex``) are matched leftmost and
 non-overlapping over the whole text; matches that are too short are dropped.
 
 Entropy (kind ``entropy``): candidates are runs of at least 20 characters of
-``[A-Za-z0-9+/_=-]`` that hold a digit. A window of 20 characters slides over
-a candidate; its Shannon entropy is kept up to date from the counts of the
-character that leaves and the one that enters. A candidate is a secret when a
+``[A-Za-z0-9+/_=-]`` that hold a digit, or letters of both cases. A window of 20
+characters slides over a candidate. It keeps the number of each character, of
+which a step changes two (the one that leaves, the one that enters), and the
+Shannon entropy that follows from them. A candidate is a secret when a
 window reaches the threshold of the candidate's character class; its span goes
-from the first to the last such window. Allow-listed candidates (UUIDs,
-alphabets and number rows, placeholder words) are suppressed; the allow-list
-never touches the fixed patterns.
+from the first to the last such window. Allow-listed parts of a candidate (UUIDs,
+alphabets and number rows, placeholder words) are suppressed: no window
+that touches one counts, whereas the rest of the candidate is scanned as usual.
+The allow-list never touches the fixed patterns.
 
 DataFrame functions only. The parts between the matches give the matches'
 positions: their lengths are summed in a window over the document's own
@@ -45,16 +47,21 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW = 20
 _CHUNK = 236  # window starts per chunk
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9]|[A-Z+/_=-]*[a-z][a-z+/_=-]*[A-Z]|[a-z+/_=-]*[A-Z][A-Z+/_=-]*[a-z])"
+             r"[A-Za-z0-9+/_=-]{20,}")
 # Least entropy (bits a character) of a window, by the class of the candidate.
-THRESHOLDS = {"hex": 3.0, "lower": 3.6, "mixed": 3.9}
-# Fixed allow-list: candidates that match are no secrets.
+# Names of two cases come near a random key's entropy, so letters alone have to reach more.
+THRESHOLDS = {"hex": 3.0, "lower": 3.6, "letters": 4.0, "mixed": 3.9}
+# Fixed allow-list. Candidates without letters are no secrets; of others these parts are none.
+WITHOUT_LETTERS = r"^[0-9+/_=-]+$"
 ALLOWED = (
-    r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"0123456789|1234567890|abcdefghij|ABCDEFGHIJ",
-    r"(?i)example|placeholder|sample|dummy|changeme|redacted",
-    r"^[0-9+/_=-]+$",
+    (r"(?<![0-9a-fA-F])[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}(?![0-9a-fA-F])", 36),
+    *((part, len(part)) for part in ("0123456789", "1234567890", "abcdefghij", "ABCDEFGHIJ")),
+    *((f"(?i){word}", len(word)) for word in ("placeholder", "changeme", "redacted", "example", "sample", "dummy")),
 )
+_BLANK = " "  # what an allow-listed part is overwritten with; no candidate holds one
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-" + _BLANK
+_NONE = 64  # the count 0 as a character code; counts are kept as one character per letter of the alphabet
 
 
 def _matches(kind: str, pattern: str) -> Column:
@@ -70,35 +77,61 @@ def _c_log_c(count: Column) -> Column:
     return F.when(count > 0, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
 
 
-def _count(text: Column, char: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, char, F.lit("")))
+def _place(char: Column) -> Column:
+    return F.instr(F.lit(_ALPHABET), char)
+
+
+def _held(counts: Column, char: Column) -> Column:
+    """How many of ``char`` the window holds."""
+    return F.ascii(F.substr(counts, _place(char), F.lit(1))) - _NONE
+
+
+def _with_count(counts: Column, char: Column, count: Column) -> Column:
+    return F.overlay(counts, F.char(count + _NONE), _place(char), F.lit(1))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _hot_windows(chunk: Column, threshold: Column) -> Column:
     """(first, last) window start of a chunk whose entropy reaches the threshold; 0 if none does."""
-    one = F.substring(chunk, 1, WINDOW)
-    start = F.aggregate(F.array_distinct(F.split(one, "")), F.lit(0.0), lambda s, c: s + _c_log_c(_count(one, c)))
-    high = lambda s: F.round(F.log2(F.lit(float(WINDOW))) - s / WINDOW, 9) >= threshold
+    nothing = F.struct(F.lit(0.0).alias("s"), F.lit(chr(_NONE) * len(_ALPHABET)).alias("counts"))
+
+    def enter(acc: Column, char: Column) -> Column:
+        return _let(_held(acc["counts"], char), lambda n: F.struct(
+            (acc["s"] - _c_log_c(n) + _c_log_c(n + 1)).alias("s"), _with_count(acc["counts"], char, n + 1).alias("counts")))
+
+    def leave(acc: Column, char: Column) -> Column:
+        return _let(_held(acc["counts"], char), lambda n: F.struct(
+            (acc["s"] - _c_log_c(n) + _c_log_c(n - 1)).alias("s"), _with_count(acc["counts"], char, n - 1).alias("counts")))
+
+    def judged(window: Column, i: Column, first: Column, last: Column) -> Column:
+        high = F.round(F.log2(F.lit(float(WINDOW))) - window["s"] / WINDOW, 9) >= threshold
+        return _let(high & (_held(window["counts"], F.lit(_BLANK)) == 0), lambda hit: F.struct(
+            window["s"].alias("s"), window["counts"].alias("counts"),
+            F.when(hit & (first == 0), i).otherwise(first).alias("first"), F.when(hit, i).otherwise(last).alias("last")))
 
     def slide(acc: Column, i: Column) -> Column:
-        window = F.substr(chunk, i - 1, F.lit(WINDOW))  # the one before
         gone, come = F.substr(chunk, i - 1, F.lit(1)), F.substr(chunk, i + (WINDOW - 1), F.lit(1))
-        shared = F.substr(chunk, i, F.lit(WINDOW - 1))
-        n_gone, n_come = _count(window, gone), _count(shared, come)
-        s = acc["s"] - _c_log_c(n_gone) + _c_log_c(n_gone - 1) - _c_log_c(n_come) + _c_log_c(n_come + 1)
-        hit = high(s)
-        return F.struct(s.alias("s"), F.when(hit & (acc["first"] == 0), i).otherwise(acc["first"]).alias("first"),
-                        F.when(hit, i).otherwise(acc["last"]).alias("last"))
+        return _let(leave(acc, gone), lambda w: _let(enter(w, come), lambda x: judged(x, i, acc["first"], acc["last"])))
 
-    zero = F.struct(start.alias("s"), F.when(high(start), 1).otherwise(0).alias("first"), F.when(high(start), 1).otherwise(0).alias("last"))
-    return F.when(F.length(chunk) > WINDOW, F.aggregate(F.sequence(F.lit(2), F.length(chunk) - (WINDOW - 1)), zero, slide)).otherwise(zero)
+    opening = F.aggregate(F.split(F.substring(chunk, 1, WINDOW), ""), nothing, enter)
+    zero = _let(opening, lambda w: judged(w, F.lit(1), F.lit(0), F.lit(0)))
+    steps = F.when(F.length(chunk) > WINDOW, F.sequence(F.lit(2), F.length(chunk) - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(steps, zero, slide)
 
 
 def _hot_span(run: Column) -> Column:
     """(from, to) offsets of the hot part of a candidate; null if it has none."""
     threshold = (F.when(run.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit(THRESHOLDS["hex"]))
-                 .when(run.rlike("[a-z]") & run.rlike("[A-Z]"), F.lit(THRESHOLDS["mixed"])).otherwise(F.lit(THRESHOLDS["lower"])))
-    chunks = F.regexp_extract_all(run, F.lit(f".{{1,{_CHUNK}}}"), F.lit(0))
+                 .when(run.rlike("[a-z]") & run.rlike("[A-Z]"), F.when(run.rlike("[0-9]"), F.lit(THRESHOLDS["mixed"])).otherwise(F.lit(THRESHOLDS["letters"])))
+                 .otherwise(F.lit(THRESHOLDS["lower"])))
+    scanned = run
+    for pattern, length in ALLOWED:
+        scanned = F.regexp_replace(scanned, pattern, _BLANK * length)
+    chunks = F.regexp_extract_all(scanned, F.lit(f".{{1,{_CHUNK}}}"), F.lit(0))
     # each chunk with the start of the next one, so that every window stands in one chunk
     tails = F.concat(F.slice(F.transform(chunks, lambda c: F.substring(c, 1, WINDOW - 1)), 2, 1 << 30), F.array(F.lit("")))
     found = F.transform(F.zip_with(chunks, tails, lambda c, t: F.concat(c, t)),
@@ -113,13 +146,10 @@ def _judge() -> Column:
     """(lo, hi) offsets of a match's span within the match; null if it fails."""
     hit, kind = F.col("m.hit"), F.col("m.kind")
     all_of_it = F.struct(F.lit(0).cast("bigint").alias("lo"), F.length(hit).cast("bigint").alias("hi"))
-    allowed = F.lit(False)
-    for pattern in ALLOWED:
-        allowed = allowed | hit.rlike(pattern)
     return (F.when((kind == 0) & (F.length(F.regexp_extract(hit, ASSIGN, 2)) >= LEAST["assign"]), all_of_it)
             .when((kind == 1) & (F.length(hit) >= LEAST["access"]), all_of_it)
             .when((kind == 2) & (F.length(hit) >= LEAST["hex"]), all_of_it)
-            .when((kind == 3) & ~allowed, _hot_span(hit)))
+            .when((kind == 3) & ~hit.rlike(WITHOUT_LETTERS), _hot_span(hit)))
 
 
 def _joined(spans: Column) -> Column:

@@ -135,7 +135,10 @@ def test_exact_dedup(docs, empty, digest_all):
 
 
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
-CANDIDATE = re.compile(secret_scan.CANDIDATE)
+RUN = re.compile("[A-Za-z0-9+/_=-]{20,}")
+UUID = re.compile("(?<![0-9a-fA-F])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9a-fA-F])")
+HARMLESS = ("0123456789", "1234567890", "abcdefghij", "ABCDEFGHIJ")
+PLACEHOLDERS = ("placeholder", "changeme", "redacted", "example", "sample", "dummy")
 
 
 def _entropy(w):
@@ -146,12 +149,21 @@ def _spans(text):
     out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
-    for m in CANDIDATE.finditer(text):
-        run = m[0]
-        if any(re.search(p, run) for p in secret_scan.ALLOWED):
+    for m in RUN.finditer(text):
+        run, classes = m[0], {"a": re.search("[a-z]", m[0]), "A": re.search("[A-Z]", m[0]), "0": re.search("[0-9]", m[0])}
+        if not (classes["a"] or classes["A"]) or not (classes["0"] or classes["a"] and classes["A"]):
             continue
-        kind = "hex" if re.fullmatch("[0-9a-f]+|[0-9A-F]+", run) else "mixed" if re.search("[a-z]", run) and re.search("[A-Z]", run) else "lower"
-        hot = [i for i in range(len(run) - 19) if round(_entropy(run[i:i + 20]), 9) >= secret_scan.THRESHOLDS[kind]]
+        least = (3.0 if re.fullmatch("[0-9a-f]+|[0-9A-F]+", run) else 3.6 if not (classes["a"] and classes["A"]) else
+                 3.9 if classes["0"] else 4.0)
+        banned = [x.span() for x in UUID.finditer(run)]
+        rest = UUID.sub(lambda x: " " * 36, run)
+        for part in HARMLESS:
+            banned += [x.span() for x in re.finditer(part, rest)]
+            rest = rest.replace(part, " " * len(part))
+        for part in PLACEHOLDERS:
+            banned += [x.span() for x in re.finditer(part, rest.lower())]
+            rest = re.sub(part, " " * len(part), rest, flags=re.IGNORECASE)
+        hot = [i for i in range(len(run) - 19) if round(_entropy(run[i:i + 20]), 9) >= least and not any(a < i + 20 and i < b for a, b in banned)]
         if hot:
             out.append((m.start() + hot[0], 3, m.start() + hot[-1] + 20))
     return sorted(out)
@@ -165,7 +177,10 @@ def test_secrets(spark, empty):
              f"AKIA{make(16, 'ABCDEF0123')} AKIA12 {make(64, '0123456789abcdef')}", "x" * 300 + make(900) + " " + make(30),
              "id 123e4567-e89b-12d3-a456-426614174000 and 0123456789abcdefghijklmnop", "tokenſ=abcdefgh Token='abc/def+gh=='",
              "🙂 secret=" + make(30) + "\nsecret = 'short' token: longenough", "9" * 40 + " " + make(24, "0123456789abcdef") * 3,
-             " ".join(make(rng.randint(10, 60)) for _ in range(300))]
+             " ".join(make(rng.randint(10, 60)) for _ in range(300)),
+             f"SAMPLE_AUTH={make(36)} /example/{make(36)} {make(32, letters[:52])} key_{make(12)}_dummy_{make(30)}",
+             f"id=123e4567-e89b-12d3-a456-426614174000&x={make(40)} someCamelCaseNameOfAThing A{'b' * 19} " + letters,
+             " ".join(make(rng.randint(20, 300)) + rng.choice(PLACEHOLDERS) + make(rng.randint(0, 300)) for _ in range(40))]
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (None, texts[5])]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     got = secret_scan.secret_scan(df).collect()
@@ -179,3 +194,12 @@ def test_secrets(spark, empty):
         assert r.base_sha256 == hashlib.sha256(show(base).encode()).hexdigest()
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(s[1] == k for s in base) for k in range(3)]
     assert secret_scan.secret_scan(empty).count() == 0
+
+
+def test_allow_listed_words_spare_only_what_they_stand_in(spark):
+    rng = random.Random(9)
+    key = "".join(rng.sample("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 36))
+    letters = "".join(rng.sample("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 32))
+    texts = [f"SAMPLE_AUTH={key}", f"/example/{key}", key, letters, "example" * 9, "x-123e4567-e89b-12d3-a456-426614174000"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r.doc_id: r.n_entropy for r in secret_scan.secret_scan(df).collect()} == {0: 1, 1: 1, 2: 1, 3: 1, 4: 0, 5: 0}
