@@ -5,8 +5,9 @@ and character 3- to 5-grams; a softmax layer gives the class. Vectors and layer
 are trained together by numpy stochastic gradient descent.
 
 Training uses a bounded sample of labelled rows (``sample_per_class``, the
-rows with the smallest hash of their id) and, of each sampled document, at
-most ``sample_features`` of its features, drawn by hash from the whole text.
+rows with the smallest hash of their id) and every feature of the whole text of
+each sampled document: tasks count its buckets, so what training holds of a
+document is at most two numbers for each of the ``2 ** bits`` buckets.
 The sample's size does not depend on the size of the table. Scoring reads
 every feature of every text: as the layer is linear, a feature's vector and the
 layer fold into one weight per bucket, and a score is the average weight.
@@ -94,19 +95,18 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total / max(n, 1) + self.bias, -60, 60)))
 
 
-def train(rows: list[tuple[np.ndarray, int]], bits: int, dim: int = 8, epochs: int = 6, rate: float = 0.6,
+def train(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int, dim: int = 8, epochs: int = 6, rate: float = 0.6,
           seed: int = 7) -> Model | None:
-    """Stochastic gradient descent over (buckets of a document, its class)."""
-    if len({y for _, y in rows}) < 2:
+    """Stochastic gradient descent over (buckets of a document, times each occurs, its class)."""
+    if len({y for _, _, y in rows}) < 2:
         return None
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, ((1 << bits), dim)).astype(np.float32)
     layer, bias = np.zeros((2, dim), dtype=np.float32), np.zeros(2, dtype=np.float32)
-    counted = [(*np.unique(ids, return_counts=True), y) for ids, y in rows]
-    steps, done = epochs * len(counted), 0
+    steps, done = epochs * len(rows), 0
     for _ in range(epochs):
-        for i in rng.permutation(len(counted)):
-            ids, times, y = counted[i]
+        for i in rng.permutation(len(rows)):
+            ids, times, y = rows[i]
             share = (times / max(times.sum(), 1)).astype(np.float32)
             own = vectors[ids]
             mean = share @ own
@@ -132,30 +132,36 @@ def sample_labels(labels: DataFrame, label: str, keep: Column, per_class: int) -
     return parts[0].unionByName(parts[1])
 
 
-def _sampler(bits: int, most: int):
+def _counted(text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a whole text in rising order, and the times each occurs."""
+    ids, times = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    for part in features(text, bits):
+        more, n = np.unique(part, return_counts=True)
+        ids, at = np.unique(np.concatenate((ids, more)), return_inverse=True)
+        times = np.bincount(at, np.concatenate((times, n)), len(ids)).astype(np.int64)
+    return ids, times
+
+
+def _counter(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text in batch.column(2):
-                ids = np.concatenate([np.zeros(0, dtype=np.int64), *features(text.as_py(), bits)])
-                if len(ids) > most:
-                    ids = ids[np.random.default_rng(len(ids)).choice(len(ids), most, replace=False)]
-                out.append(ids.astype(np.int32))
+            counted = [_counted(text.as_py(), bits) for text in batch.column(2)]
+            ids, times = ([c[k].astype(np.int32) for c in counted] for k in (0, 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))], names=["doc_id", "y", "ids"])
+                [batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32())), pa.array(times, pa.list_(pa.int32()))],
+                names=["doc_id", "y", "ids", "times"])
 
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, keep: Column, bits: int = 18, sample_per_class: int = 1500,
-        sample_features: int = 2048) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, label: str, keep: Column, bits: int = 18, sample_per_class: int = 1500) -> Model | None:
     chosen = sample_labels(labels, label, keep, sample_per_class)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text")).join(
         F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")  # at most 2 * sample_per_class ids
-    found = rows.mapInArrow(_sampler(bits, sample_features), "doc_id bigint, y int, ids array<int>").toArrow()
+    found = rows.mapInArrow(_counter(bits), "doc_id bigint, y int, ids array<int>, times array<int>").toArrow()
     first = {}
-    for doc_id, y, ids in zip(found["doc_id"].to_pylist(), found["y"].to_pylist(), found["ids"]):
-        first.setdefault(doc_id, (np.asarray(ids.values), y))  # repeated rows train once
+    for doc_id, y, ids, times in zip(found["doc_id"].to_pylist(), found["y"].to_pylist(), found["ids"], found["times"]):
+        first.setdefault(doc_id, (np.asarray(ids.values), np.asarray(times.values), y))  # repeated rows train once
     return train([first[k] for k in sorted(first)], bits)
 
 
