@@ -1,15 +1,19 @@
 """Toxicity: a weighted finite-state pattern grammar over clauses.
 
-A text is cut into clauses; each word becomes a symbol (insult, threat, target,
-negation, reporting verb, other). Five small transducers read the symbols:
-negation and reporting remember whether such a word came shortly before,
-target whether somebody is addressed, and the match transducer emits what was
-found. A fifth remembers a threat verb that no target preceded, until its target
-follows in the same clause. They are composed into one machine whose states are tuples of their
-states; an emitted match carries the weight of its word and one of the kinds
-plain, negated, reported, addressed or threat. A document's score is a
-logistic function of the matched weights per kind, so words count by the clause
-they stand in.
+A text is cut into clauses; each word becomes a symbol (insult, threat verb, first,
+second and other person, negation, reporting verb, future, other), and a clause ends with a
+symbol of its own. Small transducers read the symbols: negation and reporting
+remember whether such a word came before, target whether somebody is addressed,
+the insult transducer emits a word's weight. Two more read threats: one waits
+for the object of a threat verb ("will kill you", "is killing you"), the other for the end of a
+clause whose subject meets a threat verb in the future ("you will burn"). A verb with another
+object ("you shoot photos", "she will burn calories") is no threat. Their arcs carry weights: what is
+aimed at a second person, or said by a first, counts whole, the rest a quarter. They are composed into one
+machine whose states are tuples of their states; an emitted match carries its weight and one
+of the kinds plain, negated, reported, addressed or threat. A document's score
+is a logistic function of the matched weights per kind, so words count by the
+clause they stand in; no kind lowers a score, and a negated or
+reported insult never counts more than a plain one.
 
 What is learned, from a bounded sample of labelled rows (``sample_per_class``
 documents of each class, by the smallest hash of their id; whole texts): the
@@ -41,22 +45,53 @@ from pyspark.sql import functions as F
 
 from .common import materialise, text_of
 
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]+(?:['\u2019](?:t|ll)(?![^\W\d_]))?")  # a contraction with not or will is one word
 _CLAUSE_END = re.compile(r"[.!?;\n]")
 
 # Fixed cue words of the grammar (English, German, French, Spanish).
-TARGETS = frozenset("you your yours yourself he she they them him her du dich dir dein deine ihr euch sie er "
-                    "tu te toi ton ta vous votre ils elle tú usted ustedes te tu su ellos ella".split())
-NEGATIONS = frozenset("not never no isn aren wasn don nicht kein keine nie niemals pas jamais ne aucun "
-                      "no nunca jamás ningún".split())
+SECOND_PERSON = frozenset("you your yours yourself yourselves du dich dir dein deine ihr euch tu te toi ton ta vous votre tú usted ustedes".split())
+FIRST_PERSON = frozenset("i we ich wir je nous yo nosotros nosotras".split())
+OTHER_PERSON = frozenset("he she they them him her sie er il elle su ellos ella".split())
+NEGATIONS = frozenset("not never no cannot isn aren wasn don nicht kein keine nie niemals pas jamais ne aucun "
+                      "nunca jamás ningún".split())
 REPORTS = frozenset("said says say called calls wrote quoted claims claimed reported sagte sagt nannte schrieb "
                     "behauptet dit disait écrit appelé déclaré dijo dice llamó escribió afirmó".split())
-THREATS = frozenset("kill hurt destroy beat shoot stab burn murder töten umbringen schlagen verletzen vernichten "
-                    "tuer frapper détruire blesser matar golpear destruir herir".split())
+FUTURES = frozenset("will shall gonna going wirst werdet werden vas allez vais".split())
+_ENGLISH_THREATS = "kill hurt destroy beat shoot stab burn murder".split()
+THREATS = frozenset([*_ENGLISH_THREATS, *"töten umbringen schlagen verletzen vernichten tuer frapper détruire blesser "
+                     "matar golpear destruir herir".split()])
 
 KINDS = ("plain", "negated", "reported", "addressed", "threat")
-_REACH = 3  # words over which a negation, an address or an open threat holds
+_REACH = 3  # words over which a negation or an address holds
+_OBJECT = 3  # words within which a threat verb meets its object
 THREAT_WEIGHT = 8.0  # of the kind threat, where the sample holds none
+_THIRD = 0.25  # weight on a threat's arcs for other persons than the second
+
+
+def _inflected(verb: str) -> list[str]:
+    """An English verb with its endings: kill, kills, killing, stabbing, ..."""
+    stem = verb.removesuffix("e")
+    short = stem[-1] in "bt" and stem[-2] in "aeiou" and stem[-3] not in "aeiou"
+    return [verb, verb + "s", (stem + stem[-1] if short else stem) + "ing"]
+
+
+_THREAT_FORMS = THREATS.union(*map(_inflected, _ENGLISH_THREATS))
+
+
+def _cue(word: str) -> str:
+    """The symbol of a word that is no insult."""
+    if word in NEGATIONS or word.endswith(("n't", "n\u2019t")):
+        return "negation"
+    if word.endswith(("'ll", "\u2019ll")):
+        return _cue_of_person(word[:-3], "_will")
+    if word in _THREAT_FORMS:
+        return "threat"
+    return "report" if word in REPORTS else "future" if word in FUTURES else _cue_of_person(word)
+
+
+def _cue_of_person(word: str, will: str = "") -> str:
+    person = "first" if word in FIRST_PERSON else "second" if word in SECOND_PERSON else "third" if word in OTHER_PERSON else ""
+    return person + will if person else "future" if will else "other"
 
 
 @dataclass(frozen=True)
@@ -77,24 +112,46 @@ def _lasting(symbol: str) -> Transducer:
     return Transducer(0, lambda state, seen: 1 if seen == symbol else state)
 
 
-def _opened() -> Transducer:
-    """State: words for which the last threat verb still waits for its target, and
-    the states that decide whether such a verb opens (neither negated nor reported,
-    and no target before it: that one is a match by itself)."""
-    parts = _holding("negation", _REACH), _lasting("report"), _holding("target", _REACH)
+def _awaiting_object() -> Transducer:
+    """State: words within which the last threat verb may meet its object, whether a first
+    person came shortly before that verb, and words for which one still holds."""
+    speaking = Transducer(0, lambda state, seen: _REACH if seen in ("first", "first_will") else max(state - 1, 0))
 
     def move(state: tuple, seen: str) -> tuple:
-        waits, *before = state
+        waits, own, first = state
         if seen == "threat":
-            waits = 0 if any(before) else _REACH
+            waits, own = _OBJECT, first > 0
         else:
-            waits = 0 if seen == "target" else max(waits - 1, 0)
-        return waits, *(p.move(x, seen) for p, x in zip(parts, before))
+            waits = 0 if seen in _PERSONS else max(waits - 1, 0)
+        return waits, own and waits > 0, speaking.move(first, seen)
 
-    return Transducer((0, *(p.start for p in parts)), move)
+    return Transducer((0, False, speaking.start), move)
 
 
-SYMBOLS = ("other", "insult", "threat", "target", "negation", "report")
+def _doomed() -> Transducer:
+    """State: (person that is the subject, steps on the way of subject, future, threat verb)."""
+    def move(state: tuple, seen: str) -> tuple:
+        person, step = state
+        if seen in _PERSONS:
+            return _PERSONS[seen], 2 if seen.endswith("_will") else 1
+        if step == 1 and seen == "future":
+            return person, 2
+        if step == 2 and seen == "threat":
+            return person, 3
+        return (person, step) if step == 2 and seen == "other" else (0.0, 0)
+
+    return Transducer((0.0, 0), move)
+
+
+# weight on the arcs of a threat, by the person it is aimed at
+_PERSONS = {"second": 1.0, "second_will": 1.0, "third": _THIRD, "third_will": _THIRD}
+END = "end"
+SYMBOLS = ("other", "insult", "threat", *_PERSONS, "negation", "report", "first", "first_will", "future", END)
+
+
+def _addressed() -> Transducer:
+    """State: words for which the last person still holds."""
+    return Transducer(0, lambda state, seen: _REACH if seen in _PERSONS else max(state - 1, 0))
 
 
 def compose(*parts: Transducer) -> tuple[tuple, dict[tuple, dict[str, tuple]]]:
@@ -110,22 +167,23 @@ def compose(*parts: Transducer) -> tuple[tuple, dict[tuple, dict[str, tuple]]]:
     return start, table
 
 
-_START, _MOVES = compose(_holding("negation", _REACH), _lasting("report"), _holding("target", _REACH), _opened())
+_START, _MOVES = compose(_holding("negation", _REACH), _lasting("report"), _addressed(), _awaiting_object(), _doomed())
 
 
-def _kind(state: tuple, symbol: str) -> str | None:
-    negated, reported, addressed, (waits, *_) = state
+def _emitted(state: tuple, symbol: str) -> tuple[str, float] | None:
+    """(kind, weight of the arc) of what the machine emits on reading ``symbol``."""
+    negated, reported, addressed, (waits, own, _), (person, step) = state
     if symbol == "insult":
-        return "negated" if negated else "reported" if reported else "addressed" if addressed else "plain"
-    if symbol == "threat" and addressed and not negated and not reported:
-        return "threat"
-    if symbol == "target" and waits:
-        return "threat"
-    return None
+        return "negated" if negated else "reported" if reported else "addressed" if addressed else "plain", 1.0
+    if negated or reported:
+        return None
+    if symbol in _PERSONS and waits:
+        return "threat", 1.0 if own else _PERSONS[symbol]
+    return ("threat", person) if symbol == END and step == 3 else None
 
 
-# Output of the composed machine: kind of match for (state before the word, symbol).
-_EMIT = {(state, symbol): _kind(state, symbol) for state in _MOVES for symbol in SYMBOLS}
+# Output of the composed machine for (state before the word, symbol).
+_EMIT = {(state, symbol): _emitted(state, symbol) for state in _MOVES for symbol in SYMBOLS}
 
 
 @dataclass
@@ -142,9 +200,7 @@ class Grammar:
         found = self.known.get(word)
         if found is None:
             weight = max([self.insults.get(word, 0.0), *(self.insults.get(word[:n] + "*", 0.0) for n in self.lengths if len(word) > n)])
-            name = ("insult" if weight else "threat" if word in THREATS else "target" if word in TARGETS else
-                    "negation" if word in NEGATIONS else "report" if word in REPORTS else "other")
-            found = name, weight or 1.0
+            found = ("insult", weight) if weight else (_cue(word), 1.0)
             if len(self.known) < 500_000:
                 self.known[word] = found
         return found
@@ -159,10 +215,10 @@ class Grammar:
             if not any(s[0] in ("insult", "threat") for s in symbols):
                 continue
             state = _START
-            for symbol, weight in symbols:
-                kind = _EMIT[state, symbol]
-                if kind:
-                    out[kind] += weight
+            for symbol, weight in (*symbols, (END, 1.0)):
+                emitted = _EMIT[state, symbol]
+                if emitted:
+                    out[emitted[0]] += weight * emitted[1]
                 state = _MOVES[state][symbol]
         return out, words_seen
 
@@ -181,22 +237,24 @@ def _inputs(found: dict[str, float], words: int) -> list[float]:
 _INPUTS = (*KINDS, "share")
 
 
-def _stems(text: str, lengths: tuple[int, ...], most: int = 4) -> Counter:
-    """Words and word beginnings of a text with their numbers, each at most ``most``."""
+def _stems(text: str, lengths: tuple[int, ...]) -> Counter:
+    """Words and word beginnings of a text with their numbers."""
     words, out = Counter(_WORD.findall(text.lower())), Counter()
     for w, n in words.items():
         out[w] += n
         for size in lengths:
             if len(w) > size:
                 out[w[:size] + "*"] += n
-    return Counter({w: min(n, most) for w, n in out.items()})
+    return out
 
 
-def learn_insults(sample: DataFrame, least: int = 8, ratio: float = 8.0, most: int = 20_000,
+def learn_insults(sample: DataFrame, least: int = 8, ratio: float = 8.0,
                   lengths: tuple[int, ...] = (4, 5, 6, 7, 8)) -> dict[str, float]:
     """Words and beginnings found in at least ``least`` toxic sample documents and
-    ``ratio`` times as often (per word of text) as in others; the ``most``
-    heaviest, with log odds."""
+    ``ratio`` times as often (per word of text) as in others, with log odds.
+
+    All of them are taken: their number is bounded by the sample, of whose toxic
+    documents each must be met in ``least``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, seen = Counter(), (Counter(), Counter())
@@ -219,19 +277,22 @@ def learn_insults(sample: DataFrame, least: int = 8, ratio: float = 8.0, most: i
         return {}
     odds = ((F.col("toxic") + 0.5) / size[0].toxic) / ((F.col("clean") + 0.5) / size[0].clean)
     found = (counted.where((F.col("word") != "") & (odds >= ratio))
-             .select("word", F.log(odds).alias("weight")).orderBy(F.desc("weight"), "word").limit(most).collect())
+             .select("word", F.log(odds).alias("weight")).collect())
     return {r.word: r.weight for r in found}
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 3000, rate: float = 0.3, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Full-batch gradient descent on standardised inputs."""
+    """Full-batch gradient descent on scaled inputs, projected after each step: no weight is
+    negative, and those of negated and reported matches are at most that of plain ones."""
     w, b = np.zeros(x.shape[1]), 0.0
     scale = np.maximum(x.std(axis=0), 1e-6)
     z = x / scale
+    plain, *lesser = (_INPUTS.index(k) for k in ("plain", "negated", "reported"))
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ w + b, -60, 60)))
         g = (p - y) / len(y)
-        w -= rate * (z.T @ g + decay * w)
+        w = np.maximum(w - rate * (z.T @ g + decay * w), 0.0)
+        w[lesser] = np.minimum(w[lesser], w[plain] / scale[plain] * scale[lesser])
         b -= rate * g.sum()
     return w / scale, b
 

@@ -1,4 +1,5 @@
 """Near-duplicates, lines, neighbours, mixture, classifiers and the pipeline."""
+import math
 import re
 from collections import Counter
 
@@ -277,3 +278,75 @@ def test_copies_of_symbol_only_texts_are_one_class(spark):
     got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(_docs(spark, rows).repartition(3)).collect()}
     assert got == {1: 1, 2: 2, 3: 1, 4: 1, 5: 5, 6: 6, 7: 7, 8: 8}
     assert near_dup.deduplicated(_docs(spark, rows)).count() == 6
+
+
+def test_threats_have_an_object_or_end_the_clause():
+    g = toxicity.Grammar({"idiot": 2.0})
+    found = lambda t: {k: v for k, v in g.matches(t)[0].items() if v}
+    for text in ("i am killing you", "he kills you", "she is stabbing you", "you will burn", "you'll surely burn", "i\u2019ll kill you", "we beat him"):
+        assert found(text) == {"threat": 1.0}, text
+    for text in ("you can't kill", "you won't hurt him", "they doesn't hurt", "i cannot beat you", "you shoot photos of birds",
+                 "they beat us by three goals", "she will burn calories", "you can\u2019t hurt anything", "do you shoot"):
+        assert found(text) == {}, text
+    assert found("she will kill them with kindness") == {"threat": 0.25}
+    assert found("he isn't an idiot") == {"negated": 2.0}
+
+
+def test_no_kind_of_match_lowers_a_toxicity_score():
+    rng = np.random.default_rng(2)
+    x = rng.random((300, len(toxicity._INPUTS))) * (rng.random((300, len(toxicity._INPUTS))) < 0.4)
+    y = (2 * x[:, 1] - x[:, 0] + x[:, 4] > 0.5).astype(float)  # plain insults less, negated ones more often in toxic rows
+    weights = dict(zip(toxicity._INPUTS, toxicity._logistic(x, y)[0]))
+    assert min(weights.values()) >= 0 and max(weights["negated"], weights["reported"]) <= weights["plain"] + 1e-12
+
+
+def test_scores_are_those_of_a_plain_count(spark):
+    """Both scores anew with plain loops over the whole text, from the fitted weights alone."""
+    from pyspark.sql import functions as F
+    docs, labels = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
+    extra = _docs(spark, [(-1, None), (-2, ""), (-3, "a"), (-4, "naïve 🙂 words " * 40_000)]).select("doc_id", "text")
+    rows = docs.select("doc_id", "text").limit(40).unionByName(extra)
+    model = subword_classifier.fit(docs, labels, "quality", F.lit(True), bits=12)
+    base, mix, whole = 0x9E3779B97F4A7C15 | 1, 0xBF58476D1CE4E5B9, 1 << 64
+
+    def hashed(part):
+        h = 0
+        for c in reversed(part):
+            h = (h * base + ord(c) + 1) % whole
+        return h
+
+    def bucket(h, salt):
+        return ((h + salt) * mix % whole) >> (64 - 12)
+
+    def plain(text):
+        ids = [bucket(hashed(text[i:i + n]), n) for n in (3, 4, 5) for i in range(len(text) - n + 1)]
+        own = [hashed(w) for w in re.split("[ \t-\r]+", text) if w]
+        ids += [bucket(h, 101) for h in own]
+        ids += [bucket(0 if a == b else (a * 31 + b) % whole, 103) for a, b in zip(own, own[1:])]
+        z = sum(float(model.weights[i]) for i in ids) / max(len(ids), 1) + model.bias
+        return 1 / (1 + math.exp(-z))
+
+    for r in subword_classifier.score(rows, model).collect():
+        if len(r.text or "") < 100_000:
+            assert r.score == pytest.approx(plain(r.text or ""), abs=1e-9), r.doc_id
+    grammar = toxicity.Grammar({"idiot": 2.0, "the": 0.5, "fool*": 1.0}, dict.fromkeys(toxicity._INPUTS, 0.7), -2.0)
+
+    def kinds(text):
+        found = dict.fromkeys(toxicity.KINDS, 0.0)
+        for clause in re.split("[.!?;\n]", text.lower()):
+            own = toxicity._WORD.findall(clause)
+            for i, w in enumerate(own):
+                weight = 2.0 if w == "idiot" else 0.5 if w == "the" else 1.0 if w[:4] == "fool" and len(w) > 4 else 0.0
+                before = own[max(i - 3, 0):i]
+                if weight:
+                    found["negated" if any(toxicity._cue(b) == "negation" for b in before if b != "the") else
+                          "reported" if any(b in toxicity.REPORTS for b in own[:i]) else
+                          "addressed" if any(toxicity._cue(b).startswith(("second", "third")) for b in before) else "plain"] += weight
+        return found
+
+    for r in toxicity.score(rows, grammar).collect():
+        found, n = kinds(r.text or ""), len(toxicity._WORD.findall((r.text or "").lower()))
+        if grammar.matches(r.text or "")[0]["threat"]:
+            continue
+        x = [*(math.log1p(v) for v in found.values()), math.log1p(100 * sum(found.values()) / max(n, 1))]
+        assert r.score == pytest.approx(1 / (1 + math.exp(2.0 - 0.7 * sum(x)))), r.doc_id
