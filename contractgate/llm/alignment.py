@@ -65,14 +65,27 @@ def _banded(a: np.ndarray, b: np.ndarray, x: list, y: list, band: int) -> int |
     return None
 
 
-def _bitwise(a: list, b: list) -> int:
-    """Distance by whole columns as bit vectors (for wide bands)."""
+def _bits(x: int, m: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(x.to_bytes(-(-m // 8), "little"), np.uint8), bitorder="little")[:m].astype(np.int64)
+
+
+def _bitwise(a: list, b: list, limit: int) -> int:
+    """Distance by whole columns as bit vectors (for wide bands), or a number above ``limit``.
+
+    Now and then the column is written out: from row i the rest costs at least
+    the difference of what is left of both, and where no row can do it the rest is spared.
+    """
     m, where = len(a), {}
+    look = max(32, m // 8)  # columns between two looks
     for i, x in enumerate(a):
         where[x] = where.get(x, 0) | 1 << i
     full, last = (1 << m) - 1, 1 << (m - 1)
     plus, minus, score = full, 0, m
-    for x in b:
+    for j, x in enumerate(b):
+        if j and j % look == 0:
+            column = j + np.concatenate(([0], np.cumsum(_bits(plus, m) - _bits(minus, m))))
+            if (column + np.abs(np.arange(m, -1, -1) - (len(b) - j))).min() > limit:
+                return limit + 1
         same = where.get(x, 0)
         xv = same | minus
         xh = (((same & plus) + plus) ^ plus) | same
@@ -109,14 +122,14 @@ def distance_within(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
     if longer - sum((Counter(x) & Counter(y)).values()) > limit:  # what has no partner costs an edit each
         return None
     columns = longer * (1 + longer / 5000)  # microseconds, about
-    while band < limit and (2 * band) ** 2 < columns:
+    while band < limit and 4 * (2 * band) ** 2 < columns:
         band = min(2 * band, limit)
         found = _banded(a, b, x, y, band)
         if found is not None:
             return found
     if band == limit:
         return None
-    found = _bitwise(x, y) if len(x) <= len(y) else _bitwise(y, x)
+    found = _bitwise(x, y, limit) if len(x) <= len(y) else _bitwise(y, x, limit)
     return found if found <= limit else None
 
 
