@@ -59,11 +59,13 @@ def _landed_orders(spark: SparkSession, sf_dir: str) -> tuple[str, BatchGate]:
     return root, gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders")
 
 
-def _latest_accepted_month(gate: BatchGate) -> dt.date:
+def _latest_accepted_month(gate: BatchGate) -> dt.date | None:
+    """None if every month was rejected."""
     return gate.accepted.agg(F.max(DAY)).first()[0]
 
 
 _RAW_PARTS_SCHEMA = "year string, month string, day string, source_file string"
+_MANIFEST_SCHEMA = "contract_version string, entity string, is_valid boolean, manifest_json string, n_violations bigint, row_count bigint"
 
 
 def _empty_like(spark: SparkSession, df: DataFrame, extra: str) -> DataFrame:
@@ -75,8 +77,9 @@ def raw_orders_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest accepted month of the raw zone, read by partition (only that
     folder is listed)."""
     root, gate = _landed_orders(spark, sf_dir)
-    month = _latest_accepted_month(gate)
-    df = read_partitioned(spark, f"{root}/orders", {"year": f"{month.year:04d}", "month": f"{month.month:02d}"})
+    month, df = _latest_accepted_month(gate), None
+    if month is not None:
+        df = read_partitioned(spark, f"{root}/orders", {"year": f"{month.year:04d}", "month": f"{month.month:02d}"})
     return df if df is not None else _empty_like(spark, table(spark, sf_dir, "orders"), _RAW_PARTS_SCHEMA)
 
 
@@ -85,7 +88,8 @@ def relanded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "orders-reland", fresh=True)
     for _ in range(3):
         gate_by_day(spark, _orders_by_month(spark, sf_dir), tpch_contract("orders"), root, "orders")
-    return read_raw(spark, root, "orders")
+    df = read_raw(spark, root, "orders")  # None: every month was rejected, each time
+    return df if df is not None else _empty_like(spark, table(spark, sf_dir, "orders"), _RAW_PARTS_SCHEMA)
 
 
 def reconciled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,12 +106,14 @@ def reconciled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dead_letter_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the rejected months, as received, in the dead-letter zone."""
-    return read_raw(spark, _landed_orders(spark, sf_dir)[0], "orders", dead_letter=True)
+    df = read_raw(spark, _landed_orders(spark, sf_dir)[0], "orders", dead_letter=True)
+    return df if df is not None else _empty_like(spark, table(spark, sf_dir, "orders"), _RAW_PARTS_SCHEMA)
 
 
 def dead_letter_manifests_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error manifests beside the dead-letter data: one per rejected month."""
-    return read_partitioned(spark, manifest_root(_landed_orders(spark, sf_dir)[0], "orders"), fmt="json")
+    df = read_partitioned(spark, manifest_root(_landed_orders(spark, sf_dir)[0], "orders"), fmt="json")
+    return df if df is not None else spark.createDataFrame([], f"{_MANIFEST_SCHEMA}, {_RAW_PARTS_SCHEMA}")
 
 
 def watermark_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,9 +233,11 @@ def staged_from_raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, gate = _landed_orders(spark, sf_dir)
     month = _latest_accepted_month(gate)
     staged_root = work_dir(spark, "orders-staged", fresh=True)
-    stage(spark, raw, staged_root, month, ["orders"], TPCH_CONTRACTS)
-    df = read_staged(spark, staged_root, "orders", month)
-    if df is None:  # the month was rejected: nothing in raw, nothing staged
+    df = None
+    if month is not None:
+        stage(spark, raw, staged_root, month, ["orders"], TPCH_CONTRACTS)
+        df = read_staged(spark, staged_root, "orders", month)
+    if df is None:  # every month was rejected: nothing in raw, nothing staged
         typed = apply_contract_types(table(spark, sf_dir, "orders"), tpch_contract("orders"))
         df = _empty_like(spark, typed, "source_file string, year string, month string, day string")
     return df
