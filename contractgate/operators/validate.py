@@ -6,13 +6,16 @@ Plan shape, for input ``df`` and batch key ``b``:
   partial aggregation map-side, so one row per batch per task is shuffled;
 * duplicate keys: ``groupBy(b, pk).count()`` then ``sum(n - 1)`` per batch - a
   separate aggregate, so rule counters are never shuffled with every key; it
-  reads only the key columns, and a hot key collapses map-side;
+  reads only the key columns. Beyond ``KEYS_PER_TASK`` rows the keys are dealt to as
+  many tasks as that asks for before they are counted, so a task's hash tables do not
+  grow with the size of its file; below, a hot key collapses map-side;
 * both are at most one row per batch; they are unioned and re-aggregated (no
   join), then unpivoted into the violation table with
   ``explode(array(struct ...))``. Verdicts and manifests are projections of the
   same one-row-per-batch table.
 
-Nothing is collected here. All outputs are lazy DataFrames.
+Only the number of rows is looked up here (of a Parquet scan, its metadata). All
+outputs are lazy DataFrames.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ ROWS = "row_count"
 # take long to compile; chunks group the rules of whole columns, so with column
 # pruning each chunk's scan reads only its own columns.
 MAX_COUNTERS_PER_AGGREGATE = 64
+# Keys counted by one task (about 250 bytes each in a hash table, of which it holds two).
+KEYS_PER_TASK = 500_000
 
 VIOLATION_FIELDS = ["ordinal", "check", "column", "message", "failing_rows"]
 
@@ -113,9 +118,11 @@ def validate(
         parts.append(padded(rule_counts, {n for n, _ in chunk}))
     if pk is not None:
         qpk = [_q(k) for k in pk]
+        keyed, tasks = src.selectExpr(*qkeys, *qpk), -(-src.count() // KEYS_PER_TASK)
+        if tasks > 1:
+            keyed = keyed.repartition(tasks, *kcols, *[F.col(k) for k in qpk])
         dup = (
-            src.selectExpr(*qkeys, *qpk)
-            .groupBy(*kcols, *[F.col(k) for k in qpk])
+            keyed.groupBy(*kcols, *[F.col(k) for k in qpk])
             .agg(F.count(F.lit(1)).alias("__n"))
             .where("__n > 1")
             .groupBy(*kcols)

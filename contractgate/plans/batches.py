@@ -6,8 +6,8 @@ manifests are written out as a table partitioned by the verdict. Routing, the
 manifests, the publish records and the watermarks read that table; the driver
 reads two counts and two sums. Accepted and rejected rows are joined with it
 (broadcast when its measured size allows it) and dealt to as many write tasks
-as there are files to write: small days share a task, a hot day is split by
-its row count.
+as there are files and rows to write: small days share a task, a hot day is
+split by its row count.
 """
 
 from __future__ import annotations
@@ -25,19 +25,20 @@ from ..session import work_dir
 from ..sinks.zones import DAY, SOURCE_FILE, date_part_columns, land, write_manifests
 
 
-# A batch is written as one file per so many rows, and a task writes so many files.
+# A batch is written as one file per so many rows, and a task writes so many files, of about so many rows in all.
 ROWS_PER_FILE = 2_000_000
 FILES_PER_TASK = 32
+ROWS_PER_TASK = 500_000
 FILES = "__files"
 
 
-def dealt(df: DataFrame, keys: list[str], files: int) -> DataFrame:
+def dealt(df: DataFrame, keys: list[str], files: int, rows: int = 0) -> DataFrame:
     """``df`` (with the number of files of each row's batch) dealt to write tasks:
-    as many as the number of files asks for; a batch of several files is dealt
+    as many as the numbers of files and rows ask for; a batch of several files is dealt
     over as many tasks, so a hot day is not one task's work."""
     # by a hash of the row, which a task that is run again gives again
     part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if not _is_map(df, c)]), F.col(FILES))
-    return df.withColumn(FILES, part).repartition(max(1, -(-files // FILES_PER_TASK)), *keys, FILES).drop(FILES)
+    return df.withColumn(FILES, part).repartition(max(1, -(-files // FILES_PER_TASK), -(-rows // ROWS_PER_TASK)), *keys, FILES).drop(FILES)
 
 
 def _is_map(df: DataFrame, column: str) -> bool:
@@ -79,14 +80,14 @@ def gate_by_day(spark: SparkSession, df: DataFrame, contract: Contract, raw_root
     manifest.write.partitionBy("is_valid").parquet(path)
     table = spark.read.schema(manifest.schema).parquet(path).select(*manifest.columns)
     files = F.ceil(F.col("row_count") / ROWS_PER_FILE).cast("bigint")
-    found = {r.is_valid: r for r in table.groupBy("is_valid").agg(F.count(F.lit(1)).alias("n"), F.sum(files).alias("files")).collect()}
+    found = {r.is_valid: r for r in table.groupBy("is_valid").agg(F.count(F.lit(1)).alias("n"), F.sum(files).alias("files"), F.sum("row_count").alias("rows")).collect()}
     gate = BatchGate(table, *(found[v].n if v in found else 0 for v in (True, False)))
     for valid, batches in ((True, gate.accepted), (False, gate.rejected)):
         if valid not in found:
             continue
         rows = batch_join(df, maybe_broadcast(batches.select(*keys, files.alias(FILES))), keys, "inner")
         parts = batches.select(*[c.alias(n) for n, c in {**date_part_columns(F.col(DAY)), "source_file": F.col(SOURCE_FILE)}.items()])
-        land(dealt(rows, keys, found[valid].files), raw_root, entity, F.col(DAY), dead_letter=not valid, partitions=parts, reconciled=reconciled)
+        land(dealt(rows, keys, found[valid].files, found[valid].rows), raw_root, entity, F.col(DAY), dead_letter=not valid, partitions=parts, reconciled=reconciled)
         if not valid:
             write_manifests(batches.repartition(-(-gate.n_rejected // FILES_PER_TASK)), raw_root, entity, F.col(DAY), partitions=parts)
     return gate

@@ -38,7 +38,7 @@ from ..operators.state import LoadLog, WatermarkStore, watermark_report as _wm_r
 from ..operators.validate import empty_batch_manifest, validate
 from ..session import work_dir
 from ..sinks.zones import (
-    DEAD_LETTER, EXTRA, RAW_PARTS, SOURCE_FILE, as_date, current_loads, date_parts, entity_root, has_records, land,
+    DEAD_LETTER, EXTRA, OPEN_FILES, RAW_PARTS, SOURCE_FILE, as_date, current_loads, date_parts, entity_root, has_records, land,
     partition_rows, partitioned_key, replace_with_empty, store_names, write_manifests, write_staged,
 )
 from ..sources.files import (
@@ -310,7 +310,7 @@ def _land_frame(spark, df: DataFrame, entity: str, files: list[SourceFile], root
     keys = {f.name: {**date_parts(load_date), "source_file": f.name} for f in files}
     if nonempty:
         written = partition_rows(spark, RAW_PARTS, [tuple(keys[f.name].values()) for f in nonempty])
-        land(df, root, entity, load_date, SOURCE_FILE, dead_letter=dead_letter, partitions=written)
+        land(df, root, entity, load_date, SOURCE_FILE, dead_letter=dead_letter, partitions=written, open_files=OPEN_FILES)
     # zero rows: replace whatever an earlier load left at these keys
     empty = [keys[f.name] for f in files if verdicts[(entity, f.name)]["row_count"] == 0]
     replace_with_empty(spark, store_names(df.drop(SOURCE_FILE)).schema, entity_root(root, entity, dead_letter), empty)

@@ -34,3 +34,41 @@ def test_no_month_is_rejected(spark, tmp_path):
     dead, manifests = zone_checks.dead_letter_orders(spark, sf), zone_checks.dead_letter_manifests_orders(spark, sf)
     assert dead.count() == 0 and dead.dtypes == [*DATA, *PARTS]
     assert manifests.count() == 0 and manifests.columns[:6] == ["contract_version", "entity", "is_valid", "manifest_json", "n_violations", "row_count"]
+
+
+def test_duplicate_keys_are_counted_by_as_many_tasks_as_rows_ask_for(spark, capsys, monkeypatch):
+    import contractgate.operators.validate as v
+    from contractgate.operators.contract import Contract
+    contract = Contract.from_dict({"entity": "e", "version": "1", "primary_key": ["k"], "columns": [{"name": "k", "type": "integer"}]})
+    rows = [("a", k) for k in (1, 2, 2, None, None, None, 4)] + [("b", k) for k in (1, 2, 3, 3, 3)]
+    df = spark.createDataFrame(rows, "batch string, k bigint")
+
+    def found():
+        table = v.validate(df, contract, ["batch"]).violations.where("check = 'uniqueness'")
+        table.explain("formatted")
+        return sorted((r.batch, r.failing_rows) for r in table.collect()), "REPARTITION_BY_NUM" in capsys.readouterr().out
+
+    assert found() == ([("a", 3), ("b", 2)], False)
+    monkeypatch.setattr(v, "KEYS_PER_TASK", 3)
+    assert found() == ([("a", 3), ("b", 2)], True)
+
+
+def test_a_task_holds_files_open_instead_of_sorting(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from contractgate.sinks.zones import OPEN_FILES, write_partitioned
+    from contractgate.sources.scans import read_partitioned
+    held = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    path = str(tmp_path / "zone")
+    df = spark.range(100).select("id", (F.col("id") % (2 * OPEN_FILES)).cast("string").alias("part")).coalesce(1)
+    write_partitioned(df, path, ["part"], open_files=OPEN_FILES)  # more partitions than files held open
+    back = read_partitioned(spark, path, partition_columns=["part"])
+    assert sorted(map(tuple, back.select("id", "part").collect())) == [(i, str(i % (2 * OPEN_FILES))) for i in range(100)]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == held
+
+
+def test_rows_are_dealt_to_as_many_write_tasks_as_they_ask_for(spark):
+    from contractgate.plans.batches import FILES, ROWS_PER_TASK, dealt
+    df = spark.range(10).selectExpr("id", "id % 3 AS k", f"1L AS {FILES}")
+    assert dealt(df, ["k"], 3, 5 * ROWS_PER_TASK).rdd.getNumPartitions() == 5
+    assert dealt(df, ["k"], 3, 10).rdd.getNumPartitions() == 1
