@@ -5,6 +5,7 @@ tables. Zones live under the session's checkpoint folder (see ``session``)."""
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -300,6 +301,12 @@ def _copied(spark: SparkSession, df: DataFrame, fmt: str, folder: str, name: str
     fs.delete(p, True)
 
 
+def _copied_at_once(spark: SparkSession, folder: str, files: list[tuple[DataFrame, str, str]]) -> None:
+    """``_copied`` for (rows, format, name) of several files: each is one task's work, so they are written side by side."""
+    with ThreadPoolExecutor(len(files)) as pool:
+        list(pool.map(lambda f: _copied(spark, f[0], f[1], folder, f[2]), files))
+
+
 def _plain_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
@@ -310,9 +317,10 @@ def staged_mixed_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     narrower integers: each is typed in its own way, the staged day has them all."""
     base = work_dir(spark, "orders-mixed", fresh=True)
     o, src = _plain_orders(spark, sf_dir), f"{base}/src/orders"
-    _copied(spark, o.where("o_orderkey % 3 = 0").select(*[F.col(c).cast("string") for c in o.columns]), "csv", src, "a.csv")
-    _copied(spark, o.where("o_orderkey % 3 = 1"), "parquet", src, "b.parquet")
-    _copied(spark, o.where("o_orderkey % 3 = 2").withColumn("o_custkey", F.col("o_custkey").cast("int")), "parquet", src, "c.parquet")
+    _copied_at_once(spark, src, [
+        (o.where("o_orderkey % 3 = 0").select(*[F.col(c).cast("string") for c in o.columns]), "csv", "a.csv"),
+        (o.where("o_orderkey % 3 = 1"), "parquet", "b.parquet"),
+        (o.where("o_orderkey % 3 = 2").withColumn("o_custkey", F.col("o_custkey").cast("int")), "parquet", "c.parquet")])
     ingest(spark, f"{base}/src", f"{base}/raw", _MIXED_DAY, contracts_dir=LOOSE_CONTRACTS, advance_watermark=False)
     stage(spark, f"{base}/raw", f"{base}/staged", _MIXED_DAY, ["orders"], LOOSE_CONTRACTS)
     return read_staged(spark, f"{base}/staged", "orders", _MIXED_DAY)
@@ -324,8 +332,9 @@ def dead_letter_mixed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "orders-dead-mixed", fresh=True)
     o, src = _plain_orders(spark, sf_dir), f"{base}/src/orders"
     o = o.select(*[F.col(c).cast("string") for c in o.columns])
-    _copied(spark, o.where("o_orderkey % 2 = 0").withColumn("clerk", F.concat(F.lit("c"), "o_custkey")), "csv", src, "a.csv")
-    _copied(spark, o.where("o_orderkey % 2 = 1").withColumn("depot", F.concat(F.lit("d"), "o_custkey")), "csv", src, "b.csv")
+    _copied_at_once(spark, src, [
+        (o.where("o_orderkey % 2 = 0").withColumn("clerk", F.concat(F.lit("c"), "o_custkey")), "csv", "a.csv"),
+        (o.where("o_orderkey % 2 = 1").withColumn("depot", F.concat(F.lit("d"), "o_custkey")), "csv", "b.csv")])
     ingest(spark, f"{base}/src", f"{base}/raw", _MIXED_DAY, contracts_dir=LOOSE_CONTRACTS, advance_watermark=False)
     df = read_raw(spark, f"{base}/raw", "orders", _MIXED_DAY, dead_letter=True)
     return df.select("o_orderkey", "clerk", "depot", "source_file")
@@ -398,8 +407,8 @@ def numeric_dates_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _parquet_day(spark: SparkSession, sf_dir: str, base: str) -> str:
     """Orders as one Parquet file per status, and an entity without a contract."""
     o, src = _plain_orders(spark, sf_dir), f"{base}/src"
-    for status in ("F", "O", "P"):
-        _copied(spark, o.where(F.col("o_orderstatus") == status), "parquet", f"{src}/orders", f"{status}.parquet")
+    _copied_at_once(spark, f"{src}/orders", [
+        (o.where(F.col("o_orderstatus") == status), "parquet", f"{status}.parquet") for status in ("F", "O", "P")])
     _copied(spark, table(spark, sf_dir, "region"), "parquet", f"{src}/no_contract", "region.parquet")
     _copied(spark, table(spark, sf_dir, "nation"), "parquet", f"{src}/not_asked_for", "nation.parquet")
     return src

@@ -72,3 +72,10 @@ def test_rows_are_dealt_to_as_many_write_tasks_as_they_ask_for(spark):
     df = spark.range(10).selectExpr("id", "id % 3 AS k", f"1L AS {FILES}")
     assert dealt(df, ["k"], 3, 5 * ROWS_PER_TASK).rdd.getNumPartitions() == 5
     assert dealt(df, ["k"], 3, 10).rdd.getNumPartitions() == 1
+
+
+def test_single_files_are_written_side_by_side(monkeypatch):
+    import threading
+    meet = threading.Barrier(3, timeout=30)
+    monkeypatch.setattr(zone_checks, "_copied", lambda *args: meet.wait())
+    zone_checks._copied_at_once(None, "folder", [(None, "csv", n) for n in "abc"])
