@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 # "nan", thousands separators) does not parse.
 NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 INFINITY_TEXT = r"(?i)^\s*[+-]?(inf|infinity)\s*$"
+WHITE_SPACE = " \t\n\x0b\f\r"  # what \s matches
 PLAIN_INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 # Tokens a boolean column may hold when validated, and the staging map.
 BOOLEAN_TEXT_TOKENS = ["True", "False", "true", "false", "0", "1"]
@@ -106,7 +107,7 @@ def present(c: str, dt: T.DataType) -> str:
 
 
 def _trimmed(c: str) -> str:
-    return f"regexp_replace({c}, {lit(r'^\s+|\s+$')}, '')"
+    return f"trim(BOTH {lit(WHITE_SPACE)} FROM {c})"
 
 
 def number_from_text(c: str) -> str:

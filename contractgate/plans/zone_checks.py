@@ -439,16 +439,16 @@ def staged_boolean_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_load_log_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two audited runs over orders as CSV: all files good, then one with an
-    unexpected column. The load log says how they ended."""
+    """Two audited runs over orders as CSV, as many files as Spark has tasks: all
+    files good, then the odd orders' with an unexpected column. The load log says how they ended."""
     base = work_dir(spark, "orders-runs", fresh=True)
     o = _plain_orders(spark, sf_dir)
     o = o.select(*[F.col(c).cast("string") for c in o.columns])
     log = LoadLog(spark, f"{base}/raw")
     for day in (dt.date(2024, 3, 15), dt.date(2024, 3, 16)):
-        _copied(spark, o.where("o_orderkey % 2 = 0"), "csv", f"{base}/src-{day}/orders", "even.csv")
+        _files_of(spark, o.where("o_orderkey % 2 = 0"), f"{base}/src-{day}/orders", "even")
         odd = o.where("o_orderkey % 2 = 1")
-        _copied(spark, odd if day.day == 15 else odd.withColumn("clerk", F.lit("x")), "csv", f"{base}/src-{day}/orders", "odd.csv")
+        _files_of(spark, odd if day.day == 15 else odd.withColumn("clerk", F.lit("x")), f"{base}/src-{day}/orders", "odd")
         try:
             run_load(spark, f"{base}/src-{day}", f"{base}/raw", f"{base}/staged", day, ["orders"], LOOSE_CONTRACTS, pipeline=f"day-{day}")
         except RuntimeError:  # how a run with quarantined files ends

@@ -79,3 +79,23 @@ def test_single_files_are_written_side_by_side(monkeypatch):
     meet = threading.Barrier(3, timeout=30)
     monkeypatch.setattr(zone_checks, "_copied", lambda *args: meet.wait())
     zone_checks._copied_at_once(None, "folder", [(None, "csv", n) for n in "abc"])
+
+
+def test_audited_runs_read_files_of_many_tasks(spark, tmp_path, monkeypatch):
+    from contractgate.sources.files import list_source_files
+    sf, seen, run = orders(spark, tmp_path, [10.0] * 12), [], zone_checks.run_load
+    df = spark.read.parquet(f"{sf}/orders.parquet").repartition(3)
+    df.write.parquet(f"{tmp_path}/several/orders.parquet")
+    monkeypatch.setattr(zone_checks, "run_load", lambda s, src, *a, **k: (seen.append(len(list_source_files(s, src))), run(s, src, *a, **k)))
+    got = zone_checks.run_load_log_orders(spark, f"{tmp_path}/several").collect()
+    assert sorted((r.pipeline, r.status, r.rows_loaded) for r in got) == [("day-2024-03-15", "success", 12), ("day-2024-03-16", "failed", 6)]
+    assert len(seen) == 2 and min(seen) > 2
+
+
+def test_text_is_trimmed_of_white_space(spark):
+    from contractgate.functions import coerce
+    from pyspark.sql import types as T
+    texts = ["\t 1\n", "\x0b2\f\r", "3 ", " 4 5 ", "", " ", " 6"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    assert "regexp_replace" not in coerce.to_number("x", T.StringType())
+    assert [r[0] for r in df.selectExpr(coerce.to_number("x", T.StringType())).collect()] == [1.0, 2.0, 3.0, None, None, None, None]
