@@ -218,3 +218,29 @@ def test_search_defined_cases(spark, monkeypatch):
     assert got == _ranked(docs, dict(items).items())
     assert lexical_search.ranked(_docs(spark, []), frame).count() == 0
     assert lexical_search.ranked(_docs(spark, [(1, "a", "en")]), frame.where("false")).count() == 0
+
+
+def test_counts_of_phrases_travel_as_a_few_bytes_and_add_up():
+    """Counts of two tasks over three scans, added up part by part; each takes well below the bytes of its phrase."""
+    import pyarrow as pa
+    rng, parts, known, bits = np.random.default_rng(21), {}, {}, 3
+    words = [f"w{k}" for k in range(3000)]
+    texts = [" ".join(rng.choice(words, 400)) for _ in range(90)]
+    batch = lambda own: pa.RecordBatch.from_arrays([pa.array(["en"] * len(own)), pa.array(own)], names=["lang", "text"])
+    for scan in range(3):
+        own = texts[scan::3]
+        found = [r for half in (own[::2], own[1::2]) for b in collocations._counter(scan, 3, None, bits)(iter([batch(half)])) for r in b.to_pylist()]
+        assert sum(len(r["data"]) for r in found) < 9 * sum(r["size"] for r in found)
+        rows = sorted([*found, *(r for own in parts.values() for r in own)], key=lambda r: r["part"])
+        table = pa.RecordBatch.from_pylist(rows)
+        parts = {}
+        for b in collocations._adder(scan, 3, 15)(table.slice(i, 5) for i in range(0, table.num_rows, 5)):  # a part's rows in several batches
+            for r in b.to_pylist():
+                parts.setdefault(r["part"], []).append(r)
+                if r["kind"] == collocations._KNOWN:
+                    for key in collocations._unpack(r["data"], r["size"])[0].tolist():
+                        assert known.setdefault(key, scan) == scan  # once
+    plain = Counter(w for t in texts for w in t.split())
+    expected = collocations._keys(1, collocations.word_hashes([w.encode() for w, n in plain.items() if n >= 15], "en"))
+    assert 0 < len(known) < len(plain) and set(known) == set(expected.tolist())
+    assert not any(r["kind"] == collocations._OPEN for own in parts.values() for r in own)  # every cycle is full
